@@ -46,7 +46,7 @@ bars AS (
          round(100 * (close - prev) / prev, 4) AS p_change,
          {_ma('close', 5)} AS ma5, {_ma('close', 10)} AS ma10, {_ma('close', 20)} AS ma20,
          {_ma('volume', 5)} AS v_ma5, {_ma('volume', 10)} AS v_ma10, {_ma('volume', 20)} AS v_ma20,
-         0.0 AS turnover,
+         CAST(0 AS DOUBLE) AS turnover,
          {_ma('close', 30)} AS ma30, {_ma('close', 60)} AS ma60, {_ma('close', 120)} AS ma120,
          {_ma('close', 250)} AS ma250
   FROM pv),
@@ -150,5 +150,164 @@ def group_summary_sql(group_col: str, top_n: int, label_where: str = "") -> str:
       ON s.{group_col} = t.{group_col}"""
 
 
+PICK_COLS = "m.code, i.name, i.industry, i.esp, i.pe"
+
+
+def extremes_sql(kind: str, start, end, where_code: str = "") -> str:
+    """W03-W06 over stocks dated in [start, end] (start/end SQL or None)."""
+    fn, col = ("max", "max_close") if kind == "peak" else ("min", "min_close")
+    conds = []
+    if start is not None:
+        conds.append(f"date >= {start}")
+    if end is not None:
+        conds.append(f"date <= {end}")
+    where = ("WHERE " + " AND ".join(conds)) if conds else ""
+    return f"""
+      SELECT code, date, close, {col},
+             row_number() OVER (PARTITION BY code ORDER BY close DESC, date DESC) AS rank,
+             row_number() OVER (PARTITION BY code ORDER BY date DESC) AS date_rank
+      FROM (SELECT code, date, close,
+                   {fn}(close) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)
+                     AS {col}
+            FROM stocks {where}) t
+      WHERE close = {col}"""
+
+
+def breakout_sql(kind: str, reason: str, trend_start, pre_start, trend_percent, up_percent, as_of,
+                 first_cond: str, extra_from: str = "", extra_where: str = "") -> str:
+    pre_end = as_date(trend_start) - dt.timedelta(days=1)
+    ctes = (
+        f"ext AS ({extremes_sql(kind, d(trend_start), d(as_of))})",
+        f"""pct AS (
+          SELECT code, (l[1] - l[2] + 0.0) / l[2] AS percent
+          FROM (SELECT code, array_agg(close ORDER BY date DESC) AS l FROM ext WHERE rank <= 2 GROUP BY code) t
+          WHERE (l[1] - l[2] + 0.0) / l[2] <= {trend_percent})""",
+        f"mm AS (SELECT code, min(date) AS min_date FROM stocks WHERE date <= {d(as_of)} GROUP BY code)",
+        f"""hi AS (SELECT code, max(close) AS close FROM stocks
+                  WHERE date BETWEEN {d(pre_start)} AND {d(pre_end)} GROUP BY code)""",
+    )
+    return with_base(*ctes, select=f"""
+      SELECT DISTINCT {PICK_COLS}, p.percent, {d(as_of)} AS update_date, '{reason}' AS reason
+      FROM ext m JOIN mm dd ON m.code = dd.code JOIN info i ON m.code = i.code JOIN pct p ON m.code = p.code
+           JOIN hi h ON m.code = h.code {extra_from}
+      WHERE dd.min_date <= {d(trend_start)} AND m.rank = 1 AND {first_cond} AND i.name NOT LIKE '%ST%'
+        AND (h.close - m.close + 0.0) / h.close >= {up_percent} {extra_where}""")
+
+
+def monotone_sql(ext_name: str) -> str:
+    return (f"SELECT code FROM {ext_name} GROUP BY code "
+            f"HAVING count(*) FILTER (WHERE rank = date_rank) = max(rank)")
+
+
+def ascending_sql(trend_start, as_of, latest: bool = False, hold_days: int = 3) -> str:
+    ctes = [
+        f"pk AS ({extremes_sql('peak', d(trend_start), d(as_of))})",
+        f"lw AS ({extremes_sql('trough', d(trend_start), d(as_of))})",
+        f"s AS (SELECT a.code FROM ({monotone_sql('lw')}) a JOIN ({monotone_sql('pk')}) b ON a.code = b.code)",
+        f"days AS (SELECT code, count(*) AS num_days FROM stocks WHERE date <= {d(as_of)} GROUP BY code)",
+    ]
+    if not latest:
+        return with_base(*ctes, select=f"""
+          SELECT DISTINCT i.code, i.name, i.industry, i.esp, i.pe, CAST(0 AS DOUBLE) AS percent,
+                 {d(as_of)} AS update_date, 'asc' AS reason
+          FROM s JOIN info i ON s.code = i.code JOIN stocks dd ON s.code = dd.code JOIN days t ON s.code = t.code
+          WHERE dd.date = {d(as_of)} AND dd.close >= dd.ma5 AND dd.close >= dd.ma10 AND dd.close >= dd.ma20
+            AND dd.p_change <= 9.0 AND t.num_days > 30 AND dd.open > 0""")
+    ctes.append(f"""q AS (
+        SELECT code FROM stocks
+        WHERE close >= ma5 AND close >= ma10 AND close >= ma20 AND close >= ma30 AND close >= ma60
+          AND close >= ma120 AND date BETWEEN {open_day(as_of, hold_days)} AND {d(as_of)}
+        GROUP BY code HAVING count(DISTINCT date) = {hold_days})""")
+    return with_base(*ctes, select=f"""
+      SELECT DISTINCT i.code, i.name, i.industry, i.esp, i.pe, CAST(0 AS DOUBLE) AS percent,
+             {d(as_of)} AS update_date, 'latest_asc' AS reason
+      FROM s JOIN info i ON s.code = i.code JOIN stocks dd ON s.code = dd.code JOIN days t ON s.code = t.code
+           JOIN q ON s.code = q.code
+      WHERE dd.date = {d(as_of)} AND dd.close >= dd.ma5 AND dd.close >= dd.ma10 AND dd.close >= dd.ma20
+        AND dd.p_change BETWEEN 0.0 AND 9.0 AND t.num_days > 25 AND dd.open > 0 AND i.name NOT LIKE '%ST%'""")
+
+
+def volume_breakout_sql(as_of, push_days=7, up_days=3, volume_increase=2) -> str:
+    return with_base(f"""s AS (
+        SELECT code, max_close FROM (
+          SELECT code, sum(volume) FILTER (WHERE p_change < 0) AS cons,
+                 sum(volume) FILTER (WHERE p_change >= 0) AS pos,
+                 max(close) AS max_close, min(close) AS min_close, count(*) AS n
+          FROM stocks WHERE date BETWEEN {d(as_of)} - {push_days} AND {d(as_of)} GROUP BY code) t
+        WHERE n >= {up_days} AND min_close > 0 AND pos >= {volume_increase} * cons
+          AND (max_close - min_close) / min_close >= 0.04)""", select=f"""
+      SELECT DISTINCT i.code, i.name, i.industry, i.esp, i.pe, CAST(0 AS DOUBLE) AS percent,
+             {d(as_of)} AS update_date, 'up_ma' AS reason
+      FROM s JOIN stocks t ON s.code = t.code JOIN info i ON i.code = s.code
+      WHERE t.date = {d(as_of)} AND t.open > 0 AND t.close >= t.ma5 AND t.close >= t.ma10 AND t.close >= t.ma20
+        AND t.close >= t.ma30 AND t.close >= t.ma60 AND t.close >= s.max_close AND t.p_change <= 5.0
+        AND (t.high - t.close) / t.open <= 0.01""")
+
+
+def continuous_increase_sql(as_of, n: int) -> str:
+    return with_base(
+        f"""today AS (SELECT code FROM stocks WHERE date = {d(as_of)} AND (high - close) / close <= 0.02
+                       AND close > open AND low <= close - price_change)""",
+        f"""s AS (SELECT * FROM stocks WHERE date BETWEEN {open_day(as_of, n + 1)} AND {d(as_of)}
+                  AND p_change BETWEEN -3.0 AND 5.0 AND code IN (SELECT code FROM today))""",
+        select=f"""
+      SELECT i.industry, s.code, i.name, array_agg({round2('s.p_change')} ORDER BY s.date) AS p_change,
+             CAST({n} AS INTEGER) AS n_days, {d(as_of)} AS update_date
+      FROM s JOIN info i ON s.code = i.code
+      GROUP BY i.industry, s.code, i.name
+      HAVING count(*) FILTER (WHERE s.p_change >= 1.0) >= {n}
+         AND (array_agg(s.p_change ORDER BY s.date ASC))[1] BETWEEN -3.0 AND 0
+         AND (array_agg(s.p_change ORDER BY s.date DESC))[1] > 0.0""")
+
+
+def above_all_averages_sql(as_of, n: int, interval: int) -> str:
+    return with_base(
+        f"""s AS (SELECT code FROM stocks WHERE date BETWEEN {open_day(as_of, n + interval)} AND {d(as_of)}
+                  AND p_change BETWEEN -3 AND 0 GROUP BY code HAVING count(*) >= {n})""",
+        select=f"""
+      SELECT i.industry, i.code, i.name, t.p_change, CAST({n} AS INTEGER) AS n_days,
+             CAST({interval} AS INTEGER) AS "interval", {d(as_of)} AS update_date
+      FROM s JOIN info i ON s.code = i.code JOIN stocks t ON s.code = t.code
+      WHERE t.date = {d(as_of)} AND t.p_change BETWEEN 0.1 AND 5 AND t.close > t.ma5 AND t.close > t.ma10
+        AND t.close > t.ma20 AND t.close > t.ma30 AND t.close > t.ma60 AND t.close > t.ma120
+        AND t.close > t.ma250""")
+
+
+def interval_return_sql(interval: int, end) -> str:
+    start = open_day(end, interval)
+    return with_base(select=f"""
+      SELECT s.code, t.date AS start_day, s.date AS end_day, (s.close - t.close) / t.close AS percent,
+             r.high_percent, c.name, c.c_name
+      FROM (SELECT code, date, close FROM stocks WHERE date = {d(end)}) s
+      JOIN (SELECT code, date, close FROM stocks WHERE date = {start}) t ON s.code = t.code
+      JOIN (SELECT code, (max(high) - min(low)) / min(low) AS high_percent FROM stocks
+            WHERE date BETWEEN {start} AND {d(end)} GROUP BY code) r ON s.code = r.code
+      JOIN concept c ON r.code = c.code""")
+
+
+def volume_trend_sql(start, end, volume_cnt, neg_pct, as_of) -> str:
+    return with_base(
+        f"rw AS (SELECT code, date, p_change, volume FROM stocks WHERE date BETWEEN {d(start)} AND {d(end)})",
+        f"nopen AS (SELECT count(*) AS n FROM cal WHERE date BETWEEN {d(start)} AND {d(end)})",
+        "mx AS (SELECT code, max(volume) FILTER (WHERE p_change < 0) AS max_neg, count(*) AS n FROM rw GROUP BY code)",
+        """below AS (SELECT r.code, count(*) FILTER (WHERE r.p_change >= 0 AND r.volume < m.max_neg) AS n_below
+                     FROM rw r JOIN mx m ON r.code = m.code GROUP BY r.code)""",
+        """dn AS (SELECT code, abs((volume - lag(volume) OVER w) / lag(volume) OVER w) AS chg
+                  FROM rw WHERE p_change < 0 WINDOW w AS (PARTITION BY code ORDER BY date))""",
+        "jumps AS (SELECT code, max(chg) AS max_chg FROM dn GROUP BY code)",
+        f"""kept AS (SELECT m.code FROM mx m JOIN below b ON m.code = b.code LEFT JOIN jumps j ON m.code = j.code
+                     WHERE m.n >= (SELECT n FROM nopen) - 3 AND b.n_below <= {volume_cnt}
+                       AND (j.max_chg IS NULL OR j.max_chg <= {neg_pct}))""",
+        f"min_day AS (SELECT min(date) AS d FROM cal WHERE date > {d(end)})",
+        select=f"""
+      SELECT t.code, i.name, (max_close - min_close) / min_close AS ratio
+      FROM (SELECT code, max(close) FILTER (WHERE date = (SELECT d FROM min_day)) AS min_close,
+                   max(high) FILTER (WHERE date = {d(as_of)}) AS max_close,
+                   max(p_change) FILTER (WHERE date = (SELECT d FROM min_day)) AS p_change
+            FROM stocks WHERE date IN ((SELECT d FROM min_day), {d(as_of)}) AND code IN (SELECT code FROM kept)
+            GROUP BY code) t JOIN info i ON t.code = i.code
+      WHERE p_change < 9.9""")
+
+
 def as_date(v) -> dt.date:
     return v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v))

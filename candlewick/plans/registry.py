@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick import oracle as O
-from candlewick.plans import groups
+from candlewick.plans import groups, screens
 from candlewick.plans.market import load_market
 
 AS_OF = dt.date(2015, 11, 24)
@@ -68,3 +68,79 @@ def x13_30(spark, sf_dir):
     select=O.group_summary_sql("concept", 5)))
 def x14(spark, sf_dir):
     return groups.concept_summary(load_market(spark, sf_dir), AS_OF, top_n=5, n_days=10, limit_up_days=2)
+
+
+# ---------------------------------------------------------------- screens
+TREND_START = dt.date(2015, 10, 1)
+PRE_START = dt.date(2015, 6, 1)
+ASC_START = dt.date(2015, 10, 20)
+
+
+@register("x01_box_breakout", O.breakout_sql(
+    "peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"m.date = {O.d(AS_OF)}"))
+def x01(spark, sf_dir):
+    return screens.box_breakout(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
+
+
+@register("x02_pull_back", O.breakout_sql(
+    "peak", "callback", TREND_START, PRE_START, 0.1, 0.0, AS_OF,
+    f"m.date BETWEEN {O.d(AS_OF)} - 14 AND {O.d(AS_OF)} - 1",
+    extra_from="JOIN stocks e ON m.code = e.code",
+    extra_where=f"AND e.date = {O.d(AS_OF)} AND e.ma5 <= e.close AND e.ma10 <= e.close AND e.ma20 <= e.close"))
+def x02(spark, sf_dir):
+    return screens.pull_back(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
+
+
+@register("x04_ascending", O.ascending_sql(ASC_START, AS_OF))
+def x04(spark, sf_dir):
+    return screens.ascending(load_market(spark, sf_dir), ASC_START, AS_OF)
+
+
+@register("x05_latest_ascending", O.ascending_sql(ASC_START, AS_OF, latest=True, hold_days=3))
+def x05(spark, sf_dir):
+    return screens.latest_ascending(load_market(spark, sf_dir), ASC_START, AS_OF, hold_days=3)
+
+
+@register("x06_volume_breakout", O.volume_breakout_sql(AS_OF, 7, 3, 2))
+def x06(spark, sf_dir):
+    return screens.volume_breakout(load_market(spark, sf_dir), AS_OF, push_days=7, up_days=3, volume_increase=2)
+
+
+@register("x07_trough_breakout", O.breakout_sql(
+    "trough", "up_trend_low", TREND_START, PRE_START, 0.1, 0.0, AS_OF,
+    f"m.date BETWEEN {O.d(AS_OF)} - 10 AND {O.d(AS_OF)} - 1"))
+def x07(spark, sf_dir):
+    return screens.trough_breakout(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
+
+
+VT_START, VT_END = dt.date(2015, 11, 1), dt.date(2015, 11, 12)
+
+
+@register("x08_volume_trend", O.volume_trend_sql(VT_START, VT_END, 2, 1.0, AS_OF))
+def x08(spark, sf_dir):
+    return screens.volume_trend(load_market(spark, sf_dir), VT_START, VT_END, 2, 1.0, AS_OF)
+
+
+@register("x09_continuous_increase_1", O.continuous_increase_sql(AS_OF, 1))
+def x09_1(spark, sf_dir):
+    return screens.continuous_increase(load_market(spark, sf_dir), AS_OF, 1)
+
+
+@register("x09_continuous_increase_2", O.continuous_increase_sql(AS_OF, 2))
+def x09_2(spark, sf_dir):
+    return screens.continuous_increase(load_market(spark, sf_dir), AS_OF, 2)
+
+
+@register("x10_above_all_averages_2_2", O.above_all_averages_sql(AS_OF, 2, 2))
+def x10_22(spark, sf_dir):
+    return screens.above_all_averages(load_market(spark, sf_dir), AS_OF, 2, 2)
+
+
+@register("x10_above_all_averages_2_1", O.above_all_averages_sql(AS_OF, 2, 1))
+def x10_21(spark, sf_dir):
+    return screens.above_all_averages(load_market(spark, sf_dir), AS_OF, 2, 1)
+
+
+@register("x15_interval_return", O.interval_return_sql(5, AS_OF))
+def x15(spark, sf_dir):
+    return screens.interval_return(load_market(spark, sf_dir), 5, AS_OF)
