@@ -83,8 +83,8 @@ def extremes(
     ext = rows.withColumn(name, agg("close").over(w)).filter(F.col("close") == F.col(name))
     return ext.withColumns({
         "rank": F.row_number().over(
-            Window.partitionBy("code").orderBy(F.col("close").desc(), F.col("date").desc())),
-        "date_rank": F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())),
+            Window.partitionBy("code").orderBy(F.col("close").desc(), F.col("date").desc())).cast("bigint"),
+        "date_rank": F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())).cast("bigint"),
     })
 
 

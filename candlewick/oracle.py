@@ -309,5 +309,116 @@ def volume_trend_sql(start, end, volume_cnt, neg_pct, as_of) -> str:
       WHERE p_change < 9.9""")
 
 
+BAR_COLUMNS = ("code, date, open, high, close, low, volume, price_change, p_change, ma5, ma10, ma20, "
+               "v_ma5, v_ma10, v_ma20, turnover, ma30, ma60, ma120, ma250")
+
+
+def tick_to_bar_sql(day) -> str:
+    return with_base(
+        f"""tick AS (SELECT code, date, open, high, low, close AS price, close - price_change AS pre_close,
+                            volume * 100 AS volume FROM stocks WHERE date = {d(day)})""",
+        f"""hist AS (SELECT code, close, ma5, ma10, ma20,
+                            row_number() OVER (PARTITION BY code ORDER BY date DESC) AS rank
+                     FROM stocks WHERE date < {d(day)} AND date >= {d(day)} - 90)""",
+        """t AS (SELECT code, max(close) FILTER (WHERE rank = 5) AS price5,
+                        max(close) FILTER (WHERE rank = 10) AS price10,
+                        max(close) FILTER (WHERE rank = 20) AS price20,
+                        max(ma5) FILTER (WHERE rank = 1) AS ma5, max(ma10) FILTER (WHERE rank = 1) AS ma10,
+                        max(ma20) FILTER (WHERE rank = 1) AS ma20
+                 FROM hist GROUP BY code)""",
+        select="""
+      SELECT s.code, s.date, s.open, s.high, s.price AS close, s.low, s.volume / 100 AS volume,
+             s.price - s.pre_close AS price_change, ((s.price - s.pre_close) / s.pre_close) * 100 AS p_change,
+             t.ma5 + (s.price - t.price5) / 5 AS ma5, t.ma10 + (s.price - t.price10) / 10 AS ma10,
+             t.ma20 + (s.price - t.price20) / 20 AS ma20, CAST(0 AS DOUBLE) AS v_ma5, CAST(0 AS DOUBLE) AS v_ma10,
+             CAST(0 AS DOUBLE) AS v_ma20, CAST(0 AS DOUBLE) AS turnover
+      FROM tick s JOIN t ON s.code = t.code""")
+
+
+def top_groups_sql(k: int) -> str:
+    return (f"SELECT industry FROM gday WHERE date = (SELECT max(date) FROM gday) "
+            f"ORDER BY p_change DESC NULLS LAST, industry LIMIT {k}")
+
+
+def excess_return_sql(as_of, k: int = 20) -> str:
+    return with_base(*industry_by_day_ctes(as_of, 5, 30, 3), select=f"""
+      SELECT 'industry index' AS series, s.industry, s.date,
+             CAST(round((s.p_change - t.p_change) * 10000.0) AS BIGINT) / 10000.0 AS p_change
+      FROM gday s LEFT JOIN (SELECT date, p_change FROM bars
+                             WHERE code = 'sh' AND date >= (SELECT min(date) FROM gday)) t ON s.date = t.date
+      WHERE s.industry IN ({top_groups_sql(k)})""")
+
+
+def hot_industries_sql(as_of, k: int = 10) -> str:
+    return with_base(*industry_by_day_ctes(as_of, 5, 30, 3), select=f"""
+      SELECT 'industry index' AS series, industry, date, p_change FROM gday
+      WHERE industry IN ({top_groups_sql(k)})
+      UNION ALL
+      SELECT 'market index' AS series, 'market index' AS industry, date, p_change FROM bars
+      WHERE code = 'sh' AND date BETWEEN (SELECT min(date) FROM gday) AND (SELECT max(date) FROM gday)""")
+
+
+def _sma(n: int) -> str:
+    w = f"OVER (PARTITION BY code ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count(close) {w} = {n} THEN avg(close) {w} END AS sma{n}"
+
+
+def chart_series_sql(picks_select: str, since, until) -> str:
+    w = "OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+    return f"""
+      SELECT b.*, i.code || '-' || i.name || '-' || i.industry AS label
+      FROM (SELECT code, date, close, open, high, low, volume, {_sma(5)}, {_sma(10)}, {_sma(20)}, {_sma(30)},
+                   CASE WHEN count(close) {w} = 20 THEN avg(close) {w} END AS bb_mid,
+                   CASE WHEN count(close) {w} = 20 THEN avg(close) {w} + 2 * stddev_pop(close) {w} END AS bb_up,
+                   CASE WHEN count(close) {w} = 20 THEN avg(close) {w} - 2 * stddev_pop(close) {w} END AS bb_dn
+            FROM bars WHERE date BETWEEN {d(since)} AND {d(until)}
+              AND code IN ({picks_select})) b
+      JOIN info i ON b.code = i.code"""
+
+
+REPORT_HEADERS = {
+    "up_trend": "Trend breakout picks ({date})",
+    "callback": "Breakout pull-back picks ({date})",
+    "increase": "Continuous increase picks ({date})",
+    "up_all_mas": "Above all moving averages picks ({date})",
+}
+
+
+def report_lines_sql(as_of, up_trend: str, callback: str, increase: list[str], all_mas: list[str]) -> str:
+    """X18 over full pick statements (each a complete query)."""
+    pct6 = f"CAST({half_away('CAST(round(percent * 100 * 1000000.0) AS BIGINT)', '10000')} / 100.0 AS DOUBLE)"
+    ci = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in increase)
+    am = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in all_mas)
+    hdr = " ".join(f"WHEN '{r}' THEN '{h.format(date=as_of)}'" for r, h in REPORT_HEADERS.items())
+    return f"""
+    WITH ut AS ({up_trend}), cb AS ({callback}), ci AS ({ci}), am0 AS ({am}),
+    am AS (SELECT industry, name, code, p_change, n_days, min("interval") AS iv FROM am0
+           GROUP BY industry, name, code, p_change, n_days),
+    rw AS (
+      SELECT 'up_trend' AS report, industry, name, code, printf('%.2f%%', {pct6}) AS value,
+             row_number() OVER (ORDER BY percent DESC, code) AS rn FROM ut
+      UNION ALL
+      SELECT 'callback', industry, name, code, printf('%.2f%%', {pct6}),
+             row_number() OVER (ORDER BY percent DESC, code) FROM cb
+      UNION ALL
+      SELECT 'increase', industry, name, code,
+             array_to_string(list_transform(p_change, lambda x: printf('%.2f', x)), '%,') || '%',
+             row_number() OVER (ORDER BY n_days DESC, p_change[-1] DESC NULLS LAST, code) FROM ci
+      UNION ALL
+      SELECT 'up_all_mas', industry, name, code, printf('%.2f%%', {round2('p_change')}),
+             row_number() OVER (ORDER BY n_days DESC, iv ASC, p_change DESC, code) FROM am)
+    SELECT report, CAST(1 AS INTEGER) AS line_no, CASE report {hdr} END AS text FROM (SELECT DISTINCT report FROM rw)
+    UNION ALL
+    SELECT report, CAST(1 + (rn - 1) + least(rn - 1, 3) + 1 AS INTEGER),
+           '[' || industry || '][' || value || ']:$' || name || '('
+           || CASE WHEN code LIKE '6%' THEN 'SH' ELSE 'SZ' END || code || ')$'
+    FROM rw WHERE rn <= 3
+    UNION ALL
+    SELECT report, CAST(1 + (rn - 1) + least(rn - 1, 3) + 1 + CASE WHEN rn <= 3 THEN 1 ELSE 0 END AS INTEGER),
+           '[' || industry || '][' || value || ']:' || chr(9) || name || ' : https://xueqiu.com/S/'
+           || CASE WHEN code LIKE '6%' THEN 'SH' ELSE 'SZ' END || code
+    FROM rw"""
+
+
 def as_date(v) -> dt.date:
     return v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import ordered_list, top_k_lists
-from candlewick.functions.columns import avg_round_fixed, label, ratio_round
+from candlewick.functions.columns import avg_round_fixed, label, ratio_round, round_fixed
 from candlewick.operators.calendar import as_date, open_day
 from candlewick.plans.market import Market
 from candlewick.schema import CALENDAR_CODE
@@ -150,7 +150,7 @@ def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
     hot = by_day.join(top_groups_on_day(by_day, "industry", k), "industry", "left_semi")
     return hot.join(index, "date", "left").select(
         F.lit("industry index").alias("series"), "industry", "date",
-        F.round(F.col("p_change") - F.col("index_change"), 4).alias("p_change"),
+        round_fixed(F.col("p_change") - F.col("index_change"), 4, 4).alias("p_change"),
     )
 
 

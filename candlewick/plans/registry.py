@@ -7,9 +7,13 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick import oracle as O
-from candlewick.plans import groups, screens
+from candlewick.operators import bars as bar_ops
+from candlewick.operators import stats
+from candlewick.operators.windows import extremes
+from candlewick.plans import groups, publish, screens
 from candlewick.plans.market import load_market
 
 AS_OF = dt.date(2015, 11, 24)
@@ -144,3 +148,148 @@ def x10_21(spark, sf_dir):
 @register("x15_interval_return", O.interval_return_sql(5, AS_OF))
 def x15(spark, sf_dir):
     return screens.interval_return(load_market(spark, sf_dir), 5, AS_OF)
+
+
+# ------------------------------------------------- helper tables, windows
+@register("w01_bars_with_averages", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars"))
+def w01(spark, sf_dir):
+    return load_market(spark, sf_dir).bars
+
+
+@register("w03_peaks", O.with_base(select=O.extremes_sql("peak", O.d(TREND_START), O.d(AS_OF))))
+def w03(spark, sf_dir):
+    return extremes(load_market(spark, sf_dir).stocks, TREND_START, AS_OF, "peak")
+
+
+@register("w04_troughs", O.with_base(select=O.extremes_sql("trough", O.d(ASC_START), O.d(AS_OF))))
+def w04(spark, sf_dir):
+    return extremes(load_market(spark, sf_dir).stocks, ASC_START, AS_OF, "trough")
+
+
+@register("a01_min_max_day", O.with_base(select=(
+    "SELECT code, min(date) AS min_date, max(date) AS max_date, count(*) AS days FROM bars GROUP BY code")))
+def a01(spark, sf_dir):
+    return stats.min_max_day(load_market(spark, sf_dir).bars)
+
+
+@register("a02_day_count", O.with_base(select="SELECT code, count(*) AS num_days FROM bars GROUP BY code"))
+def a02(spark, sf_dir):
+    return stats.day_count(load_market(spark, sf_dir).bars)
+
+
+@register("a03_max_close_last_day", O.with_base(select=f"""
+    SELECT s.code, max(t.date) AS date, s.close
+    FROM (SELECT code, max(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+          GROUP BY code) s
+    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+    GROUP BY s.code, s.close"""))
+def a03(spark, sf_dir):
+    return stats.max_close_last_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
+
+
+@register("a04_max_close_first_day", O.with_base(select=f"""
+    SELECT s.code, min(t.date) AS date, s.close
+    FROM (SELECT code, max(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+          GROUP BY code) s
+    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+    GROUP BY s.code, s.close"""))
+def a04_max(spark, sf_dir):
+    return stats.max_close_first_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
+
+
+@register("a04_min_close_first_day", O.with_base(select=f"""
+    SELECT s.code, min(t.date) AS date, s.close
+    FROM (SELECT code, min(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+          GROUP BY code) s
+    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
+    GROUP BY s.code, s.close"""))
+def a04_min(spark, sf_dir):
+    return stats.min_close_first_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
+
+
+# ------------------------------------------------------ bar maintenance
+@register("x03_tick_to_bar", O.tick_to_bar_sql(AS_OF))
+def x03(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    return bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
+
+
+@register("w02_incremental_averages", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars WHERE date > {O.d(AS_OF)}"))
+def w02(spark, sf_dir):
+    """Property as a query: MA rows extended from a table stored up to the
+    as-of day equal the full rebuild (Q21)."""
+    m = load_market(spark, sf_dir)
+    stored = m.bars.filter(F.col("date") <= F.lit(AS_OF))
+    return bar_ops.extend_moving_averages(stored, m.bars)
+
+
+LOAD_FROM = dt.date(2015, 11, 10)
+
+
+@register("s02_incremental_load", O.with_base(select=f"""
+    SELECT {O.BAR_COLUMNS} FROM bars b
+    WHERE b.date >= {O.d(LOAD_FROM)}
+      AND b.date > coalesce((SELECT max(date) FROM bars s WHERE s.code = b.code AND s.date <= {O.d(AS_OF)}),
+                            DATE '1900-01-01')"""))
+def s02(spark, sf_dir):
+    """Stored: bars up to the as-of day; landed: bars since LOAD_FROM."""
+    m = load_market(spark, sf_dir)
+    stored = m.bars.filter(F.col("date") <= F.lit(AS_OF))
+    landed = m.bars.filter(F.col("date") >= F.lit(LOAD_FROM))
+    return bar_ops.incremental_rows(stored, landed)
+
+
+@register("s07_universe", O.with_base(select="""
+    SELECT DISTINCT code FROM (
+      SELECT code FROM info WHERE code IS NOT NULL AND length(code) = 6
+      UNION ALL SELECT unnest(['sh', 'sz', 'hs300', 'sz50', 'zxb', 'cyb']))"""))
+def s07(spark, sf_dir):
+    return bar_ops.universe(spark, load_market(spark, sf_dir).info)
+
+
+# ------------------------------------------------------ group charts
+@register("x16_excess_return", O.excess_return_sql(AS_OF, 20))
+def x16(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    return groups.excess_return(m, groups.industry_by_day(m, AS_OF, 5, 30, 3), k=20)
+
+
+@register("x17_hot_industries_with_index", O.hot_industries_sql(AS_OF, 10))
+def x17(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    return groups.hot_industries_with_index(m, groups.industry_by_day(m, AS_OF, 5, 30, 3), k=10)
+
+
+# ------------------------------------------------------ publishing
+@register("x18_report_lines", O.report_lines_sql(
+    AS_OF,
+    O.breakout_sql("peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"m.date = {O.d(AS_OF)}"),
+    ORACLE["x02_pull_back"],
+    [O.continuous_increase_sql(AS_OF, 1), O.continuous_increase_sql(AS_OF, 2)],
+    [O.above_all_averages_sql(AS_OF, 2, 1), O.above_all_averages_sql(AS_OF, 2, 2)]))
+def x18(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    rows = (
+        publish.breakout_report(screens.box_breakout(m, TREND_START, PRE_START, 0.1, 0.0, AS_OF), "up_trend")
+        .unionByName(publish.breakout_report(screens.pull_back(m, TREND_START, PRE_START, 0.1, 0.0, AS_OF),
+                                             "callback"))
+        .unionByName(publish.increase_report(screens.continuous_increase(m, AS_OF, 1)
+                                             .unionByName(screens.continuous_increase(m, AS_OF, 2))))
+        .unionByName(publish.all_mas_report(screens.above_all_averages(m, AS_OF, 2, 1)
+                                            .unionByName(screens.above_all_averages(m, AS_OF, 2, 2))))
+    )
+    return publish.report_lines(rows, AS_OF)
+
+
+@register("x19_chart_series", O.with_base(select=O.chart_series_sql(
+    f"SELECT code FROM ({O.ascending_sql(ASC_START, AS_OF)})", publish.CHART_START, AS_OF)))
+def x19(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    return publish.chart_series(m.bars, screens.ascending(m, ASC_START, AS_OF), m.info,
+                                until=AS_OF, bollinger=True)
+
+
+@register("x19_chart_rsi_macd")
+def x19_rec(spark, sf_dir):
+    m = load_market(spark, sf_dir)
+    return publish.chart_recursive(m.bars, screens.ascending(m, ASC_START, AS_OF), until=AS_OF)
