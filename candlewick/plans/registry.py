@@ -15,6 +15,7 @@ from candlewick.operators import stats
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, publish, screens
 from candlewick.plans.market import load_market
+from candlewick.streaming import quotes
 
 AS_OF = dt.date(2015, 11, 24)
 
@@ -293,3 +294,24 @@ def x19(spark, sf_dir):
 def x19_rec(spark, sf_dir):
     m = load_market(spark, sf_dir)
     return publish.chart_recursive(m.bars, screens.ascending(m, ASC_START, AS_OF), until=AS_OF)
+
+
+# ------------------------------------------------------ quote streams (batch form)
+@register("r06_daily_bars_from_quotes", """
+    SELECT CAST(user_id AS VARCHAR) AS code, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+           arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+           CAST(count(*) AS DOUBLE) AS volume, count(*) AS n_quotes
+    FROM events GROUP BY user_id, time_bucket(INTERVAL 1 DAY, ts)""")
+def r06(spark, sf_dir):
+    """R06 on a static frame: the same plan the stream runs, all windows."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return quotes.daily_bars(quotes.quotes_from_events(ev), watermark=None)
+
+
+@register("r03_latest_quote", """
+    SELECT CAST(user_id AS VARCHAR) AS code, max(ts) AS event_ts, arg_max(value, ts) AS price,
+           CAST(1 AS DOUBLE) AS volume
+    FROM events GROUP BY user_id""")
+def r03(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return quotes.latest(quotes.quotes_from_events(ev))
