@@ -48,6 +48,15 @@ def open_day(calendar: DataFrame, end, n: int) -> dt.date | None:
     return open_day_frame(calendar, end, n).first()["open_day"]
 
 
+def open_day_lookup(calendar: DataFrame, end, ns) -> dict[int, dt.date | None]:
+    """A07 for several n at once: one job that reads the last max(ns) open
+    days up to ``end`` (bounded by the parameter, not by the data)."""
+    ns = sorted(set(int(n) for n in ns))
+    last = [r["date"] for r in last_open_days(calendar, end, ns[-1]).collect()]
+    last.sort(reverse=True)
+    return {n: (last[min(n, len(last)) - 1] if last else None) for n in ns}
+
+
 def open_days(calendar: DataFrame, start, end) -> DataFrame:
     """Open days in [start, end]."""
     return calendar.filter(F.col("date").between(F.lit(start), F.lit(end)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import ordered_list, top_k_lists
 from candlewick.functions.columns import avg_round_fixed, label, ratio_round, round_fixed
-from candlewick.operators.calendar import as_date, open_day
+from candlewick.operators.calendar import as_date, open_day, open_day_lookup
 from candlewick.plans.market import Market
 from candlewick.schema import CALENDAR_CODE
 
@@ -67,8 +67,8 @@ def industry_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n
     ignore_n_days limit-up bars within the last ignore_n_days open days are
     left out."""
     as_of = as_date(as_of)
-    start = open_day(m.calendar, as_of, n_days)
-    ign = open_day(m.calendar, as_of, ignore_n_days)
+    days = open_day_lookup(m.calendar, as_of, [n_days, ignore_n_days])
+    start, ign = days[n_days], days[ignore_n_days]
     excluded = limit_up_codes(m.bars, ign, as_of, ignore_n_days)
     return group_by_day(m.stocks, m.info, "industry", start, as_of, top_n, excluded, as_of)
 
