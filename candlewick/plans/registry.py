@@ -15,6 +15,7 @@ from candlewick.operators import stats
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, pipeline, publish, screens
 from candlewick.plans.market import load_market
+from candlewick.sources import tables
 from candlewick.streaming import quotes
 
 AS_OF = dt.date(2015, 11, 24)
@@ -335,3 +336,18 @@ def x20(spark, sf_dir):
     after = pipeline.refresh_bars(stored_bars, landed)
     ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed))
     return ma.filter(F.col("date") >= F.lit(AS_OF))
+
+
+# ------------------------------------------------------ parameterised SQL scan
+@register("s01_sql_scan", O.with_base(select=f"""
+    SELECT d.code, d.date, d.close, i.industry FROM stocks d JOIN info i ON d.code = i.code
+    WHERE d.date BETWEEN {O.d(TREND_START)} AND {O.d(AS_OF)} AND d.p_change > 4.0"""))
+def s01(spark, sf_dir):
+    """SQL text over the market views with bound parameters."""
+    m = load_market(spark, sf_dir)
+    tables.register_views(m, prefix="cw_")
+    return tables.sql_scan(
+        spark,
+        "SELECT d.code, d.date, d.close, i.industry FROM cw_stock_daily d JOIN cw_stock_info i ON d.code = i.code "
+        "WHERE d.date BETWEEN :start AND :end AND d.p_change > :min_change",
+        start=TREND_START, end=AS_OF, min_change=4.0)

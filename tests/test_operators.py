@@ -264,3 +264,21 @@ def test_x03_tick_needs_k_bars(spark):
     # ma5 of days 2..6 = 14; rolling update drops close of rank 5 (day 2 = 12)
     assert r.ma5 == pytest.approx(14 + (17 - 12) / 5)
     assert r.ma10 is None and r.volume == 5.0 and r.p_change == pytest.approx(100 / 16)
+
+
+def test_s04_index_ids_renamed(spark):
+    landed = spark.createDataFrame([("000001", day(0), 1.0), ("399006", day(0), 2.0), ("999999", day(0), 3.0)],
+                                   "code string, date date, close double")
+    got = rows(B.rename_index_ids(spark, landed), "code", "close")
+    assert got == [("cyb", 2.0), ("sh", 1.0)]
+
+
+def test_k05_delete_newest_day(spark):
+    b = bars_df(spark, {"600001": [1, 2, 3]})
+    assert rows(B.delete_day(b, day(2)), "date") == [(day(0),), (day(1),)]
+
+
+def test_s03_high_water_mark(spark):
+    b = bars_df(spark, {"600001": [1, 2, 3]})
+    r = B.high_water_mark(b).first()
+    assert (r.hwm, r.start_day) == (day(2), day(3))

@@ -119,3 +119,21 @@ def test_r01_event_time(spark):
     df = spark.createDataFrame([("2015-11-24", "15:00:00")], "date string, time string")
     ts = df.select(Q.event_time().alias("t")).first().t
     assert (ts.hour, ts.minute) == (15, 0)
+
+
+def test_r05_stream_snapshot_to_provisional_bar_equals_batch(spark, tmp_dir):
+    from candlewick.operators import bars as B
+    m = market(spark, {"600001": [float(10 + i % 5 + i) for i in range(40)],
+                       "000002": [float(50 - i % 3) for i in range(40)], "sh": [1.0] * 40})
+    snap_day = day(39)
+    ticks = B.ticks_from_bars(m.bars, snap_day)
+    batch = B.tick_to_bar(ticks, m.stocks, snap_day)
+    quotes_df = ticks.withColumn("event_ts", Q.event_time())
+    src = f"{tmp_dir}/ticks"
+    quotes_df.write.parquet(src)
+    st = Q.read_stream(spark, src, quotes_df.schema)
+    q = Q.start_quote_pipeline(st, f"{tmp_dir}/out", f"{tmp_dir}/ck", history_bars=m.stocks, as_of=snap_day)
+    q.awaitTermination(180)
+    prov = spark.read.parquet(f"{tmp_dir}/out/provisional").drop("batch_id")
+    assert prov.count() == 2
+    assert prov.select(*batch.columns).exceptAll(batch).count() == 0
