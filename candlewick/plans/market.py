@@ -78,24 +78,60 @@ def _stored(spark: SparkSession, path: str, build, writer) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Market:
-    """Bars, info, concept and calendar for the driver tables in ``sf_dir``."""
+def _bucketed(spark: SparkSession, name: str, path: str, build, buckets: int, sort_cols) -> DataFrame:
+    """A table bucketed by code (``buckets`` files, each sorted by
+    ``sort_cols``) registered in the session catalog over ``path``.
+
+    Windows, aggregates and joins keyed by code then run without an
+    Exchange; date predicates still reach the scan. A later session finds
+    the files and only registers the table again.
+    """
+    sort_sql = ", ".join(sort_cols)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df = build()
+        (df.repartition(buckets, "code").write.mode("overwrite").bucketBy(buckets, "code")
+         .sortBy(*sort_cols).option("path", path).saveAsTable(name))
+    elif not spark.catalog.tableExists(name):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (code) SORTED BY ({sort_sql}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None) -> Market:
+    """Bars, info, concept and calendar for the driver tables in ``sf_dir``.
+
+    ``layout``: ``"bucketed"`` (default; tables bucketed by code, the
+    bucket count taken from ``spark.sql.shuffle.partitions``) or ``"files"``
+    (plain Parquet folders). Override with ``CANDLEWICK_LAYOUT``.
+    """
     if not materialize:
         info = fixtures.info(spark, sf_dir)
         return market_from_frames(fixtures.bars(spark, sf_dir), info, fixtures.concept(spark, sf_dir, info))
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir))
+    layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
+    key = (id(spark.sparkContext), os.path.abspath(sf_dir), layout)
     with _LOCK:
         m = _CACHE.get(key)
         if m is not None:
             return m
-        root = f"{shared_dir(spark)}/candlewick-tables/{_fingerprint(sf_dir)}"
-        bars = _stored(
-            spark, f"{root}/bars", lambda: fixtures.bars(spark, sf_dir),
-            lambda df: df.sortWithinPartitions("date", "code").write,
-        )
-        info = _stored(spark, f"{root}/info", lambda: fixtures.info(spark, sf_dir), lambda df: df.write)
-        concept = _stored(
-            spark, f"{root}/concept", lambda: fixtures.concept(spark, sf_dir, info), lambda df: df.write)
+        fp = _fingerprint(sf_dir)
+        root = f"{shared_dir(spark)}/candlewick-tables/{fp}"
+        if layout == "bucketed":
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            bars = _bucketed(spark, f"cw_bars_{fp}_{n}", f"{root}/bars-b{n}", lambda: fixtures.bars(spark, sf_dir),
+                             n, ("date", "code"))
+            info = _bucketed(spark, f"cw_info_{fp}_{n}", f"{root}/info-b{n}", lambda: fixtures.info(spark, sf_dir),
+                             n, ("code",))
+            concept = _bucketed(spark, f"cw_concept_{fp}_{n}", f"{root}/concept-b{n}",
+                                lambda: fixtures.concept(spark, sf_dir, info), n, ("code",))
+        else:
+            bars = _stored(
+                spark, f"{root}/bars", lambda: fixtures.bars(spark, sf_dir),
+                lambda df: df.sortWithinPartitions("date", "code").write,
+            )
+            info = _stored(spark, f"{root}/info", lambda: fixtures.info(spark, sf_dir), lambda df: df.write)
+            concept = _stored(
+                spark, f"{root}/concept", lambda: fixtures.concept(spark, sf_dir, info), lambda df: df.write)
         cal = _stored(
             spark, f"{root}/calendar", lambda: calendar_of(bars),
             lambda df: df.coalesce(1).sortWithinPartitions("date").write)

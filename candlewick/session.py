@@ -50,15 +50,18 @@ def shared_dir(spark: SparkSession) -> str:
     system temp directory is created and registered as checkpoint dir.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir()
-    if not path:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            path = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
-    # the context appends a random sub folder; keep our tables next to it
-    return path.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        # the context adds a per-application sub folder; tables go next to it
+        return current.rstrip("/").rsplit("/", 1)[0]
+    root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
+    sc.setCheckpointDir(root)
+    return root
 
 
 def _is_local(path: str) -> bool:
