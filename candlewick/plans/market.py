@@ -24,7 +24,7 @@ from candlewick.schema import BAR_BASE_COLS, CALENDAR_CODE
 from candlewick.session import path_exists, shared_dir
 from candlewick.sources import fixtures
 
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 
 
 @dataclass
@@ -98,6 +98,11 @@ def _bucketed(spark: SparkSession, name: str, path: str, build, buckets: int, so
     return spark.table(name)
 
 
+def work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder in the shared folder for intermediate tables of one job."""
+    return f"{shared_dir(spark)}/candlewick-work/{_fingerprint(sf_dir)}/{name}"
+
+
 def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None) -> Market:
     """Bars, info, concept and calendar for the driver tables in ``sf_dir``.
 

@@ -20,10 +20,12 @@ from candlewick.operators.bars import KEY, extend_moving_averages, merge_provisi
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS
 
 
-def refresh_bars(stored: DataFrame, landed: DataFrame, provisional: DataFrame | None = None) -> DataFrame:
+def refresh_bars(stored: DataFrame, landed: DataFrame | None, provisional: DataFrame | None = None) -> DataFrame:
     """stock_daily after the run: landed (final) rows upserted, then
     provisional rows where no final bar exists."""
-    out = upsert(stored.select(*BAR_BASE_COLS), landed.select(*BAR_BASE_COLS), BAR_BASE_COLS)
+    out = stored.select(*BAR_BASE_COLS)
+    if landed is not None:
+        out = upsert(out, landed.select(*BAR_BASE_COLS), BAR_BASE_COLS)
     if provisional is not None:
         out = merge_provisional(out, provisional.select(*BAR_BASE_COLS), BAR_BASE_COLS)
     return out

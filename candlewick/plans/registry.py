@@ -14,7 +14,7 @@ from candlewick.operators import bars as bar_ops
 from candlewick.operators import stats
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, pipeline, publish, screens
-from candlewick.plans.market import load_market
+from candlewick.plans.market import load_market, work_dir
 from candlewick.sources import tables
 from candlewick.streaming import quotes
 
@@ -328,10 +328,11 @@ def x20(spark, sf_dir):
     m = load_market(spark, sf_dir)
     before = m.bars.filter(F.col("date") < F.lit(AS_OF))
     prov = bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
-    # the stored tables of a real run are files: checkpoint them (reliable,
-    # in spark.checkpoint.dir) instead of recomputing them inside the plan
-    stored_bars = pipeline.refresh_bars(before, before.limit(0), prov).checkpoint()
-    stored_ma = before.unionByName(bar_ops.extend_moving_averages(before, stored_bars)).checkpoint()
+    # the stored tables of a real run are files: write them to the shared
+    # folder (cuts the lineage, computed once) instead of nesting their plans
+    root = work_dir(spark, sf_dir, f"x20-{AS_OF}")
+    stored_bars = tables.store(pipeline.refresh_bars(before, None, prov), f"{root}/bars")
+    stored_ma = tables.store(before.unionByName(bar_ops.extend_moving_averages(before, stored_bars)), f"{root}/ma")
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
     ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed))
