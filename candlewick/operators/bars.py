@@ -101,14 +101,16 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:
     new = bars.select(*BAR_BASE_COLS).join(hwm, "code", "left").filter(
         F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
     first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
+    # the tail only feeds the averages: read 4 columns of the history, not all
     tail = (
-        bars.select(*BAR_BASE_COLS).join(first_new, "code")
+        bars.select("code", "date", "close", "volume").join(first_new, "code")
         .filter(F.col("date") < F.col("first_new"))
         .withColumn("_rn", F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())))
         .filter(F.col("_rn") <= tail_len)
         .drop("_rn", "first_new")
     )
-    base = tail.withColumn("_new", F.lit(False)).unionByName(new.drop("hwm").withColumn("_new", F.lit(True)))
+    base = tail.withColumn("_new", F.lit(False)).unionByName(
+        new.drop("hwm").withColumn("_new", F.lit(True)), allowMissingColumns=True)
     ma = with_moving_averages(base.drop("ma5", "ma10", "ma20", "v_ma5", "v_ma10", "v_ma20"))
     return ma.filter("_new").select(*BAR_COLS)
 

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import join_percent, last
 from candlewick.functions.columns import chart_label, exchange_of, quote_link, round_fixed
 from candlewick.operators.indicators import recursive_indicators, with_bollinger, with_sma
+from candlewick.operators.ranking import global_row_number
 
 
 def slice_path(root: str, **keys) -> str:
@@ -50,11 +51,11 @@ LINKED = 3
 
 
 def report_rows(picks: DataFrame, report: str, value_text, order: list) -> DataFrame:
-    """Rows (report, industry, name, code, value, rn) in report order."""
-    w = Window.partitionBy(F.lit(report)).orderBy(*order)
-    return picks.select(
-        F.lit(report).alias("report"), "industry", "name", "code", value_text.alias("value"),
-        F.row_number().over(w).alias("rn"))
+    """Rows (report, industry, name, code, value, rn) in report order; the
+    numbering is distributed (no single-task window over all picks)."""
+    numbered = global_row_number(picks, order)
+    return numbered.select(
+        F.lit(report).alias("report"), "industry", "name", "code", value_text.alias("value"), "rn")
 
 
 def report_lines(rows: DataFrame, as_of) -> DataFrame:
