@@ -39,6 +39,16 @@ def group_by_day(
     as_of,
 ) -> DataFrame:
     """X11/X13 core: members(code, name, <group_col>) x bars in [start, end]."""
+    stats, top = group_by_day_parts(bars, members, group_col, start, end, top_n, excluded)
+    keys = ["date", group_col]
+    return stats.join(top, keys).select(
+        group_col, "date", "p_change", "positive_stock_ratio", "top_n_stock", "top_n_change",
+        F.lit(as_date(as_of)).alias("update_date"),
+    )
+
+
+def group_by_day_parts(bars, members, group_col, start, end, top_n, excluded) -> tuple[DataFrame, DataFrame]:
+    """(statistics per (date, group), top-n lists per (date, group))."""
     rows = (
         bars.filter(F.col("date").between(F.lit(start), F.lit(end)))
         .select("code", "date", "p_change")
@@ -56,10 +66,20 @@ def group_by_day(
         rows, keys, [F.col("p_change").desc_nulls_last(), F.col("code").asc()], top_n,
         {"top_n_stock": label(), "top_n_change": F.col("p_change")},
     )
-    return stats.join(top, keys).select(
-        group_col, "date", "p_change", "positive_stock_ratio", "top_n_stock", "top_n_change",
-        F.lit(as_date(as_of)).alias("update_date"),
-    )
+    return stats, top
+
+
+def _industry_args(m: Market, as_of, top_n: int, n_days: int, ignore_n_days: int, extra_days=()):
+    days = open_day_lookup(m.calendar, as_of, [n_days, ignore_n_days, *extra_days])
+    excluded = limit_up_codes(m.bars, days[ignore_n_days], as_of, ignore_n_days)
+    return (m.stocks, m.info, "industry", days[n_days], as_of, top_n, excluded), days
+
+
+def _concept_args(m: Market, as_of, top_n: int, n_days: int, limit_up_days: int):
+    start = open_day(m.calendar, as_of, n_days)
+    excluded = limit_up_codes(m.bars, start, as_of, limit_up_days)
+    members = m.concept.select("code", "name", F.col("c_name").alias("concept"))
+    return (m.stocks, members, "concept", start, as_of, top_n, excluded)
 
 
 def industry_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
@@ -67,10 +87,15 @@ def industry_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n
     ignore_n_days limit-up bars within the last ignore_n_days open days are
     left out."""
     as_of = as_date(as_of)
-    days = open_day_lookup(m.calendar, as_of, [n_days, ignore_n_days])
-    start, ign = days[n_days], days[ignore_n_days]
-    excluded = limit_up_codes(m.bars, ign, as_of, ignore_n_days)
-    return group_by_day(m.stocks, m.info, "industry", start, as_of, top_n, excluded, as_of)
+    args, _ = _industry_args(m, as_of, top_n, n_days, ignore_n_days)
+    return group_by_day(*args, as_of)
+
+
+def industry_stats_by_day(m: Market, as_of, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
+    """X11's statistics half: (industry, date, p_change, positive_stock_ratio)."""
+    as_of = as_date(as_of)
+    args, _ = _industry_args(m, as_of, 1, n_days, ignore_n_days)
+    return group_by_day_parts(*args)[0]
 
 
 def concept_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
@@ -78,54 +103,57 @@ def concept_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_
     limit-up bars in the whole window are left out. ``top_n`` is honoured
     (Q14), default 5."""
     as_of = as_date(as_of)
-    start = open_day(m.calendar, as_of, n_days)
-    excluded = limit_up_codes(m.bars, start, as_of, limit_up_days)
-    members = m.concept.select("code", "name", F.col("c_name").alias("concept"))
-    return group_by_day(m.stocks, members, "concept", start, as_of, top_n, excluded, as_of)
+    return group_by_day(*_concept_args(m, as_of, top_n, n_days, limit_up_days), as_of)
 
 
 def group_summary(
-    by_day: DataFrame, group_col: str, top_n: int, label_start=None, label_end=None
+    by_day: DataFrame, group_col: str, top_n: int, label_start=None, label_end=None,
+    top: DataFrame | None = None, as_of=None,
 ) -> DataFrame:
     """Per group, change and ratio arrays by date desc, and the
     top_n most mentioned labels (``label+count``, count desc then label) of
     the days in [label_start, label_end]. ``by_day`` holds this run only (Q13).
+
+    ``by_day`` needs the statistics columns; the labels are taken from
+    ``top`` when given (the top-n half of X11/X13), else from ``by_day``.
     """
-    series = by_day.groupBy(group_col).agg(
+    aggs = [
         ordered_list("p_change", "date", descending=True).alias("p_change"),
         ordered_list("positive_stock_ratio", "date", descending=True).alias("positive_stock_ratio"),
-        F.max("update_date").alias("update_date"),
-    )
-    days = by_day
+    ]
+    if as_of is None:
+        aggs.append(F.max("update_date").alias("update_date"))
+    series = by_day.groupBy(group_col).agg(*aggs)
+    days = by_day if top is None else top
     if label_start is not None:
         days = days.filter(F.col("date").between(F.lit(label_start), F.lit(label_end)))
     mentions = (
         days.select(group_col, F.explode("top_n_stock").alias("stock"))
         .groupBy(group_col, "stock").agg(F.count(F.lit(1)).alias("stock_cnt"))
     )
-    top = top_k_lists(
+    mentions_top = top_k_lists(
         mentions, [group_col], [F.col("stock_cnt").desc(), F.col("stock").asc()], top_n,
         {"top_n_stock": F.concat(F.col("stock"), F.lit("+"), F.col("stock_cnt").cast("string"))},
     )
-    return series.join(top, group_col).select(
-        group_col, "p_change", "positive_stock_ratio", "top_n_stock", "update_date")
+    return series.join(mentions_top, group_col).select(
+        group_col, "p_change", "positive_stock_ratio", "top_n_stock",
+        F.lit(as_date(as_of)).alias("update_date") if as_of is not None else F.col("update_date"))
 
 
-def industry_summary(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3,
-                     by_day: DataFrame | None = None) -> DataFrame:
-    """Labels counted over the last top_n open days."""
+def industry_summary(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
+    """Labels counted over the last top_n open days. Statistics and
+    top-n lists of X11 are each computed once."""
     as_of = as_date(as_of)
-    if by_day is None:
-        by_day = industry_by_day(m, as_of, top_n, n_days, ignore_n_days)
-    return group_summary(by_day, "industry", top_n, open_day(m.calendar, as_of, top_n), as_of)
+    args, days = _industry_args(m, as_of, top_n, n_days, ignore_n_days, extra_days=(top_n,))
+    stats, top = group_by_day_parts(*args)
+    return group_summary(stats, "industry", top_n, days[top_n], as_of, top=top, as_of=as_of)
 
 
-def concept_summary(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2,
-                    by_day: DataFrame | None = None) -> DataFrame:
+def concept_summary(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
     """Labels counted over all days of this run."""
-    if by_day is None:
-        by_day = concept_by_day(m, as_of, top_n, n_days, limit_up_days)
-    return group_summary(by_day, "concept", top_n)
+    as_of = as_date(as_of)
+    stats, top = group_by_day_parts(*_concept_args(m, as_of, top_n, n_days, limit_up_days))
+    return group_summary(stats, "concept", top_n, top=top, as_of=as_of)
 
 
 def top_groups_on_day(by_day: DataFrame, group_col: str, k: int) -> DataFrame:

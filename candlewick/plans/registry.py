@@ -253,13 +253,13 @@ def s07(spark, sf_dir):
 @register("x16_excess_return", O.excess_return_sql(AS_OF, 20))
 def x16(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return groups.excess_return(m, groups.industry_by_day(m, AS_OF, 5, 30, 3), k=20)
+    return groups.excess_return(m, groups.industry_stats_by_day(m, AS_OF, 30, 3), k=20)
 
 
 @register("x17_hot_industries_with_index", O.hot_industries_sql(AS_OF, 10))
 def x17(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return groups.hot_industries_with_index(m, groups.industry_by_day(m, AS_OF, 5, 30, 3), k=10)
+    return groups.hot_industries_with_index(m, groups.industry_stats_by_day(m, AS_OF, 30, 3), k=10)
 
 
 # ------------------------------------------------------ publishing
