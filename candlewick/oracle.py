@@ -369,8 +369,10 @@ def chart_series_sql(picks_select: str, since, until) -> str:
       SELECT b.*, i.code || '-' || i.name || '-' || i.industry AS label
       FROM (SELECT code, date, close, open, high, low, volume, {_sma(5)}, {_sma(10)}, {_sma(20)}, {_sma(30)},
                    CASE WHEN count(close) {w} = 20 THEN avg(close) {w} END AS bb_mid,
-                   CASE WHEN count(close) {w} = 20 THEN avg(close) {w} + 2 * stddev_pop(close) {w} END AS bb_up,
-                   CASE WHEN count(close) {w} = 20 THEN avg(close) {w} - 2 * stddev_pop(close) {w} END AS bb_dn
+                   CASE WHEN count(close) {w} = 20
+                        THEN round((avg(close) {w} + 2 * stddev_pop(close) {w}) * 1000000.0) / 1000000.0 END AS bb_up,
+                   CASE WHEN count(close) {w} = 20
+                        THEN round((avg(close) {w} - 2 * stddev_pop(close) {w}) * 1000000.0) / 1000000.0 END AS bb_dn
             FROM bars WHERE date BETWEEN {d(since)} AND {d(until)}
               AND code IN ({picks_select})) b
       JOIN info i ON b.code = i.code"""

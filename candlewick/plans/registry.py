@@ -287,8 +287,9 @@ def x18(spark, sf_dir):
     f"SELECT code FROM ({O.ascending_sql(ASC_START, AS_OF)})", publish.CHART_START, AS_OF)))
 def x19(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return publish.chart_series(m.bars, screens.ascending(m, ASC_START, AS_OF), m.info,
-                                until=AS_OF, bollinger=True)
+    s = publish.chart_series(m.bars, screens.ascending(m, ASC_START, AS_OF), m.info, until=AS_OF, bollinger=True)
+    # band values to 1e-6: standard deviations differ in the last bits between engines
+    return s.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in ("bb_up", "bb_dn")})
 
 
 @register("x19_chart_rsi_macd")
