@@ -282,3 +282,52 @@ def test_s03_high_water_mark(spark):
     b = bars_df(spark, {"600001": [1, 2, 3]})
     r = B.high_water_mark(b).first()
     assert (r.hwm, r.start_day) == (day(2), day(3))
+
+
+# ---------------------------------------------------------------- more §2.12 decisions
+def test_q03_q18_volume_trend_uses_calendar_and_next_open_day(spark):
+    # calendar has a gap after day 4: the forward day must be day 6, not day 5
+    closes = [10, 9, 10, 9, 10, 99, 10.5, 11]
+    m = market(spark, {"600001": closes, "sh": [1] * 8}, gaps={"sh": {5}, "600001": {5}})
+    out = screens.volume_trend(m, day(0), day(4), 5, 10.0, day(7)).first()
+    # min_close = close on day 6 (10.5, +5 %), max_close = high on day 7 (11 + 1)
+    assert out.ratio == pytest.approx((12 - 10.5) / 10.5)
+
+
+def test_q09_report_sorts_numbers_not_text(spark):
+    from candlewick.plans import publish as P
+    rows_ = spark.createDataFrame(
+        [("I", "A", "600001", 9.0, 2, 1), ("I", "B", "600002", 10.0, 2, 1), ("I", "B", "600002", 10.0, 2, 2)],
+        "industry string, name string, code string, p_change double, n_days int, interval int")
+    got = P.all_mas_report(rows_).orderBy("rn").collect()
+    assert [r.code for r in got] == ["600002", "600001"]     # A22: one row per pick
+    assert got[0].value == "10.00%"
+
+
+def test_q13_q14_summary_of_this_run_and_top_n(spark):
+    s = {f"60000{i}": [10 + (i * j) % 7 for j in range(12)] for i in range(1, 8)}
+    s["sh"] = [1] * 12
+    m = market(spark, s)
+    by_day = groups.concept_by_day(m, day(11), top_n=3, n_days=4, limit_up_days=2)
+    assert max(len(r.top_n_stock) for r in by_day.collect()) == 3
+    summ = groups.concept_summary(m, day(11), top_n=3, n_days=4, limit_up_days=2).first()
+    assert len(summ.p_change) == 4 and len(summ.top_n_stock) <= 3
+
+
+def test_q16_first_kept_day_and_q22_update_date(spark):
+    # p_change: +7 % (dropped by the [-3, 5] filter), then -1 %, +2 %, +1.5 %
+    closes = [100, 107, 105.93, 108.0486, 109.669329]
+    m = market(spark, {"600001": closes, "sh": [1] * 5})
+    out = screens.continuous_increase(m, day(4), 2).collect()
+    assert len(out) == 0 or out[0].update_date == day(4)
+    m2 = market(spark, {"600001": closes[1:], "sh": [1] * 4}, start=1)
+    assert all(r.update_date == day(4) for r in screens.continuous_increase(m2, day(4), 1).collect())
+
+
+def test_q23_q24_report_values(spark):
+    from candlewick.plans import publish as P
+    picks = spark.createDataFrame([("I", "A", "600001", 0.05)], "industry string, name string, code string, percent double")
+    assert P.breakout_report(picks, "up_trend").first().value == "5.00%"
+    cont = spark.createDataFrame([("I", "A", "600001", [1.0, 2.5], 2)],
+                                 "industry string, name string, code string, p_change array<double>, n_days int")
+    assert P.increase_report(cont).first().value == "1.00%,2.50%"
