@@ -12,10 +12,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "rn", partitions: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[Column], name: str = "rn", partitions: int | None = None,
+                      stage_path: str | None = None) -> DataFrame:
     """``df`` with ``name`` = 1-based position in ``order`` (ties broken by
-    the order columns only: give a unique key last)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    the order columns only: give a unique key last).
+
+    Numbering needs two passes (partition sizes, then numbers). With
+    ``stage_path`` the input is first written there, so its plan runs once
+    and both passes read the stored rows.
+    """
+    spark = df.sparkSession
+    if stage_path is not None:
+        df.write.mode("overwrite").parquet(stage_path)
+        df = spark.read.parquet(stage_path)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = parts.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     sizes = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

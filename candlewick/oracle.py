@@ -409,7 +409,8 @@ def report_lines_sql(as_of, up_trend: str, callback: str, increase: list[str], a
       UNION ALL
       SELECT 'up_all_mas', industry, name, code, printf('%.2f%%', {round2('p_change')}),
              row_number() OVER (ORDER BY n_days DESC, iv ASC, p_change DESC, code) FROM am)
-    SELECT report, CAST(1 AS INTEGER) AS line_no, CASE report {hdr} END AS text FROM (SELECT DISTINCT report FROM rw)
+    SELECT report, CAST(1 AS INTEGER) AS line_no, CASE report {hdr} END AS text
+    FROM (VALUES ('up_trend'), ('callback'), ('increase'), ('up_all_mas')) h(report)
     UNION ALL
     SELECT report, CAST(1 + (rn - 1) + least(rn - 1, 3) + 1 AS INTEGER),
            '[' || industry || '][' || value || ']:$' || name || '('

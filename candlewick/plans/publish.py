@@ -10,14 +10,16 @@ overwrite would leave them, since an empty frame names no partition).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import join_percent, last
 from candlewick.functions.columns import chart_label, exchange_of, quote_link, round_fixed
 from candlewick.operators.indicators import recursive_indicators, with_bollinger, with_sma
 from candlewick.operators.ranking import global_row_number
+from candlewick.session import shared_dir
 
 
 def slice_path(root: str, **keys) -> str:
@@ -50,41 +52,59 @@ HEADERS = {
 LINKED = 3
 
 
-def report_rows(picks: DataFrame, report: str, value_text, order: list) -> DataFrame:
-    """Rows (report, industry, name, code, value, rn) in report order; the
-    numbering is distributed (no single-task window over all picks)."""
-    numbered = global_row_number(picks, order)
-    return numbered.select(
-        F.lit(report).alias("report"), "industry", "name", "code", value_text.alias("value"), "rn")
+def report_rows(picks: DataFrame, report: str, value_text: Column, keys: dict, order: list,
+                stage_root: str | None = None) -> DataFrame:
+    """Rows (report, industry, name, code, value, rn) in report order.
 
+    ``keys`` are the sort-key values (name -> Column) and ``order`` the sort
+    over those names (and ``code``). The numbering is distributed (no
+    single-task window over all picks); the picks are staged once under
+    ``stage_root`` (default: the shared folder) so their plan runs once.
+    """
+    spark = picks.sparkSession
+    root = stage_root or f"{shared_dir(spark)}/candlewick-work/reports"
+    rows = picks.select("industry", "name", "code", value_text.alias("value"),
+                        *[v.alias(k) for k, v in keys.items()])
+    numbered = global_row_number(rows, order, stage_path=f"{root}/{report}-{uuid.uuid4().hex}")
+    return numbered.select(F.lit(report).alias("report"), "industry", "name", "code", "value", "rn")
 
-def report_lines(rows: DataFrame, as_of) -> DataFrame:
-    """Header line, then per pick one line; the first three picks
-    get an extra line before it. Out: report, line_no, text."""
+
+def report_lines(rows: DataFrame, as_of, reports=None) -> DataFrame:
+    """A header line per report (also without picks), then per pick
+    one line; the first three picks get an extra line before it. One pass
+    over the picks. Out: report, line_no, text."""
     prefix = F.concat(F.lit("["), F.col("industry"), F.lit("]["), F.col("value"), F.lit("]:"))
     short = F.concat(prefix, F.lit("$"), F.col("name"), F.lit("("), exchange_of(), F.col("code"), F.lit(")$"))
     full = F.concat(prefix, F.lit("\t"), F.col("name"), F.lit(" : "), quote_link())
-    # before pick rn: header (1) + (rn-1) picks + min(rn-1, 3) extra lines
+    # lines before pick rn: header (1) + (rn-1) picks + min(rn-1, 3) extra lines
     base = F.lit(1) + (F.col("rn") - 1) + F.least(F.col("rn") - 1, F.lit(LINKED))
-    extra = rows.filter(F.col("rn") <= LINKED).select("report", (base + 1).alias("line_no"), short.alias("text"))
-    main = rows.select(
-        "report", (base + 1 + F.when(F.col("rn") <= LINKED, 1).otherwise(0)).alias("line_no"), full.alias("text"))
-    header_text = F.coalesce(*[F.when(F.col("report") == r, F.lit(h.format(date=as_of))) for r, h in HEADERS.items()],
-                             F.col("report"))
-    headers = rows.select("report").distinct().select("report", F.lit(1).alias("line_no"), header_text.alias("text"))
-    return headers.unionByName(extra).unionByName(main)
+    linked = F.col("rn") <= LINKED
+    lines = F.filter(
+        F.array(
+            F.when(linked, F.struct((base + 1).alias("line_no"), short.alias("text"))),
+            F.struct((base + 1 + F.when(linked, 1).otherwise(0)).alias("line_no"), full.alias("text")),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    body = rows.select("report", F.explode(lines).alias("l")).select("report", "l.line_no", "l.text")
+    names = list(reports or HEADERS)
+    spark = rows.sparkSession
+    headers = spark.createDataFrame(
+        [(r, 1, HEADERS.get(r, r).format(date=as_of)) for r in names], "report string, line_no int, text string")
+    return headers.unionByName(body)
 
 
 def breakout_report(picks: DataFrame, report: str) -> DataFrame:
     """Rows of the up_trend / callback reports: percent printed x 100 (Q23)."""
     text = F.format_string("%.2f%%", round_fixed(F.col("percent") * 100, 2, 6))
-    return report_rows(picks, report, text, [F.col("percent").desc(), F.col("code")])
+    return report_rows(picks, report, text, {"k_pct": F.col("percent")}, [F.col("k_pct").desc(), F.col("code")])
 
 
 def increase_report(cont: DataFrame) -> DataFrame:
     """Rows of the continuous-increase report: n_days desc, last change desc."""
     return report_rows(cont, "increase", join_percent("p_change"),
-                       [F.col("n_days").desc(), last("p_change").desc_nulls_last(), F.col("code")])
+                       {"k_days": F.col("n_days"), "k_last": last("p_change")},
+                       [F.col("k_days").desc(), F.col("k_last").desc_nulls_last(), F.col("code")])
 
 
 def all_mas_report(rows: DataFrame) -> DataFrame:
@@ -93,7 +113,8 @@ def all_mas_report(rows: DataFrame) -> DataFrame:
     dedup = rows.groupBy("industry", "name", "code", "p_change", "n_days").agg(F.min("interval").alias("interval"))
     text = F.format_string("%.2f%%", round_fixed("p_change"))
     return report_rows(dedup, "up_all_mas", text,
-                       [F.col("n_days").desc(), F.col("interval").asc(), F.col("p_change").desc(), F.col("code")])
+                       {"k_days": F.col("n_days"), "k_iv": F.col("interval"), "k_chg": F.col("p_change")},
+                       [F.col("k_days").desc(), F.col("k_iv").asc(), F.col("k_chg").desc(), F.col("code")])
 
 
 CHART_START = dt.date(2015, 5, 1)

@@ -34,12 +34,15 @@ def test_k07_report_layout(spark):
     picks = spark.createDataFrame(
         [(f"IND", f"N{i}", f"60000{i}", 0.01 * i) for i in range(1, 6)],
         "industry string, name string, code string, percent double")
-    lines = P.report_lines(P.breakout_report(picks, "up_trend"), "2015-11-24").orderBy("line_no").collect()
+    lines = P.report_lines(P.breakout_report(picks, "up_trend"), "2015-11-24", reports=["up_trend"]).orderBy(
+        "line_no").collect()
     assert len(lines) == 1 + 5 + 3
     assert lines[0].text.startswith("Trend breakout picks (2015-11-24)")
     assert lines[1].text == "[IND][5.00%]:$N5(SH600005)$"
     assert lines[2].text == "[IND][5.00%]:\tN5 : https://xueqiu.com/S/SH600005"
     assert [r.line_no for r in lines] == list(range(1, 10))
+    empty = P.report_lines(P.breakout_report(picks.limit(0), "callback"), "2015-11-24", reports=["callback"])
+    assert [r.text for r in empty.collect()] == ["Breakout pull-back picks (2015-11-24)"]  # header without picks
 
 
 def test_k08_chart_series_one_folder_per_code(spark, tmp_dir):
