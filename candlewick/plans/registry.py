@@ -328,12 +328,15 @@ def x20(spark, sf_dir):
     full rebuild (Q10, Q21)."""
     m = load_market(spark, sf_dir)
     before = m.bars.filter(F.col("date") < F.lit(AS_OF))
-    prov = bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
-    # the stored tables of a real run are files: write them to the shared
-    # folder (cuts the lineage, computed once) instead of nesting their plans
+    # yesterday's live run stored one provisional day in bars and MA table:
+    # those day rows are written to the shared folder (computed once, short
+    # lineage); the older history is the stored market itself
     root = work_dir(spark, sf_dir, f"x20-{AS_OF}")
-    stored_bars = tables.store(pipeline.refresh_bars(before, None, prov), f"{root}/bars")
-    stored_ma = tables.store(before.unionByName(bar_ops.extend_moving_averages(before, stored_bars)), f"{root}/ma")
+    prov = tables.store(bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF),
+                        f"{root}/provisional")
+    stored_bars = pipeline.refresh_bars(before, None, prov)
+    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars), f"{root}/provisional_ma")
+    stored_ma = before.unionByName(prov_ma)
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
     ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed))
