@@ -106,9 +106,11 @@ def work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
 def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None) -> Market:
     """Bars, info, concept and calendar for the driver tables in ``sf_dir``.
 
-    ``layout``: ``"bucketed"`` (default; tables bucketed by code, the
-    bucket count taken from ``spark.sql.shuffle.partitions``) or ``"files"``
-    (plain Parquet folders). Override with ``CANDLEWICK_LAYOUT``.
+    ``layout``: ``"bucketed"`` (default; tables bucketed by code) or
+    ``"files"`` (plain Parquet folders); override with ``CANDLEWICK_LAYOUT``.
+    The bucket count is ``spark.candlewick.buckets`` when set, else
+    ``spark.sql.shuffle.partitions`` (equal counts let joins with shuffled
+    sides keep the buckets' partitioning).
     """
     if not materialize:
         info = fixtures.info(spark, sf_dir)
@@ -122,7 +124,8 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
         fp = _fingerprint(sf_dir)
         root = f"{shared_dir(spark)}/candlewick-tables/{fp}"
         if layout == "bucketed":
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            n = int(spark.conf.get("spark.candlewick.buckets", None)
+                    or spark.conf.get("spark.sql.shuffle.partitions"))
             bars = _bucketed(spark, f"cw_bars_{fp}_{n}", f"{root}/bars-b{n}", lambda: fixtures.bars(spark, sf_dir),
                              n, ("date", "code"))
             info = _bucketed(spark, f"cw_info_{fp}_{n}", f"{root}/info-b{n}", lambda: fixtures.info(spark, sf_dir),
