@@ -2,7 +2,6 @@
 
 from decimal import ROUND_HALF_UP, Decimal
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

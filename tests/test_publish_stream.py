@@ -4,15 +4,13 @@ import os
 import shutil
 
 import numpy as np
-import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from candlewick.operators import indicators as I
 from candlewick.plans import publish as P
 from candlewick.streaming import quotes as Q
 
-from helpers import bars_df, day, market
+from helpers import day, market
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
