@@ -16,13 +16,20 @@ standard deviations.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.windows import by_code, trailing_mean_full
 
+# The per-group functions below run in Python workers. Pickle this module by
+# value so that executors need numpy/pandas only, not this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SMA_WINDOWS = (5, 10, 20, 30)
 
 

@@ -138,3 +138,22 @@ def test_r05_stream_snapshot_to_provisional_bar_equals_batch(spark, tmp_dir):
     prov = spark.read.parquet(f"{tmp_dir}/out/provisional").drop("batch_id")
     assert prov.count() == 2
     assert prov.select(*batch.columns).exceptAll(batch).count() == 0
+
+
+def test_python_workers_do_not_need_the_package_installed(tmp_dir):
+    """applyInPandas code travels with the task: run from a folder where the
+    package cannot be imported by the workers."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', len(E.queries()['x19_chart_rsi_macd'](s, '/root/testdata/sf0.001').collect()))\n" % repo
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "ROWS 515" in out.stdout, out.stderr[-2000:]
