@@ -157,3 +157,20 @@ def test_python_workers_do_not_need_the_package_installed(tmp_dir):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True,
                          timeout=300)
     assert "ROWS 515" in out.stdout, out.stderr[-2000:]
+
+
+def test_daily_runs_write_slices_reports_and_charts(spark, tmp_dir):
+    from candlewick.plans import runs
+    from candlewick.plans.market import load_market
+    m = load_market(spark, "/root/testdata/sf0.01")
+    out = f"{tmp_dir}/out"
+    runs.run_screens(m, "2015-11-24", out)
+    runs.run_screens(m, "2015-11-24", out)  # rerun replaces, never duplicates
+    picks = P.read_slice(spark, f"{out}/picks", update_date="2015-11-24")
+    assert picks.filter(F.col("reason") == "asc").count() == 18
+    assert picks.filter(F.col("reason") == "up_trend").count() == 4
+    path = runs.run_reports(spark, "2015-11-24", out)
+    texts = spark.read.text(path).collect()
+    assert any(r.value.startswith("Trend breakout picks (2015-11-24)") for r in texts)
+    charts = runs.run_charts(m, "2015-11-24", out, "asc")
+    assert spark.read.parquet(charts).select("code").distinct().count() == 18
