@@ -174,3 +174,25 @@ def test_daily_runs_write_slices_reports_and_charts(spark, tmp_dir):
     assert any(r.value.startswith("Trend breakout picks (2015-11-24)") for r in texts)
     charts = runs.run_charts(m, "2015-11-24", out, "asc")
     assert spark.read.parquet(charts).select("code").distinct().count() == 18
+
+
+def test_r06_late_quotes_beyond_watermark_are_dropped(spark, tmp_dir):
+    import datetime as dt
+    schema = "code string, event_ts timestamp, price double, volume double"
+    t = lambda d, h: dt.datetime(2015, 11, d, h)
+    src = f"{tmp_dir}/q"
+    # batch 1: day 20 and day 22 quotes -> watermark moves to day 22 - 1 h
+    spark.createDataFrame([("A", t(20, 10), 1.0, 1.0), ("A", t(20, 11), 2.0, 1.0), ("A", t(22, 10), 5.0, 1.0)],
+                          schema).coalesce(1).write.parquet(f"{src}/b1")
+    q = (Q.daily_bars(Q.read_stream(spark, f"{src}/b*", spark.createDataFrame([], schema).schema), "1 hour")
+         .writeStream.format("memory").queryName("late_test").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ck").start())
+    q.processAllAvailable()
+    # batch 2: a late quote for day 20 (behind the watermark) and a repeat of day 22
+    spark.createDataFrame([("A", t(20, 12), 99.0, 1.0), ("A", t(23, 10), 6.0, 1.0)], schema).coalesce(1).write.parquet(
+        f"{src}/b2")
+    q.processAllAvailable()
+    q.stop()
+    out = {r.window_start.day: r for r in spark.sql("SELECT * FROM late_test").collect()}
+    assert out[20].close == 2.0 and out[20].n_quotes == 2     # the late 99.0 never entered the closed window
+    assert 23 not in out                                      # the newest window is still open
