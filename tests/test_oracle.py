@@ -38,10 +38,17 @@ def con():
     return c
 
 
+TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "array<double>": "DOUBLE[]", "array<string>": "VARCHAR[]"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[key])
+    assert {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema} == \
+        {n: str(t) for n, t in zip(rel.columns, rel.types)}
     res = con.execute(E.oracle_sql()[key])
     ocols = [c[0] for c in res.description]
     orows = res.fetchall()
