@@ -52,8 +52,8 @@ def group_by_day_parts(bars, members, group_col, start, end, top_n, excluded) ->
     rows = (
         bars.filter(F.col("date").between(F.lit(start), F.lit(end)))
         .select("code", "date", "p_change")
+        .join(excluded, "code", "left_anti")  # before the (many-to-many) member join
         .join(members.select("code", "name", group_col), "code")
-        .join(excluded, "code", "left_anti")
     )
     keys = ["date", group_col]
     pos = F.count_if(F.col("p_change") > 0)

@@ -33,6 +33,13 @@ class Market:
     info: DataFrame      # stock_info
     concept: DataFrame   # stock_concept
     calendar: DataFrame  # open days: dates of the index series `sh`
+    listing: DataFrame | None = None  # stored (code, first_date); derived from bars when absent
+
+    def first_dates(self) -> DataFrame:
+        """A01's min_date per code (a first day never depends on later bars)."""
+        if self.listing is not None:
+            return self.listing
+        return self.bars.groupBy("code").agg(F.min("date").alias("first_date"))
 
     @property
     def daily(self) -> DataFrame:
@@ -143,6 +150,11 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
         cal = _stored(
             spark, f"{root}/calendar", lambda: calendar_of(bars),
             lambda df: df.coalesce(1).sortWithinPartitions("date").write)
-        m = Market(bars=bars, info=info, concept=concept, calendar=cal)
+        first = lambda: bars.groupBy("code").agg(F.min("date").alias("first_date"))
+        if layout == "bucketed":
+            listing = _bucketed(spark, f"cw_listing_{fp}_{n}", f"{root}/listing-b{n}", first, n, ("code",))
+        else:
+            listing = _stored(spark, f"{root}/listing", first, lambda df: df.write)
+        m = Market(bars=bars, info=info, concept=concept, calendar=cal, listing=listing)
         _CACHE[key] = m
         return m

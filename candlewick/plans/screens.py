@@ -56,7 +56,7 @@ def _breakout(m: Market, ext: DataFrame, first_filter, trend_start, pre_start, t
               as_of) -> DataFrame:
     pre_end = trend_start - dt.timedelta(days=1)
     first = ext.filter((F.col("rank") == 1) & first_filter).select("code", F.col("close").alias("m_close"))
-    listed = stats.min_max_day(m.bars, as_of).filter(F.col("min_date") <= F.lit(trend_start)).select("code")
+    listed = m.first_dates().filter(F.col("first_date") <= F.lit(trend_start)).select("code")
     high = stats.max_close_last_day(m.bars, pre_start, pre_end).select("code", F.col("close").alias("h_close"))
     pct = two_top_percent(ext, trend_percent)
     info = m.info.filter(not_risk_flagged())
