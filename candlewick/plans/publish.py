@@ -10,7 +10,6 @@ overwrite would leave them, since an empty frame names no partition).
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +64,8 @@ def report_rows(picks: DataFrame, report: str, value_text: Column, keys: dict, o
     root = stage_root or f"{shared_dir(spark)}/candlewick-work/reports"
     rows = picks.select("industry", "name", "code", value_text.alias("value"),
                         *[v.alias(k) for k, v in keys.items()])
-    numbered = global_row_number(rows, order, stage_path=f"{root}/{report}-{uuid.uuid4().hex}")
+    # one folder per distinct plan: a rerun of the same report overwrites it
+    numbered = global_row_number(rows, order, stage_path=f"{root}/{report}-{rows.semanticHash() & 0xffffffff:08x}")
     return numbered.select(F.lit(report).alias("report"), "industry", "name", "code", "value", "rn")
 
 
