@@ -20,11 +20,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.schema import BAR_BASE_COLS, CALENDAR_CODE
+from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE
 from candlewick.session import path_exists, shared_dir
 from candlewick.sources import fixtures
 
-FIXTURE_VERSION = "4"
+FIXTURE_VERSION = "5"
 
 
 @dataclass
@@ -34,6 +34,7 @@ class Market:
     concept: DataFrame   # stock_concept
     calendar: DataFrame  # open days: dates of the index series `sh`
     listing: DataFrame | None = None  # stored (code, first_date); derived from bars when absent
+    numbered: DataFrame | None = None  # bars + bar_no (1-based position in the code's series)
 
     def first_dates(self) -> DataFrame:
         """A01's min_date per code (a first day never depends on later bars)."""
@@ -57,7 +58,9 @@ def calendar_of(bars: DataFrame) -> DataFrame:
 
 
 def market_from_frames(bars: DataFrame, info: DataFrame, concept: DataFrame) -> Market:
-    return Market(bars=bars, info=info, concept=concept, calendar=calendar_of(bars))
+    numbered = bars if "bar_no" in bars.columns else None
+    bars = bars.select(*BAR_COLS)
+    return Market(bars=bars, info=info, concept=concept, calendar=calendar_of(bars), numbered=numbered)
 
 
 _LOCK = threading.Lock()
@@ -155,6 +158,7 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
             listing = _bucketed(spark, f"cw_listing_{fp}_{n}", f"{root}/listing-b{n}", first, n, ("code",))
         else:
             listing = _stored(spark, f"{root}/listing", first, lambda df: df.write)
-        m = Market(bars=bars, info=info, concept=concept, calendar=cal, listing=listing)
+        m = Market(bars=bars.select(*BAR_COLS), info=info, concept=concept, calendar=cal, listing=listing,
+                   numbered=bars)
         _CACHE[key] = m
         return m

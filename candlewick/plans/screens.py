@@ -24,6 +24,7 @@ from candlewick.operators import stats
 from candlewick.operators.calendar import as_date, count_open_days, next_open_day, open_day
 from candlewick.operators.windows import extremes
 from candlewick.plans.market import Market
+from candlewick.schema import CALENDAR_CODE
 
 PICK_INFO = ["code", "name", "industry", "esp", "pe"]
 
@@ -111,15 +112,24 @@ def rising_structure(m: Market, trend_start, as_of) -> DataFrame:
     return peaks.join(lows, "code")
 
 
+def today_with_history(m: Market, as_of, min_bars: int) -> DataFrame:
+    """As-of bars of codes with more than ``min_bars`` bars up to the as-of
+    day (P15, A02). With stored bar numbers this is a predicate on the as-of
+    slice; otherwise the bars up to the as-of day are counted."""
+    if m.numbered is not None:
+        return m.numbered.filter(
+            (F.col("code") != CALENDAR_CODE) & (F.col("date") == F.lit(as_of)) & (F.col("bar_no") > min_bars))
+    days = stats.day_count(m.stocks, as_of).filter(F.col("num_days") > min_bars).select("code")
+    return m.stocks.filter(F.col("date") == F.lit(as_of)).join(days, "code")
+
+
 def ascending(m: Market, trend_start, as_of) -> DataFrame:
     """X04 (`asc`): rising peaks and troughs; on the as-of day close >= ma5,
     ma10, ma20, p_change <= 9, open > 0; more than 30 bars of history."""
     as_of, trend_start = as_date(as_of), as_date(trend_start)
-    today = m.stocks.filter(
-        (F.col("date") == F.lit(as_of)) & above_mas((5, 10, 20)) & (F.col("p_change") <= 9.0) & not_suspended()
-    ).select("code")
-    days = stats.day_count(m.stocks, as_of).filter(F.col("num_days") > 30).select("code")
-    codes = rising_structure(m, trend_start, as_of).join(today, "code").join(days, "code")
+    today = today_with_history(m, as_of, 30).filter(
+        above_mas((5, 10, 20)) & (F.col("p_change") <= 9.0) & not_suspended()).select("code")
+    codes = rising_structure(m, trend_start, as_of).join(today, "code")
     return picks(codes, m.info, as_of, "asc", percent=0.0)
 
 
@@ -135,11 +145,9 @@ def latest_ascending(m: Market, trend_start, as_of, hold_days: int = 3) -> DataF
         .groupBy("code").agg(F.count_distinct("date").alias("n"))
         .filter(F.col("n") == hold_days).select("code")
     )
-    today = m.stocks.filter(
-        (F.col("date") == F.lit(as_of)) & above_mas((5, 10, 20)) & p_change_between(0.0, 9.0) & not_suspended()
-    ).select("code")
-    days = stats.day_count(m.stocks, as_of).filter(F.col("num_days") > 25).select("code")
-    codes = rising_structure(m, trend_start, as_of).join(today, "code").join(days, "code").join(held, "code")
+    today = today_with_history(m, as_of, 25).filter(
+        above_mas((5, 10, 20)) & p_change_between(0.0, 9.0) & not_suspended()).select("code")
+    codes = rising_structure(m, trend_start, as_of).join(today, "code").join(held, "code")
     return picks(codes, m.info.filter(not_risk_flagged()), as_of, "latest_asc", percent=0.0)
 
 
