@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.operators.windows import CLOSE_MAS, VOLUME_MAS, with_moving_averages
+from candlewick.operators.windows import INDEX_COLS, TAIL_LEN, by_code, with_moving_averages
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, INDEX_NAMES
 
 KEY = ["code", "date"]
@@ -88,31 +88,73 @@ def universe(spark: SparkSession, info: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------- moving averages
-def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:
+def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: DataFrame | None = None,
+                           since=None) -> DataFrame:
     """W02 (Q21 fix): MA rows for bars newer than each code's newest MA row.
 
-    Per code only the last max(n)-1 stored bars before the first new day are
-    re-read (row_number over the code's stored tail, a bounded window), so
-    ma250 of an incremental run equals a full rebuild even after a long
-    backlog or a code that missed days.
+    Each new row's averages need the code's last TAIL_LEN bars before its
+    first new day (a bounded row_number window), so ma250 of an incremental
+    run equals a full rebuild even after a long backlog or a code that
+    missed days.
+
+    History read: when ``stored_ma`` carries the index columns (bar_no,
+    tail_from), the tail of every code starts at ``tail_from`` of its newest
+    stored row (or its first day, from ``first_dates``, while it has fewer
+    bars), so only bars from the smallest such day on are read - a date
+    predicate that reaches the scan. Otherwise the whole history of four
+    columns is read. ``since`` bounds the dates of new bars when the caller
+    knows it (the daily refresh passes its first changed day). New rows get
+    their index columns in the same window pass.
     """
-    tail_len = max(CLOSE_MAS + VOLUME_MAS) - 1
-    hwm = stored_ma.groupBy("code").agg(F.max("date").alias("hwm"))
-    new = bars.select(*BAR_BASE_COLS).join(hwm, "code", "left").filter(
-        F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
+    indexed = all(c in stored_ma.columns for c in INDEX_COLS)
+    aggs = [F.max("date").alias("hwm")]
+    if indexed:
+        aggs += [F.max_by("bar_no", "date").alias("hwm_no"), F.max_by("tail_from", "date").alias("hwm_tail")]
+    hw = stored_ma.groupBy("code").agg(*aggs)
+    src = bars.select(*BAR_BASE_COLS)
+    if since is not None:
+        src = src.filter(F.col("date") >= F.lit(since))
+    new = src.join(hw, "code", "left").filter(F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
     first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
-    # the tail only feeds the averages: read 4 columns of the history, not all
+    history = bars.select("code", "date", "close", "volume")  # the tail only feeds the averages
+    lower = _tail_bound(first_new, hw, first_dates) if indexed else None
+    if lower is not None:
+        history = history.filter(F.col("date") >= F.lit(lower))
     tail = (
-        bars.select("code", "date", "close", "volume").join(first_new, "code")
+        history.join(first_new, "code")
         .filter(F.col("date") < F.col("first_new"))
         .withColumn("_rn", F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())))
-        .filter(F.col("_rn") <= tail_len)
+        .filter(F.col("_rn") <= TAIL_LEN)
         .drop("_rn", "first_new")
     )
     base = tail.withColumn("_new", F.lit(False)).unionByName(
-        new.drop("hwm").withColumn("_new", F.lit(True)), allowMissingColumns=True)
+        new.drop("hwm", "hwm_tail").withColumn("_new", F.lit(True)), allowMissingColumns=True)
     ma = with_moving_averages(base.drop("ma5", "ma10", "ma20", "v_ma5", "v_ma10", "v_ma20"))
-    return ma.filter("_new").select(*BAR_COLS)
+    out = list(BAR_COLS)
+    if indexed:
+        w = by_code()
+        position = F.sum(F.col("_new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        ma = ma.withColumns({
+            "bar_no": (F.coalesce(F.col("hwm_no"), F.lit(0)) + position).cast("bigint"),
+            "tail_from": F.lag("date", TAIL_LEN - 1).over(w),
+        })
+        out += INDEX_COLS
+    return ma.filter("_new").select(*out)
+
+
+def _tail_bound(first_new: DataFrame, hw: DataFrame, first_dates: DataFrame | None):
+    """Earliest day any code's tail can start (one small aggregate, one
+    scalar); None when a code's bound is unknown (then read everything)."""
+    cand = first_new.join(hw.filter(F.col("hwm").isNotNull()), "code")
+    bound = F.col("hwm_tail")
+    if first_dates is not None:
+        cand = cand.join(first_dates, "code", "left")
+        bound = F.coalesce(bound, F.col("first_date"))
+    r = cand.agg(F.min(bound).alias("lo"), F.count_if(bound.isNull()).alias("unknown"),
+                 F.count(F.lit(1)).alias("n")).first()
+    if r["n"] == 0:
+        return dt.date.max  # no stored code has new bars: no tail to read
+    return r["lo"] if r["unknown"] == 0 else None
 
 
 def refresh_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:

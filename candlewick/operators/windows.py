@@ -15,6 +15,9 @@ from candlewick.schema import PEAK_LEFT, PEAK_RIGHT
 
 CLOSE_MAS = (5, 10, 20, 30, 60, 120, 250)
 VOLUME_MAS = (5, 10, 20)
+# bars before a day that feed its longest moving average
+TAIL_LEN = max(CLOSE_MAS + VOLUME_MAS) - 1
+INDEX_COLS = ["bar_no", "tail_from"]
 
 
 def by_code(order: str = "date") -> Window:
@@ -44,6 +47,18 @@ def with_moving_averages(
     return bars.withColumns(cols)
 
 
+def with_bar_index(bars: DataFrame) -> DataFrame:
+    """Per-bar index columns, from the same window as the averages:
+    ``bar_no`` = 1-based position of the bar in its code's series;
+    ``tail_from`` = date of the first of the TAIL_LEN bars ending at this bar
+    (NULL with fewer bars). They let later jobs bound their history reads."""
+    w = by_code()
+    return bars.withColumns({
+        "bar_no": F.row_number().over(w).cast("bigint"),
+        "tail_from": F.lag("date", TAIL_LEN - 1).over(w),
+    })
+
+
 def with_changes(bars: DataFrame, first_prev: float | None = None) -> DataFrame:
     """price_change and p_change (percent) from the previous bar."""
     prev = F.lag("close").over(by_code())

@@ -24,7 +24,7 @@ from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE
 from candlewick.session import path_exists, shared_dir
 from candlewick.sources import fixtures
 
-FIXTURE_VERSION = "5"
+FIXTURE_VERSION = "6"
 
 
 @dataclass

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.bars import KEY, extend_moving_averages, merge_provisional, upsert
-from candlewick.schema import BAR_BASE_COLS, BAR_COLS
+from candlewick.schema import BAR_BASE_COLS
 
 
 def refresh_bars(stored: DataFrame, landed: DataFrame | None, provisional: DataFrame | None = None) -> DataFrame:
@@ -40,16 +40,20 @@ def changed_keys(landed: DataFrame, provisional: DataFrame | None = None) -> Dat
     return keys.distinct()
 
 
-def refresh_moving_averages_from(stored_ma: DataFrame, bars_after: DataFrame, changed: DataFrame) -> DataFrame:
+def refresh_moving_averages_from(stored_ma: DataFrame, bars_after: DataFrame, changed: DataFrame,
+                                 first_dates: DataFrame | None = None) -> DataFrame:
     """MA table after the run: rows from each code's first changed day on
-    are recomputed; older rows are kept."""
+    are recomputed; older rows are kept. New bars are read from the first
+    changed day on, their tails from the stored tail bounds (see
+    ``extend_moving_averages``)."""
     first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
     keep = (
         stored_ma.join(first, "code", "left")
         .filter(F.col("first_changed").isNull() | (F.col("date") < F.col("first_changed")))
-        .select(*BAR_COLS)
+        .drop("first_changed")
     )
-    return keep.unionByName(extend_moving_averages(keep, bars_after))
+    since = changed.agg(F.min("date").alias("d")).first()["d"]  # landed keys: small
+    return keep.unionByName(extend_moving_averages(keep, bars_after, first_dates, since=since))
 
 
 def daily_refresh(stored_bars: DataFrame, stored_ma: DataFrame, landed: DataFrame, out_root: str,

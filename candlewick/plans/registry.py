@@ -15,6 +15,7 @@ from candlewick.operators import stats
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, pipeline, publish, screens
 from candlewick.plans.market import load_market, work_dir
+from candlewick.schema import BAR_COLS
 from candlewick.sources import tables
 from candlewick.streaming import quotes
 
@@ -221,8 +222,8 @@ def w02(spark, sf_dir):
     """Property as a query: MA rows extended from a table stored up to the
     as-of day equal the full rebuild (Q21)."""
     m = load_market(spark, sf_dir)
-    stored = m.bars.filter(F.col("date") <= F.lit(AS_OF))
-    return bar_ops.extend_moving_averages(stored, m.bars)
+    stored = m.numbered.filter(F.col("date") <= F.lit(AS_OF))
+    return bar_ops.extend_moving_averages(stored, m.bars, m.first_dates()).select(*BAR_COLS)
 
 
 LOAD_FROM = dt.date(2015, 11, 10)
@@ -327,7 +328,7 @@ def x20(spark, sf_dir):
     the final bars from the as-of day on; the refreshed MA rows equal a
     full rebuild (Q10, Q21)."""
     m = load_market(spark, sf_dir)
-    before = m.bars.filter(F.col("date") < F.lit(AS_OF))
+    before = m.numbered.filter(F.col("date") < F.lit(AS_OF))
     # yesterday's live run stored one provisional day in bars and MA table:
     # those day rows are written to the shared folder (computed once, short
     # lineage); the older history is the stored market itself
@@ -335,12 +336,13 @@ def x20(spark, sf_dir):
     prov = tables.store(bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF),
                         f"{root}/provisional")
     stored_bars = pipeline.refresh_bars(before, None, prov)
-    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars), f"{root}/provisional_ma")
+    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars, m.first_dates()),
+                           f"{root}/provisional_ma")
     stored_ma = before.unionByName(prov_ma)
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
-    ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed))
-    return ma.filter(F.col("date") >= F.lit(AS_OF))
+    ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed), m.first_dates())
+    return ma.filter(F.col("date") >= F.lit(AS_OF)).select(*BAR_COLS)
 
 
 # ------------------------------------------------------ parameterised SQL scan

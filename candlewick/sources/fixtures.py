@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.operators.windows import by_code, with_moving_averages
+from candlewick.operators.windows import INDEX_COLS, by_code, with_bar_index, with_moving_averages
 from candlewick.schema import BAR_COLS, CALENDAR_CODE
 
 # Fixed values of the fixture rule.
@@ -78,11 +78,7 @@ def bars_from_steps(raw: DataFrame) -> DataFrame:
     """Step b: close from the running step sum, OHLC, changes and all MAs."""
     w = by_code()
     running = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = raw.withColumns({
-        "close": F.greatest(F.lit(START_CLOSE) + running, F.lit(FLOOR_CLOSE)).cast("double"),
-        # position of the bar in its code's series: "bars up to day D" without a history scan
-        "bar_no": F.row_number().over(w).cast("bigint"),
-    })
+    df = raw.withColumn("close", F.greatest(F.lit(START_CLOSE) + running, F.lit(FLOOR_CLOSE)).cast("double"))
     df = df.withColumn("_prev", F.coalesce(F.lag("close").over(w), F.lit(float(START_CLOSE))))
     lnm = F.col("ln") % 3
     df = df.select(
@@ -95,13 +91,13 @@ def bars_from_steps(raw: DataFrame) -> DataFrame:
         (F.col("close") - F.col("_prev")).alias("price_change"),
         F.round(100 * (F.col("close") - F.col("_prev")) / F.col("_prev"), 4).alias("p_change"),
         F.lit(0.0).alias("turnover"),
-        "bar_no",
     )
-    return with_moving_averages(df).select(*BAR_COLS, "bar_no")
+    return with_bar_index(with_moving_averages(df)).select(*BAR_COLS, *INDEX_COLS)
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """stock_daily + stock_daily_more columns (key code, date) and bar_no."""
+    """stock_daily + stock_daily_more columns (key code, date) and the bar
+    index columns (bar_no, tail_from)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_discount", "l_tax", "l_linenumber", "l_quantity")
     return bars_from_steps(raw_bars(li))

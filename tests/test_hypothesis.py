@@ -77,3 +77,17 @@ def test_industry_stats_match_pandas(spark, series):
         if pos + neg:
             ratio = Decimal(int(pos)) / Decimal(int(pos + neg))
             assert row.positive_stock_ratio == float(ratio.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(20, 400), min_size=30, max_size=300), st.integers(5, 280),
+       st.sets(st.integers(0, 299), max_size=40))
+def test_indexed_incremental_ma_equals_full(spark, closes, split, gaps):
+    from candlewick.operators.windows import with_bar_index
+    full = with_bar_index(bars_df(spark, {"600001": closes, "000002": closes[::-1]}, gaps={"600001": gaps}))
+    first = full.groupBy("code").agg(F.min("date").alias("first_date"))
+    stored = full.filter(F.col("date") <= day(split))
+    cols = ["code", "date", "bar_no", "tail_from", "ma5", "ma250", "v_ma10"]
+    inc = B.extend_moving_averages(stored, full.drop("bar_no", "tail_from"), first).select(*cols)
+    want = full.filter(F.col("date") > day(split)).select(*cols)
+    assert sorted(inc.collect()) == sorted(want.collect())

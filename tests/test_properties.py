@@ -56,3 +56,20 @@ def test_screen_rerun_is_deterministic(markets):
     full, _ = markets
     a, b = SCREENS["x11"](full), SCREENS["x11"](full)
     assert a.exceptAll(b).count() == 0
+
+
+def test_w02_bounded_tail_keeps_the_bar_index_and_pushes_a_date_bound(spark, markets):
+    from candlewick.operators import bars as B
+    from candlewick.schema import BAR_COLS
+    full, _ = markets
+    stored = full.numbered.filter(F.col("date") <= F.lit(AS_OF))
+    ext = B.extend_moving_averages(stored, full.bars, full.first_dates())
+    want = full.numbered.filter(F.col("date") > F.lit(AS_OF))
+    cols = ["code", "date", "bar_no", "tail_from", "ma5", "ma250", "v_ma20"]
+    assert ext.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert want.select(*cols).exceptAll(ext.select(*cols)).count() == 0
+    ext.write.format("noop").mode("overwrite").save()
+    plan = ext._jdf.queryExecution().executedPlan().toString()
+    # the history read of the tail carries a lower date bound (not the whole history)
+    assert "GreaterThanOrEqual(date," in plan
+    assert set(ext.columns) == set(BAR_COLS) | {"bar_no", "tail_from"}
