@@ -88,38 +88,58 @@ def universe(spark: SparkSession, info: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------- moving averages
+def last_rows(ma: DataFrame) -> DataFrame:
+    """Per-code state of an indexed MA table: newest day (hwm), its bar_no
+    and tail_from. One row per code; stored next to the table and advanced
+    by each refresh, so a refresh never derives it from the history."""
+    return ma.groupBy("code").agg(
+        F.max("date").alias("hwm"), F.max_by("bar_no", "date").alias("hwm_no"),
+        F.max_by("tail_from", "date").alias("hwm_tail"))
+
+
+def advance_last(last: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """State after appending ``new_rows`` (indexed MA rows newer than each
+    code's hwm): codes with new rows take their newest new row."""
+    return last.join(new_rows.select("code").distinct(), "code", "left_anti").unionByName(last_rows(new_rows))
+
+
 def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: DataFrame | None = None,
-                           since=None) -> DataFrame:
+                           since=None, last: DataFrame | None = None) -> DataFrame:
     """W02 (Q21 fix): MA rows for bars newer than each code's newest MA row.
 
     Each new row's averages need the code's last TAIL_LEN bars before its
     first new day (a bounded row_number window), so ma250 of an incremental
     run equals a full rebuild even after a long backlog or a code that
-    missed days.
-
-    History read: when ``stored_ma`` carries the index columns (bar_no,
-    tail_from), the tail of every code starts at ``tail_from`` of its newest
-    stored row (or its first day, from ``first_dates``, while it has fewer
-    bars), so only bars from the smallest such day on are read - a date
-    predicate that reaches the scan. Otherwise the whole history of four
-    columns is read. ``since`` bounds the dates of new bars when the caller
-    knows it (the daily refresh passes its first changed day). New rows get
-    their index columns in the same window pass.
+    missed days. ``since`` bounds the dates of new bars when the caller
+    knows it (the daily refresh passes its first changed day).
+
+    With ``last`` (the stored per-code state of ``stored_ma``, see
+    ``last_rows``) the history is not scanned for the newest rows, and the
+    tail of every code starts at ``tail_from`` of its newest row (or at its
+    first day, from ``first_dates``, while it has fewer bars): only bars from
+    the smallest such day on are read - a date predicate that reaches the
+    scan. Without it, the newest rows come from an aggregate over
+    ``stored_ma`` and the tail from the history's four needed columns. When
+    ``stored_ma`` is indexed (bar_no, tail_from), new rows get their index
+    columns in the same window pass.
     """
     indexed = all(c in stored_ma.columns for c in INDEX_COLS)
-    aggs = [F.max("date").alias("hwm")]
-    if indexed:
-        aggs += [F.max_by("bar_no", "date").alias("hwm_no"), F.max_by("tail_from", "date").alias("hwm_tail")]
-    hw = stored_ma.groupBy("code").agg(*aggs)
+    if last is not None:
+        hw = last
+    elif indexed:
+        hw = last_rows(stored_ma)
+    else:
+        hw = stored_ma.groupBy("code").agg(F.max("date").alias("hwm"))
     src = bars.select(*BAR_BASE_COLS)
     if since is not None:
         src = src.filter(F.col("date") >= F.lit(since))
     new = src.join(hw, "code", "left").filter(F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
     first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
     history = bars.select("code", "date", "close", "volume")  # the tail only feeds the averages
-    lower = _tail_bound(first_new, hw, first_dates) if indexed else None
-    if lower is not None:
-        history = history.filter(F.col("date") >= F.lit(lower))
+    if last is not None:
+        lower = _tail_bound(first_new, hw, first_dates)
+        if lower is not None:
+            history = history.filter(F.col("date") >= F.lit(lower))
     tail = (
         history.join(first_new, "code")
         .filter(F.col("date") < F.col("first_new"))
@@ -127,8 +147,9 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
         .filter(F.col("_rn") <= TAIL_LEN)
         .drop("_rn", "first_new")
     )
+    keep_cols = [c for c in new.columns if c not in ("hwm", "hwm_tail")]
     base = tail.withColumn("_new", F.lit(False)).unionByName(
-        new.drop("hwm", "hwm_tail").withColumn("_new", F.lit(True)), allowMissingColumns=True)
+        new.select(*keep_cols).withColumn("_new", F.lit(True)), allowMissingColumns=True)
     ma = with_moving_averages(base.drop("ma5", "ma10", "ma20", "v_ma5", "v_ma10", "v_ma20"))
     out = list(BAR_COLS)
     if indexed:
@@ -143,8 +164,8 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
 
 
 def _tail_bound(first_new: DataFrame, hw: DataFrame, first_dates: DataFrame | None):
-    """Earliest day any code's tail can start (one small aggregate, one
-    scalar); None when a code's bound is unknown (then read everything)."""
+    """Earliest day any code's tail can start (a join of two per-code
+    tables, one scalar); None when a code's bound is unknown (read all)."""
     cand = first_new.join(hw.filter(F.col("hwm").isNotNull()), "code")
     bound = F.col("hwm_tail")
     if first_dates is not None:

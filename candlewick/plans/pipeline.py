@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.bars import KEY, extend_moving_averages, merge_provisional, upsert
+from candlewick.operators.bars import KEY, advance_last, extend_moving_averages, last_rows, merge_provisional, upsert
 from candlewick.schema import BAR_BASE_COLS
 
 
@@ -56,15 +56,56 @@ def refresh_moving_averages_from(stored_ma: DataFrame, bars_after: DataFrame, ch
     return keep.unionByName(extend_moving_averages(keep, bars_after, first_dates, since=since))
 
 
+def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: DataFrame, last: DataFrame,
+                       first_dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """As ``refresh_moving_averages_from`` for an indexed MA table with its
+    stored per-code state ``last`` (see ``operators.bars.last_rows``);
+    returns (MA table after the run, state after the run).
+
+    A code whose first changed day lies after its newest stored row (the
+    daily append) keeps its state; a corrected code (a change on or before
+    its newest row) takes the newest of its kept rows - read only when
+    corrections exist. No other read of the history is needed for the
+    newest rows, and the tail read is bounded by the stored tail starts.
+    """
+    first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
+    keep = (
+        stored_ma.join(first, "code", "left")
+        .filter(F.col("first_changed").isNull() | (F.col("date") < F.col("first_changed")))
+        .drop("first_changed")
+    )
+    since = changed.agg(F.min("date").alias("d")).first()["d"]
+    with_first = last.join(first, "code", "left")
+    appended = with_first.filter(
+        F.col("first_changed").isNull() | (F.col("first_changed") > F.col("hwm"))).drop("first_changed")
+    corrected = with_first.filter(F.col("first_changed") <= F.col("hwm")).select("code")
+    kept_last = appended
+    if corrected.limit(1).count():  # corrections are rare: read their kept rows only then
+        kept_last = appended.unionByName(last_rows(keep.join(corrected, "code", "left_semi")))
+    ext = extend_moving_averages(keep, bars_after, first_dates, since=since, last=kept_last)
+    return keep.unionByName(ext), advance_last(kept_last, ext)
+
+
 def daily_refresh(stored_bars: DataFrame, stored_ma: DataFrame, landed: DataFrame, out_root: str,
-                  run_day: dt.date, provisional: DataFrame | None = None) -> dict[str, str]:
-    """Run X20 and write ``bars`` and ``bars_ma`` under ``out_root/run=<day>``."""
+                  run_day: dt.date, provisional: DataFrame | None = None, last: DataFrame | None = None,
+                  first_dates: DataFrame | None = None) -> dict[str, str]:
+    """Run X20 and write ``bars``, ``bars_ma`` (and, with the MA table's
+    per-code state ``last``, the advanced ``last``) under
+    ``out_root/run=<day>``; readers switch to a run folder once all its
+    tables are written."""
     after = refresh_bars(stored_bars, landed, provisional)
     changed = changed_keys(landed, provisional)
     base = f"{out_root.rstrip('/')}/run={run_day}"
-    after.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(f"{base}/bars")
     spark = stored_bars.sparkSession
+    after.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(f"{base}/bars")
     bars_v = spark.read.parquet(f"{base}/bars")
-    ma = refresh_moving_averages_from(stored_ma, bars_v, changed)
-    ma.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(f"{base}/bars_ma")
-    return {"bars": f"{base}/bars", "bars_ma": f"{base}/bars_ma"}
+    out = {"bars": f"{base}/bars", "bars_ma": f"{base}/bars_ma"}
+    if last is not None:
+        ma, new_last = refresh_with_state(stored_ma, bars_v, changed, last, first_dates)
+    else:
+        ma, new_last = refresh_moving_averages_from(stored_ma, bars_v, changed, first_dates), None
+    ma.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(out["bars_ma"])
+    if new_last is not None:
+        out["last"] = f"{base}/last"
+        new_last.write.mode("overwrite").parquet(out["last"])
+    return out

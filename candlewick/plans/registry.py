@@ -223,7 +223,7 @@ def w02(spark, sf_dir):
     as-of day equal the full rebuild (Q21)."""
     m = load_market(spark, sf_dir)
     stored = m.numbered.filter(F.col("date") <= F.lit(AS_OF))
-    return bar_ops.extend_moving_averages(stored, m.bars, m.first_dates()).select(*BAR_COLS)
+    return bar_ops.extend_moving_averages(stored, m.bars).select(*BAR_COLS)
 
 
 LOAD_FROM = dt.date(2015, 11, 10)
@@ -336,12 +336,13 @@ def x20(spark, sf_dir):
     prov = tables.store(bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF),
                         f"{root}/provisional")
     stored_bars = pipeline.refresh_bars(before, None, prov)
-    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars, m.first_dates()),
-                           f"{root}/provisional_ma")
+    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars), f"{root}/provisional_ma")
     stored_ma = before.unionByName(prov_ma)
+    # the MA table's stored per-code state after yesterday's run
+    last = tables.store(bar_ops.last_rows(stored_ma), f"{root}/last", sort_by=("code",))
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
-    ma = pipeline.refresh_moving_averages_from(stored_ma, after, pipeline.changed_keys(landed), m.first_dates())
+    ma, _ = pipeline.refresh_with_state(stored_ma, after, pipeline.changed_keys(landed), last, m.first_dates())
     return ma.filter(F.col("date") >= F.lit(AS_OF)).select(*BAR_COLS)
 
 

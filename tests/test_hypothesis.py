@@ -88,6 +88,7 @@ def test_indexed_incremental_ma_equals_full(spark, closes, split, gaps):
     first = full.groupBy("code").agg(F.min("date").alias("first_date"))
     stored = full.filter(F.col("date") <= day(split))
     cols = ["code", "date", "bar_no", "tail_from", "ma5", "ma250", "v_ma10"]
-    inc = B.extend_moving_averages(stored, full.drop("bar_no", "tail_from"), first).select(*cols)
+    inc = B.extend_moving_averages(stored, full.drop("bar_no", "tail_from"), first,
+                                   last=B.last_rows(stored)).select(*cols)
     want = full.filter(F.col("date") > day(split)).select(*cols)
     assert sorted(inc.collect()) == sorted(want.collect())

@@ -63,7 +63,8 @@ def test_w02_bounded_tail_keeps_the_bar_index_and_pushes_a_date_bound(spark, mar
     from candlewick.schema import BAR_COLS
     full, _ = markets
     stored = full.numbered.filter(F.col("date") <= F.lit(AS_OF))
-    ext = B.extend_moving_averages(stored, full.bars, full.first_dates())
+    last = B.last_rows(stored)  # the stored per-code state of the MA table
+    ext = B.extend_moving_averages(stored, full.bars, full.first_dates(), last=last)
     want = full.numbered.filter(F.col("date") > F.lit(AS_OF))
     cols = ["code", "date", "bar_no", "tail_from", "ma5", "ma250", "v_ma20"]
     assert ext.select(*cols).exceptAll(want.select(*cols)).count() == 0
@@ -73,3 +74,21 @@ def test_w02_bounded_tail_keeps_the_bar_index_and_pushes_a_date_bound(spark, mar
     # the history read of the tail carries a lower date bound (not the whole history)
     assert "GreaterThanOrEqual(date," in plan
     assert set(ext.columns) == set(BAR_COLS) | {"bar_no", "tail_from"}
+
+
+def test_x20_daily_append_with_state_writes_exact_tables(spark, markets, tmp_dir):
+    from candlewick.operators import bars as B
+    from candlewick.plans import pipeline
+    from candlewick.schema import BAR_BASE_COLS
+    full, _ = markets
+    stored_ma = full.numbered.filter(F.col("date") <= F.lit(AS_OF))
+    stored_bars = full.bars.select(*BAR_BASE_COLS).filter(F.col("date") <= F.lit(AS_OF))
+    landed = full.bars.filter(F.col("date") > F.lit(AS_OF))
+    out = pipeline.daily_refresh(stored_bars, stored_ma, landed, f"{tmp_dir}/runs", AS_OF,
+                                 last=B.last_rows(stored_ma), first_dates=full.first_dates())
+    ma = spark.read.parquet(out["bars_ma"])
+    cols = ["code", "date", "ma5", "ma250", "bar_no", "tail_from"]
+    assert ma.select(*cols).exceptAll(full.numbered.select(*cols)).count() == 0
+    assert full.numbered.select(*cols).exceptAll(ma.select(*cols)).count() == 0
+    last = spark.read.parquet(out["last"])
+    assert last.exceptAll(B.last_rows(full.numbered)).count() == 0
