@@ -16,7 +16,13 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def final_part(plan: str) -> str:
+    """The final adaptive plan without the initial plan printed after it."""
+    return plan.split("== Initial Plan ==")[0]
+
+
 def summarise(plan: str) -> dict:
+    plan = final_part(plan)
     scans = re.findall(r"FileScan parquet[^\n]*", plan)
     pushed = [s for s in scans if "PushedFilters: [" in s and "PushedFilters: []" not in s]
     widths = [len(m.split(",")) for s in scans for m in re.findall(r"ReadSchema: struct<([^>]*)>", s)]
@@ -53,15 +59,26 @@ def main() -> None:
     print("read as bucketed (no shuffle for per-code work), `cols` = widest read schema.\n")
     print("| query | exch | bc | reused | BHJ | SMJ | wgl | scans | pushed | bkt | cols | python |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
+    frames = {}
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # runs this DataFrame's own execution, so executedPlan is the final AQE plan
+        frames[name] = df
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         print(f"| {name} | {s['exchanges']} | {s['broadcasts']} | {s['reused']} | {s['bhj']} | {s['smj']} | "
               f"{s['wgl']} | {s['scans']} | {s['pushed']} | {s['bucketed']} | {s['max_cols']} | "
               f"{'yes' if s['python'] else ''} |", flush=True)
+    for name in DETAIL:
+        plan = frames[name]._jdf.queryExecution().executedPlan().toString()
+        print(f"\n## Final plan of `{name}`\n\n```")
+        print(re.sub(r"#\d+L?", "", final_part(plan)).strip())
+        print("```")
     spark.stop()
 
 
+# queries whose final plan is printed in full
+DETAIL = ["x11_industry_by_day", "x01_box_breakout", "x20_daily_refresh"]
+
+
 if __name__ == "__main__":
     main()
