@@ -186,7 +186,7 @@ def refresh_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- quotes->bars
 def ticks_from_bars(bars: DataFrame, day) -> DataFrame:
     """Fixture: the quote snapshot of ``day`` (stock_tick_data layout subset)."""
-    return bars.filter((F.col("date") == F.lit(day)) & (F.col("code") != "sh")).select(
+    return bars.filter((F.col("date") == F.lit(day)) & ~F.col("code").isin(*INDEX_NAMES)).select(
         "code", "date", F.lit("15:00:00").alias("time"), "open", "high", "low",
         F.col("close").alias("price"), (F.col("close") - F.col("price_change")).alias("pre_close"),
         (F.col("volume") * 100).alias("volume"))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE
+from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE, INDEX_NAMES
 from candlewick.session import path_exists, shared_dir
 from candlewick.sources import fixtures
 
@@ -49,8 +49,8 @@ class Market:
 
     @property
     def stocks(self) -> DataFrame:
-        """Bars without the index series."""
-        return self.bars.filter(F.col("code") != CALENDAR_CODE)
+        """Bars without the index series (all six index names)."""
+        return self.bars.filter(~F.col("code").isin(*INDEX_NAMES))
 
 
 def calendar_of(bars: DataFrame) -> DataFrame:

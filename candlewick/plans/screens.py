@@ -24,7 +24,7 @@ from candlewick.operators import stats
 from candlewick.operators.calendar import as_date, count_open_days, next_open_day, open_day
 from candlewick.operators.windows import extremes
 from candlewick.plans.market import Market
-from candlewick.schema import CALENDAR_CODE
+from candlewick.schema import INDEX_NAMES
 
 PICK_INFO = ["code", "name", "industry", "esp", "pe"]
 
@@ -118,7 +118,7 @@ def today_with_history(m: Market, as_of, min_bars: int) -> DataFrame:
     slice; otherwise the bars up to the as-of day are counted."""
     if m.numbered is not None:
         return m.numbered.filter(
-            (F.col("code") != CALENDAR_CODE) & (F.col("date") == F.lit(as_of)) & (F.col("bar_no") > min_bars))
+            ~F.col("code").isin(*INDEX_NAMES) & (F.col("date") == F.lit(as_of)) & (F.col("bar_no") > min_bars))
     days = stats.day_count(m.stocks, as_of).filter(F.col("num_days") > min_bars).select("code")
     return m.stocks.filter(F.col("date") == F.lit(as_of)).join(days, "code")
 

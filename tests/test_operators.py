@@ -331,3 +331,8 @@ def test_q23_q24_report_values(spark):
     cont = spark.createDataFrame([("I", "A", "600001", [1.0, 2.5], 2)],
                                  "industry string, name string, code string, p_change array<double>, n_days int")
     assert P.increase_report(cont).first().value == "1.00%,2.50%"
+
+
+def test_all_index_series_are_not_stocks(spark):
+    m = market(spark, {"600001": [1, 2], "sh": [1, 1], "hs300": [1, 1], "cyb": [2, 2]})
+    assert {r.code for r in m.stocks.select("code").distinct().collect()} == {"600001"}
