@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.windows import with_changes, with_moving_averages
 from candlewick.plans.market import market_from_frames
-from candlewick.schema import BAR_COLS
+from candlewick.schema import BAR_COLS, INDEX_NAMES
 
 D0 = dt.date(2015, 1, 1)
 
@@ -46,7 +46,7 @@ def info_df(spark, codes, st=()):
 
 def market(spark, series: dict, start: int = 0, st=(), volumes=None, gaps=None, concept=None):
     bars = bars_df(spark, series, start, volumes, gaps)
-    codes = [c for c in series if c != "sh"]
+    codes = [c for c in series if c not in INDEX_NAMES]
     info = info_df(spark, codes, st)
     if concept is None:
         concept = spark.createDataFrame([(c, f"Name{c}", "C1") for c in codes], "code string, name string, c_name string")
