@@ -67,6 +67,11 @@ def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: Dat
     its newest row) takes the newest of its kept rows - read only when
     corrections exist. No other read of the history is needed for the
     newest rows, and the tail read is bounded by the stored tail starts.
+
+    Precondition (kept by ``daily_refresh``): before the run the MA table
+    covers every stored bar, so all new MA rows lie on or after the first
+    changed day. For an MA table that lags its bars use
+    ``extend_moving_averages`` without ``since``.
     """
     first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
     keep = (
