@@ -378,6 +378,68 @@ def chart_series_sql(picks_select: str, since, until) -> str:
       JOIN info i ON b.code = i.code"""
 
 
+def _ewm(prev: str, x: str, a: str) -> str:
+    """One adjust=False exponential smoothing step, written as the
+    reference implementation of the smoothing evaluates it."""
+    return f"CASE WHEN {prev} = {x} THEN {prev} ELSE ((1 - {a}) * {prev} + {a} * {x}) / ((1 - {a}) + {a}) END"
+
+
+def _r6(x: str) -> str:
+    return f"round(({x}) * 1000000.0) / 1000000.0"
+
+
+def recursive_indicators_sql(picks_select: str, since, until) -> str:
+    """U01/W12/W13 by recursive CTEs: EMA seeded with the SMA of the first
+    n values; RSI(14) with alpha 1/14 on gains and losses; MACD 12/26 and
+    its 9-value signal seeded with the mean of the first 9 MACD values."""
+    a12, a26, a9, a14 = "(2.0 / 13)", "(2.0 / 27)", "(2.0 / 10)", "(1.0 / 14)"
+    return f"""
+    WITH RECURSIVE
+    d AS (SELECT code, date, close, row_number() OVER (PARTITION BY code ORDER BY date) AS rn,
+                 close - lag(close) OVER (PARTITION BY code ORDER BY date) AS chg
+          FROM ({picks_select_base(picks_select, since, until)}) b),
+    seed AS (SELECT code, avg(close) FILTER (WHERE rn <= 12) AS s12, avg(close) FILTER (WHERE rn <= 26) AS s26,
+                    avg(greatest(chg, 0)) FILTER (WHERE rn BETWEEN 2 AND 15) AS g14,
+                    avg(greatest(-chg, 0)) FILTER (WHERE rn BETWEEN 2 AND 15) AS l14
+             FROM d GROUP BY code),
+    r1 AS (
+      SELECT code, rn, CAST(NULL AS DOUBLE) AS e12, CAST(NULL AS DOUBLE) AS e26,
+             CAST(NULL AS DOUBLE) AS g, CAST(NULL AS DOUBLE) AS l
+      FROM d WHERE rn = 1
+      UNION ALL
+      SELECT d.code, d.rn,
+             CASE WHEN d.rn < 12 THEN NULL WHEN d.rn = 12 THEN sd.s12 ELSE {_ewm('r1.e12', 'd.close', a12)} END,
+             CASE WHEN d.rn < 26 THEN NULL WHEN d.rn = 26 THEN sd.s26 ELSE {_ewm('r1.e26', 'd.close', a26)} END,
+             CASE WHEN d.rn < 15 THEN NULL WHEN d.rn = 15 THEN sd.g14
+                  ELSE {_ewm('r1.g', 'greatest(d.chg, 0)', a14)} END,
+             CASE WHEN d.rn < 15 THEN NULL WHEN d.rn = 15 THEN sd.l14
+                  ELSE {_ewm('r1.l', 'greatest(-d.chg, 0)', a14)} END
+      FROM r1 JOIN d ON d.code = r1.code AND d.rn = r1.rn + 1 JOIN seed sd ON sd.code = d.code),
+    m AS (SELECT code, rn, e12 - e26 AS macd, g, l FROM r1),
+    seed2 AS (SELECT code, avg(macd) FILTER (WHERE rn BETWEEN 26 AND 34) AS s9 FROM m GROUP BY code),
+    r2 AS (
+      SELECT code, rn, CAST(NULL AS DOUBLE) AS sig FROM m WHERE rn = 1
+      UNION ALL
+      SELECT m.code, m.rn,
+             CASE WHEN m.rn < 34 THEN NULL WHEN m.rn = 34 THEN s2.s9 ELSE {_ewm('r2.sig', 'm.macd', a9)} END
+      FROM r2 JOIN m ON m.code = r2.code AND m.rn = r2.rn + 1 JOIN seed2 s2 ON s2.code = m.code)
+    SELECT d.code, d.date, d.close,
+           {_r6("CASE WHEN m.g IS NULL THEN NULL WHEN m.l = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + m.g / m.l) END")}
+             AS rsi14,
+           {_r6('m.macd')} AS macd, {_r6('r2.sig')} AS macd_signal, {_r6('m.macd - r2.sig')} AS macd_hist
+    FROM d JOIN m ON d.code = m.code AND d.rn = m.rn JOIN r2 ON d.code = r2.code AND d.rn = r2.rn"""
+
+
+def with_base_recursive(recursive_sql: str) -> str:
+    """Prefix the model CTEs to a `WITH RECURSIVE` statement."""
+    return recursive_sql.replace("WITH RECURSIVE", "WITH RECURSIVE " + BASE.strip() + ",", 1)
+
+
+def picks_select_base(picks_select: str, since, until) -> str:
+    return (f"SELECT code, date, close FROM bars WHERE date BETWEEN {d(since)} AND {d(until)} "
+            f"AND code IN ({picks_select})")
+
+
 REPORT_HEADERS = {
     "up_trend": "Trend breakout picks ({date})",
     "callback": "Breakout pull-back picks ({date})",

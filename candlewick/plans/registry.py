@@ -293,10 +293,13 @@ def x19(spark, sf_dir):
     return s.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in ("bb_up", "bb_dn")})
 
 
-@register("x19_chart_rsi_macd")
+@register("x19_chart_rsi_macd", O.with_base_recursive(O.recursive_indicators_sql(
+    f"SELECT code FROM ({O.ascending_sql(ASC_START, AS_OF)})", publish.CHART_START, AS_OF)))
 def x19_rec(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return publish.chart_recursive(m.bars, screens.ascending(m, ASC_START, AS_OF), until=AS_OF)
+    s = publish.chart_recursive(m.bars, screens.ascending(m, ASC_START, AS_OF), until=AS_OF)
+    # recursive smoothing: compare at 1e-6 (summation order of the seeds may differ in the last bits)
+    return s.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in ("rsi14", "macd", "macd_signal", "macd_hist")})
 
 
 # ------------------------------------------------------ quote streams (batch form)

@@ -57,10 +57,8 @@ def test_matches_oracle(spark, con, key):
     assert canon(rows, df.columns) == canon(orows, ocols)
 
 
-def test_every_query_has_oracle_or_is_rows_only(spark):
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"x19_chart_rsi_macd"}
-    assert set(E.oracle_sql()) <= set(E.queries())
+def test_every_query_has_an_oracle(spark):
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 def test_entry_smoke(spark):
