@@ -5,6 +5,7 @@ python -m candlewick rankings --data DIR --as-of 2015-11-24 --out OUT
 python -m candlewick reports  --as-of 2015-11-24 --out OUT
 python -m candlewick charts   --data DIR --as-of 2015-11-24 --out OUT --reason asc
 python -m candlewick all      --data DIR --as-of 2015-11-24 --out OUT
+python -m candlewick live     --data DIR --as-of 2015-11-24 --out OUT --quotes QDIR [--watch]
 
 DIR holds the source tables (the driver's parquet files); OUT is a shared
 folder. The Spark master and settings come from spark-submit / the
@@ -18,22 +19,34 @@ import json
 
 from candlewick.operators.calendar import as_date
 from candlewick.plans import runs
+from candlewick.streaming import live
 from candlewick.plans.market import load_market
 from candlewick.session import get_spark
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="candlewick")
-    ap.add_argument("job", choices=["screens", "rankings", "reports", "charts", "all"])
+    ap.add_argument("job", choices=["screens", "rankings", "reports", "charts", "all", "live"])
     ap.add_argument("--data", help="folder with the source parquet tables")
     ap.add_argument("--as-of", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--reason", default="asc")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--quotes", help="folder where quote snapshot files (parquet) land")
+    ap.add_argument("--watch", action="store_true", help="keep the live stream running")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     as_of = as_date(a.as_of)
     done: dict = {}
+    if a.job == "live":
+        if not (a.data and a.quotes):
+            ap.error("--data and --quotes are required for live")
+        m = load_market(spark, a.data)
+        q = live.start(spark, m, a.quotes, a.out, as_of, available_now=not a.watch)
+        q.awaitTermination()
+        print(json.dumps({"history": f"{a.out}/live/history", "latest": f"{a.out}/live/latest",
+                          "provisional": f"{a.out}/live/provisional"}, indent=1))
+        return
     if a.job in ("screens", "rankings", "charts", "all"):
         if not a.data:
             ap.error("--data is required for this job")

@@ -94,15 +94,24 @@ def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 
 
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot of a per-batch snapshot table (``latest`` or
+    ``provisional``): rows of the highest batch_id (one small scalar)."""
+    df = spark.read.parquet(path)
+    newest = df.agg(F.max("batch_id").alias("b")).first()["b"]
+    return df.filter(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+
+
 def quote_sink(root: str, history_bars: DataFrame | None = None, as_of=None):
     """A foreachBatch function.
 
-    Each micro-batch writes its quotes to ``history/batch_id=N`` and the
-    merged latest table to ``latest/batch_id=N`` with overwrite: a batch
-    replayed after a failure rewrites the same folders, so the sink is
-    exactly once together with the stream checkpoint. With ``history_bars``
-    the latest snapshot also becomes provisional daily bars (X03) under
-    ``provisional/batch_id=N``.
+    Each micro-batch writes its quotes to ``history/batch_id=N`` (the
+    history is all batches) and the merged latest table to
+    ``latest/batch_id=N`` (a full snapshot: read the newest with
+    ``read_newest``) with overwrite: a batch replayed after a failure
+    rewrites the same folders, so the sink is exactly once together with
+    the stream checkpoint. With ``history_bars`` the latest snapshot also
+    becomes provisional daily bars (X03) under ``provisional/batch_id=N``.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

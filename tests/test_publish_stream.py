@@ -196,3 +196,24 @@ def test_r06_late_quotes_beyond_watermark_are_dropped(spark, tmp_dir):
     out = {r.window_start.day: r for r in spark.sql("SELECT * FROM late_test").collect()}
     assert out[20].close == 2.0 and out[20].n_quotes == 2     # the late 99.0 never entered the closed window
     assert 23 not in out                                      # the newest window is still open
+
+
+def test_live_job_from_feed_layout_files(spark, tmp_dir):
+    from candlewick.operators import bars as B
+    from candlewick.plans.market import load_market
+    from candlewick.schema import QUOTE
+    from candlewick.streaming import live
+    m = load_market(spark, "/root/testdata/sf0.01")
+    as_of = __import__("datetime").date(2015, 11, 24)
+    ticks = B.ticks_from_bars(m.bars, as_of)
+    feed = ticks.select(*[F.col(c) if c in ticks.columns else F.lit(None).cast(QUOTE[c].dataType).alias(c)
+                          for c in QUOTE.fieldNames()])
+    feed.write.parquet(f"{tmp_dir}/quotes/part1")
+    feed.write.parquet(f"{tmp_dir}/quotes/part2")  # the same snapshot delivered twice
+    q = live.start(spark, m, f"{tmp_dir}/quotes/*", f"{tmp_dir}/out", as_of)
+    q.awaitTermination(300)
+    prov = Q.read_newest(spark, f"{tmp_dir}/out/live/provisional")
+    batch = B.tick_to_bar(ticks, m.stocks, as_of)
+    assert prov.count() == batch.count() == 78
+    assert prov.select(*batch.columns).exceptAll(batch).count() == 0
+    assert spark.read.parquet(f"{tmp_dir}/out/live/history").count() == 78
