@@ -108,39 +108,51 @@ def _bucketed(spark: SparkSession, name: str, path: str, build, buckets: int, so
     return spark.table(name)
 
 
+def use_market(spark: SparkSession, sf_dir: str, m: Market, layout: str | None = None) -> None:
+    """Make ``m`` the market that ``load_market(spark, sf_dir)`` returns in
+    this session (e.g. one built into a chosen folder)."""
+    layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
+    with _LOCK:
+        _CACHE[(id(spark.sparkContext), os.path.abspath(sf_dir), layout, None)] = m
+
+
 def work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A folder in the shared folder for intermediate tables of one job."""
     return f"{shared_dir(spark)}/candlewick-work/{_fingerprint(sf_dir)}/{name}"
 
 
-def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None) -> Market:
+def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None,
+                root: str | None = None) -> Market:
     """Bars, info, concept and calendar for the driver tables in ``sf_dir``.
 
     ``layout``: ``"bucketed"`` (default; tables bucketed by code) or
     ``"files"`` (plain Parquet folders); override with ``CANDLEWICK_LAYOUT``.
     The bucket count is ``spark.candlewick.buckets`` when set, else
     ``spark.sql.shuffle.partitions`` (equal counts let joins with shuffled
-    sides keep the buckets' partitioning).
+    sides keep the buckets' partitioning). ``root`` overrides the folder of
+    the stored tables (default: derived from the input fingerprint in the
+    shared folder, so later sessions reuse them).
     """
     if not materialize:
         info = fixtures.info(spark, sf_dir)
         return market_from_frames(fixtures.bars(spark, sf_dir), info, fixtures.concept(spark, sf_dir, info))
     layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir), layout)
+    key = (id(spark.sparkContext), os.path.abspath(sf_dir), layout, root)
     with _LOCK:
         m = _CACHE.get(key)
         if m is not None:
             return m
         fp = _fingerprint(sf_dir)
-        root = f"{shared_dir(spark)}/candlewick-tables/{fp}"
+        root = root or f"{shared_dir(spark)}/candlewick-tables/{fp}"
+        tag = hashlib.sha1(root.encode()).hexdigest()[:16]  # catalog names follow the storage folder
         if layout == "bucketed":
             n = int(spark.conf.get("spark.candlewick.buckets", None)
                     or spark.conf.get("spark.sql.shuffle.partitions"))
-            bars = _bucketed(spark, f"cw_bars_{fp}_{n}", f"{root}/bars-b{n}", lambda: fixtures.bars(spark, sf_dir),
+            bars = _bucketed(spark, f"cw_bars_{tag}_{n}", f"{root}/bars-b{n}", lambda: fixtures.bars(spark, sf_dir),
                              n, ("date", "code"))
-            info = _bucketed(spark, f"cw_info_{fp}_{n}", f"{root}/info-b{n}", lambda: fixtures.info(spark, sf_dir),
+            info = _bucketed(spark, f"cw_info_{tag}_{n}", f"{root}/info-b{n}", lambda: fixtures.info(spark, sf_dir),
                              n, ("code",))
-            concept = _bucketed(spark, f"cw_concept_{fp}_{n}", f"{root}/concept-b{n}",
+            concept = _bucketed(spark, f"cw_concept_{tag}_{n}", f"{root}/concept-b{n}",
                                 lambda: fixtures.concept(spark, sf_dir, info), n, ("code",))
         else:
             bars = _stored(
@@ -155,7 +167,7 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
             lambda df: df.coalesce(1).sortWithinPartitions("date").write)
         first = lambda: bars.groupBy("code").agg(F.min("date").alias("first_date"))
         if layout == "bucketed":
-            listing = _bucketed(spark, f"cw_listing_{fp}_{n}", f"{root}/listing-b{n}", first, n, ("code",))
+            listing = _bucketed(spark, f"cw_listing_{tag}_{n}", f"{root}/listing-b{n}", first, n, ("code",))
         else:
             listing = _stored(spark, f"{root}/listing", first, lambda df: df.write)
         m = Market(bars=bars.select(*BAR_COLS), info=info, concept=concept, calendar=cal, listing=listing,
