@@ -339,10 +339,12 @@ def x20(spark, sf_dir):
     prov = tables.store(bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF),
                         f"{root}/provisional")
     stored_bars = pipeline.refresh_bars(before, None, prov)
-    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars), f"{root}/provisional_ma")
+    # yesterday's run: MA rows of the provisional day from the state of the day before, then the advanced state
+    last_before = tables.store(bar_ops.last_rows(before), f"{root}/last_before", sort_by=("code",))
+    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars, m.first_dates(), since=AS_OF,
+                                                          last=last_before), f"{root}/provisional_ma")
     stored_ma = before.unionByName(prov_ma)
-    # the MA table's stored per-code state after yesterday's run
-    last = tables.store(bar_ops.last_rows(stored_ma), f"{root}/last", sort_by=("code",))
+    last = tables.store(bar_ops.advance_last(last_before, prov_ma), f"{root}/last", sort_by=("code",))
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
     ma, _ = pipeline.refresh_with_state(stored_ma, after, pipeline.changed_keys(landed), last, m.first_dates())
