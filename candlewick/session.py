@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured stage sizes
@@ -69,9 +70,12 @@ def _is_local(path: str) -> bool:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (local paths directly; other file
+    systems through a text-source listing, which fails on a missing path)."""
     if _is_local(path):
         return os.path.exists(path.replace("file:", "", 1))
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException:
+        return False
