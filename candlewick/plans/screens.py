@@ -48,7 +48,7 @@ def two_top_percent(ext: DataFrame, trend_percent: float) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.max_by("close", "date").alias("later"),
              F.min_by("close", "date").alias("earlier"))
         .filter(F.col("n") == 2)
-        .select("code", ((F.col("later") - F.col("earlier")) / F.col("earlier")).alias("percent"))
+        .select("code", rel_change("later", "earlier").alias("percent"))
         .filter(F.col("percent") <= F.lit(trend_percent))
     )
 
@@ -63,7 +63,7 @@ def _breakout(m: Market, ext: DataFrame, first_filter, trend_start, pre_start, t
     info = m.info.filter(not_risk_flagged())
     return (
         first.join(listed, "code").join(pct, "code").join(high, "code")
-        .filter((F.col("h_close") - F.col("m_close")) / F.col("h_close") >= F.lit(up_percent))
+        .filter(F.try_divide(F.col("h_close") - F.col("m_close"), F.col("h_close")) >= F.lit(up_percent))
         .select("code", "percent").join(info.select("code"), "code")
     )
 
@@ -172,7 +172,7 @@ def volume_breakout(m: Market, as_of, push_days: int = 7, up_days: int = 3, volu
         vol_ok = vol_ok | (F.col("cons").isNull() & F.col("pos").isNotNull())
     s = agg.filter(
         (F.col("n") >= up_days) & (F.col("min_close") > 0) & vol_ok
-        & ((F.col("max_close") - F.col("min_close")) / F.col("min_close") >= 0.04)
+        & (rel_change("max_close", "min_close") >= 0.04)
     ).select("code", "max_close")
     today = m.stocks.filter(
         (F.col("date") == F.lit(as_of)) & not_suspended() & above_mas((5, 10, 20, 30, 60))
@@ -244,7 +244,7 @@ def interval_return(m: Market, interval: int, end_day) -> DataFrame:
     )
     return per_code.join(m.concept, "code").select(
         "code", F.lit(start).alias("start_day"), F.lit(end_day).alias("end_day"),
-        ((F.col("end_close") - F.col("start_close")) / F.col("start_close")).alias("percent"),
+        rel_change("end_close", "start_close").alias("percent"),
         "high_percent", "name", "c_name")
 
 

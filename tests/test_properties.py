@@ -92,3 +92,35 @@ def test_x20_daily_append_with_state_writes_exact_tables(spark, markets, tmp_dir
     assert full.numbered.select(*cols).exceptAll(ma.select(*cols)).count() == 0
     last = spark.read.parquet(out["last"])
     assert last.exceptAll(B.last_rows(full.numbered)).count() == 0
+
+
+def _edge_markets(spark):
+    from helpers import market
+    one_bar = market(spark, {"600001": [10.0], "sh": [1.0]})
+    suspended = market(spark, {"600001": [0.0] * 40, "000002": [10.0, 0.0, 0.0, 12.0] * 10, "sh": [1.0] * 40})
+    empty = Market(bars=one_bar.bars.limit(0), info=one_bar.info, concept=one_bar.concept,
+                   calendar=one_bar.calendar)
+    return {"one_bar": one_bar, "suspended": suspended, "empty_bars": empty}
+
+
+@pytest.mark.parametrize("key", sorted(SCREENS))
+def test_screens_survive_edge_markets(spark, key):
+    """One-bar history, suspended bars (close/open 0) and no bars: no ANSI
+    error (division by zero, array index), empty or valid results."""
+    from helpers import day
+    edge_screens = {
+        "x01": lambda m: screens.box_breakout(m, day(0), day(0), 0.1, 0.0, day(39)),
+        "x02": lambda m: screens.pull_back(m, day(0), day(0), 0.1, 0.0, day(39)),
+        "x04": lambda m: screens.ascending(m, day(0), day(39)),
+        "x05": lambda m: screens.latest_ascending(m, day(0), day(39)),
+        "x06": lambda m: screens.volume_breakout(m, day(39)),
+        "x07": lambda m: screens.trough_breakout(m, day(0), day(0), 0.1, 0.0, day(39)),
+        "x08": lambda m: screens.volume_trend(m, day(0), day(20), 2, 1.0, day(39)),
+        "x09": lambda m: screens.continuous_increase(m, day(39), 1),
+        "x10": lambda m: screens.above_all_averages(m, day(39), 2, 2),
+        "x11": lambda m: groups.industry_by_day(m, day(39)),
+        "x13": lambda m: groups.concept_by_day(m, day(39)),
+        "x15": lambda m: screens.interval_return(m, 5, day(39)),
+    }
+    for name, m in _edge_markets(spark).items():
+        edge_screens[key](m).collect()
