@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn", partitions: int | None = None,
-                      stage_path: str | None = None) -> DataFrame:
-    """``df`` with ``name`` = 1-based position in ``order`` (ties broken by
-    the order columns only: give a unique key last).
+                      stage_path: str | None = None, group: str | None = None) -> DataFrame:
+    """``df`` with ``name`` = 1-based position in ``order`` (within each
+    value of ``group`` when given; ties broken by the order columns only:
+    give a unique key last).
 
     Numbering needs two passes (partition sizes, then numbers). With
     ``stage_path`` the input is first written there, so its plan runs once
@@ -26,13 +27,14 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn", part
         df.write.mode("overwrite").parquet(stage_path)
         df = spark.read.parquet(stage_path)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = parts.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    sizes = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    g = [group] if group else []
+    parts = df.repartitionByRange(n, *[F.col(c) for c in g], *order).withColumn("_pid", F.spark_partition_id())
+    local = parts.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", *g).orderBy(*order)))
+    sizes = parts.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", *g, F.sum("_n").over(before).alias("_off"))  # one row per partition
     return (
-        local.join(F.broadcast(offsets), "_pid")
+        local.join(F.broadcast(offsets), ["_pid", *g])
         .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("int"))
         .drop("_pid", "_lrn", "_off")
     )

@@ -51,28 +51,39 @@ HEADERS = {
 LINKED = 3
 
 
-def report_rows(picks: DataFrame, report: str, value_text: Column, keys: dict, order: list,
-                stage_root: str | None = None) -> DataFrame:
-    """Rows (report, industry, name, code, value, rn) in report order.
-
-    ``keys`` are the sort-key values (name -> Column) and ``order`` the sort
-    over those names (and ``code``). The numbering is distributed (no
-    single-task window over all picks); the picks are staged once under
-    ``stage_root`` (default: the shared folder) so their plan runs once.
-    """
-    spark = picks.sparkSession
+SORT_KEYS = ("s1", "s2", "s3")
+
+
+def report_rows(picks: DataFrame, report: str, value_text: Column, sort_keys: list[Column]) -> DataFrame:
+    """Unnumbered rows (report, industry, name, code, value, s1..s3) of one
+    report. ``sort_keys`` are numeric and ascending, NULLs last (a
+    descending key is given negated); ``code`` breaks ties. Rows of several
+    reports are numbered together by ``number_reports``."""
+    keys = list(sort_keys) + [F.lit(None)] * (len(SORT_KEYS) - len(sort_keys))
+    return picks.select(F.lit(report).alias("report"), "industry", "name", "code", value_text.alias("value"),
+                        *[k.cast("double").alias(n) for k, n in zip(keys, SORT_KEYS)])
+
+
+def number_reports(rows: DataFrame, stage_root: str | None = None) -> DataFrame:
+    """Adds ``rn`` (position within its report). The numbering is
+    distributed (no single-task window over all picks); the picks of all
+    reports are staged once under ``stage_root`` (default: the shared
+    folder; one folder per distinct plan, so a rerun overwrites it)."""
+    spark = rows.sparkSession
     root = stage_root or f"{shared_dir(spark)}/candlewick-work/reports"
-    rows = picks.select("industry", "name", "code", value_text.alias("value"),
-                        *[v.alias(k) for k, v in keys.items()])
-    # one folder per distinct plan: a rerun of the same report overwrites it
-    numbered = global_row_number(rows, order, stage_path=f"{root}/{report}-{rows.semanticHash() & 0xffffffff:08x}")
-    return numbered.select(F.lit(report).alias("report"), "industry", "name", "code", "value", "rn")
+    order = [F.col(k).asc_nulls_last() for k in SORT_KEYS] + [F.col("code").asc()]
+    numbered = global_row_number(rows, order, group="report",
+                                 stage_path=f"{root}/picks-{rows.semanticHash() & 0xffffffff:08x}")
+    return numbered.select("report", "industry", "name", "code", "value", "rn")
 
 
 def report_lines(rows: DataFrame, as_of, reports=None) -> DataFrame:
     """A header line per report (also without picks), then per pick
     one line; the first three picks get an extra line before it. One pass
-    over the picks. Out: report, line_no, text."""
+    over the picks (numbered first when ``rn`` is missing). Out: report,
+    line_no, text."""
+    if "rn" not in rows.columns:
+        rows = number_reports(rows)
     prefix = F.concat(F.lit("["), F.col("industry"), F.lit("]["), F.col("value"), F.lit("]:"))
     short = F.concat(prefix, F.lit("$"), F.col("name"), F.lit("("), exchange_of(), F.col("code"), F.lit(")$"))
     full = F.concat(prefix, F.lit("\t"), F.col("name"), F.lit(" : "), quote_link())
@@ -97,14 +108,13 @@ def report_lines(rows: DataFrame, as_of, reports=None) -> DataFrame:
 def breakout_report(picks: DataFrame, report: str) -> DataFrame:
     """Rows of the up_trend / callback reports: percent printed x 100 (Q23)."""
     text = F.format_string("%.2f%%", round_fixed(F.col("percent") * 100, 2, 6))
-    return report_rows(picks, report, text, {"k_pct": F.col("percent")}, [F.col("k_pct").desc(), F.col("code")])
+    return report_rows(picks, report, text, [-F.col("percent")])
 
 
 def increase_report(cont: DataFrame) -> DataFrame:
-    """Rows of the continuous-increase report: n_days desc, last change desc."""
-    return report_rows(cont, "increase", join_percent("p_change"),
-                       {"k_days": F.col("n_days"), "k_last": last("p_change")},
-                       [F.col("k_days").desc(), F.col("k_last").desc_nulls_last(), F.col("code")])
+    """Rows of the continuous-increase report: n_days desc, last change desc
+    (NULLs last)."""
+    return report_rows(cont, "increase", join_percent("p_change"), [-F.col("n_days"), -last("p_change")])
 
 
 def all_mas_report(rows: DataFrame) -> DataFrame:
@@ -112,9 +122,7 @@ def all_mas_report(rows: DataFrame) -> DataFrame:
     (A22), ordered n_days desc, interval asc, change desc (numeric, Q09)."""
     dedup = rows.groupBy("industry", "name", "code", "p_change", "n_days").agg(F.min("interval").alias("interval"))
     text = F.format_string("%.2f%%", round_fixed("p_change"))
-    return report_rows(dedup, "up_all_mas", text,
-                       {"k_days": F.col("n_days"), "k_iv": F.col("interval"), "k_chg": F.col("p_change")},
-                       [F.col("k_days").desc(), F.col("k_iv").asc(), F.col("k_chg").desc(), F.col("code")])
+    return report_rows(dedup, "up_all_mas", text, [-F.col("n_days"), F.col("interval"), -F.col("p_change")])
 
 
 CHART_START = dt.date(2015, 5, 1)

@@ -299,7 +299,7 @@ def test_q09_report_sorts_numbers_not_text(spark):
     rows_ = spark.createDataFrame(
         [("I", "A", "600001", 9.0, 2, 1), ("I", "B", "600002", 10.0, 2, 1), ("I", "B", "600002", 10.0, 2, 2)],
         "industry string, name string, code string, p_change double, n_days int, interval int")
-    got = P.all_mas_report(rows_).orderBy("rn").collect()
+    got = P.number_reports(P.all_mas_report(rows_)).orderBy("rn").collect()
     assert [r.code for r in got] == ["600002", "600001"]     # A22: one row per pick
     assert got[0].value == "10.00%"
 
