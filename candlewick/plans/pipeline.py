@@ -79,13 +79,17 @@ def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: Dat
         .filter(F.col("first_changed").isNull() | (F.col("date") < F.col("first_changed")))
         .drop("first_changed")
     )
-    since = changed.agg(F.min("date").alias("d")).first()["d"]
+    # one small job: the first changed day and whether any change is a correction
+    probe = first.join(last, "code", "left").agg(
+        F.min("first_changed").alias("since"),
+        F.count_if(F.col("first_changed") <= F.col("hwm")).alias("n_corrected")).first()
+    since = probe["since"]
     with_first = last.join(first, "code", "left")
     appended = with_first.filter(
         F.col("first_changed").isNull() | (F.col("first_changed") > F.col("hwm"))).drop("first_changed")
-    corrected = with_first.filter(F.col("first_changed") <= F.col("hwm")).select("code")
     kept_last = appended
-    if corrected.limit(1).count():  # corrections are rare: read their kept rows only then
+    if probe["n_corrected"]:  # corrections are rare: read their kept rows only then
+        corrected = with_first.filter(F.col("first_changed") <= F.col("hwm")).select("code")
         kept_last = appended.unionByName(last_rows(keep.join(corrected, "code", "left_semi")))
     ext = extend_moving_averages(keep, bars_after, first_dates, since=since, last=kept_last)
     return keep.unionByName(ext), advance_last(kept_last, ext)
