@@ -169,7 +169,8 @@ def top_groups_on_day(by_day: DataFrame, group_col: str, k: int) -> DataFrame:
 
 def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
     """Industry change minus index change by date (left join J07) for
-    the k best industries of the newest day (J08)."""
+    the k best industries of the newest day (J08). ``by_day`` is read three
+    times (top groups, series, first day): pass a stored frame."""
     first = by_day.agg(F.min("date").alias("first_day"))
     index = (
         m.bars.filter(F.col("code") == CALENDAR_CODE).select("date", F.col("p_change").alias("index_change"))
@@ -183,7 +184,8 @@ def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
 
 
 def hot_industries_with_index(m: Market, by_day: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k industries' daily series UNION ALL the index series."""
+    """Top-k industries' daily series UNION ALL the index series.
+    ``by_day`` is read three times: pass a stored frame."""
     span = by_day.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
     hot = by_day.join(top_groups_on_day(by_day, "industry", k), "industry", "left_semi").select(
         F.lit("industry index").alias("series"), "industry", "date", "p_change")

@@ -254,13 +254,17 @@ def s07(spark, sf_dir):
 @register("x16_excess_return", O.excess_return_sql(AS_OF, 20))
 def x16(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return groups.excess_return(m, groups.industry_stats_by_day(m, AS_OF, 30, 3), k=20)
+    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3),
+                         work_dir(spark, sf_dir, f"x16-stats-{AS_OF}"), sort_by=("date",))
+    return groups.excess_return(m, stats, k=20)
 
 
 @register("x17_hot_industries_with_index", O.hot_industries_sql(AS_OF, 10))
 def x17(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    return groups.hot_industries_with_index(m, groups.industry_stats_by_day(m, AS_OF, 30, 3), k=10)
+    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3),
+                         work_dir(spark, sf_dir, f"x17-stats-{AS_OF}"), sort_by=("date",))
+    return groups.hot_industries_with_index(m, stats, k=10)
 
 
 # ------------------------------------------------------ publishing
