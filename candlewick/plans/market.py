@@ -24,7 +24,8 @@ from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE, INDEX_NAME
 from candlewick.session import path_exists, shared_dir
 from candlewick.sources import fixtures
 
-FIXTURE_VERSION = "6"
+# Part of the stored tables' fingerprint: bump whenever the derived tables change.
+FIXTURE_VERSION = "7"
 
 
 @dataclass
