@@ -336,19 +336,19 @@ def x20(spark, sf_dir):
     full rebuild (Q10, Q21)."""
     m = load_market(spark, sf_dir)
     before = m.numbered.filter(F.col("date") < F.lit(AS_OF))
-    # yesterday's live run stored one provisional day in bars and MA table:
-    # those day rows are written to the shared folder (computed once, short
-    # lineage); the older history is the stored market itself
+    # yesterday's live run stored one provisional day in bars and MA table: only those day rows and the
+    # state are written to the shared folder (computed once, short lineage); older history is the market itself
     root = work_dir(spark, sf_dir, f"x20-{AS_OF}")
-    prov = tables.store(bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF),
-                        f"{root}/provisional")
-    stored_bars = pipeline.refresh_bars(before, None, prov)
-    # yesterday's run: MA rows of the provisional day from the state of the day before, then the advanced state
+    prov = bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
+    # yesterday's run: MA rows of the provisional day from the state of the day before (stored), then the
+    # advanced state; the provisional bars themselves are the bar columns of those stored rows
     last_before = tables.store(bar_ops.last_rows(before), f"{root}/last_before", sort_by=("code",))
-    prov_ma = tables.store(bar_ops.extend_moving_averages(before, stored_bars, m.first_dates(), since=AS_OF,
-                                                          last=last_before), f"{root}/provisional_ma")
+    prov_ma = tables.store(bar_ops.extend_moving_averages(before, pipeline.refresh_bars(before, None, prov),
+                                                          m.first_dates(), since=AS_OF, last=last_before),
+                           f"{root}/provisional_ma")
+    stored_bars = pipeline.refresh_bars(before, None, prov_ma)
     stored_ma = before.unionByName(prov_ma)
-    last = tables.store(bar_ops.advance_last(last_before, prov_ma), f"{root}/last", sort_by=("code",))
+    last = bar_ops.advance_last(last_before, prov_ma)
     landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
     after = pipeline.refresh_bars(stored_bars, landed)
     ma, _ = pipeline.refresh_with_state(stored_ma, after, pipeline.changed_keys(landed), last, m.first_dates())
