@@ -104,7 +104,8 @@ def advance_last(last: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 
 def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: DataFrame | None = None,
-                           since=None, last: DataFrame | None = None) -> DataFrame:
+                           since=None, last: DataFrame | None = None,
+                           first_new: DataFrame | None = None) -> DataFrame:
     """W02 (Q21 fix): MA rows for bars newer than each code's newest MA row.
 
     Each new row's averages need the code's last TAIL_LEN bars before its
@@ -121,7 +122,10 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
     scan. Without it, the newest rows come from an aggregate over
     ``stored_ma`` and the tail from the history's four needed columns. When
     ``stored_ma`` is indexed (bar_no, tail_from), new rows get their index
-    columns in the same window pass.
+    columns in the same window pass. ``first_new`` (code, first_new) may
+    name each code's first new day when the caller knows it (the refresh:
+    its first changed day per code); otherwise it is derived from the new
+    bars.
     """
     indexed = all(c in stored_ma.columns for c in INDEX_COLS)
     if last is not None:
@@ -134,7 +138,8 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
     if since is not None:
         src = src.filter(F.col("date") >= F.lit(since))
     new = src.join(hw, "code", "left").filter(F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
-    first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
+    if first_new is None:
+        first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
     history = bars.select("code", "date", "close", "volume")  # the tail only feeds the averages
     if last is not None:
         lower = _tail_bound(first_new, hw, first_dates)

@@ -91,7 +91,8 @@ def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: Dat
     if probe["n_corrected"]:  # corrections are rare: read their kept rows only then
         corrected = with_first.filter(F.col("first_changed") <= F.col("hwm")).select("code")
         kept_last = appended.unionByName(last_rows(keep.join(corrected, "code", "left_semi")))
-    ext = extend_moving_averages(keep, bars_after, first_dates, since=since, last=kept_last)
+    ext = extend_moving_averages(keep, bars_after, first_dates, since=since, last=kept_last,
+                                 first_new=first.withColumnRenamed("first_changed", "first_new"))
     return keep.unionByName(ext), advance_last(kept_last, ext)
 
 

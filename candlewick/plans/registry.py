@@ -344,7 +344,9 @@ def x20(spark, sf_dir):
     # advanced state; the provisional bars themselves are the bar columns of those stored rows
     last_before = tables.store(bar_ops.last_rows(before), f"{root}/last_before", sort_by=("code",))
     prov_ma = tables.store(bar_ops.extend_moving_averages(before, pipeline.refresh_bars(before, None, prov),
-                                                          m.first_dates(), since=AS_OF, last=last_before),
+                                                          m.first_dates(), since=AS_OF, last=last_before,
+                                                          first_new=prov.select("code", F.col("date").alias(
+                                                              "first_new"))),
                            f"{root}/provisional_ma")
     stored_bars = pipeline.refresh_bars(before, None, prov_ma)
     stored_ma = before.unionByName(prov_ma)
