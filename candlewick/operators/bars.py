@@ -184,8 +184,9 @@ def _tail_bound(first_new: DataFrame, hw: DataFrame, first_dates: DataFrame | No
 
 
 def refresh_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:
-    """X20 step: MA table upserted with the rows of new or changed days."""
-    return upsert(stored_ma, extend_moving_averages(stored_ma, bars), BAR_COLS)
+    """W02 as a table update: the MA table with the rows of new days added
+    (index columns kept when the table has them)."""
+    return upsert(stored_ma, extend_moving_averages(stored_ma, bars), stored_ma.columns)
 
 
 # ------------------------------------------------------------- quotes->bars

@@ -336,3 +336,12 @@ def test_q23_q24_report_values(spark):
 def test_all_index_series_are_not_stocks(spark):
     m = market(spark, {"600001": [1, 2], "sh": [1, 1], "hs300": [1, 1], "cyb": [2, 2]})
     assert {r.code for r in m.stocks.select("code").distinct().collect()} == {"600001"}
+
+
+def test_w02_table_update_keeps_index_columns(spark):
+    from candlewick.operators.windows import with_bar_index
+    full = with_bar_index(bars_df(spark, {"600001": [float(10 + i % 7) for i in range(40)]}))
+    stored = full.filter(F.col("date") <= day(30))
+    out = B.refresh_moving_averages(stored, full.drop("bar_no", "tail_from"))
+    assert set(out.columns) == set(full.columns)
+    assert rows(out, "date", "bar_no", "ma5") == rows(full, "date", "bar_no", "ma5")
