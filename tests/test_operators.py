@@ -345,3 +345,12 @@ def test_w02_table_update_keeps_index_columns(spark):
     out = B.refresh_moving_averages(stored, full.drop("bar_no", "tail_from"))
     assert set(out.columns) == set(full.columns)
     assert rows(out, "date", "bar_no", "ma5") == rows(full, "date", "bar_no", "ma5")
+
+
+def test_w07_recency_rank_and_w09_lag_change(spark):
+    from candlewick.operators.windows import lag_change, recency_rank
+    b = bars_df(spark, {"600001": [10, 11, 12, 13]}, volumes={"600001": [100, 150, 75, 75]})
+    ranked = recency_rank(b, day(1), day(3))
+    assert rows(ranked, "date", "rank") == [(day(1), 3), (day(2), 2), (day(3), 1)]
+    chg = b.select("date", lag_change(b, "volume").alias("c")).orderBy("date").collect()
+    assert [r.c for r in chg] == [None, 0.5, -0.5, 0.0]
