@@ -6,6 +6,7 @@ python -m candlewick reports  --as-of 2015-11-24 --out OUT
 python -m candlewick charts   --data DIR --as-of 2015-11-24 --out OUT --reason asc
 python -m candlewick all      --data DIR --as-of 2015-11-24 --out OUT
 python -m candlewick live     --data DIR --as-of 2015-11-24 --out OUT --quotes QDIR [--watch]
+python -m candlewick refresh  --data DIR --as-of 2015-11-24 --out OUT --landed LDIR [--provisional PDIR]
 
 DIR holds the source tables (the driver's parquet files); OUT is a shared
 folder. The Spark master and settings come from spark-submit / the
@@ -26,7 +27,7 @@ from candlewick.session import get_spark
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="candlewick")
-    ap.add_argument("job", choices=["screens", "rankings", "reports", "charts", "all", "live"])
+    ap.add_argument("job", choices=["screens", "rankings", "reports", "charts", "all", "live", "refresh"])
     ap.add_argument("--data", help="folder with the source parquet tables")
     ap.add_argument("--as-of", required=True)
     ap.add_argument("--out", required=True)
@@ -34,6 +35,8 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None)
     ap.add_argument("--quotes", help="folder where quote snapshot files (parquet) land")
     ap.add_argument("--watch", action="store_true", help="keep the live stream running")
+    ap.add_argument("--landed", help="folder with landed final bars (stock_daily layout, parquet)")
+    ap.add_argument("--provisional", help="folder with provisional bars (stock_daily layout, parquet)")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     as_of = as_date(a.as_of)
@@ -47,6 +50,12 @@ def main(argv=None) -> None:
         print(json.dumps({"history": f"{a.out}/live/history", "latest": f"{a.out}/live/latest",
                           "provisional": f"{a.out}/live/provisional"}, indent=1))
         return
+    if a.job == "refresh":
+        if not (a.data and a.landed):
+            ap.error("--data and --landed are required for refresh")
+        m = load_market(spark, a.data)
+        print(json.dumps(runs.run_refresh(m, a.landed, as_of, a.out, a.provisional), indent=1))
+        return
     if a.job in ("screens", "rankings", "charts", "all"):
         if not a.data:
             ap.error("--data is required for this job")

@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE, INDEX_NAMES
 from candlewick.session import path_exists, shared_dir
+from candlewick.operators.bars import last_rows
 from candlewick.sources import fixtures
 
 # Part of the stored tables' fingerprint: bump whenever the derived tables change.
-FIXTURE_VERSION = "7"
+FIXTURE_VERSION = "8"
 
 
 @dataclass
@@ -35,7 +36,8 @@ class Market:
     concept: DataFrame   # stock_concept
     calendar: DataFrame  # open days: dates of the index series `sh`
     listing: DataFrame | None = None  # stored (code, first_date); derived from bars when absent
-    numbered: DataFrame | None = None  # bars + bar_no (1-based position in the code's series)
+    numbered: DataFrame | None = None  # bars + bar_no (1-based position in the code's series) + tail_from
+    ma_state: DataFrame | None = None  # stored per-code state of the MA table (operators.bars.last_rows)
 
     def first_dates(self) -> DataFrame:
         """A01's min_date per code (a first day never depends on later bars)."""
@@ -171,7 +173,12 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
             listing = _bucketed(spark, f"cw_listing_{tag}_{n}", f"{root}/listing-b{n}", first, n, ("code",))
         else:
             listing = _stored(spark, f"{root}/listing", first, lambda df: df.write)
+        state = lambda: last_rows(bars)
+        if layout == "bucketed":
+            ma_state = _bucketed(spark, f"cw_state_{tag}_{n}", f"{root}/ma_state-b{n}", state, n, ("code",))
+        else:
+            ma_state = _stored(spark, f"{root}/ma_state", state, lambda df: df.write)
         m = Market(bars=bars.select(*BAR_COLS), info=info, concept=concept, calendar=cal, listing=listing,
-                   numbered=bars)
+                   numbered=bars, ma_state=ma_state)
         _CACHE[key] = m
         return m

@@ -3,7 +3,8 @@
 ``run_screens`` evaluates the pick screens for an as-of day and replaces
 each (update_date, reason) slice of the picks table (K04); ``run_rankings``
 replaces the day's ranking slices; ``run_reports`` writes the report lines
-of the day as text (K07); ``run_charts`` writes chart series per code (K08).
+of the day as text (K07); ``run_charts`` writes chart series per code (K08);
+``run_refresh`` is the daily bar and moving-average refresh (X20).
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.calendar import as_date
-from candlewick.plans import groups, publish, screens
+from candlewick.plans import groups, pipeline, publish, screens
 from candlewick.plans.market import Market
+from candlewick.schema import BARS_DAILY
+from candlewick.sources.tables import read_landed
 
 # Default parameters of the screens (those of FIXTURES.md §3 for the test data).
 DEFAULTS = {
@@ -107,3 +110,15 @@ def run_charts(m: Market, as_of, out_root: str, reason: str, since=publish.CHART
     path = f"{out_root}/charts/update_date={d}/reason={reason}"
     publish.write_chart_data(series, path)
     return path
+
+
+def run_refresh(m: Market, landed_dir: str, run_day, out_root: str, provisional_dir: str | None = None) -> dict:
+    """X20 as a job: landed final bars (and optionally provisional bars) in
+    the stock_daily layout are upserted into the stored bars, the MA table is
+    extended through the stored per-code state, and a new version of bars,
+    MA table and state is written under ``out_root/refresh/run=<day>``."""
+    spark = m.bars.sparkSession
+    landed = read_landed(spark, landed_dir, BARS_DAILY)
+    prov = read_landed(spark, provisional_dir, BARS_DAILY) if provisional_dir else None
+    return pipeline.daily_refresh(m.daily, m.numbered, landed, f"{out_root}/refresh", as_date(run_day),
+                                  provisional=prov, last=m.ma_state, first_dates=m.first_dates())

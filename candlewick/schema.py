@@ -19,6 +19,12 @@ BARS = T.StructType(
     + [T.StructField(c, D) for c in BAR_COLS[2:]]
 )
 
+# stock_daily as landed by a feed (no moving averages of the longer windows)
+BARS_DAILY = T.StructType(
+    [T.StructField("code", S, False), T.StructField("date", T.DateType(), False)]
+    + [T.StructField(c, D) for c in BAR_BASE_COLS[2:]]
+)
+
 INFO = T.StructType([
     T.StructField("code", S, False), T.StructField("name", S), T.StructField("industry", S),
     T.StructField("esp", D), T.StructField("pe", D),

@@ -217,3 +217,22 @@ def test_live_job_from_feed_layout_files(spark, tmp_dir):
     assert prov.count() == batch.count() == 78
     assert prov.select(*batch.columns).exceptAll(batch).count() == 0
     assert spark.read.parquet(f"{tmp_dir}/out/live/history").count() == 78
+
+
+def test_refresh_job_with_landed_files(spark, tmp_dir):
+    import datetime as dt
+    from candlewick.operators import bars as B
+    from candlewick.plans import runs
+    from candlewick.plans.market import load_market
+    from candlewick.schema import BAR_BASE_COLS
+    m = load_market(spark, "/root/testdata/sf0.01")
+    newest = dt.date(2015, 12, 24)
+    m.daily.filter(F.col("date") == F.lit(newest)).write.parquet(f"{tmp_dir}/landed")  # the day landed again
+    out = runs.run_refresh(m, f"{tmp_dir}/landed", newest, f"{tmp_dir}/out")
+    bars = spark.read.parquet(out["bars"])
+    assert bars.select(*BAR_BASE_COLS).exceptAll(m.daily).count() == 0 and bars.count() == m.daily.count()
+    cols = ["code", "date", "ma5", "ma250", "bar_no", "tail_from"]
+    ma = spark.read.parquet(out["bars_ma"])
+    assert ma.select(*cols).exceptAll(m.numbered.select(*cols)).count() == 0
+    assert ma.count() == m.numbered.count()
+    assert spark.read.parquet(out["last"]).exceptAll(B.last_rows(m.numbered)).count() == 0
