@@ -103,6 +103,36 @@ def extremes(
     })
 
 
+def peaks_and_troughs(
+    bars: DataFrame,
+    start,
+    end,
+    left: int = PEAK_LEFT,
+    right: int = PEAK_RIGHT,
+) -> DataFrame:
+    """W03-W06 for both kinds in one scan and one window pass: rows of
+    ``extremes(kind="peak")`` and ``extremes(kind="trough")`` with a
+    ``kind`` column (a bar can be both). Out: code, kind, date, close, rank,
+    date_rank (ranks within (code, kind))."""
+    rows = bars.select("code", "date", "close")
+    if start is not None:
+        rows = rows.filter(F.col("date") >= F.lit(start))
+    if end is not None:
+        rows = rows.filter(F.col("date") <= F.lit(end))
+    w = by_code().rowsBetween(-left, right)
+    both = rows.withColumns({"_max": F.max("close").over(w), "_min": F.min("close").over(w)})
+    kinds = F.filter(
+        F.array(F.when(F.col("close") == F.col("_max"), F.lit("peak")),
+                F.when(F.col("close") == F.col("_min"), F.lit("trough"))),
+        lambda k: k.isNotNull())
+    ext = both.select("code", "date", "close", F.explode(kinds).alias("kind"))
+    by_kind = Window.partitionBy("code", "kind")
+    return ext.withColumns({
+        "rank": F.row_number().over(by_kind.orderBy(F.col("close").desc(), F.col("date").desc())).cast("bigint"),
+        "date_rank": F.row_number().over(by_kind.orderBy(F.col("date").desc())).cast("bigint"),
+    })
+
+
 def recency_rank(bars: DataFrame, since, until=None) -> DataFrame:
     """row_number of bars per code by date desc inside [since, until]."""
     rows = bars.filter(F.col("date") >= F.lit(since))

@@ -22,7 +22,7 @@ from candlewick.functions.columns import (
 )
 from candlewick.operators import stats
 from candlewick.operators.calendar import as_date, count_open_days, next_open_day, open_day
-from candlewick.operators.windows import extremes
+from candlewick.operators.windows import extremes, peaks_and_troughs
 from candlewick.plans.market import Market
 from candlewick.schema import INDEX_NAMES
 
@@ -106,10 +106,15 @@ def trough_breakout(m: Market, trend_start, pre_start, trend_percent: float, up_
 
 def rising_structure(m: Market, trend_start, as_of) -> DataFrame:
     """Codes whose peaks and troughs over [trend_start, as_of] are all in
-    rising order (A20 on both)."""
-    peaks = stats.monotone_codes(extremes(m.stocks, trend_start, as_of, "peak"))
-    lows = stats.monotone_codes(extremes(m.stocks, trend_start, as_of, "trough"))
-    return peaks.join(lows, "code")
+    rising order (A20 on both kinds; both kinds must exist). One scan and
+    one window pass for both kinds."""
+    ext = peaks_and_troughs(m.stocks, trend_start, as_of)
+    monotone = (
+        ext.groupBy("code", "kind")
+        .agg(F.count_if(F.col("rank") == F.col("date_rank")).alias("n_eq"), F.max("rank").alias("n"))
+        .filter(F.col("n_eq") == F.col("n"))
+    )
+    return monotone.groupBy("code").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") == 2).select("code")
 
 
 def today_with_history(m: Market, as_of, min_bars: int) -> DataFrame:

@@ -354,3 +354,14 @@ def test_w07_recency_rank_and_w09_lag_change(spark):
     assert rows(ranked, "date", "rank") == [(day(1), 3), (day(2), 2), (day(3), 1)]
     chg = b.select("date", lag_change(b, "volume").alias("c")).orderBy("date").collect()
     assert [r.c for r in chg] == [None, 0.5, -0.5, 0.0]
+
+
+def test_peaks_and_troughs_in_one_pass_equal_separate_extremes(spark):
+    from candlewick.operators.windows import peaks_and_troughs
+    series = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5, 8, 9, 7, 9, 3, 2, 3, 8, 4, 6, 2, 6, 4, 3, 3, 3]
+    b = bars_df(spark, {"600001": series, "000002": series[::-1]})
+    both = peaks_and_troughs(b, day(2), day(24), left=2, right=2)
+    for kind in ("peak", "trough"):
+        sep = extremes(b, day(2), day(24), kind, left=2, right=2)
+        assert rows(both.filter(F.col("kind") == kind), "code", "date", "close", "rank", "date_rank") == \
+            rows(sep, "code", "date", "close", "rank", "date_rank")
