@@ -171,11 +171,9 @@ def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
     """Industry change minus index change by date (left join J07) for
     the k best industries of the newest day (J08). ``by_day`` is read three
     times (top groups, series, first day): pass a stored frame."""
-    first = by_day.agg(F.min("date").alias("first_day"))
-    index = (
-        m.bars.filter(F.col("code") == CALENDAR_CODE).select("date", F.col("p_change").alias("index_change"))
-        .join(F.broadcast(first), F.col("date") >= F.col("first_day")).drop("first_day")
-    )
+    first_day = by_day.agg(F.min("date").alias("d")).first()["d"]  # scalar: the date bound reaches the scan
+    index = m.bars.filter((F.col("code") == CALENDAR_CODE) & (F.col("date") >= F.lit(first_day))).select(
+        "date", F.col("p_change").alias("index_change"))
     hot = by_day.join(top_groups_on_day(by_day, "industry", k), "industry", "left_semi")
     return hot.join(index, "date", "left").select(
         F.lit("industry index").alias("series"), "industry", "date",
@@ -186,12 +184,11 @@ def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
 def hot_industries_with_index(m: Market, by_day: DataFrame, k: int = 10) -> DataFrame:
     """Top-k industries' daily series UNION ALL the index series.
     ``by_day`` is read three times: pass a stored frame."""
-    span = by_day.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    span = by_day.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()  # scalars for the scan
     hot = by_day.join(top_groups_on_day(by_day, "industry", k), "industry", "left_semi").select(
         F.lit("industry index").alias("series"), "industry", "date", "p_change")
     index = (
-        m.bars.filter(F.col("code") == CALENDAR_CODE)
-        .join(F.broadcast(span), F.col("date").between(F.col("first_day"), F.col("last_day")))
+        m.bars.filter((F.col("code") == CALENDAR_CODE) & F.col("date").between(F.lit(span["lo"]), F.lit(span["hi"])))
         .select(F.lit("market index").alias("series"), F.lit("market index").alias("industry"),
                 "date", "p_change")
     )

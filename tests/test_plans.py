@@ -56,3 +56,9 @@ def test_python_runs_only_for_the_recursive_indicators(spark):
         python = any(n in plan for n in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                                          "FlatMapGroupsInArrow", "MapInPandas"))
         assert python == (key == "x19_chart_rsi_macd"), key
+
+
+def test_no_nested_loop_or_cartesian_join_anywhere(spark):
+    for key, fn in E.queries().items():
+        plan = final_plan(fn(spark, SF))
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
