@@ -62,3 +62,15 @@ def test_no_nested_loop_or_cartesian_join_anywhere(spark):
     for key, fn in E.queries().items():
         plan = final_plan(fn(spark, SF))
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
+
+
+def test_bucket_count_follows_the_session_setting(spark, tmp_dir):
+    from candlewick.plans.market import load_market
+    spark.conf.set("spark.candlewick.buckets", "3")
+    try:
+        m = load_market(spark, SF, root=f"{tmp_dir}/market")
+        plan = final_plan(m.stocks.groupBy("code").count())
+        assert "SelectedBucketsCount: 3 out of 3" in plan
+        assert "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.candlewick.buckets")
