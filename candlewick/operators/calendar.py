@@ -66,6 +66,16 @@ def count_open_days(calendar: DataFrame, start, end) -> int:
     return open_days(calendar, start, end).count()
 
 
+def window_facts(calendar: DataFrame, start, end) -> tuple[int, dt.date | None]:
+    """A08 + next open day in one small job: (open days in [start, end],
+    first open day after end)."""
+    r = calendar.agg(
+        F.count_if(F.col("date").between(F.lit(start), F.lit(end))).alias("n"),
+        F.min(F.when(F.col("date") > F.lit(end), F.col("date"))).alias("next"),
+    ).first()
+    return r["n"], r["next"]
+
+
 def next_open_day(calendar: DataFrame, after) -> dt.date | None:
     """First open day strictly after ``after`` (Q18)."""
     return calendar.filter(F.col("date") > F.lit(after)).agg(F.min("date").alias("d")).first()["d"]

@@ -21,7 +21,7 @@ from candlewick.functions.columns import (
     round_fixed, short_upper_shadow,
 )
 from candlewick.operators import stats
-from candlewick.operators.calendar import as_date, count_open_days, next_open_day, open_day
+from candlewick.operators.calendar import as_date, count_open_days, open_day, window_facts
 from candlewick.operators.windows import extremes, peaks_and_troughs
 from candlewick.plans.market import Market
 from candlewick.schema import INDEX_NAMES
@@ -253,13 +253,15 @@ def interval_return(m: Market, interval: int, end_day) -> DataFrame:
         "high_percent", "name", "c_name")
 
 
-def volume_trend_codes(m: Market, start, end, volume_cnt: int, neg_volume_percent: float) -> DataFrame:
+def volume_trend_codes(m: Market, start, end, volume_cnt: int, neg_volume_percent: float,
+                       n_open: int | None = None) -> DataFrame:
     """X08 first stage: per code in [start, end] at least (open days - 3)
     bars; few up-day volumes below the largest down-day volume (U03, Q02:
     at most volume_cnt of them); consecutive down-day volumes never change
     by more than neg_volume_percent (U02, Q02). No down day: both pass."""
     start, end = as_date(start), as_date(end)
-    n_open = count_open_days(m.calendar, start, end)
+    if n_open is None:
+        n_open = count_open_days(m.calendar, start, end)
     rows = m.stocks.filter(F.col("date").between(F.lit(start), F.lit(end))).select(
         "code", "date", "p_change", "volume")
     down = rows.filter(F.col("p_change") < 0)
@@ -284,9 +286,9 @@ def volume_trend(m: Market, start, end, volume_cnt: int, neg_volume_percent: flo
     """For the kept codes, (high on the as-of day - close on the first
     open day after end) / that close, where that day's p_change < 9.9 (Q18:
     next open day, not next calendar day)."""
-    as_of = as_date(as_of)
-    codes = volume_trend_codes(m, start, end, volume_cnt, neg_volume_percent)
-    min_day = next_open_day(m.calendar, as_date(end))
+    as_of, start, end = as_date(as_of), as_date(start), as_date(end)
+    n_open, min_day = window_facts(m.calendar, start, end)  # one small job for both calendar facts
+    codes = volume_trend_codes(m, start, end, volume_cnt, neg_volume_percent, n_open=n_open)
     fwd = (
         m.stocks.filter(F.col("date").isin(F.lit(min_day), F.lit(as_of)))
         .join(codes, "code", "left_semi")
