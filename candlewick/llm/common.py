@@ -40,18 +40,40 @@ def crc_fold(id_col: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id",
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``(id, text, label)`` of the documents with a label outside the held-out fold (the only rows a
-    classifier learns from)."""
+    """``(id, text, label)`` of at most ``most`` documents of each label (0 and 1), chosen by a hash of their id,
+    outside the held-out fold: the only rows that a classifier learns from. An id with both labels counts as 1."""
     known = (
-        labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (crc_fold(F.col(id_col)) != 0))
+        labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(F.col(id_col)) != 0))
         .groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("label"))
     )
+    chosen = bounded_sample(known.where("label = 0"), most, "id").union(bounded_sample(known.where("label = 1"), most, "id"))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.join(known, "id")
+    return rows.join(F.broadcast(chosen), "id")  # at most 2 * most ids
 
 
 def bounded_sample(rows: DataFrame, most: int, *key: str) -> DataFrame:
     """At most ``most`` rows, spread evenly by a hash of ``key``; the same rows on every run."""
     return rows.orderBy(F.xxhash64(*key), *key).limit(most)
+
+
+#: Bits of a join filter: its table has at most FILTER_BITS / 8 bytes (1 MB), whatever the number of keys.
+FILTER_BITS = 1 << 23
+
+
+def id_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes of a long column: (part, bits), at most FILTER_BITS / 8 bytes in all."""
+    place = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    return keys.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+
+
+def maybe_in(df: DataFrame, key: Column, filter_: DataFrame) -> DataFrame:
+    """The rows whose key may be among those of the filter: all that are, and others by chance. It only spares the
+    shuffle of rows that an exact join would drop; that join follows."""
+    place = F.pmod(key, F.lit(FILTER_BITS))
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (position % 8).cast("int")) == 1
+    return df.withColumn("_part", F.bitmap_bucket_number(place)).join(F.broadcast(filter_), "_part").where(hit).drop("_part", "_bits")

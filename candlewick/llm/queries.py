@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import exact_dedup, line_dedup, mixing, token_counts, url_filter
-from candlewick.llm.common import table
+from candlewick.llm import exact_dedup, jaccard_join, line_dedup, mixing, pieces, quality, token_counts, toxicity, url_filter
+from candlewick.llm.common import crc_fold, table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -15,6 +15,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -26,6 +30,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.histogram(table(spark, sf_dir, "documents")))
 
 
+def _judged(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, lambda text: toxicity.score(machine, text), 0.5)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, lambda text: quality.score(chain, text), 0.3)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs)
@@ -37,6 +58,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_checked(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(CAST(doc_id AS VARCHAR)) AS place
@@ -85,9 +110,13 @@ FROM d JOIN g ON d.text = g.text
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pieces": op10_pieces,
 }
 ORACLE: dict[str, str] = {"op4_mixing": OP4_SQL, "op9_exact_dedup": OP9_SQL}
