@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import exact_dedup, jaccard_join, line_dedup, mixing, pieces, quality, token_counts, toxicity, url_filter
+from candlewick.llm import exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, pieces, quality, token_counts, toxicity, url_filter
 from candlewick.llm.common import crc_fold, table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -19,6 +19,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -111,6 +115,7 @@ FROM d JOIN g ON d.text = g.text
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
