@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests (operator 3, DataFrame functions only).
 
 A text's paragraphs are its lines, cut into pieces of at most ``PIECE`` characters; the first ``HEAD`` characters are cut
-into pieces of ``FINE``, so that short texts have several. A sketch has three tables of ``size`` cells; each distinct
+into pieces of ``FINE``, so that texts of one line have several. A sketch has three tables of ``size`` cells; each distinct
 paragraph digest is added to one cell of each table, chosen by other bits of it. A cell holds how many digests it has,
 their exclusive or, and that of a second hash of them. The fingerprint is the sketch of size ``BASE`` as hex digits.
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HEAD, FINE, PIECE = 160, 20, 200
+HEAD, FINE, PIECE = 120, 20, 1000
 #: Cells per table of the fingerprint itself.
 BASE = 4
 #: Rows per range of ids in which each document meets the next one; ranges per level at most.
@@ -39,51 +39,61 @@ def digests(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.concat(head, rest), lambda p: F.xxhash64(p))))
 
 
-def _places(h: Column, size: Column) -> Column:
-    """The three cells of a digest."""
-    return F.array(*[(F.shiftrightunsigned(h, 20 * t).bitwiseAND(size - 1) + t * size).cast("int") for t in range(3)])
+def _items(ds: Column, size: Column) -> Column:
+    """Digests with their second hash and the three cells that each belongs to."""
+    place = lambda h, t: (F.pmod(F.shiftright(h, 20 * t), size) + t * size).cast("int")
+    return F.transform(ds, lambda h: F.struct(
+        h.alias("h"), F.xxhash64(h).alias("check"), place(h, 0).alias("p0"), place(h, 1).alias("p1"), place(h, 2).alias("p2")))
 
 
-def _cell(count: Column, key: Column, check: Column) -> Column:
-    return F.struct(count.cast("int").alias("count"), key.cast("long").alias("key"), check.cast("long").alias("check"))
-
-
-def _add(cells: Column, h: Column, sign: Column, size: Column) -> Column:
-    """Cells with ``sign`` times the digest added to its three places."""
-    def at(acc, i):
-        c = F.element_at(acc, i + 1)
-        new = _cell(c["count"] + sign, c["key"].bitwiseXOR(h), c["check"].bitwiseXOR(F.xxhash64(h)))
-        return F.concat(F.slice(acc, F.lit(1), i), F.array(new), F.slice(acc, i + 2, (3 * size).cast("int") - i - 1))
-
-    return F.aggregate(_places(h, size), cells, at)
+def _cell(place: Column, count: Column, key: Column, check: Column) -> Column:
+    return F.struct(place.cast("int").alias("place"), count.cast("int").alias("count"), key.cast("long").alias("key"), check.cast("long").alias("check"))
 
 
 def sketch(ds: Column, size: Column) -> Column:
-    empty = F.array_repeat(_cell(F.lit(0), F.lit(0), F.lit(0)), (3 * size).cast("int"))
-    return F.aggregate(ds, empty, lambda acc, h: _add(acc, h, F.lit(1), size))
+    """The cells of the three tables, in order of place."""
+    def table(items, t):
+        def cell(j):
+            return F.aggregate(F.filter(items, lambda d: d[f"p{t}"] == j), _cell(j, F.lit(0), F.lit(0), F.lit(0)), lambda acc, d: _cell(
+                j, acc["count"] + 1, acc["key"].bitwiseXOR(d["h"]), acc["check"].bitwiseXOR(d["check"])))
+        return F.transform(F.sequence((t * size).cast("int"), ((t + 1) * size - 1).cast("int")), cell)
+
+    # the array around the items makes them a variable, computed once and not for every cell
+    return F.transform(F.array(_items(ds, size)), lambda items: F.concat(table(items, 0), table(items, 1), table(items, 2)))[0]
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["count"] - y["count"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
+    return F.zip_with(a, b, lambda x, y: _cell(x["place"], x["count"] - y["count"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
 
 
 def peel(cells: Column, size: Column) -> Column:
     """A subtracted sketch -> struct(whole, found): the digests with their sides (1: only in the first version, -1: only
     in the second), and whether nothing is left."""
-    def pure(c):
-        return (F.abs(c["count"]) == 1) & (F.xxhash64(c["key"]) == c["check"])
+    def filled(c):
+        return (c["count"] != 0) | (c["key"] != 0) | (c["check"] != 0)
+
+    def without(cells, pure):
+        def rest(c):
+            own = F.filter(pure, lambda p: (p["p0"] == c["place"]) | (p["p1"] == c["place"]) | (p["p2"] == c["place"]))
+            return F.aggregate(own, c, lambda acc, p: _cell(
+                acc["place"], acc["count"] - p["side"], acc["key"].bitwiseXOR(p["h"]), acc["check"].bitwiseXOR(p["check"])))
+        return F.filter(F.transform(cells, rest), filled)
 
     def one_round(state, _):
-        now = F.array_distinct(F.transform(F.filter(state["cells"], pure), lambda c: F.struct(c["key"].alias("h"), c["count"].alias("side"))))
-        return F.when(~state["live"], state).otherwise(
-            # the pure cells of this round; a digest that shows twice is taken out once
-            F.transform(F.array(now), lambda p: F.struct(
-                F.aggregate(p, state["cells"], lambda acc, d: _add(acc, d["h"], -d["side"], size)).alias("cells"),
-                F.concat(state["found"], p).alias("found"), (F.size(p) > 0).alias("live")))[0])
-
-    start = F.struct(cells.alias("cells"), F.array().cast("array<struct<h:long,side:int>>").alias("found"), F.lit(True).alias("live"))
+        single = F.filter(state["cells"], lambda c: (F.abs(c["count"]) == 1) & (F.xxhash64(c["key"]) == c["check"]))
+        place = lambda h, t: (F.pmod(F.shiftright(h, 20 * t), size) + t * size).cast("int")
+        now = F.array_distinct(F.transform(single, lambda c: F.struct(  # a digest that shows twice is taken out once
+            c["key"].alias("h"), c["check"].alias("check"), c["count"].alias("side"),
+            place(c["key"], 0).alias("p0"), place(c["key"], 1).alias("p1"), place(c["key"], 2).alias("p2"))))
+        step = F.transform(F.array(now), lambda p: F.struct(
+            without(state["cells"], p).alias("cells"),
+            F.concat(state["found"], F.transform(p, lambda d: F.struct(d["h"].alias("h"), d["side"].alias("side")))).alias("found"),
+            (F.size(p) > 0).alias("live")))
+        return F.when(~state["live"], state).otherwise(step[0])
+
+    start = F.struct(F.filter(cells, filled).alias("cells"), F.array().cast("array<struct<h:long,side:int>>").alias("found"), F.lit(True).alias("live"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, one_round, lambda s: F.struct(
-        F.forall(s["cells"], lambda c: (c["count"] == 0) & (c["key"] == 0) & (c["check"] == 0)).alias("whole"), s["found"].alias("found")))
+        (F.size(s["cells"]) == 0).alias("whole"), s["found"].alias("found")))
 
 
 def _attempt(df: DataFrame, a: str, b: str, size: Column, into: str, only_if: Column) -> DataFrame:
@@ -99,7 +109,7 @@ def with_difference(df: DataFrame, a: str, b: str, into: str, first_a: str | Non
     one = subtract(F.col(first_a) if first_a else sketch(F.col(a), base), F.col(first_b) if first_b else sketch(F.col(b), base))
     df = df.withColumn("_try0", peel(one, base))
     both = F.size(a) + F.size(b)
-    fitting = F.greatest(F.lit(2 * BASE).cast("long"), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(both, F.lit(1)) * 0.75))).cast("long"))
+    fitting = F.greatest(F.lit(2 * BASE).cast("long"), F.ceil(both * 0.6).cast("long"))
     df = df.withColumn("_size", fitting)
     for k, factor in ((1, 1), (2, 4), (3, 16)):
         df = _attempt(df, a, b, F.col("_size") * factor, f"_try{k}", ~F.coalesce(*[F.col(f"_try{j}.whole") for j in reversed(range(k))]))
