@@ -21,9 +21,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import fresh_path, stored
+from candlewick.llm.common import fresh_path, id_filter, maybe_in, stored
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+FALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,13 +51,17 @@ def keyed_state(landed: DataFrame, path: str, files_per_trigger: int | None = No
     state = reader.parquet(path).groupBy("digest").agg(
         F.max(F.struct("id", "file", "pos")).alias("keep"), F.count(F.lit(1)).alias("n"))
     checkpoint = fresh_path(spark, "dedup-state")
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    # no space is set aside ahead of need: the state is many small stores
+    settings = {PROVIDER: ROCKSDB, FALLOCATE: "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     query.awaitTermination()
     return spark.read.format("statestore").load(checkpoint).select(
         "key.digest", F.col("value.max").alias("keep"), F.col("value.count").alias("n"))
@@ -76,15 +81,17 @@ def dedup_located(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text
                              F.lit(True).alias("kept"), "digest", "file", "pos")
     state = stored(keyed_state(landed, path, files_per_trigger), "dedup-groups")
 
-    # hits: the texts of all rows whose digest occurs more than once, against the text that the locator names
+    # hits: the texts of all rows whose digest occurs more than once, against the text that the locator names; a bitmap
+    # of bounded size spares the shuffle of the texts that are alone
     shared = state.where("n > 1").select("digest", "keep")
-    hits = rows.select(digest(text).alias("digest"), text.alias("text"), F.col(f"row.{id_col}").alias("id"),
-                       F.col("_file").alias("file"), F.col("_pos").alias("pos")).join(shared, "digest")
+    texts = rows.select(digest(text).alias("digest"), text.alias("text"), F.col("_file").alias("file"), F.col("_pos").alias("pos"))
+    texts = maybe_in(texts, F.xxhash64("digest"), id_filter(shared.select(F.xxhash64("digest").alias("h")), "h"))
+    hits = texts.join(shared, "digest")
     is_keeper = (F.col("file") == F.col("keep.file")) & (F.col("pos") == F.col("keep.pos"))
     keepers = hits.where(is_keeper).select("digest", F.col("text").alias("keep_text"))
-    others = stored(
-        hits.where(~is_keeper).join(keepers, "digest").where(F.col("text") != F.col("keep_text"))
-        .select("digest", "text", "id", "file", "pos"), "dedup-differing")
+    others = hits.where(~is_keeper).join(keepers, "digest").where(F.col("text") != F.col("keep_text"))
+    others = stored(others.select("digest", "text", "file", "pos").join(landed.select("file", "pos", "id"), ["file", "pos"]), "dedup-differing")
+
     found = landed.join(state, "digest")
     keep, n = F.col("keep"), F.col("n")
     if not others.isEmpty():  # texts that share a digest without being equal: groups by their bytes
