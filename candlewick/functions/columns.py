@@ -57,15 +57,10 @@ def round2(col) -> Column:
     return F.round(c(col), 2)
 
 
-# Changes and prices carry at most 4 decimals. Rounding them (or their
-# averages) to 2 places is done on integer units of 1e-4, so the result is
-# the exact decimal rounding, independent of floating-point addition order.
-UNIT_PLACES = 4
-
-
-def units(col, places: int = UNIT_PLACES) -> Column:
-    """Value as a bigint count of 10^-places units."""
-    return F.round(c(col) * F.lit(10.0 ** places)).cast("bigint")
+# Rounding follows the decimal that a double's shortest text names, as rounding
+# of a numeric does; averages are rounded from an exact decimal sum, so the
+# result does not depend on the order of addition.
+EXACT = "decimal(38,12)"
 
 
 def _half_away(num: Column, den: Column) -> Column:
@@ -73,21 +68,24 @@ def _half_away(num: Column, den: Column) -> Column:
     return F.signum(num) * F.floor((F.abs(num) * 2 + den) / (den * 2))
 
 
-def round_fixed(col, places: int = 2, src_places: int = UNIT_PLACES) -> Column:
-    """F01 for values with at most ``src_places`` decimals: exact half away
-    from zero (PostgreSQL numeric rounding)."""
-    step = 10 ** (src_places - places)
-    u = units(col, src_places)
-    return F.when(u.isNotNull(), _half_away(u, F.lit(step)) / F.lit(10.0 ** places))
+def round_fixed(col, places: int = 2) -> Column:
+    """half away from zero at ``places`` of the exact decimal."""
+    return F.round(c(col).cast("double"), places)
+
+
+def round_percent(col, places: int = 2) -> Column:
+    """F01 of 100 times a fraction: the fraction's exact decimal is scaled, not its double."""
+    return F.round(c(col).cast("decimal(38,15)") * 100, places).cast("double")
 
 
-def avg_round_fixed(col, places: int = 2, src_places: int = UNIT_PLACES) -> Column:
-    """Aggregate: round(avg(col), places) computed exactly from a bigint sum
+def avg_round_fixed(col, places: int = 2) -> Column:
+    """Aggregate: round(avg(col), places) computed exactly from a decimal sum
     (a partial aggregate like any sum). NULL when the group has no value."""
-    step = 10 ** (src_places - places)
-    s = F.sum(units(col, src_places))
+    scaled = (F.sum(c(col).cast(EXACT)) * 10 ** 12).cast("decimal(38,0)")
     n = F.count(c(col))
-    return F.when(n > 0, _half_away(s, n * F.lit(step)) / F.lit(10.0 ** places))
+    step = n.cast("decimal(20,0)") * F.lit(10 ** (12 - places)).cast("decimal(13,0)")
+    whole = F.call_function("div", (F.abs(scaled) * 2).cast("decimal(38,0)") + step, (step * 2).cast("decimal(38,0)"))
+    return F.when(n > 0, F.signum(scaled.cast("double")) * whole / F.lit(10.0 ** places))
 
 
 def ratio_round(num, den, places: int = 2) -> Column:

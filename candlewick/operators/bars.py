@@ -37,25 +37,35 @@ def incremental_rows(stored: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
-def append_new(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+def one_per_key(rows: DataFrame, newest_by: str | None = None) -> DataFrame:
+    """One row per (code, date): the newest by ``newest_by`` (a load time or
+    batch number) when given, and the greatest by its columns among equals,
+    so that a rerun keeps the same copy. A partial aggregate."""
+    rest = [c for c in rows.columns if c not in KEY and c != newest_by]
+    order = [newest_by, *rest] if newest_by else rest
+    return rows.groupBy(*KEY).agg(F.max(F.struct(*order)).alias("_row")).select(
+        *[F.col(c) if c in KEY else F.col(f"_row.{c}") for c in rows.columns])
+
+
+def append_new(stored: DataFrame, incoming: DataFrame, newest_by: str | None = None) -> DataFrame:
     """Rows of ``incoming`` whose key is not stored yet (a rerun adds
     nothing); also de-duplicates ``incoming`` on the key (Q12)."""
-    return incoming.dropDuplicates(KEY).join(stored.select(*KEY), KEY, "left_anti")
+    return one_per_key(incoming, newest_by).join(stored.select(*KEY), KEY, "left_anti")
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, cols=None) -> DataFrame:
+def upsert(stored: DataFrame, incoming: DataFrame, cols=None, newest_by: str | None = None) -> DataFrame:
     """Q10: the table after replacing stored rows by incoming rows with the
     same (code, date); incoming duplicates keep one row per key."""
     cols = cols or stored.columns
-    inc = incoming.dropDuplicates(KEY).select(*cols)
+    inc = one_per_key(incoming, newest_by).select(*cols)
     return stored.select(*cols).join(inc.select(*KEY), KEY, "left_anti").unionByName(inc)
 
 
-def merge_provisional(final: DataFrame, provisional: DataFrame, cols=None) -> DataFrame:
+def merge_provisional(final: DataFrame, provisional: DataFrame, cols=None, newest_by: str | None = None) -> DataFrame:
     """Q10: a provisional bar (from quotes) is kept only where no final bar
     of that (code, date) exists; a final bar always wins."""
     cols = cols or final.columns
-    extra = provisional.dropDuplicates(KEY).select(*cols).join(final.select(*KEY), KEY, "left_anti")
+    extra = one_per_key(provisional, newest_by).select(*cols).join(final.select(*KEY), KEY, "left_anti")
     return final.select(*cols).unionByName(extra)
 
 

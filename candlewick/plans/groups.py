@@ -177,7 +177,7 @@ def excess_return(m: Market, by_day: DataFrame, k: int = 20) -> DataFrame:
     hot = by_day.join(top_groups_on_day(by_day, "industry", k), "industry", "left_semi")
     return hot.join(index, "date", "left").select(
         F.lit("industry index").alias("series"), "industry", "date",
-        round_fixed(F.col("p_change") - F.col("index_change"), 4, 4).alias("p_change"),
+        round_fixed(F.col("p_change") - F.col("index_change"), 4).alias("p_change"),
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE, INDEX_NAMES
-from candlewick.session import path_exists, shared_dir
+from candlewick.session import path_exists, path_state, shared_dir
 from candlewick.operators.bars import last_rows
 from candlewick.sources import fixtures
 
@@ -70,14 +70,12 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple, Market] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with the path, size or modification time of any source table,
+    on whatever file system it is."""
     h = hashlib.sha1(FIXTURE_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode())
     for name in ("lineitem", "supplier", "nation", "part"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(f"{name}:{path_state(spark, f'{sf_dir}/{name}.parquet')};".encode())
     return h.hexdigest()[:16]
 
 
@@ -116,12 +114,7 @@ def use_market(spark: SparkSession, sf_dir: str, m: Market, layout: str | None =
     this session (e.g. one built into a chosen folder)."""
     layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
     with _LOCK:
-        _CACHE[(id(spark.sparkContext), os.path.abspath(sf_dir), layout, None)] = m
-
-
-def work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A folder in the shared folder for intermediate tables of one job."""
-    return f"{shared_dir(spark)}/candlewick-work/{_fingerprint(sf_dir)}/{name}"
+        _CACHE[(id(spark.sparkContext), _fingerprint(spark, sf_dir), layout, None)] = m
 
 
 def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None,
@@ -140,12 +133,12 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
         info = fixtures.info(spark, sf_dir)
         return market_from_frames(fixtures.bars(spark, sf_dir), info, fixtures.concept(spark, sf_dir, info))
     layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir), layout, root)
+    fp = _fingerprint(spark, sf_dir)
+    key = (id(spark.sparkContext), fp, layout, root)
     with _LOCK:
         m = _CACHE.get(key)
         if m is not None:
             return m
-        fp = _fingerprint(sf_dir)
         root = root or f"{shared_dir(spark)}/candlewick-tables/{fp}"
         tag = hashlib.sha1(root.encode()).hexdigest()[:16]  # catalog names follow the storage folder
         if layout == "bucketed":

@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import join_percent, last
-from candlewick.functions.columns import chart_label, exchange_of, quote_link, round_fixed
+from candlewick.functions.columns import chart_label, exchange_of, quote_link, round_fixed, round_percent
 from candlewick.operators.indicators import recursive_indicators, with_bollinger, with_sma
 from candlewick.operators.ranking import global_row_number
-from candlewick.session import shared_dir
 
 
 def slice_path(root: str, **keys) -> str:
@@ -64,16 +63,12 @@ def report_rows(picks: DataFrame, report: str, value_text: Column, sort_keys: li
                         *[k.cast("double").alias(n) for k, n in zip(keys, SORT_KEYS)])
 
 
-def number_reports(rows: DataFrame, stage_root: str | None = None) -> DataFrame:
+def number_reports(rows: DataFrame) -> DataFrame:
     """Adds ``rn`` (position within its report). The numbering is
     distributed (no single-task window over all picks); the picks of all
-    reports are staged once under ``stage_root`` (default: the shared
-    folder; one folder per distinct plan, so a rerun overwrites it)."""
-    spark = rows.sparkSession
-    root = stage_root or f"{shared_dir(spark)}/candlewick-work/reports"
+    reports are staged once, in a folder of this call."""
     order = [F.col(k).asc_nulls_last() for k in SORT_KEYS] + [F.col("code").asc()]
-    numbered = global_row_number(rows, order, group="report",
-                                 stage_path=f"{root}/picks-{rows.semanticHash() & 0xffffffff:08x}")
+    numbered = global_row_number(rows, order, group="report")
     return numbered.select("report", "industry", "name", "code", "value", "rn")
 
 
@@ -107,7 +102,7 @@ def report_lines(rows: DataFrame, as_of, reports=None) -> DataFrame:
 
 def breakout_report(picks: DataFrame, report: str) -> DataFrame:
     """Rows of the up_trend / callback reports: percent printed x 100 (Q23)."""
-    text = F.format_string("%.2f%%", round_fixed(F.col("percent") * 100, 2, 6))
+    text = F.format_string("%.2f%%", round_percent("percent"))
     return report_rows(picks, report, text, [-F.col("percent")])
 
 

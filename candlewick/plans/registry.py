@@ -14,8 +14,9 @@ from candlewick.operators import bars as bar_ops
 from candlewick.operators import stats
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, pipeline, publish, screens
-from candlewick.plans.market import load_market, work_dir
+from candlewick.plans.market import load_market
 from candlewick.schema import BAR_COLS
+from candlewick.session import fresh_dir
 from candlewick.sources import tables
 from candlewick.streaming import quotes
 
@@ -84,16 +85,15 @@ ASC_START = dt.date(2015, 10, 20)
 
 
 @register("x01_box_breakout", O.breakout_sql(
-    "peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"m.date = {O.d(AS_OF)}"))
+    "peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"date = {O.d(AS_OF)}"))
 def x01(spark, sf_dir):
     return screens.box_breakout(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
 
 
 @register("x02_pull_back", O.breakout_sql(
     "peak", "callback", TREND_START, PRE_START, 0.1, 0.0, AS_OF,
-    f"m.date BETWEEN {O.d(AS_OF)} - 14 AND {O.d(AS_OF)} - 1",
-    extra_from="JOIN stocks e ON m.code = e.code",
-    extra_where=f"AND e.date = {O.d(AS_OF)} AND e.ma5 <= e.close AND e.ma10 <= e.close AND e.ma20 <= e.close"))
+    f"date >= {O.d(AS_OF)} - 14 AND date < {O.d(AS_OF)}",
+    today=f"e.date = {O.d(AS_OF)} AND {O.over('e', 5, 10, 20)}"))
 def x02(spark, sf_dir):
     return screens.pull_back(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
 
@@ -115,7 +115,7 @@ def x06(spark, sf_dir):
 
 @register("x07_trough_breakout", O.breakout_sql(
     "trough", "up_trend_low", TREND_START, PRE_START, 0.1, 0.0, AS_OF,
-    f"m.date BETWEEN {O.d(AS_OF)} - 10 AND {O.d(AS_OF)} - 1"))
+    f"date >= {O.d(AS_OF)} - 10 AND date < {O.d(AS_OF)}"))
 def x07(spark, sf_dir):
     return screens.trough_breakout(load_market(spark, sf_dir), TREND_START, PRE_START, 0.1, 0.0, AS_OF)
 
@@ -159,12 +159,12 @@ def w01(spark, sf_dir):
     return load_market(spark, sf_dir).bars
 
 
-@register("w03_peaks", O.with_base(select=O.extremes_sql("peak", O.d(TREND_START), O.d(AS_OF))))
+@register("w03_peaks", O.with_base(select=f"FROM ({O.extremes_sql('peak', O.d(TREND_START), O.d(AS_OF))})"))
 def w03(spark, sf_dir):
     return extremes(load_market(spark, sf_dir).stocks, TREND_START, AS_OF, "peak")
 
 
-@register("w04_troughs", O.with_base(select=O.extremes_sql("trough", O.d(ASC_START), O.d(AS_OF))))
+@register("w04_troughs", O.with_base(select=f"FROM ({O.extremes_sql('trough', O.d(ASC_START), O.d(AS_OF))})"))
 def w04(spark, sf_dir):
     return extremes(load_market(spark, sf_dir).stocks, ASC_START, AS_OF, "trough")
 
@@ -181,31 +181,22 @@ def a02(spark, sf_dir):
 
 
 @register("a03_max_close_last_day", O.with_base(select=f"""
-    SELECT s.code, max(t.date) AS date, s.close
-    FROM (SELECT code, max(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-          GROUP BY code) s
-    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-    GROUP BY s.code, s.close"""))
+    FROM bars SELECT code, date, close WHERE date >= {O.d(PRE_START)} AND date <= {O.d(TREND_START)}
+    QUALIFY row_number() OVER (PARTITION BY code ORDER BY close DESC, date DESC) = 1"""))
 def a03(spark, sf_dir):
     return stats.max_close_last_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
 
 
 @register("a04_max_close_first_day", O.with_base(select=f"""
-    SELECT s.code, min(t.date) AS date, s.close
-    FROM (SELECT code, max(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-          GROUP BY code) s
-    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-    GROUP BY s.code, s.close"""))
+    FROM bars SELECT code, date, close WHERE date >= {O.d(PRE_START)} AND date <= {O.d(TREND_START)}
+    QUALIFY row_number() OVER (PARTITION BY code ORDER BY close DESC, date) = 1"""))
 def a04_max(spark, sf_dir):
     return stats.max_close_first_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
 
 
 @register("a04_min_close_first_day", O.with_base(select=f"""
-    SELECT s.code, min(t.date) AS date, s.close
-    FROM (SELECT code, min(close) AS close FROM bars WHERE date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-          GROUP BY code) s
-    JOIN bars t ON s.code = t.code AND s.close = t.close AND t.date BETWEEN {O.d(PRE_START)} AND {O.d(TREND_START)}
-    GROUP BY s.code, s.close"""))
+    FROM bars SELECT code, date, close WHERE date >= {O.d(PRE_START)} AND date <= {O.d(TREND_START)}
+    QUALIFY row_number() OVER (PARTITION BY code ORDER BY close, date) = 1"""))
 def a04_min(spark, sf_dir):
     return stats.min_close_first_day(load_market(spark, sf_dir).bars, PRE_START, TREND_START)
 
@@ -254,23 +245,21 @@ def s07(spark, sf_dir):
 @register("x16_excess_return", O.excess_return_sql(AS_OF, 20))
 def x16(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3),
-                         work_dir(spark, sf_dir, f"x16-stats-{AS_OF}"), sort_by=("date",))
+    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3), fresh_dir(spark, "x16"), sort_by=("date",))
     return groups.excess_return(m, stats, k=20)
 
 
 @register("x17_hot_industries_with_index", O.hot_industries_sql(AS_OF, 10))
 def x17(spark, sf_dir):
     m = load_market(spark, sf_dir)
-    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3),
-                         work_dir(spark, sf_dir, f"x17-stats-{AS_OF}"), sort_by=("date",))
+    stats = tables.store(groups.industry_stats_by_day(m, AS_OF, 30, 3), fresh_dir(spark, "x17"), sort_by=("date",))
     return groups.hot_industries_with_index(m, stats, k=10)
 
 
 # ------------------------------------------------------ publishing
 @register("x18_report_lines", O.report_lines_sql(
     AS_OF,
-    O.breakout_sql("peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"m.date = {O.d(AS_OF)}"),
+    O.breakout_sql("peak", "up_trend", TREND_START, PRE_START, 0.1, 0.0, AS_OF, f"date = {O.d(AS_OF)}"),
     ORACLE["x02_pull_back"],
     [O.continuous_increase_sql(AS_OF, 1), O.continuous_increase_sql(AS_OF, 2)],
     [O.above_all_averages_sql(AS_OF, 2, 1), O.above_all_averages_sql(AS_OF, 2, 2)]))
@@ -309,7 +298,8 @@ def x19_rec(spark, sf_dir):
 # ------------------------------------------------------ quote streams (batch form)
 @register("r06_daily_bars_from_quotes", """
     SELECT CAST(user_id AS VARCHAR) AS code, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
-           arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+           first(value ORDER BY ts, value) AS open, max(value) AS high, min(value) AS low,
+           last(value ORDER BY ts, value) AS close,
            CAST(count(*) AS DOUBLE) AS volume, count(*) AS n_quotes
     FROM events GROUP BY user_id, time_bucket(INTERVAL 1 DAY, ts)""")
 def r06(spark, sf_dir):
@@ -319,7 +309,7 @@ def r06(spark, sf_dir):
 
 
 @register("r03_latest_quote", """
-    SELECT CAST(user_id AS VARCHAR) AS code, max(ts) AS event_ts, arg_max(value, ts) AS price,
+    SELECT CAST(user_id AS VARCHAR) AS code, max(ts) AS event_ts, last(value ORDER BY ts, value) AS price,
            CAST(1 AS DOUBLE) AS volume
     FROM events GROUP BY user_id""")
 def r03(spark, sf_dir):
@@ -338,7 +328,7 @@ def x20(spark, sf_dir):
     before = m.numbered.filter(F.col("date") < F.lit(AS_OF))
     # yesterday's live run stored one provisional day in bars and MA table: only those day rows and the
     # state are written to the shared folder (computed once, short lineage); older history is the market itself
-    root = work_dir(spark, sf_dir, f"x20-{AS_OF}")
+    root = fresh_dir(spark, "x20")
     prov = bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
     # yesterday's run: MA rows of the provisional day from the state of the day before (stored), then the
     # advanced state; the provisional bars themselves are the bar columns of those stored rows

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured stage sizes
@@ -47,8 +46,9 @@ def get_spark(
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by the cluster, taken from ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a fresh folder under the
-    system temp directory is created and registered as checkpoint dir.
+    Only a session on a local master may do without: it gets a fresh folder
+    under the system temp directory, registered as checkpoint dir. On any
+    other master a temp folder would be a different one on each machine.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -60,22 +60,42 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # the context adds a per-application sub folder; tables go next to it
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
     sc.setCheckpointDir(root)
     return root
 
 
-def _is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one call: results that read it stay valid
+    when the same query runs again, also in another session."""
+    return f"{shared_dir(spark)}/candlewick-work/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists (local paths directly; other file
-    systems through a text-source listing, which fails on a missing path)."""
-    if _is_local(path):
-        return os.path.exists(path.replace("file:", "", 1))
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
+    """Whether a file or folder exists, on whatever file system the path
+    (or the default file system, for one without scheme) names."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def path_state(spark: SparkSession, path: str) -> str:
+    """Qualified path, size and newest modification of a file or of the
+    files of a folder; empty when there is none."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return ""
+    found = [s for s in fs.listStatus(p)] if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]
+    return f"{fs.makeQualified(p)}:{sum(s.getLen() for s in found)}:{max((s.getModificationTime() for s in found), default=0)}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that the caller's own job wrote; none is fine."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.operators.bars import tick_to_bar
+from candlewick.session import remove
 
 QUOTE_STREAM = T.StructType([
     T.StructField("code", T.StringType()),
@@ -59,6 +60,7 @@ def daily_bars(quotes: DataFrame, watermark: str | None = "1 hour", width: str =
     """Tumbling OHLCV bars per code. In a stream with a watermark and
     append mode a window is emitted once it has closed; late quotes beyond
     the watermark are dropped (the final daily bar corrects it, Q10)."""
+    when = F.struct("event_ts", "price", "volume")  # equal times: the lower price comes first
     src = quotes
     if watermark:
         # watermarks need an instant type; wall-clock (NTZ) input is read in the session time zone
@@ -66,10 +68,10 @@ def daily_bars(quotes: DataFrame, watermark: str | None = "1 hour", width: str =
     return (
         src.groupBy(F.window("event_ts", width).alias("w"), "code")
         .agg(
-            F.min_by("price", "event_ts").alias("open"),
+            F.min_by("price", when).alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", "event_ts").alias("close"),
+            F.max_by("price", when).alias("close"),
             F.sum("volume").alias("volume"),
             F.count(F.lit(1)).alias("n_quotes"),
         )
@@ -79,9 +81,11 @@ def daily_bars(quotes: DataFrame, watermark: str | None = "1 hour", width: str =
 
 
 def latest(quotes: DataFrame) -> DataFrame:
-    """The newest quote per code (batch or update-mode stream)."""
-    cols = [c for c in quotes.columns if c != "code"]
-    return quotes.groupBy("code").agg(F.max_by(F.struct(*cols), "event_ts").alias("q")).select("code", "q.*")
+    """The newest quote per code (batch or update-mode stream); of quotes
+    with equal times the one that is greatest by its other columns."""
+    cols = ["event_ts", *[c for c in quotes.columns if c not in ("code", "event_ts")]]
+    newest = quotes.groupBy("code").agg(F.max(F.struct(*cols)).alias("q"))
+    return newest.select("code", "q.*").select(*quotes.columns)
 
 
 def upsert_latest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -110,25 +114,31 @@ def quote_sink(root: str, history_bars: DataFrame | None = None, as_of=None):
     ``latest/batch_id=N`` (a full snapshot: read the newest with
     ``read_newest``) with overwrite: a batch replayed after a failure
     rewrites the same folders, so the sink is exactly once together with
-    the stream checkpoint. With ``history_bars`` the latest snapshot also
-    becomes provisional daily bars (X03) under ``provisional/batch_id=N``.
+    the stream checkpoint. A previous snapshot that cannot be read fails
+    the batch. The snapshots of the last two batches are kept: a replay
+    needs the one before.
+
+    With ``history_bars`` the quotes of the latest snapshot that are of the
+    day become provisional daily bars (X03) under ``provisional/batch_id=N``;
+    the day is ``as_of`` or else the newest day of the snapshot. A quote of
+    an earlier day is not a bar of today and its day has a bar already.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(_batch_dir(f"{root}/history", batch_id))
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(_batch_dir(f"{root}/latest", batch_id - 1))
-            except Exception:  # noqa: BLE001 - first non-empty batch
-                prev = None
-        cur = upsert_latest(prev, batch)
-        cur.write.mode("overwrite").parquet(_batch_dir(f"{root}/latest", batch_id))
-        if history_bars is not None and as_of is not None:
-            snap = cur.select(
-                "code", F.to_date("event_ts").alias("date"), "open", "high", "low", "price", "pre_close", "volume")
-            tick_to_bar(snap, history_bars, as_of).write.mode("overwrite").parquet(
+        prev = spark.read.parquet(_batch_dir(f"{root}/latest", batch_id - 1)) if batch_id > 0 else None
+        upsert_latest(prev, batch).write.mode("overwrite").parquet(_batch_dir(f"{root}/latest", batch_id))
+        remove(spark, _batch_dir(f"{root}/latest", batch_id - 2))
+        if history_bars is None:
+            return
+        cur = spark.read.parquet(_batch_dir(f"{root}/latest", batch_id)).withColumn("date", F.to_date("event_ts"))
+        day = as_of or cur.agg(F.max("date").alias("d")).first()["d"]
+        if day is not None:
+            snap = cur.filter(F.col("date") == F.lit(day)).select(
+                "code", "date", "open", "high", "low", "price", "pre_close", "volume")
+            tick_to_bar(snap, history_bars, day).write.mode("overwrite").parquet(
                 _batch_dir(f"{root}/provisional", batch_id))
+            remove(spark, _batch_dir(f"{root}/provisional", batch_id - 2))
     return run
 
 
