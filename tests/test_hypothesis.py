@@ -26,6 +26,18 @@ def test_round_fixed_equals_decimal_half_up(spark, units):
     assert got == want
 
 
+@settings(**SETTINGS)
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=200))
+def test_rounding_of_eight_decimals_is_exact(spark, units):
+    """A change that a live bar holds unrounded: no cut to fewer places before the rounding."""
+    df = spark.createDataFrame([(u / 10**8,) for u in units] + [(1.234996,)], "x double")
+    half_up = lambda v: float(v.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    want = [half_up(Decimal(repr(u / 10**8))) for u in units] + [1.23]
+    assert [r[0] for r in df.select(C.round_fixed("x")).collect()] == want
+    exact = [Decimal(repr(u / 10**8)) for u in units] + [Decimal("1.234996")]
+    assert df.agg(C.avg_round_fixed("x")).first()[0] == half_up(sum(exact) / len(exact))
+
+
 @settings(**SETTINGS)
 @given(st.lists(st.integers(-500000, 500000), min_size=1, max_size=60))
 def test_avg_round_fixed_equals_exact_decimal_average(spark, units):

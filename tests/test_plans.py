@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from candlewick.plans import registry
 from candlewick.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -32,26 +32,26 @@ def test_lines_are_pre_aggregated_once_before_the_shuffle(spark):
 
 
 def test_top_n_lists_limit_rows_before_the_shuffle(spark):
-    plan = final_plan(E.queries()["x11_industry_by_day"](spark, SF))
+    plan = final_plan(registry.QUERIES["x11_industry_by_day"](spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 @pytest.mark.parametrize("key", ["x01_box_breakout", "x04_ascending", "x06_volume_breakout", "x09_continuous_increase_1",
                                  "x15_interval_return"])
 def test_per_code_screens_need_no_shuffle_on_the_bucketed_market(spark, key):
-    plan = final_plan(E.queries()[key](spark, SF))
+    plan = final_plan(registry.QUERIES[key](spark, SF))
     assert "Exchange hashpartitioning" not in plan
     assert "Bucketed: true" in plan
 
 
 @pytest.mark.parametrize("key", ["x09_continuous_increase_1", "x11_industry_by_day", "x03_tick_to_bar"])
 def test_date_predicates_reach_the_scan(spark, key):
-    plan = final_plan(E.queries()[key](spark, SF))
+    plan = final_plan(registry.QUERIES[key](spark, SF))
     assert re.search(r"PushedFilters: \[.*?(GreaterThanOrEqual|LessThanOrEqual|EqualTo)\(date,", plan)
 
 
 def test_python_runs_only_for_the_recursive_indicators(spark):
-    for key, fn in E.queries().items():
+    for key, fn in registry.QUERIES.items():
         plan = final_plan(fn(spark, SF))
         python = any(n in plan for n in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                                          "FlatMapGroupsInArrow", "MapInPandas"))
@@ -59,7 +59,7 @@ def test_python_runs_only_for_the_recursive_indicators(spark):
 
 
 def test_no_nested_loop_or_cartesian_join_anywhere(spark):
-    for key, fn in E.queries().items():
+    for key, fn in registry.QUERIES.items():
         plan = final_plan(fn(spark, SF))
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
 
