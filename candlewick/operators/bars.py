@@ -150,18 +150,34 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
     new = src.join(hw, "code", "left").filter(F.col("hwm").isNull() | (F.col("date") > F.col("hwm")))
     if first_new is None:
         first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
-    history = bars.select("code", "date", "close", "volume")  # the tail only feeds the averages
-    if last is not None:
-        lower = _tail_bound(first_new, hw, first_dates)
-        if lower is not None:
-            history = history.filter(F.col("date") >= F.lit(lower))
-    tail = (
-        history.join(first_new, "code")
-        .filter(F.col("date") < F.col("first_new"))
-        .withColumn("_rn", F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())))
-        .filter(F.col("_rn") <= TAIL_LEN)
-        .drop("_rn", "first_new")
-    )
+    if "bar_no" in bars.columns:
+        # positions are stored: a code's tail is a range of them, no window over the history
+        firsts = bars.select("code", "date", "bar_no").join(
+            first_new, (bars["code"] == first_new["code"]) & (bars["date"] == first_new["first_new"])).select(
+            bars["code"], F.col("bar_no").alias("first_no"))
+        tail = (
+            bars.select("code", "date", "close", "volume", "bar_no").join(firsts, "code")
+            .filter(F.col("bar_no").between(F.col("first_no") - TAIL_LEN, F.col("first_no") - 1))
+            .select("code", "date", "close", "volume")
+        )
+    else:
+        history = bars.select("code", "date", "close", "volume")  # the tail only feeds the averages
+        starts = first_new.withColumn("tail_start", F.lit(None).cast("date"))
+        if last is not None:
+            starts = _tail_starts(first_new, hw, first_dates)
+            r = starts.agg(F.min("tail_start").alias("lo"), F.count_if(F.col("tail_start").isNull()).alias("unknown")).first()
+            if r["unknown"] == 0:  # (no stored code has new bars: lo is null and no tail is read)
+                history = history.filter(F.col("date") >= F.lit(r["lo"] or dt.date.max))
+        # rows before a code's own tail start leave before the window: a code that resumes after years pulls no other
+        # code's years into it
+        tail = (
+            history.join(starts, "code")
+            .filter((F.col("date") < F.col("first_new"))
+                    & (F.col("tail_start").isNull() | (F.col("date") >= F.col("tail_start"))))
+            .withColumn("_rn", F.row_number().over(Window.partitionBy("code").orderBy(F.col("date").desc())))
+            .filter(F.col("_rn") <= TAIL_LEN)
+            .drop("_rn", "first_new", "tail_start")
+        )
     keep_cols = [c for c in new.columns if c not in ("hwm", "hwm_tail")]
     base = tail.withColumn("_new", F.lit(False)).unionByName(
         new.select(*keep_cols).withColumn("_new", F.lit(True)), allowMissingColumns=True)
@@ -178,19 +194,15 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
     return ma.filter("_new").select(*out)
 
 
-def _tail_bound(first_new: DataFrame, hw: DataFrame, first_dates: DataFrame | None):
-    """Earliest day any code's tail can start (a join of two per-code
-    tables, one scalar); None when a code's bound is unknown (read all)."""
+def _tail_starts(first_new: DataFrame, hw: DataFrame, first_dates: DataFrame | None) -> DataFrame:
+    """(code, first_new, tail_start): the day each stored code's tail starts
+    on; null where it is unknown (read all of the code)."""
     cand = first_new.join(hw.filter(F.col("hwm").isNotNull()), "code")
     bound = F.col("hwm_tail")
     if first_dates is not None:
         cand = cand.join(first_dates, "code", "left")
         bound = F.coalesce(bound, F.col("first_date"))
-    r = cand.agg(F.min(bound).alias("lo"), F.count_if(bound.isNull()).alias("unknown"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if r["n"] == 0:
-        return dt.date.max  # no stored code has new bars: no tail to read
-    return r["lo"] if r["unknown"] == 0 else None
+    return cand.select("code", "first_new", bound.alias("tail_start"))
 
 
 def refresh_moving_averages(stored_ma: DataFrame, bars: DataFrame) -> DataFrame:

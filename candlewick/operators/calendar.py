@@ -81,6 +81,12 @@ def next_open_day(calendar: DataFrame, after) -> dt.date | None:
     return calendar.filter(F.col("date") > F.lit(after)).agg(F.min("date").alias("d")).first()["d"]
 
 
+def as_of_day(calendar: DataFrame, value=None) -> dt.date | None:
+    """The day a screen is evaluated for: the given one, else the newest
+    open day (A05)."""
+    return as_date(value) if value is not None else latest_day(calendar)
+
+
 def as_date(value) -> dt.date | None:
     if value is None or isinstance(value, dt.date):
         return value

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.arrays import ordered_list, top_k_lists
 from candlewick.functions.columns import avg_round_fixed, label, ratio_round, round_fixed
-from candlewick.operators.calendar import as_date, open_day, open_day_lookup
+from candlewick.operators.calendar import as_date, as_of_day, open_day, open_day_lookup
 from candlewick.plans.market import Market
 from candlewick.schema import CALENDAR_CODE
 
@@ -82,27 +82,27 @@ def _concept_args(m: Market, as_of, top_n: int, n_days: int, limit_up_days: int)
     return (m.stocks, members, "concept", start, as_of, top_n, excluded)
 
 
-def industry_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
+def industry_by_day(m: Market, as_of=None, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
     """X11: last n_days open days per (day, industry); codes with at least
     ignore_n_days limit-up bars within the last ignore_n_days open days are
     left out."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     args, _ = _industry_args(m, as_of, top_n, n_days, ignore_n_days)
     return group_by_day(*args, as_of)
 
 
-def industry_stats_by_day(m: Market, as_of, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
+def industry_stats_by_day(m: Market, as_of=None, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
     """X11's statistics half: (industry, date, p_change, positive_stock_ratio)."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     args, _ = _industry_args(m, as_of, 1, n_days, ignore_n_days)
     return group_by_day_parts(*args)[0]
 
 
-def concept_by_day(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
+def concept_by_day(m: Market, as_of=None, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
     """As X11 over concept tags; codes with at least limit_up_days
     limit-up bars in the whole window are left out. ``top_n`` is honoured
     (Q14), default 5."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     return group_by_day(*_concept_args(m, as_of, top_n, n_days, limit_up_days), as_of)
 
 
@@ -140,18 +140,18 @@ def group_summary(
         F.lit(as_date(as_of)).alias("update_date") if as_of is not None else F.col("update_date"))
 
 
-def industry_summary(m: Market, as_of, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
+def industry_summary(m: Market, as_of=None, top_n: int = 5, n_days: int = 30, ignore_n_days: int = 3) -> DataFrame:
     """Labels counted over the last top_n open days. Statistics and
     top-n lists of X11 are each computed once."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     args, days = _industry_args(m, as_of, top_n, n_days, ignore_n_days, extra_days=(top_n,))
     stats, top = group_by_day_parts(*args)
     return group_summary(stats, "industry", top_n, days[top_n], as_of, top=top, as_of=as_of)
 
 
-def concept_summary(m: Market, as_of, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
+def concept_summary(m: Market, as_of=None, top_n: int = 5, n_days: int = 10, limit_up_days: int = 2) -> DataFrame:
     """Labels counted over all days of this run."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     stats, top = group_by_day_parts(*_concept_args(m, as_of, top_n, n_days, limit_up_days))
     return group_summary(stats, "concept", top_n, top=top, as_of=as_of)
 

@@ -19,10 +19,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CALENDAR_CODE, INDEX_NAMES
+from candlewick.schema import BAR_BASE_COLS, BAR_COLS, BARS_DAILY, CALENDAR_CODE, CONCEPT, INDEX_NAMES, INFO
 from candlewick.session import path_exists, path_state, shared_dir
 from candlewick.operators.bars import last_rows
+from candlewick.operators.windows import INDEX_COLS, with_bar_index, with_moving_averages
 from candlewick.sources import fixtures
 
 # Part of the stored tables' fingerprint: bump whenever the derived tables change.
@@ -70,12 +72,38 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple, Market] = {}
 
 
+#: Folders of stored bar, instrument and concept tables (schema.BARS_DAILY, INFO, CONCEPT).
+STORED = ("stock_daily", "stock_info", "stock_concept")
+
+
+def _stored_source(spark: SparkSession, path: str):
+    """Builders over stored tables: the averages and bar positions are
+    computed, whatever the daily table carries."""
+    def bars():
+        daily = read_landed(spark, f"{path}/stock_daily", BARS_DAILY)
+        return with_bar_index(with_moving_averages(daily)).select(*BAR_COLS, *INDEX_COLS)
+
+    return (bars, lambda: read_landed(spark, f"{path}/stock_info", INFO),
+            lambda: read_landed(spark, f"{path}/stock_concept", CONCEPT))
+
+
+def _fixture_source(spark: SparkSession, path: str):
+    """Builders over the driver's tables (FIXTURES.md section 2)."""
+    return (lambda: fixtures.bars(spark, path), lambda: fixtures.info(spark, path),
+            lambda: fixtures.concept(spark, path))
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
+    """Landing files read with an explicit schema (never inferred)."""
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Changes with the path, size or modification time of any source table,
     on whatever file system it is."""
     h = hashlib.sha1(FIXTURE_VERSION.encode())
-    for name in ("lineitem", "supplier", "nation", "part"):
-        h.update(f"{name}:{path_state(spark, f'{sf_dir}/{name}.parquet')};".encode())
+    for name in ("lineitem.parquet", "supplier.parquet", "nation.parquet", "part.parquet", *STORED):
+        h.update(f"{name}:{path_state(spark, f'{sf_dir}/{name}')};".encode())
     return h.hexdigest()[:16]
 
 
@@ -119,7 +147,9 @@ def use_market(spark: SparkSession, sf_dir: str, m: Market, layout: str | None =
 
 def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layout: str | None = None,
                 root: str | None = None) -> Market:
-    """Bars, info, concept and calendar for the driver tables in ``sf_dir``.
+    """Bars, info, concept and calendar for the tables in ``sf_dir``: stored
+    ``stock_daily``, ``stock_info`` and ``stock_concept`` tables where they
+    are there, else the driver's tables.
 
     ``layout``: ``"bucketed"`` (default; tables bucketed by code) or
     ``"files"`` (plain Parquet folders); override with ``CANDLEWICK_LAYOUT``.
@@ -129,9 +159,10 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
     the stored tables (default: derived from the input fingerprint in the
     shared folder, so later sessions reuse them).
     """
+    source = _stored_source if path_exists(spark, f"{sf_dir}/{STORED[0]}") else _fixture_source
+    make_bars, make_info, make_concept = source(spark, sf_dir)
     if not materialize:
-        info = fixtures.info(spark, sf_dir)
-        return market_from_frames(fixtures.bars(spark, sf_dir), info, fixtures.concept(spark, sf_dir, info))
+        return market_from_frames(make_bars(), make_info(), make_concept())
     layout = layout or os.environ.get("CANDLEWICK_LAYOUT", "bucketed")
     fp = _fingerprint(spark, sf_dir)
     key = (id(spark.sparkContext), fp, layout, root)
@@ -144,20 +175,20 @@ def load_market(spark: SparkSession, sf_dir: str, materialize: bool = True, layo
         if layout == "bucketed":
             n = int(spark.conf.get("spark.candlewick.buckets", None)
                     or spark.conf.get("spark.sql.shuffle.partitions"))
-            bars = _bucketed(spark, f"cw_bars_{tag}_{n}", f"{root}/bars-b{n}", lambda: fixtures.bars(spark, sf_dir),
+            bars = _bucketed(spark, f"cw_bars_{tag}_{n}", f"{root}/bars-b{n}", make_bars,
                              n, ("date", "code"))
-            info = _bucketed(spark, f"cw_info_{tag}_{n}", f"{root}/info-b{n}", lambda: fixtures.info(spark, sf_dir),
+            info = _bucketed(spark, f"cw_info_{tag}_{n}", f"{root}/info-b{n}", make_info,
                              n, ("code",))
             concept = _bucketed(spark, f"cw_concept_{tag}_{n}", f"{root}/concept-b{n}",
-                                lambda: fixtures.concept(spark, sf_dir, info), n, ("code",))
+                                make_concept, n, ("code",))
         else:
             bars = _stored(
-                spark, f"{root}/bars", lambda: fixtures.bars(spark, sf_dir),
+                spark, f"{root}/bars", make_bars,
                 lambda df: df.sortWithinPartitions("date", "code").write,
             )
-            info = _stored(spark, f"{root}/info", lambda: fixtures.info(spark, sf_dir), lambda df: df.write)
+            info = _stored(spark, f"{root}/info", make_info, lambda df: df.write)
             concept = _stored(
-                spark, f"{root}/concept", lambda: fixtures.concept(spark, sf_dir, info), lambda df: df.write)
+                spark, f"{root}/concept", make_concept, lambda df: df.write)
         cal = _stored(
             spark, f"{root}/calendar", lambda: calendar_of(bars),
             lambda df: df.coalesce(1).sortWithinPartitions("date").write)

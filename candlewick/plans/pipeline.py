@@ -1,23 +1,34 @@
-"""The daily refresh as one Spark job per table.
+"""The daily refresh of the stored tables (the book).
 
 The reference deletes the newest stored day, reloads, deletes the newest MA
 day and extends the MA table. Here (Q10): landed bars are upserted on
 (code, date) - a final bar replaces a provisional one, a provisional bar
-never replaces a final one - and the MA table is extended from each code's
-first changed day with its last 249 bars (Q21). Each run writes a new
-version folder of both tables and returns the paths; readers switch to the
-new version only after both writes succeeded.
+never replaces a final one - and the MA rows of a code are computed anew
+from its first changed day on with its last 249 bars (Q21).
+
+A book is a folder of tables: ``bars`` (daily and MA columns, bar index;
+partitioned by month and bucketed by nothing: a month is the unit that a run
+rewrites), ``state`` (per-code state of the MA table), ``calendar``,
+``listing``, ``info`` and ``concept``. A run stages the new content of the
+months that its keys touch, then overwrites exactly these partitions
+(K05/K06), then the small tables; files of other months keep their place and
+time. Each run reads what the run before left. A run that fails while it
+stages has changed nothing; one that fails later is repeated with the same
+landed rows, which gives the same book.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.bars import KEY, advance_last, extend_moving_averages, last_rows, merge_provisional, upsert
-from candlewick.schema import BAR_BASE_COLS
+from candlewick.operators.windows import INDEX_COLS
+from candlewick.plans.market import Market, calendar_of
+from candlewick.schema import BAR_BASE_COLS, BAR_COLS
+from candlewick.session import fresh_dir, path_exists, remove
+
+TABLES = ("bars", "state", "calendar", "listing", "info", "concept")
 
 
 def refresh_bars(stored: DataFrame, landed: DataFrame | None, provisional: DataFrame | None = None) -> DataFrame:
@@ -31,36 +42,27 @@ def refresh_bars(stored: DataFrame, landed: DataFrame | None, provisional: DataF
     return out
 
 
-def changed_keys(landed: DataFrame, provisional: DataFrame | None = None) -> DataFrame:
+def changed_keys(landed: DataFrame | None, provisional: DataFrame | None = None) -> DataFrame:
     """(code, date) keys a run may have changed: those it wrote. Reading
     only the (small) landed rows avoids diffing the whole history."""
-    keys = landed.select(*KEY)
-    if provisional is not None:
-        keys = keys.unionByName(provisional.select(*KEY))
-    return keys.distinct()
+    keys = [df.select(*KEY) for df in (landed, provisional) if df is not None]
+    return (keys[0] if len(keys) == 1 else keys[0].unionByName(keys[1])).distinct()
 
 
-def refresh_moving_averages_from(stored_ma: DataFrame, bars_after: DataFrame, changed: DataFrame,
-                                 first_dates: DataFrame | None = None) -> DataFrame:
-    """MA table after the run: rows from each code's first changed day on
-    are recomputed; older rows are kept. New bars are read from the first
-    changed day on, their tails from the stored tail bounds (see
-    ``extend_moving_averages``)."""
-    first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
-    keep = (
+def _kept(stored_ma: DataFrame, first: DataFrame) -> DataFrame:
+    """MA rows before each changed code's first changed day."""
+    return (
         stored_ma.join(first, "code", "left")
         .filter(F.col("first_changed").isNull() | (F.col("date") < F.col("first_changed")))
         .drop("first_changed")
     )
-    since = changed.agg(F.min("date").alias("d")).first()["d"]  # landed keys: small
-    return keep.unionByName(extend_moving_averages(keep, bars_after, first_dates, since=since))
 
 
 def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: DataFrame, last: DataFrame,
-                       first_dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """As ``refresh_moving_averages_from`` for an indexed MA table with its
-    stored per-code state ``last`` (see ``operators.bars.last_rows``);
-    returns (MA table after the run, state after the run).
+                       first_dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept MA rows, new MA rows, state after the run) for an indexed MA
+    table with its stored per-code state ``last`` (see
+    ``operators.bars.last_rows``).
 
     A code whose first changed day lies after its newest stored row (the
     daily append) keeps its state; a corrected code (a change on or before
@@ -68,54 +70,92 @@ def refresh_with_state(stored_ma: DataFrame, bars_after: DataFrame, changed: Dat
     corrections exist. No other read of the history is needed for the
     newest rows, and the tail read is bounded by the stored tail starts.
 
-    Precondition (kept by ``daily_refresh``): before the run the MA table
+    Precondition (kept by ``refresh_book``): before the run the MA table
     covers every stored bar, so all new MA rows lie on or after the first
     changed day. For an MA table that lags its bars use
     ``extend_moving_averages`` without ``since``.
     """
     first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
-    keep = (
-        stored_ma.join(first, "code", "left")
-        .filter(F.col("first_changed").isNull() | (F.col("date") < F.col("first_changed")))
-        .drop("first_changed")
-    )
+    keep = _kept(stored_ma, first)
     # one small job: the first changed day and whether any change is a correction
     probe = first.join(last, "code", "left").agg(
         F.min("first_changed").alias("since"),
         F.count_if(F.col("first_changed") <= F.col("hwm")).alias("n_corrected")).first()
-    since = probe["since"]
     with_first = last.join(first, "code", "left")
-    appended = with_first.filter(
+    kept_last = with_first.filter(
         F.col("first_changed").isNull() | (F.col("first_changed") > F.col("hwm"))).drop("first_changed")
-    kept_last = appended
     if probe["n_corrected"]:  # corrections are rare: read their kept rows only then
         corrected = with_first.filter(F.col("first_changed") <= F.col("hwm")).select("code")
-        kept_last = appended.unionByName(last_rows(keep.join(corrected, "code", "left_semi")))
-    ext = extend_moving_averages(keep, bars_after, first_dates, since=since, last=kept_last,
+        kept_last = kept_last.unionByName(last_rows(keep.join(corrected, "code", "left_semi")))
+    new = extend_moving_averages(keep, bars_after, first_dates, since=probe["since"], last=kept_last,
                                  first_new=first.withColumnRenamed("first_changed", "first_new"))
-    return keep.unionByName(ext), advance_last(kept_last, ext)
+    return keep, new, advance_last(kept_last, new)
+
+
+# ------------------------------------------------------------------ the book
+def _months(bars: DataFrame) -> DataFrame:
+    return bars.withColumn("month", F.date_format("date", "yyyy-MM"))
 
 
-def daily_refresh(stored_bars: DataFrame, stored_ma: DataFrame, landed: DataFrame, out_root: str,
-                  run_day: dt.date, provisional: DataFrame | None = None, last: DataFrame | None = None,
-                  first_dates: DataFrame | None = None) -> dict[str, str]:
-    """Run X20 and write ``bars``, ``bars_ma`` (and, with the MA table's
-    per-code state ``last``, the advanced ``last``) under
-    ``out_root/run=<day>``; readers switch to a run folder once all its
-    tables are written."""
-    after = refresh_bars(stored_bars, landed, provisional)
+def _put(df: DataFrame, root: str, table: str) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/{table}")
+
+
+def create_book(m: Market, root: str) -> None:
+    """Store a market as a book (the first load; later runs refresh it)."""
+    numbered = m.numbered.select(*BAR_COLS, *INDEX_COLS)
+    (_months(numbered).repartition("month", "code").sortWithinPartitions("month", "date", "code")
+     .write.mode("overwrite").partitionBy("month").parquet(f"{root}/bars"))
+    stored = m.bars.sparkSession.read.parquet(f"{root}/bars")
+    _put(last_rows(stored), root, "state")
+    _put(calendar_of(stored), root, "calendar")
+    _put(stored.groupBy("code").agg(F.min("date").alias("first_date")), root, "listing")
+    _put(m.info, root, "info")
+    _put(m.concept, root, "concept")
+
+
+def book_exists(spark: SparkSession, root: str) -> bool:
+    return path_exists(spark, f"{root}/concept/_SUCCESS")  # written last
+
+
+def open_book(spark: SparkSession, root: str) -> Market:
+    """The market that the last run left. The month of a day is a partition
+    column: screens that bound the date skip other files by their date range."""
+    t = {name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
+    numbered = t["bars"].select(*BAR_COLS, *INDEX_COLS)
+    return Market(bars=numbered.select(*BAR_COLS), info=t["info"], concept=t["concept"], calendar=t["calendar"],
+                  listing=t["listing"], numbered=numbered, ma_state=t["state"])
+
+
+def refresh_book(spark: SparkSession, root: str, landed: DataFrame | None, provisional: DataFrame | None = None) -> list[str]:
+    """One run of X20 on the book at ``root``; returns the months it rewrote."""
+    m = open_book(spark, root)
+    stage = fresh_dir(spark, "refresh")
     changed = changed_keys(landed, provisional)
-    base = f"{out_root.rstrip('/')}/run={run_day}"
-    spark = stored_bars.sparkSession
-    after.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(f"{base}/bars")
-    bars_v = spark.read.parquet(f"{base}/bars")
-    out = {"bars": f"{base}/bars", "bars_ma": f"{base}/bars_ma"}
-    if last is not None:
-        ma, new_last = refresh_with_state(stored_ma, bars_v, changed, last, first_dates)
-    else:
-        ma, new_last = refresh_moving_averages_from(stored_ma, bars_v, changed, first_dates), None
-    ma.sortWithinPartitions("date", "code").write.mode("overwrite").parquet(out["bars_ma"])
-    if new_last is not None:
-        out["last"] = f"{base}/last"
-        new_last.write.mode("overwrite").parquet(out["last"])
-    return out
+    changed.write.parquet(f"{stage}/changed")
+    changed = spark.read.parquet(f"{stage}/changed")
+    if changed.isEmpty():
+        remove(spark, stage)
+        return []
+    after = refresh_bars(m.daily, landed, provisional)
+    _, new, state = refresh_with_state(m.numbered, after, changed, m.ma_state, m.first_dates())
+    _months(new).write.parquet(f"{stage}/new")
+    state.write.parquet(f"{stage}/state")
+    new = spark.read.parquet(f"{stage}/new")
+    # the months of the rows that change, of at most (days in the calendar / 28)
+    months = sorted(r["month"] for r in new.select("month").distinct().collect())
+    first = changed.groupBy("code").agg(F.min("date").alias("first_changed"))
+    kept = _kept(spark.read.parquet(f"{root}/bars").filter(F.col("month").isin(months)), first)
+    content = kept.select(*new.columns).unionByName(new)
+    content.repartition("month", "code").sortWithinPartitions("month", "date", "code").write.partitionBy("month").parquet(f"{stage}/bars")
+    opened = calendar_of(new).join(m.calendar, "date", "left_anti")
+    m.calendar.unionByName(opened).write.parquet(f"{stage}/calendar")
+    # a corrected code may start earlier than it did; a code's first day never gets later
+    starts = changed.join(after.select(*KEY), KEY, "left_semi").groupBy("code").agg(F.min("date").alias("first_date"))
+    m.listing.unionByName(starts).groupBy("code").agg(F.min("first_date").alias("first_date")).write.parquet(f"{stage}/listing")
+    (spark.read.parquet(f"{stage}/bars").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month").parquet(f"{root}/bars"))
+    for name in ("state", "calendar", "listing"):
+        _put(spark.read.parquet(f"{stage}/{name}"), root, name)
+    remove(spark, stage)
+    return months

@@ -53,13 +53,13 @@ LINKED = 3
 SORT_KEYS = ("s1", "s2", "s3")
 
 
-def report_rows(picks: DataFrame, report: str, value_text: Column, sort_keys: list[Column]) -> DataFrame:
+def report_rows(picks: DataFrame, report: str | Column, value_text: Column, sort_keys: list[Column]) -> DataFrame:
     """Unnumbered rows (report, industry, name, code, value, s1..s3) of one
     report. ``sort_keys`` are numeric and ascending, NULLs last (a
     descending key is given negated); ``code`` breaks ties. Rows of several
     reports are numbered together by ``number_reports``."""
     keys = list(sort_keys) + [F.lit(None)] * (len(SORT_KEYS) - len(sort_keys))
-    return picks.select(F.lit(report).alias("report"), "industry", "name", "code", value_text.alias("value"),
+    return picks.select((F.lit(report) if isinstance(report, str) else report).alias("report"), "industry", "name", "code", value_text.alias("value"),
                         *[k.cast("double").alias(n) for k, n in zip(keys, SORT_KEYS)])
 
 
@@ -100,10 +100,11 @@ def report_lines(rows: DataFrame, as_of, reports=None) -> DataFrame:
     return headers.unionByName(body)
 
 
-def breakout_report(picks: DataFrame, report: str) -> DataFrame:
-    """Rows of the up_trend / callback reports: percent printed x 100 (Q23)."""
+def breakout_report(picks: DataFrame, report: str | None = None) -> DataFrame:
+    """Rows of the up_trend / callback reports (by the picks' reason, unless
+    ``report`` names one): percent printed x 100 (Q23)."""
     text = F.format_string("%.2f%%", round_percent("percent"))
-    return report_rows(picks, report, text, [-F.col("percent")])
+    return report_rows(picks, report or F.col("reason"), text, [-F.col("percent")])
 
 
 def increase_report(cont: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,7 +215,7 @@ def w02(spark, sf_dir):
     as-of day equal the full rebuild (Q21)."""
     m = load_market(spark, sf_dir)
     stored = m.numbered.filter(F.col("date") <= F.lit(AS_OF))
-    return bar_ops.extend_moving_averages(stored, m.bars).select(*BAR_COLS)
+    return bar_ops.extend_moving_averages(stored, m.numbered).select(*BAR_COLS)
 
 
 LOAD_FROM = dt.date(2015, 11, 10)
@@ -265,10 +266,9 @@ def x17(spark, sf_dir):
     [O.above_all_averages_sql(AS_OF, 2, 1), O.above_all_averages_sql(AS_OF, 2, 2)]))
 def x18(spark, sf_dir):
     m = load_market(spark, sf_dir)
+    peaks = screens.peak_breakouts(m, TREND_START, PRE_START, 0.1, 0.0, AS_OF)
     rows = (
-        publish.breakout_report(screens.box_breakout(m, TREND_START, PRE_START, 0.1, 0.0, AS_OF), "up_trend")
-        .unionByName(publish.breakout_report(screens.pull_back(m, TREND_START, PRE_START, 0.1, 0.0, AS_OF),
-                                             "callback"))
+        publish.breakout_report(peaks)
         .unionByName(publish.increase_report(screens.continuous_increase(m, AS_OF, 1)
                                              .unionByName(screens.continuous_increase(m, AS_OF, 2))))
         .unionByName(publish.all_mas_report(screens.above_all_averages(m, AS_OF, 2, 1)
@@ -318,33 +318,19 @@ def r03(spark, sf_dir):
 
 
 # ------------------------------------------------------ daily refresh
-@register("x20_daily_refresh", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars WHERE date >= {O.d(AS_OF)}"))
+@register("x20_daily_refresh", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars"))
 def x20(spark, sf_dir):
-    """Stored state: final bars before the as-of day plus the provisional
-    bar of the as-of day (X03) and an MA table built on it. The run lands
-    the final bars from the as-of day on; the refreshed MA rows equal a
-    full rebuild (Q10, Q21)."""
+    """Two runs on one book: the provisional bars of the as-of day (X03) on
+    the history before it, then the final bars from that day on. The whole
+    table equals a full rebuild (Q10, Q21)."""
     m = load_market(spark, sf_dir)
-    before = m.numbered.filter(F.col("date") < F.lit(AS_OF))
-    # yesterday's live run stored one provisional day in bars and MA table: only those day rows and the
-    # state are written to the shared folder (computed once, short lineage); older history is the market itself
     root = fresh_dir(spark, "x20")
-    prov = bar_ops.tick_to_bar(bar_ops.ticks_from_bars(m.bars, AS_OF), m.stocks, AS_OF)
-    # yesterday's run: MA rows of the provisional day from the state of the day before (stored), then the
-    # advanced state; the provisional bars themselves are the bar columns of those stored rows
-    last_before = tables.store(bar_ops.last_rows(before), f"{root}/last_before", sort_by=("code",))
-    prov_ma = tables.store(bar_ops.extend_moving_averages(before, pipeline.refresh_bars(before, None, prov),
-                                                          m.first_dates(), since=AS_OF, last=last_before,
-                                                          first_new=prov.select("code", F.col("date").alias(
-                                                              "first_new"))),
-                           f"{root}/provisional_ma")
-    stored_bars = pipeline.refresh_bars(before, None, prov_ma)
-    stored_ma = before.unionByName(prov_ma)
-    last = bar_ops.advance_last(last_before, prov_ma)
-    landed = m.bars.filter(F.col("date") >= F.lit(AS_OF))
-    after = pipeline.refresh_bars(stored_bars, landed)
-    ma, _ = pipeline.refresh_with_state(stored_ma, after, pipeline.changed_keys(landed), last, m.first_dates())
-    return ma.filter(F.col("date") >= F.lit(AS_OF)).select(*BAR_COLS)
+    before = F.col("date") < F.lit(AS_OF)
+    pipeline.create_book(replace(m, numbered=m.numbered.filter(before)), root)
+    quotes_of_day = bar_ops.ticks_from_bars(m.bars, AS_OF)
+    pipeline.refresh_book(spark, root, None, bar_ops.tick_to_bar(quotes_of_day, m.stocks, AS_OF))
+    pipeline.refresh_book(spark, root, m.bars.filter(~before))
+    return pipeline.open_book(spark, root).bars
 
 
 # ------------------------------------------------------ parameterised SQL scan

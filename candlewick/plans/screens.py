@@ -21,7 +21,7 @@ from candlewick.functions.columns import (
     round_fixed, short_upper_shadow,
 )
 from candlewick.operators import stats
-from candlewick.operators.calendar import as_date, count_open_days, open_day, window_facts
+from candlewick.operators.calendar import as_date, as_of_day, count_open_days, open_day, window_facts
 from candlewick.operators.windows import extremes, peaks_and_troughs
 from candlewick.plans.market import Market
 from candlewick.schema import INDEX_NAMES
@@ -40,68 +40,87 @@ def picks(codes_pct: DataFrame, info: DataFrame, as_of, reason: str, percent=Non
     )
 
 
-def two_top_percent(ext: DataFrame, trend_percent: float) -> DataFrame:
-    """(later - earlier) / earlier of the two highest extremes (rank <= 2)
-    of a code; one extreme only -> no row (Q05)."""
+def two_top_facts(ext: DataFrame, trend_percent: float) -> DataFrame:
+    """One row per code with at least two extremes, in one aggregate over the
+    two highest (rank <= 2): day and close of the highest, and (later -
+    earlier) / earlier of the two, at most trend_percent (Q05)."""
     return (
         ext.filter(F.col("rank") <= 2).groupBy("code")
         .agg(F.count(F.lit(1)).alias("n"), F.max_by("close", "date").alias("later"),
-             F.min_by("close", "date").alias("earlier"))
+             F.min_by("close", "date").alias("earlier"), F.min_by("close", "rank").alias("m_close"),
+             F.min_by("date", "rank").alias("date"))
         .filter(F.col("n") == 2)
-        .select("code", rel_change("later", "earlier").alias("percent"))
+        .select("code", "date", "m_close", rel_change("later", "earlier").alias("percent"))
         .filter(F.col("percent") <= F.lit(trend_percent))
     )
 
 
-def _breakout(m: Market, ext: DataFrame, first_filter, trend_start, pre_start, trend_percent, up_percent,
-              as_of) -> DataFrame:
-    pre_end = trend_start - dt.timedelta(days=1)
-    first = ext.filter((F.col("rank") == 1) & first_filter).select("code", F.col("close").alias("m_close"))
+def _breakout(m: Market, kind: str, on_days, trend_start, pre_start, trend_percent, up_percent, as_of) -> DataFrame:
+    """(code, date, percent) of the codes that pass the rules common to X01,
+    X02 and X07; ``on_days``: condition on the day of the highest extreme."""
+    facts = two_top_facts(extremes(m.stocks, trend_start, as_of, kind), trend_percent).filter(on_days)
     listed = m.first_dates().filter(F.col("first_date") <= F.lit(trend_start)).select("code")
-    high = stats.max_close_last_day(m.bars, pre_start, pre_end).select("code", F.col("close").alias("h_close"))
-    pct = two_top_percent(ext, trend_percent)
-    info = m.info.filter(not_risk_flagged())
+    high = stats.max_close_last_day(m.bars, pre_start, trend_start - dt.timedelta(days=1)).select(
+        "code", F.col("close").alias("h_close"))
     return (
-        first.join(listed, "code").join(pct, "code").join(high, "code")
+        facts.join(listed, "code").join(high, "code")
         .filter(F.try_divide(F.col("h_close") - F.col("m_close"), F.col("h_close")) >= F.lit(up_percent))
-        .select("code", "percent").join(info.select("code"), "code")
+        .select("code", "date", "percent")
     )
 
 
+def _days_before(as_of, n: int):
+    return F.col("date").between(F.lit(as_of - dt.timedelta(days=n)), F.lit(as_of - dt.timedelta(days=1)))
+
+
+def _above_short_mas(m: Market, as_of) -> DataFrame:
+    return m.stocks.filter((F.col("date") == F.lit(as_of)) & above_mas((5, 10, 20))).select("code")
+
+
 def box_breakout(m: Market, trend_start, pre_start, trend_percent: float, up_percent: float,
-                 as_of) -> DataFrame:
+                 as_of=None) -> DataFrame:
     """X01 (`up_trend`): peaks over [trend_start, as_of]; of the two highest
     peaks the later is at most trend_percent above the earlier; the highest
     peak is on the as-of day; listed no later than trend_start; not ST; the
     highest close of [pre_start, trend_start - 1] is at least up_percent
     above the peak."""
-    as_of, trend_start, pre_start = as_date(as_of), as_date(trend_start), as_date(pre_start)
-    ext = extremes(m.stocks, trend_start, as_of, "peak")
-    codes = _breakout(m, ext, F.col("date") == F.lit(as_of), trend_start, pre_start, trend_percent,
-                      up_percent, as_of)
-    return picks(codes, m.info, as_of, "up_trend")
+    as_of, trend_start, pre_start = as_of_day(m.calendar, as_of), as_date(trend_start), as_date(pre_start)
+    codes = _breakout(m, "peak", F.col("date") == F.lit(as_of), trend_start, pre_start, trend_percent, up_percent, as_of)
+    return picks(codes, m.info.filter(not_risk_flagged()), as_of, "up_trend")
 
 
-def pull_back(m: Market, trend_start, pre_start, trend_percent: float, up_percent: float, as_of) -> DataFrame:
+def pull_back(m: Market, trend_start, pre_start, trend_percent: float, up_percent: float, as_of=None) -> DataFrame:
     """X02 (`callback`): as X01, but the highest peak lies 1..14 calendar
     days before the as-of day, and on the as-of day close >= ma5, ma10, ma20."""
-    as_of, trend_start, pre_start = as_date(as_of), as_date(trend_start), as_date(pre_start)
-    ext = extremes(m.stocks, trend_start, as_of, "peak")
-    in_window = F.col("date").between(F.lit(as_of - dt.timedelta(days=14)), F.lit(as_of - dt.timedelta(days=1)))
-    codes = _breakout(m, ext, in_window, trend_start, pre_start, trend_percent, up_percent, as_of)
-    today = m.stocks.filter((F.col("date") == F.lit(as_of)) & above_mas((5, 10, 20))).select("code")
-    return picks(codes.join(today, "code"), m.info, as_of, "callback")
+    as_of, trend_start, pre_start = as_of_day(m.calendar, as_of), as_date(trend_start), as_date(pre_start)
+    codes = _breakout(m, "peak", _days_before(as_of, 14), trend_start, pre_start, trend_percent, up_percent, as_of)
+    codes = codes.join(_above_short_mas(m, as_of), "code")
+    return picks(codes, m.info.filter(not_risk_flagged()), as_of, "callback")
+
+
+def peak_breakouts(m: Market, trend_start, pre_start, trend_percent: float, up_percent: float, as_of=None) -> DataFrame:
+    """X01 and X02 together: the picks of both (told apart by ``reason``)
+    from one scan and one window pass; their days exclude each other."""
+    as_of, trend_start, pre_start = as_of_day(m.calendar, as_of), as_date(trend_start), as_date(pre_start)
+    on_day = F.col("date") == F.lit(as_of)
+    codes = _breakout(m, "peak", on_day | _days_before(as_of, 14), trend_start, pre_start, trend_percent, up_percent, as_of)
+    above = _above_short_mas(m, as_of).withColumn("above", F.lit(True))
+    codes = codes.join(above, "code", "left").filter(on_day | F.col("above"))
+    codes = codes.withColumn("reason", F.when(on_day, F.lit("up_trend")).otherwise(F.lit("callback")))
+    return (
+        codes.join(m.info.filter(not_risk_flagged()).select(*PICK_INFO), "code")
+        .select(*PICK_INFO, F.col("percent").cast("double").alias("percent"), F.lit(as_of).alias("update_date"), "reason")
+        .distinct()
+    )
 
 
 def trough_breakout(m: Market, trend_start, pre_start, trend_percent: float, up_percent: float,
-                    as_of) -> DataFrame:
+                    as_of=None) -> DataFrame:
     """X07 (`up_trend_low`): X01 on troughs since trend_start; the highest
     trough lies 1..10 calendar days before the as-of day."""
-    as_of, trend_start, pre_start = as_date(as_of), as_date(trend_start), as_date(pre_start)
-    ext = extremes(m.stocks, trend_start, as_of, "trough")
-    in_window = F.col("date").between(F.lit(as_of - dt.timedelta(days=10)), F.lit(as_of - dt.timedelta(days=1)))
-    codes = _breakout(m, ext, in_window, trend_start, pre_start, trend_percent, up_percent, as_of)
-    return picks(codes, m.info, as_of, "up_trend_low")
+    as_of, trend_start, pre_start = as_of_day(m.calendar, as_of), as_date(trend_start), as_date(pre_start)
+    codes = _breakout(m, "trough", _days_before(as_of, 10), trend_start, pre_start, trend_percent, up_percent, as_of)
+    return picks(codes, m.info.filter(not_risk_flagged()), as_of, "up_trend_low")
 
 
 def rising_structure(m: Market, trend_start, as_of) -> DataFrame:
@@ -128,22 +147,22 @@ def today_with_history(m: Market, as_of, min_bars: int) -> DataFrame:
     return m.stocks.filter(F.col("date") == F.lit(as_of)).join(days, "code")
 
 
-def ascending(m: Market, trend_start, as_of) -> DataFrame:
+def ascending(m: Market, trend_start, as_of=None) -> DataFrame:
     """X04 (`asc`): rising peaks and troughs; on the as-of day close >= ma5,
     ma10, ma20, p_change <= 9, open > 0; more than 30 bars of history."""
-    as_of, trend_start = as_date(as_of), as_date(trend_start)
+    as_of, trend_start = as_of_day(m.calendar, as_of), as_date(trend_start)
     today = today_with_history(m, as_of, 30).filter(
         above_mas((5, 10, 20)) & (F.col("p_change") <= 9.0) & not_suspended()).select("code")
     codes = rising_structure(m, trend_start, as_of).join(today, "code")
     return picks(codes, m.info, as_of, "asc", percent=0.0)
 
 
-def latest_ascending(m: Market, trend_start, as_of, hold_days: int = 3) -> DataFrame:
+def latest_ascending(m: Market, trend_start, as_of=None, hold_days: int = 3) -> DataFrame:
     """X05 (`latest_asc`): X04's structure; on each of the last hold_days
     open days close >= ma5..ma120 (distinct days, Q12); on the as-of day
     close >= ma5, ma10, ma20 and p_change in [0, 9], open > 0; more than 25
     bars; not ST."""
-    as_of, trend_start = as_date(as_of), as_date(trend_start)
+    as_of, trend_start = as_of_day(m.calendar, as_of), as_date(trend_start)
     since = open_day(m.calendar, as_of, hold_days)
     held = (
         m.stocks.filter(F.col("date").between(F.lit(since), F.lit(as_of)) & above_mas((5, 10, 20, 30, 60, 120)))
@@ -156,7 +175,7 @@ def latest_ascending(m: Market, trend_start, as_of, hold_days: int = 3) -> DataF
     return picks(codes, m.info.filter(not_risk_flagged()), as_of, "latest_asc", percent=0.0)
 
 
-def volume_breakout(m: Market, as_of, push_days: int = 7, up_days: int = 3, volume_increase: float = 2,
+def volume_breakout(m: Market, as_of=None, push_days: int = 7, up_days: int = 3, volume_increase: float = 2,
                     no_down_day: str = "drop") -> DataFrame:
     """X06 (`up_ma`): over the last push_days calendar days at least up_days
     bars, up-day volume >= volume_increase x down-day volume, close range
@@ -164,7 +183,7 @@ def volume_breakout(m: Market, as_of, push_days: int = 7, up_days: int = 3, volu
     and >= the window's highest close, p_change <= 5, (high-close)/open <=
     0.01. Without a down day the down volume is NULL and the code is
     dropped (Q07) unless ``no_down_day='pass'``."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     win = m.stocks.filter(F.col("date").between(F.lit(as_of - dt.timedelta(days=push_days)), F.lit(as_of)))
     agg = win.groupBy("code").agg(
         F.sum(F.when(F.col("p_change") < 0, F.col("volume"))).alias("cons"),
@@ -192,7 +211,7 @@ def continuous_increase(m: Market, as_of, n_days: int) -> DataFrame:
     at least n of them >= 1; the first in [-3, 0]; the last > 0 (Q16); on
     the as-of day (high-close)/close <= 0.02, close > open, low <= previous
     close. Out: industry, code, name, p_change[] by date (2 places), n_days."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     start = open_day(m.calendar, as_of, n_days + 1)
     today = m.stocks.filter(
         (F.col("date") == F.lit(as_of)) & short_upper_shadow(0.02, base="close") & bullish_touch_prev_close()
@@ -217,7 +236,7 @@ def above_all_averages(m: Market, as_of, n_days: int, interval: int) -> DataFram
     """Since the (n+interval)-th last open day at least n bars with
     p_change in [-3, 0]; on the as-of day p_change in [0.1, 5] and close
     strictly above ma5..ma250."""
-    as_of = as_date(as_of)
+    as_of = as_of_day(m.calendar, as_of)
     start = open_day(m.calendar, as_of, n_days + interval)
     s = (
         m.stocks.filter(F.col("date").between(F.lit(start), F.lit(as_of)) & p_change_between(-3.0, 0.0))
@@ -232,11 +251,11 @@ def above_all_averages(m: Market, as_of, n_days: int, interval: int) -> DataFram
         F.lit(interval).alias("interval"), F.lit(as_of).alias("update_date"))
 
 
-def interval_return(m: Market, interval: int, end_day) -> DataFrame:
+def interval_return(m: Market, interval: int, end_day=None) -> DataFrame:
     """Return between the interval-th last open day and end_day, and
     the range amplitude; one row per (code, concept); codes missing on
     either day are dropped. One conditional aggregation, one scan (J04)."""
-    end_day = as_date(end_day)
+    end_day = as_of_day(m.calendar, end_day)
     start = open_day(m.calendar, end_day, interval)
     per_code = (
         m.stocks.filter(F.col("date").between(F.lit(start), F.lit(end_day)))
@@ -264,29 +283,28 @@ def volume_trend_codes(m: Market, start, end, volume_cnt: int, neg_volume_percen
         n_open = count_open_days(m.calendar, start, end)
     rows = m.stocks.filter(F.col("date").between(F.lit(start), F.lit(end))).select(
         "code", "date", "p_change", "volume")
-    down = rows.filter(F.col("p_change") < 0)
-    prev = F.lag("volume").over(Window.partitionBy("code").orderBy("date"))
-    jumps = down.select("code", F.abs(F.try_divide(F.col("volume") - prev, prev)).alias("chg")).groupBy(
-        "code").agg(F.max("chg").alias("max_chg"))
-    max_neg = F.max(F.when(F.col("p_change") < 0, F.col("volume"))).over(Window.partitionBy("code"))
-    per_code = (
-        rows.withColumn("max_neg", max_neg).groupBy("code").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if((F.col("p_change") >= 0) & (F.col("volume") < F.col("max_neg"))).alias("n_below"))
-        .filter((F.col("n") >= n_open - 3) & (F.col("n_below") <= volume_cnt))
-    )
+    # one pass over the range: the down day before a down day is the last one that the rows before have
+    fell = F.when(F.col("p_change") < 0, F.col("volume"))
+    before = F.last(fell, ignorenulls=True).over(
+        Window.partitionBy("code").orderBy("date").rowsBetween(Window.unboundedPreceding, -1))
     return (
-        per_code.join(jumps, "code", "left")
-        .filter(F.col("max_chg").isNull() | (F.col("max_chg") <= F.lit(neg_volume_percent)))
+        rows.withColumn("max_neg", F.max(fell).over(Window.partitionBy("code")))
+        .withColumn("chg", F.abs(F.try_divide(fell - before, before)))
+        .groupBy("code").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if((F.col("p_change") >= 0) & (F.col("volume") < F.col("max_neg"))).alias("n_below"),
+            F.max("chg").alias("max_chg"))
+        .filter((F.col("n") >= n_open - 3) & (F.col("n_below") <= volume_cnt)
+                & (F.col("max_chg").isNull() | (F.col("max_chg") <= F.lit(neg_volume_percent))))
         .select("code")
     )
 
 
-def volume_trend(m: Market, start, end, volume_cnt: int, neg_volume_percent: float, as_of) -> DataFrame:
+def volume_trend(m: Market, start, end, volume_cnt: int, neg_volume_percent: float, as_of=None) -> DataFrame:
     """For the kept codes, (high on the as-of day - close on the first
     open day after end) / that close, where that day's p_change < 9.9 (Q18:
     next open day, not next calendar day)."""
-    as_of, start, end = as_date(as_of), as_date(start), as_date(end)
+    as_of, start, end = as_of_day(m.calendar, as_of), as_date(start), as_date(end)
     n_open, min_day = window_facts(m.calendar, start, end)  # one small job for both calendar facts
     codes = volume_trend_codes(m, start, end, volume_cnt, neg_volume_percent, n_open=n_open)
     fwd = (

@@ -7,9 +7,8 @@ Tables are Parquet folders; a write never goes through the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from candlewick.plans.market import Market
+from candlewick.plans.market import Market, read_landed  # noqa: F401  (read_landed: S05/S06/K02)
 
 
 def register_views(m: Market, prefix: str = "") -> None:
@@ -26,12 +25,6 @@ def sql_scan(spark: SparkSession, text: str, **params) -> DataFrame:
     return spark.sql(text, args=params)
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                **options) -> DataFrame:
-    """Landing files read with an explicit schema (never inferred)."""
-    return spark.read.schema(schema).format(fmt).options(**options).load(path)
-
-
 def replace_table(df: DataFrame, path: str) -> None:
     """Full replace (instrument facts, concept tags)."""
     df.write.mode("overwrite").parquet(path)

@@ -167,7 +167,7 @@ def test_q15_group_with_only_null_changes_still_appears(spark):
 def test_q05_single_peak_drops_code(spark):
     m = market(spark, {"600001": [1, 2, 3, 4, 5], "sh": [1, 1, 1, 1, 1]})
     ext = extremes(m.stocks, day(0), day(4), "peak")
-    assert screens.two_top_percent(ext, 1.0).count() == 0
+    assert screens.two_top_facts(ext, 1.0).count() == 0
 
 
 def test_q07_no_down_day_dropped_by_default(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, screens
 from candlewick.plans.market import Market, load_market
+from candlewick.schema import BAR_COLS
 
 SF = "/root/testdata/sf0.01"
 AS_OF = dt.date(2015, 11, 24)
@@ -76,22 +77,82 @@ def test_w02_bounded_tail_keeps_the_bar_index_and_pushes_a_date_bound(spark, mar
     assert set(ext.columns) == set(BAR_COLS) | {"bar_no", "tail_from"}
 
 
-def test_x20_daily_append_with_state_writes_exact_tables(spark, markets, tmp_dir):
+def _same(a, b, cols):
+    return a.select(*cols).exceptAll(b.select(*cols)).count() == 0 and b.select(*cols).exceptAll(a.select(*cols)).count() == 0
+
+
+def _file_times(root):
+    import os
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_x20_runs_chain_and_leave_other_months_alone(spark, markets, tmp_dir):
+    """Day 2 reads what day 1 left: bars, MA rows, state, calendar and
+    listing equal a full rebuild after each; a month that no landed key
+    touches keeps its files."""
+    import datetime as dt
+    from dataclasses import replace
     from candlewick.operators import bars as B
     from candlewick.plans import pipeline
+    full, _ = markets
+    root = f"{tmp_dir}/book"
+    day1 = AS_OF + dt.timedelta(days=7)
+    until = lambda day: full.numbered.filter(F.col("date") <= F.lit(day))
+    pipeline.create_book(replace(full, numbered=until(AS_OF)), root)
+    before = _file_times(f"{root}/bars")
+    cols = [*BAR_COLS, "bar_no", "tail_from"]
+    steps = [(AS_OF, day1), (day1, dt.date(2015, 12, 31))]
+    for after, upto in steps:
+        landed = full.bars.filter((F.col("date") > F.lit(after)) & (F.col("date") <= F.lit(upto)))
+        months = pipeline.refresh_book(spark, root, landed)
+        assert months and min(months) >= "2015-11"
+        book = pipeline.open_book(spark, root)
+        want = until(upto)
+        assert _same(book.numbered, want, cols)
+        assert _same(book.ma_state, B.last_rows(want), ["code", "hwm", "hwm_no", "hwm_tail"])
+        assert _same(book.calendar, want.filter("code = 'sh'").select("date").distinct(), ["date"])
+        assert _same(book.listing, want.groupBy("code").agg(F.min("date").alias("first_date")), ["code", "first_date"])
+    now = _file_times(f"{root}/bars")
+    old = {f: t for f, t in before.items() if "month=2015-11" not in f}
+    assert old and all(now.get(f) == t for f, t in old.items())
+    # a correction of one old bar rewrites the months from its day on for that code
+    code, when = "600002", dt.date(2015, 9, 3)
+    bar = full.bars.filter((F.col("code") == code) & (F.col("date") >= F.lit(when))).orderBy("date").limit(1).withColumn("close", F.col("close") + 1.0)
+    pipeline.refresh_book(spark, root, bar)
+    fixed = pipeline.open_book(spark, root)
+    plain = upsert_all(full.bars.filter(F.col("date") <= F.lit(steps[-1][1])), bar)
+    assert _same(fixed.numbered, plain, cols)
+    assert pipeline.refresh_book(spark, root, bar.limit(0)) == []
+
+
+def upsert_all(bars, bar):
+    """Full rebuild after an upsert."""
+    from candlewick.operators.bars import upsert
+    from candlewick.operators.windows import with_bar_index, with_moving_averages
+    from candlewick.schema import BAR_BASE_COLS
+    base = upsert(bars.select(*BAR_BASE_COLS), bar.select(*BAR_BASE_COLS))
+    return with_bar_index(with_moving_averages(base)).select(*BAR_COLS, "bar_no", "tail_from")
+
+
+def test_market_of_stored_tables_and_the_newest_day(spark, markets, tmp_dir):
+    """Bar tables that are not the fixture: the same screens, by default for
+    the newest open day; changed input is read anew."""
+    from candlewick.plans.market import load_market
     from candlewick.schema import BAR_BASE_COLS
     full, _ = markets
-    stored_ma = full.numbered.filter(F.col("date") <= F.lit(AS_OF))
-    stored_bars = full.bars.select(*BAR_BASE_COLS).filter(F.col("date") <= F.lit(AS_OF))
-    landed = full.bars.filter(F.col("date") > F.lit(AS_OF))
-    out = pipeline.daily_refresh(stored_bars, stored_ma, landed, f"{tmp_dir}/runs", AS_OF,
-                                 last=B.last_rows(stored_ma), first_dates=full.first_dates())
-    ma = spark.read.parquet(out["bars_ma"])
-    cols = ["code", "date", "ma5", "ma250", "bar_no", "tail_from"]
-    assert ma.select(*cols).exceptAll(full.numbered.select(*cols)).count() == 0
-    assert full.numbered.select(*cols).exceptAll(ma.select(*cols)).count() == 0
-    last = spark.read.parquet(out["last"])
-    assert last.exceptAll(B.last_rows(full.numbered)).count() == 0
+    upto = full.bars.filter(F.col("date") <= F.lit(AS_OF)).select(*BAR_BASE_COLS)
+    upto.write.parquet(f"{tmp_dir}/db/stock_daily")
+    full.info.write.parquet(f"{tmp_dir}/db/stock_info")
+    full.concept.write.parquet(f"{tmp_dir}/db/stock_concept")
+    m = load_market(spark, f"{tmp_dir}/db")
+    cut = full.numbered.filter(F.col("date") <= F.lit(AS_OF))
+    assert _same(m.numbered, cut, [*BAR_COLS, "bar_no", "tail_from"])
+    newest = m.calendar.agg(F.max("date")).first()[0]
+    assert _same(screens.ascending(m, "2015-10-20"), screens.ascending(full, "2015-10-20", newest), ["code", "update_date"])
+    assert screens.box_breakout(m, "2015-10-01", "2015-06-01", 0.1, 0.0).count() == screens.box_breakout(full, "2015-10-01", "2015-06-01", 0.1, 0.0, newest).count()
+    days = m.calendar.count()
+    full.bars.filter(F.col("date") <= F.lit("2015-06-30")).select(*BAR_BASE_COLS).write.mode("overwrite").parquet(f"{tmp_dir}/db/stock_daily")
+    assert load_market(spark, f"{tmp_dir}/db").calendar.count() < days
 
 
 def _edge_markets(spark):

@@ -173,7 +173,17 @@ def test_daily_runs_write_slices_reports_and_charts(spark, tmp_dir):
     texts = spark.read.text(path).collect()
     assert any(r.value.startswith("Trend breakout picks (2015-11-24)") for r in texts)
     charts = runs.run_charts(m, "2015-11-24", out, "asc")
-    assert spark.read.parquet(charts).select("code").distinct().count() == 18
+    series = spark.read.parquet(charts)
+    assert series.select("code").distinct().count() == 18
+    assert {"rsi14", "macd", "macd_signal", "macd_hist", "sma5"} <= set(series.columns)
+    assert series.filter("rsi14 IS NOT NULL").count() > 0
+    percents = [r.percent for r in runs.read_picks(spark, "2015-11-24", out).collect()]
+    assert percents == sorted(percents, reverse=True)
+    for _ in range(2):  # each slice is replaced by a rerun
+        done = runs.run_trends(m, "2015-11-24", out)
+        counts = {k: spark.read.parquet(v).count() for k, v in done.items()}
+    assert counts["interval_return"] == 646 and counts["excess_return"] == 592 and counts["hot_industries"] == 329
+    assert counts["volume_trend"] > 0 and "start_day=2015-" in done["interval_return"]
 
 
 def test_r06_late_quotes_beyond_watermark_are_dropped(spark, tmp_dir):
@@ -224,15 +234,23 @@ def test_refresh_job_with_landed_files(spark, tmp_dir):
     from candlewick.operators import bars as B
     from candlewick.plans import runs
     from candlewick.plans.market import load_market
-    from candlewick.schema import BAR_BASE_COLS
+    from candlewick.plans import pipeline
     m = load_market(spark, "/root/testdata/sf0.01")
     newest = dt.date(2015, 12, 24)
     m.daily.filter(F.col("date") == F.lit(newest)).write.parquet(f"{tmp_dir}/landed")  # the day landed again
-    out = runs.run_refresh(m, f"{tmp_dir}/landed", newest, f"{tmp_dir}/out")
-    bars = spark.read.parquet(out["bars"])
-    assert bars.select(*BAR_BASE_COLS).exceptAll(m.daily).count() == 0 and bars.count() == m.daily.count()
+    out = runs.run_refresh(m, f"{tmp_dir}/landed", f"{tmp_dir}/out")
+    assert out["months"] == ["2015-12"]
+    book = pipeline.open_book(spark, out["book"])
+    assert book.daily.exceptAll(m.daily).count() == 0 and book.daily.count() == m.daily.count()
     cols = ["code", "date", "ma5", "ma250", "bar_no", "tail_from"]
-    ma = spark.read.parquet(out["bars_ma"])
-    assert ma.select(*cols).exceptAll(m.numbered.select(*cols)).count() == 0
-    assert ma.count() == m.numbered.count()
-    assert spark.read.parquet(out["last"]).exceptAll(B.last_rows(m.numbered)).count() == 0
+    assert book.numbered.select(*cols).exceptAll(m.numbered.select(*cols)).count() == 0
+    assert book.ma_state.exceptAll(B.last_rows(m.numbered)).count() == 0
+    # the next run needs no market: it goes on from the book, with the newest batch of provisional bars
+    day = newest + dt.timedelta(days=7)
+    new = m.daily.filter(F.col("date") == F.lit(newest)).withColumn("date", F.lit(day))
+    for batch, close in ((0, 1.0), (1, 2.0)):
+        new.withColumn("close", F.lit(close)).write.parquet(f"{tmp_dir}/live/batch_id={batch}")
+    assert runs.run_refresh(None, None, f"{tmp_dir}/out", f"{tmp_dir}/live", spark)["months"] == ["2015-12"]
+    book = pipeline.open_book(spark, out["book"])
+    assert [r.close for r in book.bars.filter(F.col("date") == F.lit(day)).select("close").distinct().collect()] == [2.0]
+    assert book.calendar.agg(F.max("date")).first()[0] == day
