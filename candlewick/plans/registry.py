@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import oracle as O
+from candlewick.functions.arrays import last, nth
 from candlewick.operators import bars as bar_ops
-from candlewick.operators import stats
+from candlewick.operators import calendar, stats
+from candlewick.operators.ranking import global_row_number
 from candlewick.operators.windows import extremes
 from candlewick.plans import groups, pipeline, publish, screens
 from candlewick.plans.market import load_market
-from candlewick.schema import BAR_COLS
+from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CONCEPT, INFO
 from candlewick.session import fresh_dir
 from candlewick.sources import tables
 from candlewick.streaming import quotes
@@ -44,11 +46,14 @@ def x11(spark, sf_dir):
     return groups.industry_by_day(load_market(spark, sf_dir), AS_OF, top_n=5, n_days=30, ignore_n_days=3)
 
 
+LIMIT_UP_DAY = dt.date(2015, 11, 22)  # a code was limit-up on the last two open days
+
+
 @register("x11_industry_by_day_limit_up", O.with_base(
-    *O.industry_by_day_ctes(AS_OF, 5, 30, 2),
+    *O.industry_by_day_ctes(LIMIT_UP_DAY, 5, 30, 2),
     select="SELECT * FROM gday"))
 def x11_limit_up(spark, sf_dir):
-    return groups.industry_by_day(load_market(spark, sf_dir), AS_OF, top_n=5, n_days=30, ignore_n_days=2)
+    return groups.industry_by_day(load_market(spark, sf_dir), LIMIT_UP_DAY, top_n=5, n_days=30, ignore_n_days=2)
 
 
 @register("x12_industry_summary", O.with_base(
@@ -144,9 +149,12 @@ def x10_22(spark, sf_dir):
     return screens.above_all_averages(load_market(spark, sf_dir), AS_OF, 2, 2)
 
 
-@register("x10_above_all_averages_2_1", O.above_all_averages_sql(AS_OF, 2, 1))
+DAY_BEFORE = dt.date(2015, 11, 23)  # a day on which this pair of parameters picks
+
+
+@register("x10_above_all_averages_2_1", O.above_all_averages_sql(DAY_BEFORE, 2, 1))
 def x10_21(spark, sf_dir):
-    return screens.above_all_averages(load_market(spark, sf_dir), AS_OF, 2, 1)
+    return screens.above_all_averages(load_market(spark, sf_dir), DAY_BEFORE, 2, 1)
 
 
 @register("x15_interval_return", O.interval_return_sql(5, AS_OF))
@@ -346,3 +354,135 @@ def s01(spark, sf_dir):
         "SELECT d.code, d.date, d.close, i.industry FROM cw_stock_daily d JOIN cw_stock_info i ON d.code = i.code "
         "WHERE d.date BETWEEN :start AND :end AND d.p_change > :min_change",
         start=TREND_START, end=AS_OF, min_change=4.0)
+
+
+# ------------------------------------------------------ sources and sinks, read back
+@register("s04_index_renaming", O.with_base(select="SELECT code, date, close FROM bars WHERE code = 'sh'"))
+def s04(spark, sf_dir):
+    """Index bars land under the feed's id."""
+    feed = load_market(spark, sf_dir).bars.filter(F.col("code") == "sh").select(F.lit("000001").alias("code"), "date", "close")
+    return bar_ops.rename_index_ids(spark, feed).select("code", "date", "close")
+
+
+@register("k01_append_history", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars WHERE date >= {O.d(LOAD_FROM)}"))
+def k01(spark, sf_dir):
+    """Landed rows, delivered twice and overlapping what is stored,
+    are appended once; a rerun adds nothing."""
+    m, path = load_market(spark, sf_dir), fresh_dir(spark, "k01")
+    recent = m.bars.filter(F.col("date") >= F.lit(LOAD_FROM))
+    tables.append_rows(recent.filter(F.col("date") <= F.lit(AS_OF)), path)
+    for _ in range(2):
+        stored = spark.read.schema(recent.schema).parquet(path)
+        new = fresh_dir(spark, "k01-new")
+        bar_ops.append_new(stored, recent.unionByName(recent)).write.parquet(new)
+        tables.append_rows(spark.read.schema(recent.schema).parquet(new), path)
+    return spark.read.schema(recent.schema).parquet(path)
+
+
+@register("k02_replace_tables", O.with_base(select="SELECT code, name, industry, esp, pe, c_name FROM info JOIN (SELECT code, c_name FROM concept) USING (code)"))
+def k02(spark, sf_dir):
+    """Instrument facts and concept tags replaced as a whole,
+    read with their schemas."""
+    m, root = load_market(spark, sf_dir), fresh_dir(spark, "k02")
+    for part in (m.info.limit(1), m.info):
+        tables.replace_table(part, f"{root}/stock_info")
+    for part in (m.concept.limit(1), m.concept):
+        tables.replace_table(part, f"{root}/stock_concept")
+    info = tables.read_landed(spark, f"{root}/stock_info", INFO)
+    return info.join(tables.read_landed(spark, f"{root}/stock_concept", CONCEPT).select("code", "c_name"), "code")
+
+
+@register("k05_delete_day", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars WHERE date <> {O.d(AS_OF)}"))
+def k05(spark, sf_dir):
+    return bar_ops.delete_day(load_market(spark, sf_dir).bars, AS_OF)
+
+
+@register("t04_picks_by_percent", O.with_base(select=f"""
+    FROM ({O.breakout_sql("trough", "up_trend_low", TREND_START, PRE_START, 0.1, 0.0, AS_OF,
+                          f"date >= {O.d(AS_OF)} - 10 AND date < {O.d(AS_OF)}")})
+    SELECT code, percent, reason, CAST(row_number() OVER (ORDER BY percent DESC, code) AS INTEGER) AS place"""))
+def t04(spark, sf_dir):
+    """A slice replaced twice, read by its keys in the order of
+    a report."""
+    m, root = load_market(spark, sf_dir), fresh_dir(spark, "t04")
+    day = AS_OF.isoformat()
+    publish.replace_slice(screens.ascending(m, ASC_START, AS_OF), f"{root}/picks", update_date=day, reason="asc")
+    for end in (DAY_BEFORE, AS_OF):
+        picked = screens.trough_breakout(m, TREND_START, PRE_START, 0.1, 0.0, end)
+        publish.replace_slice(picked, f"{root}/picks", update_date=day, reason="up_trend_low")
+    rows = publish.read_slice(spark, f"{root}/picks", update_date=day, reason="up_trend_low")
+    placed = publish.number_reports(publish.breakout_report(rows))
+    return placed.join(rows.select("code", "percent"), "code").select(
+        "code", "percent", F.col("report").alias("reason"), F.col("rn").alias("place")).orderBy("place")
+
+
+@register("t05_volume_trend_by_ratio", f"""
+    SELECT code, name, ratio, row_number() OVER (ORDER BY ratio DESC NULLS LAST, code) AS place
+    FROM ({O.volume_trend_sql(VT_START, VT_END, 2, 1.0, AS_OF)})""")
+def t05(spark, sf_dir):
+    """X08 in the order of its list, numbered across partitions."""
+    rows = screens.volume_trend(load_market(spark, sf_dir), VT_START, VT_END, 2, 1.0, AS_OF)
+    numbered = global_row_number(rows, [F.col("ratio").desc_nulls_last(), F.col("code")], "place")
+    return numbered.withColumn("place", F.col("place").cast("bigint")).orderBy("place")
+
+
+@register("a05_newest_days", O.with_base(select=f"""
+    SELECT (SELECT max(date) FROM cal) AS newest_open_day, max(date) AS newest_bar_day, DATE '1900-01-01' AS without_days FROM bars"""))
+def a05(spark, sf_dir):
+    """Newest open day, newest bar day, and the default of a
+    calendar without days."""
+    m = load_market(spark, sf_dir)
+    none = calendar.latest_day_frame(m.calendar.filter(F.lit(False)), calendar.DEFAULT_LATEST)
+    newest = calendar.latest_day_frame(m.calendar).select(F.col("latest_day").alias("newest_open_day"))
+    bar = m.bars.agg(F.max("date").alias("newest_bar_day"))
+    return newest.join(bar).join(none.select(F.col("latest_day").alias("without_days")))  # one row each
+
+
+@register("f05_list_subscripts", O.with_base(
+    *O.industry_by_day_ctes(AS_OF, 5, 30, 3),
+    select="SELECT industry, date, top_n_stock[1] AS first, top_n_stock[2] AS second, top_n_stock[9] AS ninth, top_n_change[-1] AS least FROM gday"))
+def f05(spark, sf_dir):
+    """1-based subscripts, null beyond the end, and the last one."""
+    by_day = groups.industry_by_day(load_market(spark, sf_dir), AS_OF, top_n=5, n_days=30, ignore_n_days=3)
+    return by_day.select("industry", "date", *[nth("top_n_stock", i).alias(n) for i, n in ((1, "first"), (2, "second"), (9, "ninth"))],
+                         last("top_n_change").alias("least"))
+
+
+@register("k08_chart_tables", ORACLE["x19_chart_series"])
+def k08(spark, sf_dir):
+    """A folder per code, read back (codes keep their leading zeros)."""
+    series, root = x19(spark, sf_dir), fresh_dir(spark, "k08")
+    publish.write_chart_data(series, root)
+    return spark.read.schema(series.schema).parquet(root).select(*series.columns)
+
+
+def _run(stream) -> None:
+    stream.awaitTermination()
+
+
+@register("r04_quote_history", """
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS code, ts AS event_ts, value AS price, CAST(1 AS DOUBLE) AS volume FROM events""")
+def r04(spark, sf_dir):
+    """Quotes delivered twice, as a stream run to its end: the
+    history has each once."""
+    root = fresh_dir(spark, "r04")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{root}/landing")
+    raw = quotes.read_stream(spark, f"{root}/landing", events.schema)
+    _run(quotes.start_quote_pipeline(quotes.dedupe(quotes.quotes_from_events(raw), "3650 days"), f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out/history").select("code", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "price", "volume")
+
+
+@register("r05_provisional_bars", O.tick_to_bar_sql(AS_OF))
+def r05(spark, sf_dir):
+    """The day's snapshot lands as quotes with a date and a
+    time text; the stream keeps the newest per code and makes bars of them.
+    An older quote of each code lands with it and changes nothing."""
+    m, root = load_market(spark, sf_dir), fresh_dir(spark, "r05")
+    ticks = bar_ops.ticks_from_bars(m.bars, AS_OF)
+    early = ticks.withColumns({"time": F.lit("09:30:00"), "price": F.col("price") / 2})
+    ticks.unionByName(early).write.parquet(f"{root}/landing")
+    raw = quotes.read_stream(spark, f"{root}/landing", ticks.schema).withColumn("event_ts", quotes.event_time())
+    _run(quotes.start_quote_pipeline(quotes.dedupe(raw.drop("date", "time")), f"{root}/out", f"{root}/checkpoint", history_bars=m.stocks))
+    return quotes.read_newest(spark, f"{root}/out/provisional").select(*BAR_BASE_COLS)
