@@ -49,7 +49,7 @@ def main() -> None:
                       extra={"spark.ui.showConsoleProgress": "false"})
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="candlewick-plans-"))
-    import __spark_entry__ as E
+    from candlewick.plans import registry
 
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_report.py {sf_dir}` (local[8], 16 shuffle partitions, AQE, bucketed layout).")
@@ -60,7 +60,7 @@ def main() -> None:
     print("| query | exch | bc | reused | BHJ | SMJ | wgl | scans | pushed | bkt | cols | python |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
     frames = {}
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()  # runs this DataFrame's own execution, so executedPlan is the final AQE plan
         frames[name] = df
