@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +22,19 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once per application: they need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "candlewick_code"), "zip", os.path.dirname(root), os.path.basename(root))
+        sc.addPyFile(archive)  # Spark's file server hands it to every executor
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,11 +10,13 @@ regions of document pivots alone would leave a corpus in one region. The join th
    the next one; a document on the border of two is replicated into both. A region is (interval, class, projection).
    Empty projections say nothing; m has room for the usual number of them, and only sets with more send them as well.
 2. Document pivots in regions. The first member of a region is its first pivot: members within the threshold of it are
-   linked to it and to each other's component. Regions whose members then still belong to several components go on:
-   up to LEAF members, all pairs of different components that the sizes allow are compared; larger ones take PIVOTS
-   members as pivots, every member goes to its nearest pivot's region and, where the triangle inequality allows a
-   partner there (distance at most the least one plus twice the threshold), is replicated into others, and those regions
-   are joined in the same way; where that does not halve the pairs to compare, they are compared.
+   linked to it and to each other's component. Regions whose other members then still belong to several components go
+   on. Large ones take more pivots, in turns: a pivot meets every member of another component unless their sizes, the
+   triangle inequality over the first pivot, or their shingle counts per class rule a link out, and then leaves. When
+   that no longer shrinks them, they are divided by document pivots: every member goes to its nearest pivot's Voronoi
+   region and, where the triangle inequality allows a partner there (distance at most the least one plus twice the
+   threshold), is replicated into others, and these are joined in the same way, as long as it halves the pairs. What is
+   left is compared pair by pair, under the same exclusions.
 
 Every link is decided on the whole sets, and no pair within the threshold is lost: each such pair either shares a region
 and is compared, or is already connected. Only connected components are returned, so copies need not be paired.
@@ -39,12 +41,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from candlewick.llm import chars
-from candlewick.llm.common import id_filter, maybe_in, stored
+from candlewick.llm.common import id_filter, maybe_in, ship, stored
 
 #: Characters per piece of work in a task; sets remembered as sent by a task.
 PIECE, SEEN = 1_000_000, 500_000
-#: Members of a region that are compared pair by pair; pivots of a larger one; levels of regions.
+#: Members of a region that is compared at once; pivots per turn of a larger one; levels of Voronoi regions.
 LEAF, PIVOTS, LEVELS = 48, 8, 8
+#: Members of a region whose distances to its pivots tell whether these divide it.
+TRIAL = 32
+#: Classes of the counts that bound what two sets share.
+COUNTED, COARSE = 128, 16
 
 
 # -- shingle sets (numpy, in tasks) -----------------------------------------------------------------------------------
@@ -200,7 +206,15 @@ def region_rows(docs: DataFrame, words: int, num: int, den: int, text_col: str)
     return docs.select(text_col).mapInArrow(run, "key long, sig long, n int")
 
 
+def _counts(s: np.ndarray) -> list[int] | None:
+    """Shingles per class of COUNTED classes: the sum of the smaller counts of two sets bounds what they share. None
+    where a count doesn't fit, and then nothing is known."""
+    c = np.bincount(((s >> np.uint64(7)) % np.uint64(COUNTED)).astype(np.int64), minlength=COUNTED)
+    return c.tolist() if c.max(initial=0) < 2**15 else None
+
+
 def full_sets(docs: DataFrame, words: int, text_col: str) -> DataFrame:
+    """``(sig, shingles, counts)`` of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chars.batches([t or "" for t in batch.column(0).to_pylist()], PIECE):
@@ -208,10 +222,10 @@ def full_sets(docs: DataFrame, words: int, text_col: str) -> DataFrame:
                 offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_signature(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["sig", "shingles"])
+                    [pa.array([_signature(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                     pa.array([_counts(s) for s in sets], pa.list_(pa.int16()))], names=["sig", "shingles", "counts"])
 
-    return docs.select(text_col).mapInArrow(run, "sig long, shingles array<long>")
+    return docs.select(text_col).mapInArrow(run, "sig long, shingles array<long>, counts array<short>")
 
 
 def with_overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -249,23 +263,85 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _open_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(key, sig, n)`` -> with comp and size, only regions whose members belong to several components."""
+def _distance():
+    return 1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
+
+
+def _open_regions(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(key, sig, n, d)`` -> with comp, counts and size, only regions whose members belong to several components, and
+    of regions with the same members one."""
     named = members.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-    several = named.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    return named.join(several.where("lo <> hi").select("key", "size"), "key")
+    several = (
+        named.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                 F.bit_xor(F.xxhash64("sig")).alias("x"), F.sum(F.hash("sig").cast("long")).alias("s"))
+        .where("lo <> hi").groupBy("size", "x", "s").agg(F.min("key").alias("key")).select("key", "size")
+    )
+    coarse = [F.aggregate(F.slice("counts", 1 + i * COUNTED // COARSE, COUNTED // COARSE), F.lit(0), lambda acc, x: acc + x).alias(f"k{i}")
+              for i in range(COARSE)]
+    return named.join(several, "key").join(sets.select("sig", "counts", *coarse), "sig")
+
+
+def _possible(members: DataFrame, others: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of members of a region that may be links: of different components, and not excluded by their sizes, by the
+    triangle inequality over the region's pivot (``d``: the distance to it), or by the bound of their counts."""
+    side = lambda df, x: df.select("key", *[F.col(c).alias(f"{c}{x}") for c in ("sig", "n", "comp", "d", "counts", *[f"k{i}" for i in range(COARSE)])])
+    na, nb = F.col("na"), F.col("nb")
+    sizes = (na * den >= nb * num) & (nb * den >= na * num)
+    window = F.abs(F.col("da") - F.col("db")) <= (1 - num / den) + 1e-9
+    # the same bound over few classes first: it is compiled, and rules most pairs out
+    few = sum((F.least(F.col(f"k{i}a"), F.col(f"k{i}b")) for i in range(1, COARSE)), F.least(F.col("k0a"), F.col("k0b")))
+    maybe = F.coalesce((num + den) * few >= num * (na + nb), F.lit(True))
+    most = F.aggregate(F.zip_with("countsa", "countsb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+    shared = F.coalesce((num + den) * most >= num * (na + nb), F.lit(True))
+    pairs = side(members, "a").join(side(others, "b"), "key").where((F.col("compa") != F.col("compb")) & sizes & window & maybe & shared)
+    return pairs
 
 
 def _leaf_pairs(leaf: DataFrame, num: int, den: int) -> DataFrame:
-    a = leaf.select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    b = leaf.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    sizes = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes).select("a", "b").distinct()
+    pairs = _possible(leaf, leaf, num, den).where(F.col("siga") < F.col("sigb"))
+    return pairs.select(F.col("siga").alias("a"), F.col("sigb").alias("b")).distinct()
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    return components(labels.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(links))
+
+
+def _relabelled(regions: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    return stored(_open_regions(regions.select("key", "sig", "n", "d"), labels, sets), "open")
+
+
+def _chosen(regions: DataFrame, most: int, turn: int) -> DataFrame:
+    """At most ``most`` members of each region, by a hash that changes with the turn."""
+    by_hash = W.partitionBy("key").orderBy(F.xxhash64("key", "sig", F.lit(turn)), "sig")
+    return regions.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= most).drop("r")
+
+
+def _voronoi(big: DataFrame, members: DataFrame, sets: DataFrame, num: int, den: int, pivots: int, level: int) -> tuple[DataFrame, DataFrame]:
+    """(placed, links): the given members of the regions in the Voronoi regions of document pivots, with the distance to
+    the pivot; a member is replicated into every region that the triangle inequality leaves open to a partner."""
+    centres = _chosen(big, pivots, -1 - level).select("key", F.col("sig").alias("a"))
+    pairs = members.select("key", F.col("sig").alias("b"), "n").join(centres, "key")
+    apart = stored(with_overlap(pairs.select("a", "b").distinct(), sets).withColumn("d", _distance()), "distances")
+    reach = pairs.join(apart.select("a", "b", "d"), ["a", "b"])
+    nearest = reach.groupBy("key", "b").agg(F.min("d").alias("least"))
+    placed = reach.join(nearest, ["key", "b"]).where(F.col("d") <= F.col("least") + 2 * (1 - num / den) + 1e-9)
+    placed = placed.select(F.col("key").alias("parent"), F.xxhash64("key", "a").alias("key"), F.col("b").alias("sig"), "n", "d")
+    links = apart.where(_is_link(num, den) & (F.col("a") != F.col("b"))).select("a", "b")
+    return stored(placed, "placed"), links
+
+
+def _divided(placed: DataFrame, pivots: int) -> DataFrame:
+    """Keys of the regions whose Voronoi regions together leave at most half the pairs to compare."""
+    parts = placed.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("c")).groupBy("parent").agg(F.sum(F.col("c") * F.col("c")).alias("work"))
+    sizes = placed.groupBy("parent").agg(F.count_distinct("sig").alias("size"))
+    return parts.join(sizes, "parent").where(2 * F.col("work") <= F.col("size") * F.col("size")).select("parent")
 
 
 def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
          leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS) -> DataFrame:
     """One row per document: id, n_shingles, component_id; documents link where shared / union >= num / den."""
+    ship(docs.sparkSession)
     sigs = stored(signatures(docs, words, id_col, text_col), "signatures")
     # regions: streams through the sorted rows of a key; a member that isn't the first meets the first as its pivot
     order = W.partitionBy("key").orderBy("sig")
@@ -283,46 +359,43 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
     sets = stored(full_sets(texts, words, text_col).join(involved, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
 
     link = _is_link(num, den)
-    tested = with_overlap(met.select(F.col("pivot").alias("a"), F.col("sig").alias("b")).distinct(), sets)
-    links = stored(tested.where(link).select("a", "b"), "links")
-    labels = components(links)
-
-    firsts = met.groupBy("key").agg(F.min("pivot").alias("sig"))
-    sizes = sets.select("sig", F.size("shingles").cast("int").alias("n"))
-    members = met.select("key", "sig", "n").union(firsts.join(sizes, "sig").select("key", "sig", "n"))
-    todo = stored(_open_regions(members, labels), "open")
-    found = [links]
-    for level in range(levels + 1):
-        small = todo if level == levels else todo.where(F.col("size") <= leaf)
-        more = with_overlap(_leaf_pairs(small, num, den), sets).where(link).select("a", "b")
-        found.append(stored(more, "links"))
+    tested = stored(with_overlap(met.select(F.col("pivot").alias("a"), F.col("sig").alias("b")).distinct(), sets), "tested")
+    labels = components(tested.where(link).select("a", "b"))
+
+    # the first pivot has met every member: it leaves the region, with the distances to it staying behind
+    from_pivot = tested.select(F.col("a").alias("pivot"), F.col("b").alias("sig"), _distance().alias("d"))
+    members = met.join(from_pivot, ["pivot", "sig"]).select("key", "sig", "n", "d")
+    todo = _relabelled(members, labels, sets)
+
+    # large regions: more pivots, each of which leaves once it has met all members that may be its partners
+    turn, rows = 0, todo.where(F.col("size") > leaf).count()
+    while rows:
         big = todo.where(F.col("size") > leaf)
-        if level == levels or big.isEmpty():
+        centres = stored(_chosen(big, pivots, turn), "centres")
+        pairs = _possible(centres, big, num, den).select(F.col("siga").alias("a"), F.col("sigb").alias("b")).distinct()
+        more = stored(with_overlap(pairs, sets).where(link).select("a", "b"), "links")
+        barren = more.isEmpty()
+        labels = labels if barren else _merged(labels, more)
+        todo = _relabelled(todo.join(centres.select("key", "sig"), ["key", "sig"], "left_anti"), labels, sets)
+        turn, before, rows = turn + 1, rows, todo.where(F.col("size") > leaf).count()
+        if barren or 10 * rows > 9 * before:
             break
-        # Voronoi regions of document pivots, with the triangle-inequality window
-        by_hash = W.partitionBy("key").orderBy(F.xxhash64("key", "sig"), "sig")
-        centres = big.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= pivots).select("key", F.col("sig").alias("a"))
-        pairs = big.select("key", F.col("sig").alias("b"), "n").join(centres, "key")
-        apart = with_overlap(pairs.select("a", "b").distinct(), sets)
-        apart = apart.withColumn("d", 1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
-        apart = stored(apart, "distances")
-        found.append(stored(apart.where(link & (F.col("a") != F.col("b"))).select("a", "b"), "links"))
-        reach = pairs.join(apart.select("a", "b", "d"), ["a", "b"])
-        nearest = reach.groupBy("key", "b").agg(F.min("d").alias("least"))
-        window = 2 * (1 - num / den) + 1e-9
-        placed = reach.join(nearest, ["key", "b"]).where(F.col("d") <= F.col("least") + window)
-        placed = stored(placed.select(F.col("key").alias("parent"), F.xxhash64("key", "a").alias("key"), F.col("b").alias("sig"), "n"), "placed")
-        # a region that its pivots do not divide (its members are as far from all of them) is compared pair by pair
-        parts = placed.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("c")).groupBy("parent").agg(F.sum(F.col("c") * F.col("c")).alias("work"))
-        divided = stored(big.select("key", "size").distinct().join(parts.withColumnRenamed("parent", "key"), "key")
-                         .where(2 * F.col("work") <= F.col("size") * F.col("size")).select("key"), "divided")
-        whole = big.join(divided, "key", "left_anti")
-        found.append(stored(with_overlap(_leaf_pairs(whole, num, den), sets).where(link).select("a", "b"), "links"))
-        labels = components(_union(found))
-        below = placed.join(divided.withColumnRenamed("key", "parent"), "parent", "left_semi").drop("parent")
-        todo = stored(_open_regions(below, labels), "open")
-    if len(found) > 1 and any(not f.isEmpty() for f in found[1:]):
-        labels = components(_union(found))
+    for level in range(levels):
+        big = todo.where(F.col("size") > leaf)
+        if big.isEmpty():
+            break
+        # do pivots divide them? A few members of each tell; all members of those that they divide are placed
+        trial, links = _voronoi(big, _chosen(big, TRIAL, -100), sets, num, den, pivots, level)
+        divided = stored(_divided(trial, pivots).withColumnRenamed("parent", "key"), "divided")
+        if divided.isEmpty():
+            break
+        placed, links = _voronoi(big, big.join(divided, "key", "left_semi"), sets, num, den, pivots, level)
+        labels = _merged(labels, links)
+        rest = todo.join(divided, "key", "left_anti").select("key", "sig", "n", "d")
+        todo = _relabelled(rest.union(placed.select("key", "sig", "n", "d")), labels, sets)
+    last = stored(with_overlap(_leaf_pairs(todo, num, den), sets).where(link).select("a", "b"), "links")
+    if not last.isEmpty():
+        labels = _merged(labels, last)
 
     named = sigs.join(labels, "sig", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sig")))
     smallest = named.where("n > 0").groupBy("comp").agg(F.min("id").alias("smallest"))
@@ -331,13 +404,6 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.union(f)
-    return out
-
-
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that have the smallest id of their component; a row without id stays."""
     gone = join(docs, id_col=id_col, **options).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
