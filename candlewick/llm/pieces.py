@@ -29,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from candlewick.llm.common import ship
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
@@ -378,6 +380,7 @@ def _as_lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 def _mapped(df: DataFrame, cols: list[str], model: str, out: str, work) -> DataFrame:
     """``work(coders, columns)`` on each batch of the named columns, the first of which is kept."""
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,11 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import chars
-from candlewick.llm.common import labelled_rows
+from candlewick.llm.common import labelled_rows, ship
 
 TRAINING_DOCS, SEGMENTS, RUN = 1000, 8, 64
 #: Characters per piece of work in a task.
@@ -200,6 +200,7 @@ def _training_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           most: int = TRAINING_DOCS) -> Chain | None:
+    ship(docs.sparkSession)
     rows = labelled_rows(docs, labels, label, most, id_col, text_col)
     sample = rows.select("text", "label").mapInPandas(_training_rows, "label int, n long, x binary").collect()  # bounded by most * SEGMENTS
     if not sample:
@@ -222,6 +223,8 @@ def score_texts(chain: Chain | None, texts: list[str]) -> np.ndarray:
 
 
 def score(chain: Chain | None, text: Column) -> Column:
+    ship(SparkSession.active())
+
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

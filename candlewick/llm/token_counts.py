@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import ship
+
 #: A public vocabulary; any tiktoken rank file does.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split pattern that belongs to the vocabulary (a fixed value).
@@ -40,6 +42,8 @@ def encoding(ranks: str):
 
 def encoded_lengths(docs: DataFrame, text_col: str = "text", ranks: str = RANKS) -> DataFrame:
     """One column ``n_tokens``, a row per document."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def length(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoding(ranks)

@@ -25,11 +25,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import chars
-from candlewick.llm.common import labelled_rows, stored
+from candlewick.llm.common import labelled_rows, ship, stored
 
 TRAINING_DOCS, SENTENCES = 1000, 10
 #: Subsequences span at most SPAN characters; a character spanned weighs DECAY.
@@ -311,6 +311,7 @@ def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           most: int = TRAINING_DOCS) -> Machine:
+    ship(docs.sparkSession)
     rows = stored(labelled_rows(docs, labels, label, most, id_col, text_col).select("text", "label"), "toxic-training")
     kinds = sorted(r["label"] for r in rows.select("label").distinct().collect())
     if len(kinds) < 2:
@@ -328,6 +329,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
 
 def score(machine: Machine, text: Column) -> Column:
+    ship(SparkSession.active())
+
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(machine)
