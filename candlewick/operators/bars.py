@@ -152,9 +152,10 @@ def extend_moving_averages(stored_ma: DataFrame, bars: DataFrame, first_dates: D
         first_new = new.groupBy("code").agg(F.min("date").alias("first_new"))
     if "bar_no" in bars.columns:
         # positions are stored: a code's tail is a range of them, no window over the history
-        firsts = bars.select("code", "date", "bar_no").join(
-            first_new, (bars["code"] == first_new["code"]) & (bars["date"] == first_new["first_new"])).select(
-            bars["code"], F.col("bar_no").alias("first_no"))
+        firsts = (
+            bars.select("code", "date", "bar_no").join(first_new.withColumnRenamed("first_new", "date"), ["code", "date"])
+            .select("code", F.col("bar_no").alias("first_no"))
+        )
         tail = (
             bars.select("code", "date", "close", "volume", "bar_no").join(firsts, "code")
             .filter(F.col("bar_no").between(F.col("first_no") - TAIL_LEN, F.col("first_no") - 1))
