@@ -35,7 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 #: Characters per batch text, units kept per task, longest unit that is relaxed side by side with others.
-BATCH, KEPT, ABREAST = 8_000_000, 400_000, 64
+BATCH, KEPT, ABREAST = 2_000_000, 300_000, 64
 
 
 @dataclass(frozen=True)
