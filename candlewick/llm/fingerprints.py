@@ -166,7 +166,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     everything = W.partitionBy()
     firsts = firsts.select("r", F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"),
                            F.coalesce(F.lag("r").over(around), F.max("r").over(everything)).alias("before"))
-    sent = ranged(rows.withColumn("h", F.xxhash64("text"))).join(firsts, "r")
+    # a row of four numbers per range, of which there are at most (MOST_RANGES + 1)^2
+    sent = ranged(rows.withColumn("h", F.xxhash64("text"))).join(F.broadcast(firsts), "r")
     is_first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h"))
     targets = F.array(F.struct(F.col("r").alias("to"), F.lit(False).alias("extra")), F.when(is_first, F.struct(F.col("before").alias("to"), F.lit(True).alias("extra"))))
     sent = sent.withColumn("ds", digests(F.col("text"))).select("id", "h", "text", "ds", F.explode(F.filter(targets, lambda t: t.isNotNull())).alias("t"))
