@@ -1,24 +1,34 @@
-"""Content-defined line chunks (operator 8, DataFrame functions).
+"""Repeated passages of lines (operator 8, DataFrame functions).
 
-Each line is hashed; a rolling hash over the hashes of ``WINDOW`` consecutive lines puts a boundary after a line when
-it is 0 modulo ``DIVISOR``, so boundaries depend on content alone and survive insertions before them. The lines between
-two boundaries are a chunk. A chunk of at least ``MIN_LINES`` lines and one non-blank character that occurs before in
-the corpus is removed: the first occurrence (smallest id, then smallest line number) stays. Hashes only find candidates:
-a chunk goes only if its bytes equal those of a chunk that stays.
+Each line is hashed, and a rolling hash runs over the hashes of consecutive lines. Two rules find what is repeated:
+
+- Passages (``repeated_passages``, the query): the rolling hash of every ``MIN_LINES`` consecutive lines is a candidate.
+  Lines that occur so, with one non-blank character, before in the corpus and without overlapping that place are removed.
+  Every longer repeated run is made of such windows, so all of it goes, wherever it begins and ends: the result is that
+  of a comparison of all runs of at least ``MIN_LINES`` lines.
+- Chunks (``repeated_chunks``): the rolling hash over ``WINDOW`` lines puts a boundary after a line when it is 0 modulo
+  ``DIVISOR``, so boundaries depend on content alone and survive insertions before them; the lines between two
+  boundaries are a chunk, and one of at least ``MIN_LINES`` lines and one non-blank character that occurs before is
+  removed. Fewer rows travel, but a repeated passage without two boundaries of its own stays.
+
+The first occurrence (smallest id, then smallest line number) stays. Hashes only find candidates: lines go only if their
+bytes equal those of lines before them, and so every distinct line stays at least once.
 
 Defined results: a null text stays null and has no lines; an empty text has one empty line; rows with the same id and
-text are one document and are treated alike (both keep a first occurrence); chunks that share a hash but not their bytes
+text are one document and are treated alike (both keep a first occurrence); lines that share a hash but not their bytes
 are told apart by their bytes; a null id sorts before the others; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import stored
+from candlewick.llm.common import id_filter, maybe_in, stored
 
-#: Lines in the rolling window, boundaries per line (1 in so many), fewest lines of a chunk that may go.
+#: Lines in the rolling window, boundaries per line (1 in so many), fewest lines of a chunk or passage that may go.
 WINDOW, DIVISOR, MIN_LINES = 2, 4, 2
 
 
@@ -65,15 +75,49 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, text without its repeated chunks, n_lines, removed_lines; other columns stay."""
-    gone = repeated_chunks(docs, id_col, text_col).groupBy("id", "key").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
+def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per ``MIN_LINES`` consecutive lines: id, key (the document), lines (all of it), first line, hash."""
+    rows = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.split(text_col, "\n").alias("lines"))
+    rows = rows.where(F.size("lines") >= MIN_LINES)
+    hashes, n = F.transform("lines", lambda x: F.xxhash64(x)), F.size("lines") - (MIN_LINES - 1)
+    rolled = F.slice(hashes, F.lit(1), n)
+    for k in range(1, MIN_LINES):
+        rolled = F.zip_with(rolled, F.slice(hashes, F.lit(1 + k), n), lambda acc, h: F.xxhash64(acc, h))
+    return rows.select("id", "key", "lines", F.posexplode(rolled).alias("at", "hash")).withColumn("first", F.col("at") + 1).drop("at")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, key, first, n)`` of the windows of ``MIN_LINES`` lines that go; they overlap within a longer passage."""
+    every = windows(docs, id_col, text_col)
+    # narrow first: only the hash travels, and the text of the windows that may repeat follows
+    shared = stored(every.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash"), "window-hashes")
+    body = F.concat_ws("\n", *[F.get("lines", F.col("first") + (k - 1)) for k in range(MIN_LINES)])
+    found = maybe_in(every, F.col("hash"), id_filter(shared, "hash")).select("id", "key", "first", "hash", body.alias("body"))
+    found = found.where(F.col("body").rlike(r"\S"))
+    # byte comparison: groups of equal bytes, the smallest place of each stays; partial sums meet hot windows
+    first = found.groupBy("hash", "body").agg(F.min(F.struct("id", "first", "key")).alias("stays"), F.count(F.lit(1)).alias("copies"))
+    same = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("key") == F.col("stays.key"))
+    return (
+        found.join(first.where("copies > 1").drop("copies"), ["hash", "body"])
+        .where(~same | (F.col("first") >= F.col("stays.first") + MIN_LINES))
+        .select("id", "key", "first", F.lit(MIN_LINES).alias("n")).distinct()
+    )
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                repeated: Callable[[DataFrame, str, str], DataFrame] = repeated_chunks) -> DataFrame:
+    """One row per document: id, text without what ``repeated`` finds, n_lines, removed_lines; other columns stay."""
+    gone = repeated(docs, id_col, text_col).select("id", "key", F.explode(F.expr("sequence(first, first + n - 1)")).alias("line"))
+    gone = gone.groupBy("id", "key").agg(F.collect_set("line").alias("gone"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("whole"), F.xxhash64(text_col).alias("doc_key"))
     rows = rows.join(gone, F.col("doc").eqNullSafe(F.col("id")) & (F.col("doc_key") == F.col("key")), "left")
     lines = F.split("whole", "\n")
-    left = F.filter(lines, lambda _, i: ~F.exists("spans", lambda s: (i + 1 >= s["first"]) & (i + 1 < s["first"] + s["n"])))
-    text = F.when(F.col("spans").isNull(), F.col("whole")).otherwise(F.array_join(left, "\n"))
-    removed = F.coalesce(F.aggregate("spans", F.lit(0), lambda acc, s: acc + s["n"]), F.lit(0))
+    # one pass over the numbers of the lines that stay, however many go; the lines are split once, in the outer array
+    left = F.get(F.transform(F.array(lines), lambda all_: F.transform(
+        F.array_except(F.sequence(F.lit(1), F.size(all_)), "gone"), lambda i: F.get(all_, i - 1))), F.lit(0))
+    text = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(F.array_join(left, "\n"))
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
     return rows.select(
         F.col("doc").alias(id_col), text.alias(text_col), F.when(F.col("whole").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
         removed.alias("removed_lines"),

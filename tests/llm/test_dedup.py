@@ -227,3 +227,50 @@ def test_boundaries_move_with_the_lines(spark):
     rows = [(1, "\n".join(body), "en", "s"), (2, "\n".join(["x", "y", "z", *body]), "en", "s")]
     out = {r.doc_id: r.removed_lines for r in L.dedup_lines(docs(spark, rows)).collect()}
     assert out[1] == 0 and out[2] > 0.5 * 200
+
+
+def brute_passages(rows):
+    """Lines that, in a run of MIN_LINES, equal lines at a smaller place that they do not overlap."""
+    texts = sorted((i, t.split("\n")) for i, t, *_ in rows)
+    seen, gone = [], defaultdict(set)
+    for i, lines in texts:
+        for k in range(len(lines) - L.MIN_LINES + 1):
+            run = lines[k:k + L.MIN_LINES]
+            if "".join(run).strip() and any(r == run and (j != i or m + L.MIN_LINES <= k) for j, m, r in seen):
+                gone[i] |= set(range(k, k + L.MIN_LINES))
+            seen.append((i, k, run))
+    return {i: ("\n".join(x for k, x in enumerate(lines) if k not in gone[i]), len(gone[i])) for i, lines in texts}
+
+
+def test_every_repeated_run_of_lines_goes(spark):
+    """Recall 1 against brute force: short passages between a document's own lines, runs of one line, blank lines."""
+    rnd = random.Random(7)
+    passages = [[f"passage {p} line {i}" for i in range(2 + p % 5)] for p in range(12)] + [["same"] * 7, ["", "", "end"], ["", " "]]
+    rows = []
+    for i in range(50):
+        lines = [f"own {i}"]
+        for k in range(rnd.randrange(4)):
+            lines += rnd.choice(passages) + [f"own {i} {k}"] * rnd.randrange(1, 4)
+        rows.append((i, "\n".join(lines), "en", "s"))
+    got = {r.doc_id: (r.text, r.removed_lines) for r in L.dedup_lines(docs(spark, rows), repeated=L.repeated_passages).collect()}
+    want = brute_passages(rows)
+    assert got == want
+    by_chunks = sum(n for _, n in brute_lines(rows).values())
+    assert sum(n for _, n in want.values()) > 2 * by_chunks > 0
+    lines = lambda texts: {x for t in texts for x in t.split("\n") if x.strip()}
+    assert lines(t for t, _ in got.values()) == lines(t for _, t, *_ in rows)  # each line stays somewhere
+
+
+def test_repeated_passages_on_awkward_rows(spark):
+    out = L.dedup_lines(docs(spark), repeated=L.repeated_passages)
+    assert set(docs(spark).columns) < set(out.columns)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.doc_id, []).append((r.text, r.n_lines, r.removed_lines))
+    assert got[1] == [(ROWS[0][1], 2, 0)] and got[2] == [("", 2, 2)]
+    assert got[3] == [(None, 0, 0)] and got[4] == [("", 1, 0)] and got[5] == [("   \n\t ", 2, 0)]
+    assert got[6] == [(LONG, 4000, 0)] * 2 and len(got[None]) == 1
+    assert L.dedup_lines(empty(spark), repeated=L.repeated_passages).collect() == []
+    rows = [(1, LONG, "en", "s"), (1, "own\n" + LONG, "en", "s"), (None, "x\ny", "en", "s"), (2, "x\ny\nz", "en", "s")]
+    got = Counter((r.doc_id, r.text) for r in L.dedup_lines(docs(spark, rows), repeated=L.repeated_passages).collect())
+    assert got == Counter([(1, LONG), (1, "own"), (None, "x\ny"), (2, "z")])
