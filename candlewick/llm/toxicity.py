@@ -142,10 +142,13 @@ def read(texts: list[str]) -> Batch:
     begin = np.cumsum([0] + [len(t) + 1 for t in lowered[:-1]])
     text = np.searchsorted(begin, keep[starts[new]], side="right") - 1
     # a run of single characters spells one more word of its sentence
-    single = np.concatenate([[False], ends - starts == 1, [False]])
-    edge = np.flatnonzero(single[1:] != single[:-1])
-    long = edge[1::2] - edge[::2] >= 3
-    runs = list(zip(edge[::2][long].tolist(), edge[1::2][long].tolist(), strict=True))
+    single = ends - starts == 1
+    other = np.ones(len(starts), bool)  # the first word of a text: a run ends with its text
+    other[1:] = text[sentence[1:]] != text[sentence[:-1]]
+    begins = np.flatnonzero(single & (other | ~np.concatenate([[False], single[:-1]])))
+    behind = np.flatnonzero(single & np.concatenate([other[1:] | ~single[1:], [True]])) + 1
+    long = behind - begins >= 3
+    runs = list(zip(begins[long].tolist(), behind[long].tolist(), strict=True))
     if runs:
         tail = np.concatenate([np.concatenate([[32], codes[starts[a:b]]]) for a, b in runs]).astype(np.uint32)
         s, e, h = chars.words_of(tail, chars.classes_of(tail))

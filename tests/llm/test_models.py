@@ -135,6 +135,14 @@ def test_a_long_text_scores_its_worst_sentence(machine, monkeypatch):
     np.testing.assert_allclose(X.Scorer(machine).score([long, long + "\nyou idiot.", "you idiot."]), whole, rtol=1e-6)
 
 
+def test_spelled_words_end_with_their_text(machine):
+    """Texts scored together score as each alone: a run of single letters doesn't go on into the next text."""
+    texts = ["balor plan b", "i d i o t", "duren x y", "z fomus", "", "s t", "u p i d", "a", "m o r o n b", "i d i o t"]
+    alone = [X.Scorer(machine).score([t])[0] for t in texts]
+    np.testing.assert_allclose(X.Scorer(machine).score(texts), alone, rtol=1e-6)
+    assert alone[1] > 0.5 > alone[0]
+
+
 def test_kernel_equals_its_definition(machine):
     def weights(w):
         out = Counter()
