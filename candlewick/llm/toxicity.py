@@ -201,7 +201,7 @@ class Scorer:
             return np.full(len(texts), m.level)
         out = []
         for run in chars.batches(texts, PIECE):
-            decision = np.full(len(run), m.bias)
+            best = np.full(len(run), -np.inf)
             size = sum(map(len, run))
             for part, own in [(run, None)] if size <= PIECE else [([p], 0) for t in run for p in chars.cut(t, PIECE)]:
                 b = read(part)
@@ -210,11 +210,8 @@ class Scorer:
                     target = b.text if own is None else np.zeros(len(b.text), np.int64)
                     first = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
                     top = np.maximum.reduceat(sums, first)
-                    if own is None:
-                        decision[target[first]] = top
-                    else:
-                        decision[0] = max(decision[0], float(top[0]))
-            out.append(m.chance(decision))
+                    best[target[first]] = np.maximum(best[target[first]], top)
+            out.append(m.chance(np.where(np.isneginf(best), m.bias, best)))  # no sentence: an empty one
         return np.concatenate(out) if out else np.zeros(0)
 
 

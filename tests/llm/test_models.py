@@ -143,6 +143,15 @@ def test_spelled_words_end_with_their_text(machine):
     assert alone[1] > 0.5 > alone[0]
 
 
+def test_a_long_text_below_the_bias_scores_as_a_short_one(machine, monkeypatch):
+    mild = X.Machine(machine.kernel, -np.ones_like(machine.beta), 1.0)  # words only lower the bias
+    texts = ["\n".join(["you idiot.", "stupid moron idiot."] * 500), " \n" * 2000, "you idiot.", ""]
+    whole = X.Scorer(mild).score(texts)
+    assert whole[0] == pytest.approx(whole[2]) and whole[0] < whole[1] == whole[3]
+    monkeypatch.setattr(X, "PIECE", 1000)
+    np.testing.assert_allclose(X.Scorer(mild).score(texts), whole, rtol=1e-6)
+
+
 def test_kernel_equals_its_definition(machine):
     def weights(w):
         out = Counter()
