@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import chars
 from candlewick.llm.common import id_filter, maybe_in, ship, stored
+from candlewick.llm.exact_dedup import located
 
 #: Characters per piece of work in a task; sets remembered as sent by a task.
 PIECE, SEEN = 1_000_000, 500_000
@@ -168,17 +169,18 @@ def _regions(s: np.ndarray, intervals: Intervals) -> np.ndarray:
 
 # -- Spark -------------------------------------------------------------------------------------------------------------
 
-def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: id, sig, n."""
+def signatures(docs: DataFrame, words: int, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: id, sig, n, and the columns to carry."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()], words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                names=["id", "sig", "n"])
+                [batch.column(0), pa.array([_signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 *[batch.column(2 + k) for k in range(len(carry))]], names=["id", "sig", "n", *carry])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, sig long, n long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carry)
+    kinds = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, sig long, n long{kinds}")
 
 
 def region_rows(docs: DataFrame, words: int, num: int, den: int, text_col: str) -> DataFrame:
@@ -338,11 +340,12 @@ def _divided(placed: DataFrame, pivots: int) -> DataFrame:
     return parts.join(sizes, "parent").where(2 * F.col("work") <= F.col("size") * F.col("size")).select("parent")
 
 
-def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
-         leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS) -> DataFrame:
-    """One row per document: id, n_shingles, component_id; documents link where shared / union >= num / den."""
+def named_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                     leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: id, sig, n, comp (null without shingles), and the columns to carry; documents link where
+    shared / union >= num / den."""
     ship(docs.sparkSession)
-    sigs = stored(signatures(docs, words, id_col, text_col), "signatures")
+    sigs = stored(signatures(docs, words, id_col, text_col, carry), "signatures")
     # regions: streams through the sorted rows of a key; a member that isn't the first meets the first as its pivot
     order = W.partitionBy("key").orderBy("sig")
     rows = region_rows(docs, words, num, den, text_col)
@@ -397,15 +400,27 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
     if not last.isEmpty():
         labels = _merged(labels, last)
 
-    named = sigs.join(labels, "sig", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sig")))
+    return sigs.join(labels, "sig", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sig")))
+
+
+def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
+         leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS) -> DataFrame:
+    """One row per document: id, n_shingles, component_id."""
+    named = named_components(docs, words, num, den, id_col, text_col, leaf, pivots, levels)
     smallest = named.where("n > 0").groupBy("comp").agg(F.min("id").alias("smallest"))
     return named.join(smallest, "comp", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that have the smallest id of their component; a row without id stays."""
-    gone = join(docs, id_col=id_col, **options).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col(f"row.{id_col}") == F.col("_gone"), "left_anti").select("row.*")
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component, the first by (id, file, row), null ids last; every row without shingles. Rows are told
+    apart by their locator, as an id may occur on several."""
+    rows = located(docs)
+    flat = rows.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"), "_file", "_pos")
+    named = named_components(flat, id_col="id", text_col="text", carry=("_file", "_pos"), **options).where("n > 0")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "_file", "_pos")
+    stays = named.groupBy("comp").agg(F.min(place).alias("stays"))
+    gone = named.join(stays, "comp").where((F.col("_file") != F.col("stays._file")) | (F.col("_pos") != F.col("stays._pos")))
+    gone = gone.select(F.col("_file").alias("file"), F.col("_pos").alias("pos"))
+    return rows.join(gone, (F.col("_file") == F.col("file")) & (F.col("_pos") == F.col("pos")), "left_anti").select("row.*")

@@ -127,6 +127,19 @@ def test_jaccard_join_of_an_empty_table_and_kept_columns(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, 6, None, 7, 8}
 
 
+def test_one_row_of_each_component_stays_where_ids_repeat(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = lambda n: " ".join([*base, *(f"more{k}" for k in range(n))])
+    alone = [" ".join(f"{x}{k}" for k in range(30)) for x in "abcd"]
+    rows = [(1, near(0), "en", "s"), (1, near(1), "en", "s"),  # two near copies under the smallest id
+            (2, near(2), "en", "s"), (2, alone[0], "en", "s"),  # a near copy and a text of its own under one id
+            (None, near(1), "en", "s"), (None, alone[1], "en", "s"),
+            (3, alone[2], "en", "s"), (3, alone[2], "en", "s"), (4, alone[3], "en", "s"), (5, None, "en", "s"), (5, "", "en", "s")]
+    kept = Counter((r.doc_id, r.text) for r in J.one_of_each(docs(spark, rows)).collect())
+    ones = Counter([(2, alone[0]), (None, alone[1]), (3, alone[2]), (4, alone[3]), (5, None), (5, "")])
+    assert kept - ones in (Counter([(1, near(0))]), Counter([(1, near(1))])) and ones - kept == Counter()
+
+
 def test_partners_meet_in_a_region():
     """Pigeonhole: sets within the threshold always share a region, whatever their sizes and empty projections."""
     import numpy as np
