@@ -6,11 +6,12 @@ smaller id has the same text, and is answered by compressed (radix) tries:
 1. A task inserts the whole texts it reads into a trie whose terminals hold the least id, and writes one narrow row per
    document and one row per distinct text (a *chunk* of a task's texts at a time, so that memory is bounded). A group of
    copies leaves a task as one text.
-2. The distinct texts are range-partitioned by adaptive prefixes: a range is a run of neighbouring prefixes that holds at
-   most ``RANGE`` characters; a prefix that alone holds more is cut again behind the longest prefix its texts share. A
-   prefix whose texts are all equal stays whole: it has one row per chunk.
-3. Each range's texts are inserted into one trie, as they stream in; it is traversed for the least id of each terminal.
-   These ids go back to the narrow rows, which gives the duplicate flag.
+2. A text that no other chunk's text equals in its first characters and its length is a leaf of its own, and its
+   terminal's id is the least. The others are range-partitioned by adaptive prefixes: a range is a run of neighbouring
+   prefixes that holds about ``RANGE`` characters; a prefix that alone holds more is cut again behind the longest prefix
+   its texts share. A prefix whose texts are all equal stays whole: it has one row per chunk.
+3. Each range's whole texts are inserted into one trie, as they stream in; it is traversed for the least id of each
+   terminal. These ids go back to the narrow rows, which gives the duplicate flag.
 
 Masks are then reduced: counts per part and mask are all that the orders of the filters need.
 
@@ -21,7 +22,9 @@ labelled 1 if any of them is 1; every row counts, repeated ones too; a table wit
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from functools import reduce
 from itertools import permutations
 
 import pyarrow as pa
@@ -30,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ship, stored
+from candlewick.llm.common import id_filter, maybe_in, ship, stored
 
 #: The filters, in the order of their bits.
 FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, UPPER_PERCENT, SYMBOLS = 50, 65, 5, b"#$%&*|"
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Characters of a task's chunk of distinct texts, of a range; characters that a prefix grows by.
-CHUNK, RANGE, STEP = 16_000_000, 4_000_000, 2
+#: Characters of a task's chunk of distinct texts, of a range; first characters that are looked at; what a prefix grows by.
+CHUNK, RANGE, HEAD, STEP = 16_000_000, 4_000_000, 64, 2
 #: Rows, and about as many characters, of a batch that a task writes.
 ROWS, CHARACTERS = 2_000, 4_000_000
 
@@ -148,34 +151,42 @@ def _read(kind: pa.DataType):
 
 
 def _ranges(texts: DataFrame, most: int) -> DataFrame:
-    """``texts`` (with ``text``) with ``range``: texts of a range start alike and hold ``most`` characters together,
-    or are all equal. Each turn cuts the prefixes that hold more behind what all their texts share."""
-    weight = (F.length("text") + 1).cast("long")
-    total = texts.agg(F.sum(weight)).first()[0] or 0
-    if total <= most:
-        return texts.withColumn("range", F.lit("0"))
-    open_ = texts.withColumn("range", F.lit("")).withColumn("shared", F.lit(0))
-    done = None
+    """``texts`` (chunk, terminal, text) -> (chunk, terminal, range) of those that share their first characters and their
+    length with another: no other text is its equal. Texts of a range start alike and hold ``most`` characters together,
+    or a little more, or are all equal. Only the first characters are moved: each turn cuts the prefixes that hold more
+    behind what all their texts share; those whose first characters are all equal go on with the next ones, twice as many."""
+    key = ["chunk", "terminal"]
+    first = texts.select(*key, (F.length("text") + 1).cast("long").alias("w"), F.substring("text", 1, HEAD).alias("head"))
+    several = first.groupBy("head", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    open_ = stored(first.join(several, ["head", "w"]).withColumns({"range": F.lit(0).cast("long"), "shared": F.lit(0)}), "heads")
+    if (open_.agg(F.sum("w")).first()[0] or 0) <= most:
+        return open_.select(*key, "range")
+    done, waiting, start, length = [], [], 0, HEAD
     while True:
-        cut = open_.withColumn("prefix", F.substring("text", F.lit(1), F.col("shared") + STEP))
-        sizes = stored(cut.groupBy("range", "prefix").agg(F.sum(weight).alias("w")), "prefixes")
-        # neighbouring small prefixes, packed in their order; a row per prefix of a few characters
-        by_prefix = W.partitionBy("range").orderBy("prefix")
-        before = F.coalesce(F.sum("w").over(by_prefix.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        packed = sizes.where(F.col("w") <= most).withColumn("to", F.concat_ws("/", "range", F.floor(before / most).cast("string")))
-        joined = cut.join(packed.select("range", "prefix", "to"), ["range", "prefix"])
-        part = joined.withColumn("range", F.col("to")).drop("to", "prefix", "shared")
-        done = part if done is None else done.unionByName(part)
-        heavy = cut.join(sizes.where(F.col("w") > most).select("range", "prefix"), ["range", "prefix"])
-        spans = heavy.groupBy("range", "prefix").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
-        # two texts share what their first difference leaves; equal ones share all
-        spans = stored(spans.select("range", "prefix", "lo", "hi").withColumn("same", F.col("lo") == F.col("hi")).withColumn(
-            "shared", F.when(F.col("same"), F.length("lo")).otherwise(_common("lo", "hi"))).drop("lo", "hi"), "spans")
-        named = heavy.drop("shared").join(spans, ["range", "prefix"]).withColumn("range", F.concat_ws("/", "range", F.hex("prefix")))
-        done = done.unionByName(named.where("same").drop("prefix", "shared", "same"))
-        open_ = named.where("NOT same").drop("prefix", "same")
-        if spans.where("NOT same").isEmpty():
-            return done
+        cut = open_.withColumn("prefix", F.substring("head", F.lit(1), F.col("shared") + STEP))
+        groups = cut.groupBy("range", "prefix").agg(F.sum("w").alias("total"), F.min("head").alias("lo"), F.max("head").alias("hi"),
+                                                    F.min("w").alias("least"), F.max("w").alias("largest"))
+        groups = groups.withColumn("state", F.when(F.col("total") <= most, "done").when(F.col("lo") != F.col("hi"), "open")
+                                   .when((F.col("least") == F.col("largest")) & (F.col("largest") <= start + length + 1), "done").otherwise("wait"))
+        # neighbouring small prefixes are packed in their order: a row per prefix of a few characters behind what its range shares
+        small = F.when(F.col("total") <= most, F.col("total")).otherwise(0)
+        before = F.coalesce(F.sum(small).over(W.partitionBy("range").orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        pack = F.when(F.col("total") <= most, F.floor(before / most)).otherwise(F.lit(-1))
+        # ranges are named by a hash; two of one name would share a trie, which finds the same ids
+        to = F.when(pack >= 0, F.xxhash64("range", pack)).otherwise(F.xxhash64("range", F.lit("alone"), "prefix"))
+        groups = groups.withColumn("to", to).select("range", "prefix", "to", "state", F.when(F.col("state") == "open", _common("lo", "hi")).otherwise(0).alias("next"))
+        moved = cut.join(groups, ["range", "prefix"]).select(*key, "w", "head", F.col("to").alias("range"), "state", F.col("next").alias("shared"))
+        moved = stored(moved, "moved")
+        done.append(moved.where("state = 'done'").select(*key, "range"))
+        waiting.append(moved.where("state = 'wait'").select(*key, "w", "range"))
+        open_ = moved.where("state = 'open'").drop("state")
+        if open_.isEmpty():
+            rest = reduce(DataFrame.union, waiting)
+            if rest.isEmpty():
+                return reduce(DataFrame.union, done)
+            start, length, waiting = start + length, 2 * length, []
+            heads = texts.select(*key, F.substring("text", start + 1, length).alias("head")).where("head <> ''")
+            open_ = stored(rest.join(heads, key, "left").withColumns({"head": F.coalesce("head", F.lit("")), "shared": F.lit(0)}), "heads")
 
 
 def _common(a: str, b: str):
@@ -195,7 +206,7 @@ def _least(kind: pa.DataType):
     def found(trie: Trie, rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([trie.least[r[2]] for r in rows], kind)], names=["chunk", "terminal", "least"])
+             pa.array([trie.least[r[2]] for r in rows], kind)], names=["chunk", "terminal", "found"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, trie, rows = None, Trie(), []
@@ -219,9 +230,13 @@ def fail_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = rows.schema["id"].dataType.simpleString()
     arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[kind]
     read = stored(rows.mapInArrow(_read(arrow), f"id {kind}, part string, mask int, chunk long, terminal long, text string"), "texts")
-    texts = _ranges(read.where("mask = -1").select("id", "chunk", "terminal", "text"), range_size or RANGE)
-    placed = texts.select("range", "id", "chunk", "terminal", "text").repartition("range").sortWithinPartitions("range")
-    least = placed.mapInArrow(_least(arrow), f"chunk long, terminal long, least {kind}")
+    texts = read.where("mask = -1").select("id", "chunk", "terminal", "text")
+    ranges = stored(_ranges(texts.drop("id"), range_size or RANGE), "ranges")
+    handle = F.xxhash64("chunk", "terminal")
+    moved = maybe_in(texts, handle, id_filter(ranges.select(handle.alias("h")), "h")).join(ranges, ["chunk", "terminal"])
+    placed = moved.select("range", "id", "chunk", "terminal", "text").repartition("range").sortWithinPartitions("range")
+    found = placed.mapInArrow(_least(arrow), f"chunk long, terminal long, found {kind}")
+    least = texts.join(found, ["chunk", "terminal"], "left").select("chunk", "terminal", F.coalesce("found", "id").alias("least"))
     flagged = read.where("mask >= 0").select("id", "part", "mask", "chunk", "terminal").join(least, ["chunk", "terminal"])
     copy = F.coalesce(F.col("id") > F.col("least"), F.lit(False))
     return flagged.select("id", "part", F.col("mask").bitwiseOR(F.when(copy, 1 << FILTERS.index("E")).otherwise(0)).alias("mask"))
@@ -234,20 +249,16 @@ def audit(masks: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFr
         F.coalesce(F.max((F.col("toxic") == 1).cast("long")), F.lit(0)).alias("bad"))
     rows = masks.join(marked, "id", "left").groupBy("part", "mask").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    kinds = 1 << len(FILTERS)
-    tables = rows.groupBy("part").agg(*[
-        F.array(*[F.coalesce(F.sum(F.when(F.col("mask") == m, F.col(c))), F.lit(0)) for m in range(kinds)]).alias(c)
-        for c in ("n", "good", "bad")])
-    orders = [("".join(p), s + 1, 1 << FILTERS.index(p[s]), sum(1 << FILTERS.index(x) for x in p[:s])) for p in permutations(FILTERS) for s in range(len(p))]
-    steps = F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(bit).alias("bit"), F.lit(seen).alias("seen"))
-                      for o, s, bit, seen in orders])
-    table = tables.select("*", F.explode(steps).alias("s")).select("*", "s.*")
+    tables = rows.groupBy("part").agg(F.collect_list(F.struct("mask", "n", "good", "bad")).alias("masks"))  # 32 masks at most
+    orders = [{"filter_order": "".join(p), "step": s + 1, "bit": 1 << FILTERS.index(p[s]), "seen": sum(1 << FILTERS.index(x) for x in p[:s])}
+              for p in permutations(FILTERS) for s in range(len(p))]
+    steps = F.from_json(F.lit(json.dumps(orders)), "array<struct<filter_order: string, step: int, bit: int, seen: int>>")
+    table = tables.select("*", F.inline(steps))
     bit, seen = F.col("bit"), F.col("seen")
 
-    def summed(counts: str, of, weight=lambda m: F.lit(1)):
+    def summed(count: str, of, weight=lambda m: F.lit(1)):
         """Sum of the counts of the masks that ``of`` picks."""
-        pairs = F.transform(F.col(counts), lambda c, m: F.when(of(m), c * weight(m)).otherwise(0))
-        return F.aggregate(pairs, F.lit(0).cast("long"), lambda total, c: total + c)
+        return F.aggregate("masks", F.lit(0).cast("long"), lambda total, x: total + F.when(of(x["mask"]), x[count] * weight(x["mask"])).otherwise(0))
 
     fails = lambda m: m.bitwiseAND(bit) != 0
     earlier = lambda m: m.bitwiseAND(seen) != 0

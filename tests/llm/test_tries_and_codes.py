@@ -236,16 +236,17 @@ def test_audit_equals_every_order_by_hand(spark, monkeypatch, small):
 
 def test_ranges_split_long_shared_prefixes_and_hold_what_they_may(spark):
     shared = "same start " * 50
-    texts = [shared + f"{i:03d}" + "z" * 40 for i in range(60)] + ["equal " * 200] * 5 + [shared] + ["", "a", "b" * 700]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    out = A._ranges(frame, 3000).collect()
-    assert Counter(r.text for r in out) == Counter(texts)
+    texts = [shared + f"{i:03d}" + "z" * 40 for i in range(60)] * 2 + ["equal " * 200] * 5 + [shared] * 2 + ["", "", "a", "b" * 700]
+    texts += [shared + "x" * 300 + "tail"] * 30 + [shared + "x" * 300 + "tall"] * 30  # one length, other only behind 850 characters
+    frame = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "chunk long, terminal long, text string")
+    out = {r.terminal: r["range"] for r in A._ranges(frame, 3000).collect()}
+    assert {texts[i] for i in range(len(texts)) if i not in out} == {"a", "b" * 700}  # alone with their start and length
     by_range = defaultdict(list)
-    for r in out:
-        by_range[r["range"]].append(r.text)
+    for i, r in out.items():
+        by_range[r].append(texts[i])
     # a range starts at less than ``most`` and ends with the prefix that goes beyond
     assert len(by_range) > 10 and all(sum(map(len, ts)) <= 6000 or len(set(ts)) == 1 for ts in by_range.values())
-    assert all(len({r["range"] for r in out if r.text == t}) == 1 for t in set(texts))
+    assert all(len({out[i] for i, t in enumerate(texts) if t == own}) == 1 for own in {texts[i] for i in out})
 
 
 def test_audit_on_awkward_and_empty_tables(spark):
