@@ -64,8 +64,8 @@ EXACT = "decimal(38,12)"
 
 
 def _half_away(num: Column, den: Column) -> Column:
-    """round(num / den) half away from zero, den > 0, as a double integer."""
-    return F.signum(num) * F.floor((F.abs(num) * 2 + den) / (den * 2))
+    """round(num / den) half away from zero, den > 0, as a double integer; never -0.0."""
+    return F.signum(num) * F.floor((F.abs(num) * 2 + den) / (den * 2)) + F.lit(0.0)
 
 
 def round_fixed(col, places: int = 2) -> Column:
@@ -80,12 +80,13 @@ def round_percent(col, places: int = 2) -> Column:
 
 def avg_round_fixed(col, places: int = 2) -> Column:
     """Aggregate: round(avg(col), places) computed exactly from a decimal sum
-    (a partial aggregate like any sum). NULL when the group has no value."""
+    (a partial aggregate like any sum). NULL when the group has no value; a
+    mean that rounds to zero from below is 0.0, not -0.0."""
     scaled = (F.sum(c(col).cast(EXACT)) * 10 ** 12).cast("decimal(38,0)")
     n = F.count(c(col))
     step = n.cast("decimal(20,0)") * F.lit(10 ** (12 - places)).cast("decimal(13,0)")
     whole = F.call_function("div", (F.abs(scaled) * 2).cast("decimal(38,0)") + step, (step * 2).cast("decimal(38,0)"))
-    return F.when(n > 0, F.signum(scaled.cast("double")) * whole / F.lit(10.0 ** places))
+    return F.when(n > 0, F.signum(scaled.cast("double")) * whole / F.lit(10.0 ** places) + F.lit(0.0))
 
 
 def ratio_round(num, den, places: int = 2) -> Column:

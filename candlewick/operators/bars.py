@@ -81,12 +81,13 @@ INDEX_ID_TO_CODE = [
 ]
 
 
-def rename_index_ids(spark: SparkSession, landed_index: DataFrame, id_col: str = "code") -> DataFrame:
-    """Index bars keyed by feed id -> index code (6-row literal, broadcast)."""
-    mapping = spark.createDataFrame(INDEX_ID_TO_CODE, "feed_id string, index_code string")
+def rename_index_ids(landed_index: DataFrame, id_col: str = "code") -> DataFrame:
+    """Index bars keyed by feed id -> index code (a map literal of six
+    ids, no join); rows of other ids are left out."""
+    codes = F.create_map(*[F.lit(x) for pair in INDEX_ID_TO_CODE for x in pair])
     return (
-        landed_index.join(F.broadcast(mapping), F.col(id_col) == F.col("feed_id"))
-        .drop(id_col, "feed_id").withColumnRenamed("index_code", "code")
+        landed_index.withColumn("_index_code", F.try_element_at(codes, F.col(id_col))).filter(F.col("_index_code").isNotNull())
+        .drop(id_col).withColumnRenamed("_index_code", "code")
     )
 
 

@@ -361,7 +361,7 @@ def s01(spark, sf_dir):
 def s04(spark, sf_dir):
     """Index bars land under the feed's id."""
     feed = load_market(spark, sf_dir).bars.filter(F.col("code") == "sh").select(F.lit("000001").alias("code"), "date", "close")
-    return bar_ops.rename_index_ids(spark, feed).select("code", "date", "close")
+    return bar_ops.rename_index_ids(feed).select("code", "date", "close")
 
 
 @register("k01_append_history", O.with_base(select=f"SELECT {O.BAR_COLUMNS} FROM bars WHERE date >= {O.d(LOAD_FROM)}"))
@@ -432,10 +432,10 @@ def a05(spark, sf_dir):
     """Newest open day, newest bar day, and the default of a
     calendar without days."""
     m = load_market(spark, sf_dir)
-    none = calendar.latest_day_frame(m.calendar.filter(F.lit(False)), calendar.DEFAULT_LATEST)
-    newest = calendar.latest_day_frame(m.calendar).select(F.col("latest_day").alias("newest_open_day"))
-    bar = m.bars.agg(F.max("date").alias("newest_bar_day"))
-    return newest.join(bar).join(none.select(F.col("latest_day").alias("without_days")))  # one row each
+    newest = calendar.latest_day(m.calendar)  # scalars, as the screens take them
+    none = calendar.latest_day(m.calendar.filter(F.lit(False)), calendar.DEFAULT_LATEST)
+    return m.bars.agg(F.max("date").alias("newest_bar_day")).select(
+        F.lit(newest).cast("date").alias("newest_open_day"), "newest_bar_day", F.lit(none).alias("without_days"))
 
 
 @register("f05_list_subscripts", O.with_base(

@@ -96,6 +96,14 @@ def test_f05_out_of_range_is_null(spark):
     assert r.x is None and r.y == 1.0 and r.z == 1.0
 
 
+def test_a_mean_just_below_zero_rounds_to_plain_zero(spark):
+    df = spark.createDataFrame([("a", -0.004), ("b", 0.004), ("b", -0.009), ("c", 0.0), ("d", -0.006)], "g string, x double")
+    got = {r.g: r.m for r in df.groupBy("g").agg(C.avg_round_fixed("x").alias("m")).collect()}
+    assert {g: repr(m) for g, m in got.items()} == {"a": "0.0", "b": "0.0", "c": "0.0", "d": "-0.01"}
+    one = spark.createDataFrame([(-1, 1000), (0, 5), (-1, 3)], "p long, n long")
+    assert [repr(r[0]) for r in one.select(C.ratio_round("p", "n")).collect()] == ["0.0", "0.0", "-0.33"]
+
+
 def test_exact_rounding_half_away(spark):
     df = spark.createDataFrame([(1.005,), (-2.5,), (0.155,), (2.675,), (None,)], "x double")
     got = [r[0] for r in df.select(C.round_fixed("x")).collect()]
@@ -269,7 +277,7 @@ def test_x03_tick_needs_k_bars(spark):
 def test_s04_index_ids_renamed(spark):
     landed = spark.createDataFrame([("000001", day(0), 1.0), ("399006", day(0), 2.0), ("999999", day(0), 3.0)],
                                    "code string, date date, close double")
-    got = rows(B.rename_index_ids(spark, landed), "code", "close")
+    got = rows(B.rename_index_ids(landed), "code", "close")
     assert got == [("cyb", 2.0), ("sh", 1.0)]
 
 
