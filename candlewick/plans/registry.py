@@ -341,6 +341,20 @@ def x20(spark, sf_dir):
     return pipeline.open_book(spark, root).bars
 
 
+@register("k06_delete_newest_day", O.with_base(select=f"""
+    SELECT {O.BAR_COLUMNS} FROM bars WHERE date < (SELECT max(date) FROM bars) OR date IS NULL"""))
+def k06(spark, sf_dir):
+    """Bars and averages of the newest day go in one version of the
+    book; a run that lands the day again and a second deletion leave the same."""
+    m = load_market(spark, sf_dir)
+    root = fresh_dir(spark, "k06")
+    pipeline.create_book(m, root)
+    day = dt.date.fromisoformat(pipeline.delete_newest_day(spark, root))
+    pipeline.refresh_book(spark, root, m.bars.filter(F.col("date") == F.lit(day)))
+    pipeline.delete_newest_day(spark, root)
+    return pipeline.open_book(spark, root).bars
+
+
 # ------------------------------------------------------ parameterised SQL scan
 @register("s01_sql_scan", O.with_base(select=f"""
     SELECT d.code, d.date, d.close, i.industry FROM stocks d JOIN info i ON d.code = i.code

@@ -73,7 +73,8 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/candlewick-work/{name}-{uuid.uuid4().hex}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) on whatever file system the path names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
@@ -81,14 +82,14 @@ def _hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path
     (or the default file system, for one without scheme) names."""
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def path_state(spark: SparkSession, path: str) -> str:
     """Qualified path, size and newest modification of a file or of the
     files of a folder; empty when there is none."""
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return ""
     found = [s for s in fs.listStatus(p)] if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]
@@ -97,5 +98,5 @@ def path_state(spark: SparkSession, path: str) -> str:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that the caller's own job wrote; none is fine."""
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     fs.delete(p, True)

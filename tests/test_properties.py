@@ -125,6 +125,88 @@ def test_x20_runs_chain_and_leave_other_months_alone(spark, markets, tmp_dir):
     assert pipeline.refresh_book(spark, root, bar.limit(0)) == []
 
 
+def _book_state(spark, root):
+    from candlewick.plans import pipeline
+    b = pipeline.open_book(spark, root)
+    return {name: sorted(map(tuple, df.collect()), key=repr) for name, df in
+            (("bars", b.numbered.select(*BAR_COLS, "bar_no", "tail_from")), ("state", b.ma_state), ("calendar", b.calendar), ("listing", b.listing))}
+
+
+def test_x20_a_run_that_dies_leaves_the_old_book_and_a_rerun_gives_the_new_one(spark, tmp_dir, monkeypatch):
+    """Killed before each of its writes and before the rename: readers see
+    the old book whole, a rerun gives what an undisturbed run gives."""
+    import datetime as dt
+    from dataclasses import replace
+    from candlewick.plans import pipeline
+    from candlewick.plans.market import load_market
+    from candlewick.sources import versions
+    m = load_market(spark, "/root/testdata/sf0.001")
+    first, last = AS_OF - dt.timedelta(days=3), AS_OF + dt.timedelta(days=7)
+    part = replace(m, numbered=m.numbered.filter((F.col("date") <= F.lit(AS_OF)) & (F.col("date") >= "2015-10-01")))
+    landed = m.bars.filter((F.col("date") >= F.lit(first)) & (F.col("date") <= F.lit(last))).withColumn("close", F.col("close") + 1.0)
+    pipeline.create_book(part, f"{tmp_dir}/plain")
+    pipeline.create_book(part, f"{tmp_dir}/book")
+    old = _book_state(spark, f"{tmp_dir}/book")
+    assert pipeline.refresh_book(spark, f"{tmp_dir}/plain", landed)
+    want = _book_state(spark, f"{tmp_dir}/plain")
+    assert want != old
+
+    class Killed(Exception):
+        pass
+
+    def dies(real, at):
+        calls = iter(range(100))
+
+        def step(*args, **kw):
+            if next(calls) == at:
+                raise Killed
+            return real(*args, **kw)
+        return step
+
+    for name, at in (("_write_bars", 0), ("_write_bars", 1), ("_write", 0), ("_write", 1), ("_commit", 0)):
+        with monkeypatch.context() as patch:
+            patch.setattr(pipeline, name, dies(getattr(pipeline, name), at))
+            with pytest.raises(Killed):
+                pipeline.refresh_book(spark, f"{tmp_dir}/book", landed)
+        assert versions.manifest(spark, f"{tmp_dir}/book")["version"] == 1
+    assert _book_state(spark, f"{tmp_dir}/book") == old
+    pipeline.refresh_book(spark, f"{tmp_dir}/book", landed)
+    assert _book_state(spark, f"{tmp_dir}/book") == want
+    # what the dead runs left goes, what the kept versions name stays
+    left = versions.expire(spark, f"{tmp_dir}/book", keep=2)
+    assert len(left) >= 5 and _book_state(spark, f"{tmp_dir}/book") == want
+    assert pipeline.open_book(spark, f"{tmp_dir}/book", version=1).bars.count() == len(old["bars"])
+    assert versions.expire(spark, f"{tmp_dir}/book", keep=1) and _book_state(spark, f"{tmp_dir}/book") == want
+
+
+def test_x20_of_two_runs_at_once_one_is_refused(spark, tmp_dir, monkeypatch):
+    import datetime as dt
+    from dataclasses import replace
+    from candlewick.plans import pipeline
+    from candlewick.plans.market import load_market
+    from candlewick.sources import versions
+    m = load_market(spark, "/root/testdata/sf0.001")
+    days = [AS_OF + dt.timedelta(days=k) for k in (0, 7, 14)]
+    root = f"{tmp_dir}/book"
+    pipeline.create_book(replace(m, numbered=m.numbered.filter((F.col("date") <= F.lit(days[0])) & (F.col("date") >= "2015-10-01"))), root)
+    one = m.bars.filter((F.col("date") > F.lit(days[0])) & (F.col("date") <= F.lit(days[1])))
+    two = m.bars.filter((F.col("date") > F.lit(days[1])) & (F.col("date") <= F.lit(days[2])))
+    real = pipeline._commit
+
+    def late(*args, **kw):  # another run commits while this one is about to
+        monkeypatch.setattr(pipeline, "_commit", real)
+        pipeline.refresh_book(spark, root, two)
+        return real(*args, **kw)
+
+    monkeypatch.setattr(pipeline, "_commit", late)
+    with pytest.raises(versions.ConcurrentChange):
+        pipeline.refresh_book(spark, root, one)
+    after = pipeline.open_book(spark, root).bars
+    assert after.join(two.select("code", "date"), ["code", "date"]).count() == two.count() and after.join(one.select("code", "date"), ["code", "date"]).count() == 0
+    pipeline.refresh_book(spark, root, one)
+    assert pipeline.open_book(spark, root).bars.count() == after.count() + one.count()
+
+
 def upsert_all(bars, bar):
     """Full rebuild after an upsert."""
     from candlewick.operators.bars import upsert
