@@ -21,7 +21,7 @@ from candlewick.plans.market import load_market
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CONCEPT, INFO
 from candlewick.session import fresh_dir
 from candlewick.sources import tables
-from candlewick.streaming import quotes
+from candlewick.streaming import latest, quotes
 
 AS_OF = dt.date(2015, 11, 24)
 
@@ -490,13 +490,51 @@ def r04(spark, sf_dir):
 
 @register("r05_provisional_bars", O.tick_to_bar_sql(AS_OF))
 def r05(spark, sf_dir):
-    """The day's snapshot lands as quotes with a date and a
-    time text; the stream keeps the newest per code and makes bars of them.
-    An older quote of each code lands with it and changes nothing."""
+    """R01/R03/R05/S08 over three landings: an early quote of each code with a
+    date and a time text, the closing one, then a repeat and a late one that
+    change nothing. The stream's keyed state hands on changed codes only."""
     m, root = load_market(spark, sf_dir), fresh_dir(spark, "r05")
     ticks = bar_ops.ticks_from_bars(m.bars, AS_OF)
-    early = ticks.withColumns({"time": F.lit("09:30:00"), "price": F.col("price") / 2})
-    ticks.unionByName(early).write.parquet(f"{root}/landing")
-    raw = quotes.read_stream(spark, f"{root}/landing", ticks.schema).withColumn("event_ts", quotes.event_time())
-    _run(quotes.start_quote_pipeline(quotes.dedupe(raw.drop("date", "time")), f"{root}/out", f"{root}/checkpoint", history_bars=m.stocks))
-    return quotes.read_newest(spark, f"{root}/out/provisional").select(*BAR_BASE_COLS)
+    at = lambda time, part: ticks.withColumns({"time": F.lit(time), "price": F.col("price") * part})
+    for landed in (at("09:30:00", 0.5), ticks, ticks.unionByName(at("11:00:00", 0.25))):
+        landed.write.mode("append").parquet(f"{root}/landing")
+        raw = quotes.read_stream(spark, f"{root}/landing", ticks.schema).withColumn("event_ts", quotes.event_time())
+        _run(latest.start_latest(raw.drop("date", "time"), f"{root}/out", f"{root}/checkpoint", history_bars=m.stocks, fold_every=2))
+    return latest.read_provisional(spark, f"{root}/out/provisional").select(*BAR_BASE_COLS)
+
+
+@register("r03_latest_changes", ORACLE["r03_latest_quote"])
+def r03_stream(spark, sf_dir):
+    """R03 as keyed state: the quotes land by day of the week, out of order and
+    the first lot again; each run hands on the codes that it changes."""
+    root = fresh_dir(spark, "r03")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lots = [F.dayofweek("ts").isin(*days) for days in ((4, 5), (1, 2, 3), (6, 7), (4, 5))]
+    for lot in lots:
+        events.filter(lot).write.mode("append").parquet(f"{root}/landing")
+        raw = quotes.read_stream(spark, f"{root}/landing", events.schema)
+        _run(latest.start_latest(quotes.quotes_from_events(raw), f"{root}/out", f"{root}/checkpoint", fold_every=2))
+    return latest.read_latest(spark, f"{root}/out/latest").select("code", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "price", "volume")
+
+
+@register("r06_closed_daily_bars", """
+    SELECT CAST(user_id AS VARCHAR) AS code, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+           arg_min(value, (ts, value)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, value)) AS close,
+           CAST(count(*) AS DOUBLE) AS volume, count(*) AS n_quotes
+    FROM events GROUP BY user_id, time_bucket(INTERVAL 1 DAY, ts)
+    HAVING time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def r06_stream(spark, sf_dir):
+    """R06 as a stream run to its end, twice on one checkpoint: all quotes,
+    then the same again with quotes that come too late. The table holds each
+    window that the watermark has closed once, without the late quotes; open
+    windows wait in the state."""
+    root = fresh_dir(spark, "r06")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    horizon = events.agg(F.max("ts").alias("t")).first()["t"]
+    late = events.filter(F.col("ts") < F.lit(horizon - dt.timedelta(days=3)) if horizon else F.lit(False)).withColumns(
+        {"value": F.col("value") + 1000, "ts": F.expr("ts + INTERVAL 1 SECOND")})
+    for landed in (events, events.unionByName(late)):
+        landed.write.mode("append").parquet(f"{root}/landing")
+        raw = quotes.read_stream(spark, f"{root}/landing", events.schema)
+        _run(quotes.start_daily_bars(quotes.quotes_from_events(raw), f"{root}/bars", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/bars")

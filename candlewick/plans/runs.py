@@ -19,8 +19,9 @@ from candlewick.operators.calendar import as_date, as_of_day, open_day
 from candlewick.plans import groups, pipeline, publish, screens
 from candlewick.plans.market import Market
 from candlewick.schema import BARS_DAILY
-from candlewick.session import fresh_dir
+from candlewick.session import fresh_dir, path_exists
 from candlewick.sources.tables import read_landed, store
+from candlewick.streaming import latest
 from candlewick.streaming.quotes import read_newest
 
 #: Parameters of the screens that are lengths or limits; the two start days follow the as-of day unless given:
@@ -161,8 +162,11 @@ def next_or_last_open_day(m: Market, as_of):
 
 
 def read_newest_provisional(spark, path: str) -> DataFrame:
-    """Provisional bars of a folder: of the newest batch where it has one
-    folder per batch (the live job's), else of all its files."""
+    """Provisional bars of a folder: the newest per code of the live job's
+    changes, of the newest batch where it has one folder per batch, else of
+    all its files."""
+    if path_exists(spark, f"{path}/changes"):
+        return latest.read_provisional(spark, path).select(*BARS_DAILY.fieldNames())
     if "batch_id" in spark.read.parquet(path).columns:
         return read_newest(spark, path).select(*BARS_DAILY.fieldNames())
     return read_landed(spark, path, BARS_DAILY)

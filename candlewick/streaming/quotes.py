@@ -80,6 +80,18 @@ def daily_bars(quotes: DataFrame, watermark: str | None = "1 hour", width: str =
     )
 
 
+def start_daily_bars(quotes: DataFrame, root: str, checkpoint: str, watermark: str = "1 hour", width: str = "1 day",
+                     available_now: bool = True):
+    """R06 as a running stream: repeated quotes are dropped within the
+    watermark, a window's bar is appended to the table at ``root`` once, when
+    the watermark has passed its end; the file sink's log makes that exactly
+    once across restarts. Returns the StreamingQuery."""
+    once = dedupe(quotes, watermark)
+    writer = (daily_bars(once, watermark=None, width=width).writeStream.format("parquet").outputMode("append")
+              .option("path", root).option("checkpointLocation", checkpoint))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def latest(quotes: DataFrame) -> DataFrame:
     """The newest quote per code (batch or update-mode stream); of quotes
     with equal times the one that is greatest by its other columns."""
@@ -106,6 +118,14 @@ def read_newest(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col("batch_id") == F.lit(newest)).drop("batch_id")
 
 
+def history_sink(root: str):
+    """A foreachBatch function that writes a batch's quotes to
+    ``history/batch_id=N`` with overwrite."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_dir(f"{root}/history", batch_id))
+    return run
+
+
 def quote_sink(root: str, history_bars: DataFrame | None = None, as_of=None):
     """A foreachBatch function.
 

@@ -212,7 +212,7 @@ def test_live_job_from_feed_layout_files(spark, tmp_dir):
     from candlewick.operators import bars as B
     from candlewick.plans.market import load_market
     from candlewick.schema import QUOTE
-    from candlewick.streaming import live
+    from candlewick.streaming import latest, live
     m = load_market(spark, "/root/testdata/sf0.01")
     as_of = __import__("datetime").date(2015, 11, 24)
     ticks = B.ticks_from_bars(m.bars, as_of)
@@ -222,7 +222,7 @@ def test_live_job_from_feed_layout_files(spark, tmp_dir):
     feed.write.parquet(f"{tmp_dir}/quotes/part2")  # the same snapshot delivered twice
     q = live.start(spark, m, f"{tmp_dir}/quotes/*", f"{tmp_dir}/out", as_of)
     q.awaitTermination(300)
-    prov = Q.read_newest(spark, f"{tmp_dir}/out/live/provisional")
+    prov = latest.read_provisional(spark, f"{tmp_dir}/out/live/provisional")
     batch = B.tick_to_bar(ticks, m.stocks, as_of)
     assert prov.count() == batch.count() == 78
     assert prov.select(*batch.columns).exceptAll(batch).count() == 0
@@ -254,3 +254,57 @@ def test_refresh_job_with_landed_files(spark, tmp_dir):
     book = pipeline.open_book(spark, out["book"])
     assert [r.close for r in book.bars.filter(F.col("date") == F.lit(day)).select("close").distinct().collect()] == [2.0]
     assert book.calendar.agg(F.max("date")).first()[0] == day
+
+
+def test_r03_a_batch_writes_the_codes_that_it_changes(spark, tmp_dir):
+    """Rows written equal changed codes: new, newer and greater quotes of the
+    same time change a code, older and repeated ones do not; a folded table
+    reads the same, and a restart goes on from the state."""
+    import datetime as dt
+    from candlewick.streaming import latest
+    t = lambda h: dt.datetime(2015, 11, 24, h)
+    schema = spark.createDataFrame([], "code string, event_ts timestamp, price double, volume double").schema
+    lots = [([("A", t(10), 1.0, 1.0), ("B", t(10), 2.0, 1.0)], {"A", "B"}),
+            ([("A", t(10), 1.0, 1.0), ("B", t(9), 9.0, 1.0)], set()),        # a repeat and a late one
+            ([("A", t(11), 3.0, 1.0), ("B", t(10), 2.0, 1.0), ("C", t(8), 5.0, 1.0)], {"A", "C"}),
+            ([("B", t(10), 2.5, 1.0)], {"B"}),                              # same time, greater price
+            ([("C", t(12), 6.0, 1.0), ("C", t(13), 7.0, 1.0)], {"C"})]
+    seen = []
+    for rows, changed in lots:
+        seen += rows
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+        q = latest.start_latest(Q.read_stream(spark, f"{tmp_dir}/in", schema), f"{tmp_dir}/out", f"{tmp_dir}/ck", fold_every=2)
+        q.awaitTermination(120)
+        ids = latest._numbers(spark, f"{tmp_dir}/out/latest/changes", "batch_id")
+        last = spark.read.schema(schema).parquet(f"{tmp_dir}/out/latest/changes/batch_id={ids[-1]}").collect()
+        assert {r.code for r in last} == changed and len(last) == len(changed)
+        now = latest.read_latest(spark, f"{tmp_dir}/out/latest")
+        assert now.select(schema.fieldNames()).exceptAll(Q.latest(spark.createDataFrame(seen, schema))).count() == 0
+        assert now.count() == len({r[0] for r in seen})
+    assert latest._numbers(spark, f"{tmp_dir}/out/latest/base", "upto") == [1, 3]
+    assert latest._numbers(spark, f"{tmp_dir}/out/latest/changes", "batch_id")[0] == 2  # folded ones are gone
+
+
+def test_r03_a_replayed_batch_rewrites_its_own_rows(spark, tmp_dir):
+    from candlewick.streaming import latest
+    rows = spark.createDataFrame([("A", 1.0)], "code string, price double")
+    for batch in range(7):
+        for _ in range(2):
+            latest._put(spark, rows.withColumn("price", F.lit(float(batch))), f"{tmp_dir}/t", batch, fold_every=3)
+    assert [tuple(r) for r in latest.read_latest(spark, f"{tmp_dir}/t").select("code", "price").collect()] == [("A", 6.0)]
+
+
+def test_r06_stream_appends_each_closed_window_once(spark, tmp_dir):
+    """The running stream: repeats within the watermark are counted once, late
+    quotes not at all, a restart continues with the open windows."""
+    import datetime as dt
+    schema = spark.createDataFrame([], "code string, event_ts timestamp, price double, volume double").schema
+    t = lambda d, h, m=0: dt.datetime(2015, 11, d, h, m)
+    lots = [[("A", t(20, 10), 1.0, 1.0), ("A", t(20, 11), 2.0, 1.0), ("A", t(20, 11), 2.0, 1.0), ("A", t(20, 23, 30), 4.0, 1.0)],
+            [("A", t(20, 23, 30), 4.0, 1.0), ("A", t(20, 23, 50), 3.0, 1.0), ("B", t(22, 10), 9.0, 1.0)],   # closes day 20
+            [("A", t(20, 12), 99.0, 1.0), ("B", t(22, 11), 8.0, 1.0), ("B", t(24, 1), 7.0, 1.0)]]           # late for day 20; closes 22
+    for rows in lots:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+        Q.start_daily_bars(Q.read_stream(spark, f"{tmp_dir}/in", schema), f"{tmp_dir}/bars", f"{tmp_dir}/ck").awaitTermination(120)
+    out = sorted((r.code, r.window_start.day, r.open, r.high, r.low, r.close, r.n_quotes) for r in spark.read.parquet(f"{tmp_dir}/bars").collect())
+    assert out == [("A", 20, 1.0, 4.0, 1.0, 3.0, 4), ("B", 22, 9.0, 9.0, 8.0, 8.0, 2)]
