@@ -7,10 +7,18 @@ sentences is the sum over their words. What isn't a letter is left out of a word
 single-character words also counts as the word that it spells. The Nyström map over a few landmark words, chosen from the labelled documents, makes the machine linear; its
 decision for a sentence is then a sum of one number per word, which a task computes once per distinct word.
 
-Training sees labelled sentences by way of labelled documents: in a document without the label no sentence is toxic, in
-one with it at least one is, so the machine is refitted a few times on the sentence of each positive document that it
-finds most toxic. A document scores its most toxic sentence, through a logistic curve fitted on the training documents.
-At most ``TRAINING_DOCS`` documents of each label are used, chosen by a hash of their id, and ``SENTENCES`` of each.
+Landmarks are words and beginnings of words whose share of documents differs between the labels beyond chance (a log-likelihood
+ratio of ``SURE`` or more; the largest first, so stems that many words share come before the words). Training sees labelled sentences by way of labelled documents: in a document without the label no
+sentence is toxic, in one with it at least one is, so the machine is refitted a few times on the sentence of each positive
+document that it finds most toxic, without the few that stay furthest from toxic (labels err). At most ``TRAINING_DOCS``
+documents of each label are used, chosen by a hash of their id, and ``SENTENCES`` of each.
+
+Some toxic words also turn up by chance in long clean texts; one of these alone says little there, several in a short text
+say much. A document is therefore judged in two ways. Its most toxic sentence decides, through a logistic curve, where it
+is beyond what all but ``SPARED`` of the clean training documents have; so a plain insult counts in a text of any length.
+Otherwise a second machine weighs the evidence of all its distinct words, their kernels with each landmark beyond ``FAINT``, against
+their number: the log-odds of two rates are linear in both. It is trained on the same documents, taken whole, and so are
+the curves of both.
 
 Defined results: a null or empty text, and one without words, has the score of an empty sentence; equal texts get equal
 scores; without labels, or with one label only, every score is 0 (or 1 where all labels are 1); an empty table gives an
@@ -31,10 +39,15 @@ from pyspark.sql import functions as F
 from candlewick.llm import chars
 from candlewick.llm.common import labelled_rows, ship, stored
 
-TRAINING_DOCS, SENTENCES = 1000, 10
+TRAINING_DOCS, SENTENCES = 2000, 10
+#: Log-likelihood ratio that makes a landmark (20: beyond four standard errors); share of clean documents whose best sentence may pass; share of positives that
+#: are left out as mislabelled; a kernel that chance gives to any two words.
+SURE, SPARED, DOUBTED, FAINT = 20.0, 0.002, 0.05, 0.15
+#: Times that a document counts for a word.
+OFTEN = 3
 #: Subsequences span at most SPAN characters; a character spanned weighs DECAY.
 SPAN, DECAY = 6, 0.7
-TOXIC_LANDMARKS, OTHER_LANDMARKS = 32, 8
+TOXIC_LANDMARKS, OTHER_LANDMARKS = 24, 8
 #: Characters per piece of work, distinct words kept per task.
 PIECE, KEPT = 1_000_000, 1_000_000
 _OFFSETS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
@@ -167,27 +180,38 @@ class Machine:
     bias: float
     slope: float = 1.0
     level: float = 0.0
+    gamma: np.ndarray | None = None  # weight of each landmark's evidence in a document
+    per_word: float = 0.0
+    always: float = 0.0
 
-    def chance(self, decision: np.ndarray) -> np.ndarray:
-        return 0.5 * (1 + np.tanh(0.5 * (self.slope * decision + self.level)))
+    def chance(self, best: np.ndarray, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Score of documents: their best sentence's decision, the weighted evidence and the number of their words."""
+        odds = self.slope * best + self.level
+        if self.gamma is not None:
+            odds = np.where(odds >= 0, odds, evidence + self.per_word * words + self.always)
+        return 0.5 * (1 + np.tanh(0.5 * odds))
 
 
 class Scorer:
-    """Scores texts; remembers the decisions of up to KEPT distinct words by their 64-bit hash."""
+    """Scores texts; remembers what up to KEPT distinct words say by their 64-bit hash."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
-        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros((0, 2), np.float32)
 
     def _decisions(self, b: Batch) -> np.ndarray:
+        """What each distinct word adds to a sentence's decision, and to a document's evidence."""
         at = np.searchsorted(self.keys, b.hashes)
         hit = at < len(self.keys)
         hit[hit] = self.keys[at[hit]] == b.hashes[hit]
-        out = np.empty(len(b.hashes), np.float32)
+        out = np.zeros((len(b.hashes), 2), np.float32)
         out[hit] = self.values[at[hit]]
         new = np.flatnonzero(~hit)
         if len(new):
-            out[new] = self.machine.kernel.words(b.codes, b.starts[new], b.ends[new]) @ self.machine.beta.astype(np.float32)
+            k = self.machine.kernel.words(b.codes, b.starts[new], b.ends[new])
+            out[new, 0] = k @ self.machine.beta.astype(np.float32)
+            if self.machine.gamma is not None:
+                out[new, 1] = np.maximum(k - np.float32(FAINT), 0) @ self.machine.gamma.astype(np.float32)
             if len(self.keys) > KEPT:
                 self.keys, self.values = self.keys[:0], self.values[:0]
             keys, values = np.concatenate([self.keys, b.hashes[new]]), np.concatenate([self.values, out[new]])
@@ -195,43 +219,68 @@ class Scorer:
             self.keys, self.values = keys[order], values[order]
         return out
 
+    def facts(self, run: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best sentence's decision, the evidence and the number of the distinct words of each text."""
+        best, held = np.full(len(run), -np.inf), []
+        whole = sum(map(len, run)) <= PIECE
+        for part, own in [(run, None)] if whole else [([p], i) for i, t in enumerate(run) for p in chars.cut(t, PIECE)]:
+            b = read(part)
+            if len(b.text):
+                each = self._decisions(b)
+                sums = np.bincount(b.sentence, each[b.number, 0], minlength=len(b.text)) + self.machine.bias
+                target = b.text if own is None else np.full(len(b.text), own)
+                first = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
+                top = np.maximum.reduceat(sums, first)
+                best[target[first]] = np.maximum(best[target[first]], top)
+                pairs = np.unique(target[b.sentence] * len(each) + b.number)
+                held.append((pairs // len(each), b.hashes[pairs % len(each)], each[pairs % len(each), 1]))
+        evidence, words = np.zeros(len(run)), np.zeros(len(run))
+        if held:
+            text, word, value = (np.concatenate(c) for c in zip(*held, strict=True))
+            if len(held) > 1:  # a word of several pieces of a text
+                order = np.lexsort((word, text))
+                text, word, value = text[order], word[order], value[order]
+                new = np.concatenate([[True], (text[1:] != text[:-1]) | (word[1:] != word[:-1])])
+                text, value = text[new], value[new]
+            evidence, words = np.bincount(text, value, minlength=len(run)), np.bincount(text, minlength=len(run)).astype(np.float64)
+        return np.where(np.isneginf(best), self.machine.bias, best), evidence, words  # no sentence: an empty one
+
     def score(self, texts: list[str]) -> np.ndarray:
         m = self.machine
         if m.kernel is None:
             return np.full(len(texts), m.level)
-        out = []
-        for run in chars.batches(texts, PIECE):
-            best = np.full(len(run), -np.inf)
-            size = sum(map(len, run))
-            for part, own in [(run, None)] if size <= PIECE else [([p], 0) for t in run for p in chars.cut(t, PIECE)]:
-                b = read(part)
-                if len(b.text):
-                    sums = np.bincount(b.sentence, self._decisions(b)[b.number], minlength=len(b.text)) + m.bias
-                    target = b.text if own is None else np.zeros(len(b.text), np.int64)
-                    first = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
-                    top = np.maximum.reduceat(sums, first)
-                    best[target[first]] = np.maximum(best[target[first]], top)
-            out.append(m.chance(np.where(np.isneginf(best), m.bias, best)))  # no sentence: an empty one
+        out = [m.chance(*self.facts(run)) for run in chars.batches(texts, PIECE)]
         return np.concatenate(out) if out else np.zeros(0)
 
 
 # -- training ---------------------------------------------------------------------------------------------------------
 
+def _beginning(n: int):
+    return lambda w: F.substring(w, 1, n)  # (a second parameter would be the index)
+
+
 def landmark_words(rows: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and beginnings of words that most tell labelled documents apart, and common words that do not, from the
-    document frequencies in both classes (counted by Spark; a bounded number comes to the driver)."""
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[\s.,!?]+"), lambda w: F.length(w).between(3, 24)))
-    parts = F.array_distinct(F.concat(words, *[F.transform(words, lambda w, n=n: F.substring(w, 1, n)) for n in (4, 5, 6)]))
-    counts = rows.select("label", F.explode(parts).alias("word")).groupBy("word").agg(
-        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+    """Words and beginnings of words that most tell labelled documents apart, and common words that do not, from how
+    often documents of both classes hold them, up to OFTEN times each (counted by Spark; a bounded number comes to the
+    driver). A toxic one is held by two documents at least."""
+    words = F.filter(F.split(F.lower("text"), r"[\s.,!?]+"), lambda w: F.length(w).between(3, 24))
+    parts = [F.when(F.length("w") >= n, F.substring("w", 1, n)) for n in (4, 5, 6, 7, 8)]
+    spelled = rows.select("id", "label", F.explode(words).alias("w")).select("id", "label", F.explode(F.array_distinct(F.array("w", *parts))).alias("word"))
+    each = spelled.where("word IS NOT NULL").groupBy("id", "label", "word").agg(F.least(F.count(F.lit(1)), F.lit(OFTEN)).alias("n"))
+    counts = each.groupBy("word").agg(F.sum(F.col("n") * F.col("label")).alias("toxic"), F.sum(F.col("n") * (1 - F.col("label"))).alias("clean"),
+                                      F.sum("label").alias("holders"), F.count(F.lit(1)).alias("seen"))
     sizes = rows.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).first()
-    gap = F.col("toxic") / float(max(sizes["toxic"], 1)) - F.col("clean") / float(max(sizes["clean"], 1))
-    ranked = counts.where("toxic + clean >= 3").select("word", gap.alias("gap"))
-    best = [r["word"] for r in ranked.where("gap > 0").orderBy(F.desc("gap"), F.desc(F.length("word")), "word").limit(20 * TOXIC_LANDMARKS).collect()]
-    common = [r["word"] for r in ranked.orderBy("gap", "word").limit(OTHER_LANDMARKS).collect()]
+    n1, n0 = float(max(sizes["toxic"], 1)), float(max(sizes["clean"], 1))
+    toxic, clean, share = F.col("toxic"), F.col("clean"), n1 / (n1 + n0)
+    cell = lambda o, e: F.when(o > 0, o * F.ln(o / e)).otherwise(0.0)
+    told = 2 * (cell(toxic, (toxic + clean) * share) + cell(clean, (toxic + clean) * (1 - share)))
+    ranked = counts.where("seen >= 3 OR holders >= 2").select("word", "holders", F.round(F.when(toxic * n0 > clean * n1, told).otherwise(-told), 6).alias("sure"))
+    best = [r["word"] for r in ranked.where((F.col("sure") >= SURE) & (F.col("holders") >= 2)).orderBy(F.desc("sure"), F.desc(F.length("word")), "word")
+            .limit(60 * TOXIC_LANDMARKS).collect()]
+    common = [r["word"] for r in ranked.orderBy("sure", "word").limit(OTHER_LANDMARKS).collect()]
     chosen: list[str] = []
-    for w in best:  # one of each family: no chosen word begins another
-        if len(chosen) < TOXIC_LANDMARKS and not any(w.startswith(c[:5]) or c.startswith(w[:5]) for c in chosen):
+    for w in best:  # one of each family: no two chosen words begin alike
+        if len(chosen) < TOXIC_LANDMARKS and not any(w.startswith(c[:4]) or c.startswith(w[:4]) for c in chosen):
             chosen.append(w)
     return chosen, [w for w in common if w not in chosen]
 
@@ -279,20 +328,41 @@ def fit(kernel: Kernel, x: np.ndarray, doc: np.ndarray, labels: np.ndarray, pass
     z = x @ root
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     picked = x.sum(axis=1)
-    negative = labels[doc] == 0
+    negative, keep = labels[doc] == 0, None
     for _ in range(passes):
         top = np.zeros(len(x), bool)  # the most toxic sentence of each positive document
         for a, b in zip(first, [*first[1:], len(x)], strict=True):
             if labels[doc[a]]:
                 top[a + int(np.argmax(picked[a:b]))] = True
+        if keep is not None:
+            top[np.flatnonzero(top)[picked[top] < np.quantile(picked[top], DOUBTED)]] = False
+        keep = top
         use = negative | top
         y = np.where(top[use], 1.0, -1.0)
         w = _svm(z[use], y, np.where(y > 0, use.sum() / (2 * max(top.sum(), 1)), use.sum() / (2 * max(negative.sum(), 1))) / use.sum() * 2000)
         picked = z @ w[:-1]
-    decision = np.maximum.reduceat(z @ w[:-1] + w[-1], first)
-    machine = Machine(kernel, root @ w[:-1], float(w[-1]))
-    machine.slope, machine.level = _logistic(decision, labels[doc[first]])
-    return machine
+    return Machine(kernel, root @ w[:-1], float(w[-1]))
+
+
+def calibrate(machine: Machine, best: np.ndarray, evidence: np.ndarray, words: np.ndarray, labels: np.ndarray) -> None:
+    """The second machine and both curves, from labelled documents: the decision of their best sentence, their evidence
+    of each landmark, the number of their words."""
+    machine.slope, machine.level = _logistic(best, labels)
+    beyond = float(np.quantile(best[labels == 0], 1 - SPARED)) + 1e-6
+    machine.level = min(machine.level, -machine.slope * beyond)
+    x = np.concatenate([evidence, words[:, None]], axis=1)
+    scale = np.maximum(x.std(axis=0), 1e-6)
+    y, weight = np.where(labels == 1, 1.0, -1.0), np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 1.0)
+    use = np.ones(x.shape[1], bool)
+    while True:  # evidence never speaks against the label, and the number of words never for it
+        w = np.zeros(len(use) + 1)
+        w[np.append(use, True)] = _svm(x[:, use] / scale[use], y, weight, ridge=50.0)
+        wrong = np.append(w[:-2] < 0, w[-2] > 0)
+        if not wrong.any():
+            break
+        use &= ~wrong
+    a, b = _logistic(x / scale @ w[:-1] + w[-1], labels)
+    machine.gamma, machine.per_word, machine.always = a * (w[:-2] / scale[:-1]), float(a * w[-2] / scale[-1]), float(a * w[-1] + b)
 
 
 def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -312,7 +382,7 @@ def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           most: int = TRAINING_DOCS) -> Machine:
     ship(docs.sparkSession)
-    rows = stored(labelled_rows(docs, labels, label, most, id_col, text_col).select("text", "label"), "toxic-training")
+    rows = stored(labelled_rows(docs, labels, label, most, id_col, text_col).select("id", "text", "label"), "toxic-training")
     kinds = sorted(r["label"] for r in rows.select("label").distinct().collect())
     if len(kinds) < 2:
         return Machine(None, np.zeros(0), 0.0, level=float(kinds[0]) if kinds else 0.0)
@@ -325,7 +395,29 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     if len({r["label"] for r in sample}) < 2:
         return Machine(None, np.zeros(0), 0.0)
     x = np.concatenate([np.frombuffer(r["x"], np.float32).reshape(r["n"], -1) for r in sample]).astype(np.float64)
-    return fit(kernel, x, np.repeat(np.arange(len(sample)), [r["n"] for r in sample]), np.array([r["label"] for r in sample]))
+    machine = fit(kernel, x, np.repeat(np.arange(len(sample)), [r["n"] for r in sample]), np.array([r["label"] for r in sample]))
+    facts = sorted(rows.mapInPandas(_document_facts(machine), "label int, best double, words double, x binary").collect(), key=tuple)  # 2 * most
+    calibrate(machine, np.array([r["best"] for r in facts]), np.stack([np.frombuffer(r["x"]) for r in facts]), np.array([r["words"] for r in facts]),
+              np.array([r["label"] for r in facts]))
+    return machine
+
+
+def _document_facts(machine: Machine):
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(machine)
+        for frame in frames:
+            out = []
+            for text, label in zip(frame["text"], frame["label"], strict=True):
+                best, _, words = scorer.facts([text])
+                x, seen = np.zeros(len(machine.kernel.landmarks)), np.zeros(0, np.uint64)
+                for piece in chars.cut(text, PIECE):
+                    b = read([piece])
+                    k = machine.kernel.words(b.codes, b.starts, b.ends)
+                    x += np.maximum(k - FAINT, 0)[~np.isin(b.hashes, seen)].sum(axis=0)
+                    seen = np.union1d(seen, b.hashes)
+                out.append((int(label), float(best[0]), float(words[0]), x.tobytes()))
+            yield pd.DataFrame(out, columns=["label", "best", "words", "x"])
+    return rows
 
 
 def score(machine: Machine, text: Column) -> Column:
