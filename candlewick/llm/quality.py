@@ -98,8 +98,8 @@ class Chain:
 
 
 def _forward(s: np.ndarray, moves: np.ndarray, active: list[int]) -> np.ndarray:
-    """Log odds of good from the left. ``s``: positions x chains; ``active[t]``: chains that reach position t."""
-    a = np.empty_like(s)
+    """Log odds of good from the left. ``s``: positions x chains; ``active[t]``: chains that reach position t; 0 elsewhere."""
+    a = np.zeros_like(s)
     a[0] = s[0]
     for t in range(1, len(s)):
         k, p = active[t], a[t - 1, : active[t]]

@@ -74,6 +74,17 @@ def test_marginals_equal_all_labellings():
     np.testing.assert_allclose(got, want)
 
 
+def test_fitting_reads_no_unset_memory(monkeypatch):
+    """Chains of different lengths: whatever memory held before, the weights are finite and the same."""
+    rnd = np.random.default_rng(7)
+    lines, labels = np.array([1, 9, 4, 2]), np.array([0, 1, 0, 1])
+    x = rnd.normal(size=(16, 3)) + np.repeat(labels, lines)[:, None]
+    want = Q.fit(x, lines, labels, steps=20)
+    monkeypatch.setattr(Q.np, "empty_like", lambda a, *_, **__: np.full_like(a, np.nan))
+    got = Q.fit(x, lines, labels, steps=20)
+    assert np.isfinite(got.weights).all() and np.array_equal(got.weights, want.weights) and np.array_equal(got.moves, want.moves)
+
+
 def test_line_features_look_at_neighbours_and_not_beyond_the_text(monkeypatch):
     a, b = "One line.\nTWO two two", "!!! ###\n\nlast"
     x, length, lines = Q.features([a, b])
