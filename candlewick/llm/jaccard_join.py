@@ -16,8 +16,8 @@ regions of document pivots alone would leave a corpus in one region. The join th
    that no longer shrinks them, they are divided by document pivots: every member goes to its nearest pivot's Voronoi
    region and, where the triangle inequality allows a partner there (distance at most the least one plus twice the
    threshold), is replicated into others, and these are joined in the same way, as long as it halves the pairs. What is
-   left are near misses at like distances, which no pivot tells apart. They are compared within tasks, block by block of
-   a bounded number of whole sets; only links leave a task, as many as merge components.
+   left are mostly near misses at like distances, which no pivot tells apart. They are compared pair by pair, under the
+   same exclusions, each pair in one of the regions that both are in.
 
 Every link is decided on the whole sets, and no pair within the threshold is lost: each such pair either shares a region
 and is compared, or is already connected. Only connected components are returned, so copies need not be paired.
@@ -51,10 +51,10 @@ PIECE, SEEN = 1_000_000, 500_000
 LEAF, PIVOTS, LEVELS = 48, 8, 8
 #: Members of a region whose distances to its pivots tell whether these divide it.
 TRIAL = 32
-#: Sets of a block that is compared in a task with another; shingles that it counts at once.
-BLOCK, COLUMNS = 256, 8192
+#: Smallest regions by which a pair is known to meet before.
+FIRST = 16
 #: Classes of the counts that bound what two sets share.
-COUNTED, COARSE = 128, 16
+COUNTED, COARSE = 256, 16
 
 
 # -- shingle sets (numpy, in tasks) -----------------------------------------------------------------------------------
@@ -286,10 +286,12 @@ def _open_regions(members: DataFrame, labels: DataFrame, sets: DataFrame) -> Dat
     return named.join(several, "key").join(sets.select("sig", "counts", *coarse), "sig")
 
 
-def _possible(members: DataFrame, others: DataFrame, num: int, den: int) -> DataFrame:
+def _possible(members: DataFrame, others: DataFrame, num: int, den: int, which=None, once: bool = False) -> DataFrame:
     """Pairs of members of a region that may be links: of different components, and not excluded by their sizes, by the
-    triangle inequality over the region's pivot (``d``: the distance to it), or by the bound of their counts."""
-    side = lambda df, x: df.select("key", *[F.col(c).alias(f"{c}{x}") for c in ("sig", "n", "comp", "d", "counts", *[f"k{i}" for i in range(COARSE)])])
+    triangle inequality over the region's pivot (``d``: the distance to it), or by the bound of their counts; with
+    ``once`` only in the region with the smallest key that ``keys`` of both hold."""
+    columns = ["sig", "n", "comp", "d", "counts", *[f"k{i}" for i in range(COARSE)], *(["keys"] if once else [])]
+    side = lambda df, x: df.select("key", *[F.col(c).alias(f"{c}{x}") for c in columns])
     na, nb = F.col("na"), F.col("nb")
     sizes = (na * den >= nb * num) & (nb * den >= na * num)
     window = F.abs(F.col("da") - F.col("db")) <= (1 - num / den) + 1e-9
@@ -298,62 +300,21 @@ def _possible(members: DataFrame, others: DataFrame, num: int, den: int) -> Data
     maybe = F.coalesce((num + den) * few >= num * (na + nb), F.lit(True))
     most = F.aggregate(F.zip_with("countsa", "countsb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
     shared = F.coalesce((num + den) * most >= num * (na + nb), F.lit(True))
-    pairs = side(members, "a").join(side(others, "b"), "key").where((F.col("compa") != F.col("compb")) & sizes & window & maybe & shared)
-    return pairs
-
-
-def _cell_links(num: int, den: int):
-    """Two blocks of a cell's sets -> links between members of different components, as many as merge these."""
-    def run(table: pa.Table) -> pa.Table:
-        sigs, comps, own = (table.column(c).to_numpy() for c in ("sig", "comp", "own"))
-        lists = table.column("shingles").combine_chunks()
-        n = lists.value_lengths().to_numpy()
-        one, two = (np.flatnonzero(own == table.column(c)[0].as_py()) for c in ("lo", "hi"))
-        # a shingle that one set holds is shared by no pair
-        _, column, held = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(n)), n)
-        kept = held[column] > 1
-        place = np.cumsum(held > 1) - 1
-        owner, column = owner[kept], place[column[kept]]
-        order = np.argsort(column, kind="stable")
-        owner, column = owner[order], column[order]
-        shared = np.zeros((len(one), len(two)), np.int64)
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            a, b = np.searchsorted(column, [start, start + COLUMNS])
-            held_by = np.zeros((len(n), COLUMNS), np.float32)
-            held_by[owner[a:b], column[a:b] - start] = 1
-            shared += (held_by[one] @ held_by[two].T).astype(np.int64)
-        link = (den * shared >= num * (n[one][:, None] + n[two][None, :] - shared)) & (comps[one][:, None] != comps[two][None, :])
-        root: dict = {}
-
-        def find(c):
-            while root.setdefault(c, c) != c:
-                root[c] = c = root[root[c]]
-            return c
-        out = []
-        for i, j in np.argwhere(link):
-            u, v = find(comps[one[i]]), find(comps[two[j]])
-            if u != v:
-                root[u] = v
-                out.append((sigs[one[i]], sigs[two[j]]))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-    return run
-
-
-def _leaf_links(leaf: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """Links within regions. Regions with common members make a cell, so that two sets meet once however many regions
-    they share; a cell is dealt into blocks, and a task counts what each two sets of two blocks share. No pair leaves a
-    task but links that merge components."""
-    hubs = leaf.groupBy("key").agg(F.min("sig").alias("hub"))
-    stars = leaf.select("key", "sig").join(hubs, "key").select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()
-    cells = components(stars).withColumnRenamed("comp", "cell")
-    members = leaf.select("sig", "comp").distinct().join(cells, "sig", "left").withColumn("cell", F.coalesce("cell", "sig"))
-    members = stored(members, "cells")
-    sizes = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "cell").withColumn("own", F.pmod(F.xxhash64("sig"), "blocks").cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cell", "sig", "comp", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    return dealt.join(sets.select("sig", "shingles"), "sig").groupBy("cell", "lo", "hi").applyInArrow(_cell_links(num, den), "a long, b long")
+    may = (F.col("compa") != F.col("compb")) & sizes & window & maybe & shared
+    if which is not None:
+        may = which & may
+    if once:
+        may = may & F.coalesce(F.array_min(F.array_intersect("keysa", "keysb")) == F.col("key"), F.lit(True))
+    return side(members, "a").join(side(others, "b"), "key").where(may)
+
+
+def _leaf_pairs(leaf: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of members of a region that may be links, each in one region: of the regions that both are in, that with
+    the smallest key. It is known from the FIRST smallest keys of each, if these have one in common; if not, the pair
+    may turn up in several regions."""
+    own = leaf.groupBy("sig").agg(F.slice(F.sort_array(F.collect_set("key")), 1, FIRST).alias("keys"))
+    pairs = _possible(leaf.join(own, "sig"), leaf.join(own, "sig"), num, den, F.col("siga") < F.col("sigb"), once=True)
+    return pairs.select(F.col("siga").alias("a"), F.col("sigb").alias("b")).distinct()
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -448,10 +409,9 @@ def named_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 1
         labels = _merged(labels, links)
         rest = todo.join(divided, "key", "left_anti").select("key", "sig", "n", "d")
         todo = _relabelled(rest.union(placed.select("key", "sig", "n", "d")), labels, sets)
-    if not todo.isEmpty():
-        last = stored(_leaf_links(todo, sets, num, den, BLOCK), "links")
-        if not last.isEmpty():
-            labels = _merged(labels, last)
+    last = stored(with_overlap(_leaf_pairs(todo, num, den), sets).where(link).select("a", "b"), "links")
+    if not last.isEmpty():
+        labels = _merged(labels, last)
 
     return sigs.join(labels, "sig", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sig")))
 

@@ -1,12 +1,10 @@
 """Exact dedup (9), n-gram Jaccard join (2), line dedup (8)."""
 
 import hashlib
-import itertools
 import random
 import re
 from collections import Counter, defaultdict
 
-import pyarrow as pa
 import pytest
 from llm_helpers import LONG, ROWS, docs, empty
 from pyspark.sql import functions as F
@@ -291,42 +289,11 @@ def test_repeated_passages_on_awkward_rows(spark):
     assert got == Counter([(1, LONG), (1, "own"), (None, "x\ny"), (2, "z")])
 
 
-@pytest.mark.parametrize("columns", [8192, 16])
-def test_sets_of_two_blocks_are_compared_exactly(monkeypatch, columns):
-    """Near misses and links among sets of one cell, in blocks: the links merge what brute force merges."""
-    monkeypatch.setattr(J, "COLUMNS", columns)
-    rnd = random.Random(6)
-    base = list(range(0, 60))
-    sets = [sorted({x if rnd.random() > 0.06 else rnd.randrange(60, 200) for x in base}) for _ in range(40)] + [[500], [501, 502]]
-    comps = [rnd.choice([i, i - i % 4]) for i in range(len(sets))]
-    blocks = [i % 3 for i in range(len(sets))]
-
-    def merged(links):
-        label = {i: comps[i] for i in range(len(sets))}
-        for _ in sets:
-            for a, b in links:
-                low = min(label[a], label[b])
-                label = {k: low if v in (label[a], label[b]) else v for k, v in label.items()}
-        return label
-
-    found, made = [], 0
-    for lo, hi in [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]:
-        rows = [i for i in range(len(sets)) if blocks[i] in (lo, hi)]
-        part = pa.table({"sig": rows, "comp": [comps[i] for i in rows], "own": pa.array([blocks[i] for i in rows], pa.int32()),
-                         "lo": pa.array([lo] * len(rows), pa.int32()), "hi": pa.array([hi] * len(rows), pa.int32()),
-                         "shingles": pa.array([sets[i] for i in rows], pa.list_(pa.int64()))})
-        out = J._cell_links(8, 10)(part)
-        found += list(zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True))
-        made = max(made, out.num_rows - len(rows) + 1)
-    want = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2)
-            if 10 * len(set(sets[i]) & set(sets[j])) >= 8 * len(set(sets[i]) | set(sets[j]))]
-    assert 0 < len(want) < 40 * 39 / 2 and made <= 0  # fewer links than sets
-    assert all((min(p), max(p)) in want for p in found) and merged(found) == merged(want)
-
-
-def test_a_region_of_near_misses_in_many_blocks(spark, monkeypatch):
-    """A group whose members are mostly just below the threshold of each other equals brute force."""
-    monkeypatch.setattr(J, "BLOCK", 5)
+@pytest.mark.parametrize("first", [16, 1, 0])
+def test_a_group_of_near_misses_in_many_regions(spark, monkeypatch, first):
+    """A group whose members are mostly just below the threshold of each other equals brute force, whether the regions
+    that a pair shares are known or not."""
+    monkeypatch.setattr(J, "FIRST", first)
     rnd = random.Random(9)
     base = [f"w{i}" for i in range(80)]
     rows = [(i, " ".join(w if rnd.random() > 0.035 else f"x{rnd.randrange(10**6)}" for w in base), "en", "s") for i in range(60)]
