@@ -377,9 +377,8 @@ def chart_series_sql(picks_select: str, since, until) -> str:
 
 
 def _ewm(prev: str, x: str, a: str) -> str:
-    """One adjust=False exponential smoothing step, written as the
-    reference implementation of the smoothing evaluates it."""
-    return f"CASE WHEN {prev} = {x} THEN {prev} ELSE ((1 - {a}) * {prev} + {a} * {x}) / ((1 - {a}) + {a}) END"
+    """One step of the recursion, as it is defined."""
+    return f"((1 - {a}) * {prev} + {a} * {x})"
 
 
 def _r6(x: str) -> str:

@@ -16,7 +16,7 @@ from candlewick.operators import bars as bar_ops
 from candlewick.operators import calendar, stats
 from candlewick.operators.ranking import global_row_number
 from candlewick.operators.windows import extremes
-from candlewick.plans import groups, pipeline, publish, screens
+from candlewick.plans import groups, pipeline, publish, screens, smoothed
 from candlewick.plans.market import load_market
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CONCEPT, INFO
 from candlewick.session import fresh_dir
@@ -303,6 +303,26 @@ def x19_rec(spark, sf_dir):
     return s.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in ("rsi14", "macd", "macd_signal", "macd_hist")})
 
 
+@register("u01_continued_indicators", O.with_base_recursive(O.recursive_indicators_sql(
+    "SELECT code FROM bars", publish.CHART_START, AS_OF)))
+def u01(spark, sf_dir):
+    """U01/W12/W13 as stored recurrences, all codes: a first run up to some
+    days before the as-of day, in which the newest close of each code is
+    wrong, a run that corrects it, and one that adds the days since. The
+    series equal one computed whole."""
+    m, root = load_market(spark, sf_dir), fresh_dir(spark, "u01")
+    bars = m.bars.filter((F.col("date") >= F.lit(publish.CHART_START)) & (F.col("date") <= F.lit(AS_OF))).select("code", "date", "close")
+    early = bars.filter(F.col("date") <= F.lit(LOAD_FROM))
+    newest = early.groupBy("code").agg(F.max("date").alias("date"))
+    wrong = early.join(newest.withColumnRenamed("date", "newest"), "code").withColumn(
+        "close", F.when(F.col("date") == F.col("newest"), F.col("close") * 2).otherwise(F.col("close")))
+    smoothed.refresh(spark, root, wrong)
+    smoothed.refresh(spark, root, early, landed=newest)
+    smoothed.refresh(spark, root, bars)
+    s = smoothed.read_indicators(spark, root)
+    return s.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in ("rsi14", "macd", "macd_signal", "macd_hist")})
+
+
 # ------------------------------------------------------ quote streams (batch form)
 @register("r06_daily_bars_from_quotes", """
     SELECT CAST(user_id AS VARCHAR) AS code, time_bucket(INTERVAL 1 DAY, ts) AS window_start,

@@ -53,15 +53,83 @@ def test_k08_chart_series_one_folder_per_code(spark, tmp_dir):
     assert os.listdir(f"{tmp_dir}/charts").count("code=600001") == 1
 
 
-def test_u01_ema_matches_plain_recursion():
-    x = np.arange(1.0, 41.0) ** 1.5
-    got = I.ema(x, 12)
-    e = x[:12].mean()
-    ref = [np.nan] * 11 + [e]
-    for v in x[12:]:
-        e = v * 2 / 13 + e * 11 / 13
-        ref.append(e)
-    np.testing.assert_allclose(got, np.array(ref), rtol=1e-12)
+def _plain_ema(x, n, alpha):
+    out, e = [np.nan] * min(n - 1, len(x)), None
+    for i in range(n - 1, len(x)):
+        e = np.mean(x[:n]) if e is None else (1 - alpha) * e + alpha * x[i]
+        out.append(e)
+    return np.array(out)
+
+
+def _plain_indicators(close):
+    """rsi14, macd, macd_signal by plain loops."""
+    x = np.array(close, float)
+    macd = _plain_ema(x, 12, 2 / 13) - _plain_ema(x, 26, 2 / 27)
+    signal = np.concatenate([[np.nan] * min(25, len(x)), _plain_ema(macd[25:], 9, 0.2)])
+    change = np.diff(x)
+    gain, loss = _plain_ema(np.maximum(change, 0), 14, 1 / 14), _plain_ema(np.maximum(-change, 0), 14, 1 / 14)
+    rsi = [np.nan] + [np.nan if np.isnan(g) else 100.0 if v == 0 else 100 - 100 / (1 + g / v) for g, v in zip(gain, loss)]
+    return np.array(rsi[: len(x)]), macd, signal
+
+
+def _series(df, code):
+    return df[df.code == code].sort_values("date").reset_index(drop=True)
+
+
+def _closes(n, seed):
+    return np.round(20 + np.cumsum(np.random.default_rng(seed).normal(0, 0.5, n)), 2).tolist()
+
+
+def test_u01_equals_plain_recursion_at_seed_and_block_edges(spark):
+    lengths = (1, 2, 11, 12, 14, 15, 16, 25, 26, 33, 34, 35, 63, 64, 65, 128, 129, 300)
+    closes = {f"{600000 + n}": _closes(n, n) for n in lengths}
+    rows = [(c, day(i), v) for c, vs in closes.items() for i, v in enumerate(vs)]
+    out = I.recursive_indicators(spark.createDataFrame(rows, "code string, date date, close double")).toPandas()
+    for code, vs in closes.items():
+        got = _series(out, code)
+        for name, want in zip(("rsi14", "macd", "macd_signal"), _plain_indicators(vs)):
+            np.testing.assert_allclose(got[name].to_numpy(float), want, rtol=1e-9, atol=1e-9, err_msg=f"{code} {name}")
+
+
+def test_u01_bar_without_close_is_no_step_and_empty_table(spark):
+    vs = _closes(60, 1)
+    rows = [("600001", day(2 * i), v) for i, v in enumerate(vs)] + [("600001", day(81), None), ("600002", day(0), None)]
+    bars = spark.createDataFrame(rows, "code string, date date, close double")
+    out = I.recursive_indicators(bars).toPandas()
+    one = _series(out, "600001")
+    gap = one[one.close.isna()]
+    assert len(gap) == 1 and gap[["rsi14", "macd", "macd_signal", "macd_hist"]].isna().all(axis=None)
+    np.testing.assert_allclose(one[one.close.notna()].macd.to_numpy(float), _plain_indicators(vs)[1], rtol=1e-9, atol=1e-9)
+    assert _series(out, "600002").macd.isna().all()
+    assert I.recursive_indicators(bars.limit(0)).count() == 0
+
+
+def test_u01_runs_that_go_on_equal_one_whole_run(spark, tmp_dir):
+    """Appended days, a new code, a code that pauses, corrections of the newest day, of the middle and of the first
+    day, and a run with nothing new."""
+    from candlewick.plans import smoothed
+    a, b, c = _closes(90, 1), _closes(90, 2), _closes(40, 3)
+    full = [("600001", day(i), v) for i, v in enumerate(a)] + [("600002", day(i), v) for i, v in enumerate(b) if not 50 <= i < 70]
+    full += [("600003", day(i + 50), v) for i, v in enumerate(c)]
+    kinds, root = "code string, date date, close double", f"{tmp_dir}/smoothed"
+    frame = lambda rows: spark.createDataFrame(rows, kinds)
+    want = I.recursive_indicators(frame(full)).toPandas()
+    first = [(k, d, v + (5 if (k, d) in {("600001", day(0)), ("600002", day(20))} else 0)) for k, d, v in full if d <= day(40)]
+    smoothed.refresh(spark, root, frame(first))
+    smoothed.refresh(spark, root, frame([r for r in full if r[1] <= day(40)]),
+                     landed=spark.createDataFrame([("600001", day(0)), ("600002", day(20))], "code string, date date"))
+    for end in (41, 60, 60):
+        smoothed.refresh(spark, root, frame([r for r in full if r[1] <= day(end)]))
+    smoothed.refresh(spark, root, frame([(k, d, v * (2 if d == day(75) else 1)) for k, d, v in full if d <= day(75)]))
+    keys = [(k, d) for k, d, _ in full if d >= day(75)]
+    assert smoothed.refresh(spark, root, frame(full), landed=spark.createDataFrame(keys, "code string, date date")) == 7
+    got = smoothed.read_indicators(spark, root).toPandas()
+    assert len(got) == len(full)
+    for code in ("600001", "600002", "600003"):
+        x, y = _series(got, code), _series(want, code)
+        assert x.date.tolist() == y.date.tolist()
+        for name in ("close", "rsi14", "macd", "macd_signal", "macd_hist"):
+            np.testing.assert_allclose(x[name].to_numpy(float), y[name].to_numpy(float), rtol=1e-12, err_msg=f"{code} {name}")
 
 
 def test_u01_rsi_bounds_and_macd_per_code(spark):
