@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ship
+from candlewick.llm.common import ship, stored
 
 #: A public vocabulary; any tiktoken rank file does.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -32,21 +32,31 @@ RANGE = 4096
 
 
 @lru_cache(maxsize=2)
-def encoding(ranks: str):
+def _built(content: bytes):
     import tiktoken
 
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, content.splitlines()))}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+
+
+def _content(ranks: str) -> bytes:
     with open(ranks, "rb") as f:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(ranks, pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+        return f.read()
+
+
+def encoding(ranks: str):
+    return _built(_content(ranks))
 
 
 def encoded_lengths(docs: DataFrame, text_col: str = "text", ranks: str = RANKS) -> DataFrame:
-    """One column ``n_tokens``, a row per document."""
+    """One column ``n_tokens``, a row per document. The vocabulary is read on the driver and broadcast (its size is that
+    of the file, whatever the table)."""
     ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(_content(ranks))
 
     @F.pandas_udf("long")
     def length(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = encoding(ranks)
+        enc = _built(shared.value)
         for texts in batches:
             yield texts.map(lambda t: len(enc.encode_ordinary(t)) if t else 0)
 
@@ -54,7 +64,9 @@ def encoded_lengths(docs: DataFrame, text_col: str = "text", ranks: str = RANKS)
 
 
 def histogram(docs: DataFrame, text_col: str = "text", ranks: str = RANKS) -> DataFrame:
-    return encoded_lengths(docs, text_col, ranks).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("docs"))
+    """``(n_tokens, docs)``, a row per distinct length, written to the shared folder: the answers read it several times,
+    and each text is encoded once."""
+    return stored(encoded_lengths(docs, text_col, ranks).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("docs")), "lengths")
 
 
 def with_suffix_sums(hist: DataFrame) -> DataFrame:
