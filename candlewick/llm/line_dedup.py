@@ -1,15 +1,19 @@
-"""Repeated passages of lines (operator 8, DataFrame functions).
-
-Each line is hashed, and a rolling hash runs over the hashes of consecutive lines. Two rules find what is repeated:
-
-- Passages (``repeated_passages``, the query): the rolling hash of every ``MIN_LINES`` consecutive lines is a candidate.
-  Lines that occur so, with one non-blank character, before in the corpus and without overlapping that place are removed.
-  Every longer repeated run is made of such windows, so all of it goes, wherever it begins and ends: the result is that
-  of a comparison of all runs of at least ``MIN_LINES`` lines.
-- Chunks (``repeated_chunks``): the rolling hash over ``WINDOW`` lines puts a boundary after a line when it is 0 modulo
-  ``DIVISOR``, so boundaries depend on content alone and survive insertions before them; the lines between two
-  boundaries are a chunk, and one of at least ``MIN_LINES`` lines and one non-blank character that occurs before is
-  removed. Fewer rows travel, but a repeated passage without two boundaries of its own stays.
+"""Content-defined chunks of lines, and repeated passages (operator 8, DataFrame functions).
+
+Each line is hashed, and a rolling hash runs over the hashes of consecutive lines. Three rules find what is repeated:
+
+- Runs (``repeated_runs``, the query): first chunks, then the lines they leave. A boundary lies behind a line when the
+  rolling hash there is 0 modulo ``CUT`` and the one before is not (``spaced_ends``): boundaries depend on content alone,
+  survive insertions before them, and never leave a chunk of one line between them. A chunk with two blank lines in a row
+  is left to the second step; any other that occurs before in the corpus goes, after a comparison of bytes. Then the
+  windows of ``MIN_LINES`` lines that do not lie inside a chunk that went are compared in the same way: they let a matched
+  chunk grow into its neighbours line by line, and find passages that have no two boundaries of their own.
+- Passages (``repeated_passages``): windows alone. Lines that occur in a window, with one non-blank character, before in
+  the corpus and without overlapping that place are removed. Every longer repeated run is made of such windows, so all of
+  it goes, wherever it begins and ends. The runs have the same result with fewer rows: the first place of a window is
+  never inside a chunk that went, since that chunk's first copy holds the window too, so no comparison is lost.
+- Chunks (``repeated_chunks``): chunks alone, by boundaries that are 0 modulo ``DIVISOR``. Fewer rows travel, but a
+  repeated passage without two boundaries of its own stays.
 
 The first occurrence (smallest id, then smallest line number) stays. Hashes only find candidates: lines go only if their
 bytes equal those of lines before them, and so every distinct line stays at least once.
@@ -30,6 +34,10 @@ from candlewick.llm.common import id_filter, maybe_in, stored
 
 #: Lines in the rolling window, boundaries per line (1 in so many), fewest lines of a chunk or passage that may go.
 WINDOW, DIVISOR, MIN_LINES = 2, 4, 2
+#: Rolling hashes per boundary condition of the spaced chunks: one line in CUT * CUT / (CUT - 1) ends a chunk.
+CUT = 2
+#: Two blank lines in a row.
+BLANK_PAIR = r"(?:\A|\n)[^\S\n]*\n[^\S\n]*(?:\n|\z)"
 
 
 def chunk_ends(lines: Column) -> Column:
@@ -105,6 +113,75 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
+def rolling_hashes(lines: Column) -> Column:
+    """The hash of every ``MIN_LINES`` consecutive lines, in order of their first line (there are that many lines)."""
+    hashes, n = F.transform(lines, lambda x: F.xxhash64(x)), F.size(lines) - (MIN_LINES - 1)
+    rolled = F.slice(hashes, F.lit(1), n)
+    for k in range(1, MIN_LINES):
+        rolled = F.zip_with(rolled, F.slice(hashes, F.lit(1 + k), n), lambda acc, h: F.xxhash64(acc, h))
+    return rolled
+
+
+def spaced_ends(rolled: Column, n_lines: Column) -> Column:
+    """Index (1-based) of the last line of each chunk: where a rolling hash is 0 modulo CUT and the one before is not."""
+    zero = F.transform(rolled, lambda r: F.pmod(r, F.lit(CUT)) == 0)
+    before = F.concat(F.array(F.lit(False)), F.slice(zero, F.lit(1), F.size(zero) - 1))
+    cuts = F.transform(F.zip_with(zero, before, lambda now, was: now & ~was), lambda cut, i: F.when(cut, i + MIN_LINES))
+    return F.array_union(F.filter(cuts, lambda e: e.isNotNull()), F.array(n_lines))
+
+
+def spaced_chunks(rows: DataFrame) -> DataFrame:
+    """``(id, key, first, n, hash, body)`` of the chunks of ``rows`` (id, key, lines, rolled) that may go."""
+    rows = rows.withColumn("ends", spaced_ends(F.col("rolled"), F.size("lines")))
+    starts = F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1))
+    spans = F.filter(F.zip_with(starts, "ends", lambda s, e: F.struct((s + 1).alias("first"), (e - s).alias("n"))), lambda s: s["n"] >= MIN_LINES)
+    rows = rows.select("id", "key", "lines", spans.alias("spans"))
+    chunks = F.transform("spans", lambda s: F.struct(
+        s["first"].alias("first"), s["n"].alias("n"), F.array_join(F.slice("lines", s["first"], s["n"]), "\n").alias("body")))
+    flat = rows.select("id", "key", F.explode(chunks).alias("c")).select("id", "key", "c.*")
+    return flat.where(F.col("body").rlike(r"\S") & ~F.col("body").rlike(BLANK_PAIR)).withColumn("hash", F.xxhash64("body"))
+
+
+def _later(places: DataFrame, apart: Column, name: str) -> DataFrame:
+    """Those of ``places`` (id, key, first, n, hash, body) whose bytes occur at a smaller place; ``apart``: what must hold,
+    besides, of a place and the smallest one (``stays``) in the same document."""
+    # narrow first: only the hash travels, and the text of those that may repeat follows
+    shared = stored(places.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash"), name)
+    found = stored(maybe_in(places, F.col("hash"), id_filter(shared, "hash")), f"{name}-found")
+    # byte comparison: groups of equal bytes, the smallest place of each stays; partial sums meet hot groups
+    first = found.groupBy("hash", "body").agg(F.min(F.struct("id", "first", "key")).alias("stays"), F.count(F.lit(1)).alias("copies"))
+    same = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("key") == F.col("stays.key"))
+    return (
+        found.join(first.where("copies > 1").drop("copies"), ["hash", "body"]).where(~same | apart)
+        .select("id", "key", "first", "n").distinct()
+    )
+
+
+def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(id, key, first, n)`` of the chunks that go, and of the windows of ``MIN_LINES`` lines that go besides."""
+    rows = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.split(text_col, "\n").alias("lines"))
+    rows = rows.where(F.size("lines") >= MIN_LINES).withColumn("rolled", rolling_hashes(F.col("lines")))
+    chunks = stored(_later(spaced_chunks(rows), F.col("first") > F.col("stays.first"), "chunk-hashes"), "chunks")
+    # the windows inside a document's chunks that went need no comparison of their own
+    inside = F.sequence(F.col("first"), F.col("first") + F.col("n") - MIN_LINES)
+    inside = chunks.groupBy("id", "key").agg(F.flatten(F.collect_list(inside)).alias("inside")).select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "inside")
+    rest = rows.join(inside, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")), "left")
+    left = F.array_except(F.sequence(F.lit(1), F.size("rolled")), F.coalesce("inside", F.array().cast("array<int>")))
+    rest = rest.select("id", "key", "lines", "rolled", left.alias("left"))
+    windows_ = F.transform("left", lambda i: F.struct(
+        i.alias("first"), F.get("rolled", i - 1).alias("hash"), F.array_join(F.slice("lines", i, MIN_LINES), "\n").alias("body")))
+    places = rest.select("id", "key", F.explode(windows_).alias("w")).select("id", "key", "w.*").where(F.col("body").rlike(r"\S"))
+    places = places.select("id", "key", "first", F.lit(MIN_LINES).alias("n"), "hash", "body")
+    return chunks, _later(places, F.col("first") >= F.col("stays.first") + MIN_LINES, "window-hashes")
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, key, first, n)`` of the chunks that go and of the windows that go besides; they overlap."""
+    chunks, besides = runs(docs, id_col, text_col)
+    return chunks.unionByName(besides)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 repeated: Callable[[DataFrame, str, str], DataFrame] = repeated_chunks) -> DataFrame:
     """One row per document: id, text without what ``repeated`` finds, n_lines, removed_lines; other columns stay."""

@@ -56,7 +56,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, repeated=line_dedup.repeated_passages)
+    return line_dedup.dedup_lines(docs, repeated=line_dedup.repeated_runs)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

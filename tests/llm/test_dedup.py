@@ -289,6 +289,60 @@ def test_repeated_passages_on_awkward_rows(spark):
     assert got == Counter([(1, LONG), (1, "own"), (None, "x\ny"), (2, "z")])
 
 
+def by_chunks_alone(spark, rows):
+    """Lines that go with a whole chunk, by ``repeated_runs``."""
+    chunks, _ = L.runs(docs(spark, rows))
+    return sum(r.n for r in chunks.collect())
+
+
+def test_chunks_and_what_they_leave_equal_brute_force(spark):
+    """Recall 1 with chunks first: short and long passages, runs of one line, blank lines, insertions, copies."""
+    rnd = random.Random(11)
+    passages = [[f"passage {p} line {i}" for i in range(2 + p * 3 % 17)] for p in range(12)] + [
+        ["same"] * 9, ["", "", "end"], ["", " "], ["a", "", "", "", "b"], ["", "", "", "head", "tail", "", ""]]
+    rows = []
+    for i in range(60):
+        lines = [f"own {i}"]
+        for k in range(rnd.randrange(5)):
+            passage = rnd.choice(passages)
+            at = rnd.randrange(len(passage) + 1)
+            lines += [*passage[:at], f"put in {i}", *passage[at:]] if rnd.random() < 0.3 else passage
+            lines += [f"own {i} {k}"] * rnd.randrange(0, 3)
+        rows.append((i, "\n".join(lines), "en", "s"))
+    rows += [(100 + i, t, "en", "s") for i, t, *_ in rows[:9]]
+    got = {r.doc_id: (r.text, r.removed_lines) for r in L.dedup_lines(docs(spark, rows), repeated=L.repeated_runs).collect()}
+    want = brute_passages(rows)
+    assert got == want
+    assert by_chunks_alone(spark, rows) > sum(n for _, n in want.values()) / 3  # many of these passages have two lines
+
+
+def test_spaced_boundaries_leave_no_chunk_of_one_line(spark):
+    lines = [f"line {i % 37} {i // 50}" for i in range(600)] + ["same"] * 50
+    frame = docs(spark, [(1, "\n".join(lines), "en", "s")]).select(F.split("text", "\n").alias("lines"))
+    ends = frame.select(L.spaced_ends(L.rolling_hashes(F.col("lines")), F.size("lines")).alias("ends")).first().ends
+    sizes = [b - a for a, b in zip([0, *ends], ends)]
+    assert ends[-1] == 650 and min(sizes[:-1]) >= L.MIN_LINES and 650 / 8 < len(ends) < 650 / 2
+    # lines put in front move no boundary behind them
+    more = docs(spark, [(1, "\n".join(["x", "y", *lines]), "en", "s")]).select(F.split("text", "\n").alias("lines"))
+    moved = more.select(L.spaced_ends(L.rolling_hashes(F.col("lines")), F.size("lines")).alias("ends")).first().ends
+    assert {e + 2 for e in ends if e > 3} <= set(moved)
+
+
+def test_repeated_runs_on_awkward_rows(spark):
+    out = L.dedup_lines(docs(spark), repeated=L.repeated_runs)
+    assert set(docs(spark).columns) < set(out.columns)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.doc_id, []).append((r.text, r.n_lines, r.removed_lines))
+    assert got[1] == [(ROWS[0][1], 2, 0)] and got[2] == [("", 2, 2)]
+    assert got[3] == [(None, 0, 0)] and got[4] == [("", 1, 0)] and got[5] == [("   \n\t ", 2, 0)]
+    assert got[6] == [(LONG, 4000, 0)] * 2 and len(got[None]) == 1
+    assert L.dedup_lines(empty(spark), repeated=L.repeated_runs).collect() == []
+    rows = [(1, LONG, "en", "s"), (1, "own\n" + LONG, "en", "s"), (None, "x\ny", "en", "s"), (2, "x\ny\nz", "en", "s")]
+    got = Counter((r.doc_id, r.text) for r in L.dedup_lines(docs(spark, rows), repeated=L.repeated_runs).collect())
+    assert got == Counter([(1, LONG), (1, "own"), (None, "x\ny"), (2, "z")])
+
+
 @pytest.mark.parametrize("first", [16, 1, 0])
 def test_a_group_of_near_misses_in_many_regions(spark, monkeypatch, first):
     """A group whose members are mostly just below the threshold of each other equals brute force, whether the regions
