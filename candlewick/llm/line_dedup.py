@@ -130,23 +130,42 @@ def spaced_ends(rolled: Column, n_lines: Column) -> Column:
     return F.array_union(F.filter(cuts, lambda e: e.isNotNull()), F.array(n_lines))
 
 
-def spaced_chunks(rows: DataFrame) -> DataFrame:
-    """``(id, key, first, n, hash, body)`` of the chunks of ``rows`` (id, key, lines, rolled) that may go."""
+def spans(rows: DataFrame) -> DataFrame:
+    """Adds ``spans``: first line and number of lines of every chunk of ``rows`` (lines, rolled)."""
     rows = rows.withColumn("ends", spaced_ends(F.col("rolled"), F.size("lines")))
     starts = F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1))
-    spans = F.filter(F.zip_with(starts, "ends", lambda s, e: F.struct((s + 1).alias("first"), (e - s).alias("n"))), lambda s: s["n"] >= MIN_LINES)
-    rows = rows.select("id", "key", "lines", spans.alias("spans"))
-    chunks = F.transform("spans", lambda s: F.struct(
+    return rows.withColumn("spans", F.zip_with(starts, "ends", lambda s, e: F.struct((s + 1).alias("first"), (e - s).alias("n")))).drop("ends")
+
+
+def spaced_chunks(rows: DataFrame) -> DataFrame:
+    """``(id, key, first, n, hash, body)`` of the chunks of ``rows`` (id, key, lines, spans) that may go."""
+    chunks = F.transform(F.filter("spans", lambda s: s["n"] >= MIN_LINES), lambda s: F.struct(
         s["first"].alias("first"), s["n"].alias("n"), F.array_join(F.slice("lines", s["first"], s["n"]), "\n").alias("body")))
     flat = rows.select("id", "key", F.explode(chunks).alias("c")).select("id", "key", "c.*")
     return flat.where(F.col("body").rlike(r"\S") & ~F.col("body").rlike(BLANK_PAIR)).withColumn("hash", F.xxhash64("body"))
 
 
-def _later(places: DataFrame, apart: Column, name: str) -> DataFrame:
-    """Those of ``places`` (id, key, first, n, hash, body) whose bytes occur at a smaller place; ``apart``: what must hold,
-    besides, of a place and the smallest one (``stays``) in the same document."""
+def spaced_windows(rows: DataFrame, with_body: bool) -> DataFrame:
+    """``(id, key, first, n, chunk, hash)``, if asked with the body, of the windows of ``rows`` (id, key, lines, rolled, spans);
+    chunk: first line of the chunk that holds the whole window, null where it reaches over the chunk's end."""
+    last = F.size("rolled")
+
+    def of(s):
+        end = s["first"] + s["n"] - 1
+        starts = F.when(s["first"] <= last, F.sequence(s["first"], F.least(end, last))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("first"), F.when(i + MIN_LINES - 1 <= end, s["first"]).alias("chunk"), F.get("rolled", i - 1).alias("hash"),
+            *([F.array_join(F.slice("lines", i, MIN_LINES), "\n").alias("body")] if with_body else [])))
+
+    flat = rows.select("id", "key", F.explode(F.flatten(F.transform("spans", of))).alias("w")).select("id", "key", F.lit(MIN_LINES).alias("n"), "w.*")
+    return flat.where(F.col("body").rlike(r"\S")) if with_body else flat
+
+
+def _later(places: DataFrame, counted: DataFrame, apart: Column, name: str) -> DataFrame:
+    """Those of ``places`` (id, key, first, n, hash, body) whose bytes occur at a smaller place, among the hashes that
+    ``counted`` holds twice; ``apart``: what must hold, besides, of two places in the same document."""
     # narrow first: only the hash travels, and the text of those that may repeat follows
-    shared = stored(places.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash"), name)
+    shared = stored(counted.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash"), name)
     found = stored(maybe_in(places, F.col("hash"), id_filter(shared, "hash")), f"{name}-found")
     # byte comparison: groups of equal bytes, the smallest place of each stays; partial sums meet hot groups
     first = found.groupBy("hash", "body").agg(F.min(F.struct("id", "first", "key")).alias("stays"), F.count(F.lit(1)).alias("copies"))
@@ -161,19 +180,15 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     """``(id, key, first, n)`` of the chunks that go, and of the windows of ``MIN_LINES`` lines that go besides."""
     rows = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.split(text_col, "\n").alias("lines"))
-    rows = rows.where(F.size("lines") >= MIN_LINES).withColumn("rolled", rolling_hashes(F.col("lines")))
-    chunks = stored(_later(spaced_chunks(rows), F.col("first") > F.col("stays.first"), "chunk-hashes"), "chunks")
-    # the windows inside a document's chunks that went need no comparison of their own
-    inside = F.sequence(F.col("first"), F.col("first") + F.col("n") - MIN_LINES)
-    inside = chunks.groupBy("id", "key").agg(F.flatten(F.collect_list(inside)).alias("inside")).select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "inside")
-    rest = rows.join(inside, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")), "left")
-    left = F.array_except(F.sequence(F.lit(1), F.size("rolled")), F.coalesce("inside", F.array().cast("array<int>")))
-    rest = rest.select("id", "key", "lines", "rolled", left.alias("left"))
-    windows_ = F.transform("left", lambda i: F.struct(
-        i.alias("first"), F.get("rolled", i - 1).alias("hash"), F.array_join(F.slice("lines", i, MIN_LINES), "\n").alias("body")))
-    places = rest.select("id", "key", F.explode(windows_).alias("w")).select("id", "key", "w.*").where(F.col("body").rlike(r"\S"))
-    places = places.select("id", "key", "first", F.lit(MIN_LINES).alias("n"), "hash", "body")
-    return chunks, _later(places, F.col("first") >= F.col("stays.first") + MIN_LINES, "window-hashes")
+    rows = spans(rows.where(F.size("lines") >= MIN_LINES).withColumn("rolled", rolling_hashes(F.col("lines"))))
+    chunks = spaced_chunks(rows)
+    chunks = stored(_later(chunks, chunks, F.col("first") > F.col("stays.first"), "chunk-hashes"), "chunks")
+    # a window inside a chunk that went is not counted: what such chunks share is left with one copy, and not compared again
+    gone = chunks.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), F.col("first").alias("c_first"))
+    counted = spaced_windows(rows, with_body=False).join(
+        gone, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")) & (F.col("chunk") == F.col("c_first")), "left_anti")
+    windows_ = spaced_windows(rows, with_body=True).drop("chunk")
+    return chunks, _later(windows_, counted, F.col("first") >= F.col("stays.first") + MIN_LINES, "window-hashes")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
