@@ -16,7 +16,7 @@ from candlewick.operators import bars as bar_ops
 from candlewick.operators import calendar, stats
 from candlewick.operators.ranking import global_row_number
 from candlewick.operators.windows import extremes
-from candlewick.plans import groups, pipeline, publish, screens, smoothed
+from candlewick.plans import groups, kept_extremes, pipeline, publish, screens, smoothed
 from candlewick.plans.market import load_market
 from candlewick.schema import BAR_BASE_COLS, BAR_COLS, CONCEPT, INFO
 from candlewick.session import fresh_dir
@@ -178,6 +178,33 @@ def w04(spark, sf_dir):
     return extremes(load_market(spark, sf_dir).stocks, ASC_START, AS_OF, "trough")
 
 
+@register("w03_kept_extremes", O.with_base(select=f"""
+    FROM (FROM ({O.extremes_sql('peak', O.d(TREND_START), O.d(AS_OF))}) SELECT 'peak' AS kind, code, date, close, rank, date_rank
+          UNION ALL
+          FROM ({O.extremes_sql('trough', O.d(TREND_START), O.d(AS_OF))}) SELECT 'trough' AS kind, code, date, close, rank, date_rank)"""))
+def w03_kept(spark, sf_dir):
+    """W03-W06 kept from run to run, all codes: a first run in which each
+    code's newest and oldest close are wrong, a run that corrects the newest
+    (in the tail), one that corrects the oldest (the codes are computed
+    again) and one that adds the days up to the as-of day."""
+    m, root = load_market(spark, sf_dir), fresh_dir(spark, "w03")
+    bars = m.stocks.filter((F.col("date") >= F.lit(TREND_START)) & (F.col("date") <= F.lit(AS_OF))).select("code", "date", "close")
+    early = bars.filter(F.col("date") <= F.lit(LOAD_FROM))
+    ends = early.groupBy("code").agg(F.min("date").alias("oldest"), F.max("date").alias("newest"))
+
+    def spoiled(*days):
+        wrong = F.lit(False)
+        for day in days:
+            wrong = wrong | (F.col("date") == F.col(day))
+        return early.join(ends, "code").withColumn("close", F.when(wrong, F.col("close") * 2).otherwise(F.col("close")))
+
+    kept_extremes.refresh(spark, root, spoiled("oldest", "newest"), TREND_START)
+    kept_extremes.refresh(spark, root, spoiled("oldest"), TREND_START, landed=ends.select("code", F.col("newest").alias("date")))
+    kept_extremes.refresh(spark, root, early, TREND_START, landed=ends.select("code", F.col("oldest").alias("date")))
+    kept_extremes.refresh(spark, root, bars, TREND_START)
+    return kept_extremes.read_extremes(spark, root)
+
+
 @register("a01_min_max_day", O.with_base(select=(
     "SELECT code, min(date) AS min_date, max(date) AS max_date, count(*) AS days FROM bars GROUP BY code")))
 def a01(spark, sf_dir):

@@ -132,6 +132,63 @@ def test_u01_runs_that_go_on_equal_one_whole_run(spark, tmp_dir):
             np.testing.assert_allclose(x[name].to_numpy(float), y[name].to_numpy(float), rtol=1e-12, err_msg=f"{code} {name}")
 
 
+def test_w03_runs_that_go_on_equal_one_whole_run(spark, tmp_dir):
+    """After each run the kept extremes equal those of the whole series: appended days one by one, a new code, a pause,
+    ties, a null, changes within the slack and before it, late bars, deleted newest bars, and changes after deletions."""
+    import random
+
+    from candlewick.operators.windows import peaks_and_troughs
+    from candlewick.plans import kept_extremes
+    rnd, kinds, root = random.Random(4), "code string, date date, close double", f"{tmp_dir}/kept"
+    frame = lambda rows: spark.createDataFrame([(k, d, v) for (k, d), v in sorted(rows.items())], kinds)
+    table = {(k, day(i)): float(rnd.randrange(8)) for k in ("600001", "600002", "600003") for i in range(60)
+             if not (k == "600002" and 25 <= i < 40) and not (k == "600003" and i < 45)}
+    table["600001", day(30)] = None
+    stored = {k: v for k, v in table.items() if k[1] <= day(40)}
+
+    def run(landed=None):
+        keys = None if landed is None else spark.createDataFrame(landed, "code string, date date")
+        kept_extremes.refresh(spark, root, frame(stored), day(3), keys)
+        got = kept_extremes.read_extremes(spark, root).collect()
+        want = peaks_and_troughs(frame(stored), day(3), None).select("code", "kind", "date", "close", "rank", "date_rank").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 5
+
+    run()
+    run()  # nothing new
+    for end in (41, 47):
+        stored |= {k: v for k, v in table.items() if k[1] <= day(end)}
+        run()
+    changes = [("600001", day(45), 9.0), ("600001", day(20), 9.0), ("600002", day(30), 5.0)]  # in the slack, before it, a late bar
+    for k, d, v in changes:
+        stored[k, d] = v
+        run([(k, d)])
+    gone = [k for k in stored if k[0] == "600001" and k[1] > day(34)]
+    for k in gone:
+        del stored[k]
+    run(gone)
+    stored |= {k: table[k] for k in gone}
+    run(gone)
+    stored |= {k: v for k, v in table.items() if k[1] > day(47)}
+    run([k for k in table if k[1] > day(47)])
+
+
+def test_w03_a_new_day_reads_only_the_tail(spark, tmp_dir):
+    """The plan's scans: bars behind the newest day by a pushed-down date; settled rows of earlier runs stay as they are."""
+    from candlewick.plans import kept_extremes
+    from candlewick.sources import versions
+    root, kinds = f"{tmp_dir}/kept", "code string, date date, close double"
+    rows = [("600001", day(i), float(i * 37 % 11)) for i in range(101)]
+    kept_extremes.refresh(spark, root, spark.createDataFrame(rows[:100], kinds), day(0))
+    first = versions.manifest(spark, root)["tables"]
+    kept_extremes.refresh(spark, root, spark.createDataFrame(rows, kinds).filter(F.col("date") >= F.lit(day(99))), day(0))  # no history given
+    second = versions.manifest(spark, root)["tables"]
+    assert second["settled"][:1] == first["settled"] and len(second["settled"]) == 2
+    assert spark.read.parquet(f"{root}/{second['tail'][0]}").count() == kept_extremes.TAIL
+    from candlewick.operators.windows import peaks_and_troughs
+    want = peaks_and_troughs(spark.createDataFrame(rows, kinds), None, None).select("code", "kind", "date", "close", "rank", "date_rank")
+    assert sorted(map(tuple, kept_extremes.read_extremes(spark, root).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_u01_rsi_bounds_and_macd_per_code(spark):
     m = market(spark, {"600001": [10 + (i % 7) - (i % 3) for i in range(60)], "600002": list(range(10, 70))})
     out = I.recursive_indicators(m.bars).toPandas()
