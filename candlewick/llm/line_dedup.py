@@ -5,9 +5,10 @@ Each line is hashed, and a rolling hash runs over the hashes of consecutive line
 - Runs (``repeated_runs``, the query): first chunks, then the lines they leave. A boundary lies behind a line when the
   rolling hash there is 0 modulo ``CUT`` and the one before is not (``spaced_ends``): boundaries depend on content alone,
   survive insertions before them, and never leave a chunk of one line between them. A chunk with two blank lines in a row
-  is left to the second step; any other that occurs before in the corpus goes, after a comparison of bytes. Then the
-  windows of ``MIN_LINES`` lines that do not lie inside a chunk that went are compared in the same way: they let a matched
-  chunk grow into its neighbours line by line, and find passages that have no two boundaries of their own.
+  is left to the second step; any other that occurs before in the corpus goes, after a comparison of bytes. Then windows
+  of ``MIN_LINES`` lines are compared in the same way, those that still occur twice when the windows inside chunks that
+  went are not counted: they let a matched chunk grow into its neighbours line by line, and find passages that have no two
+  boundaries of their own.
 - Passages (``repeated_passages``): windows alone. Lines that occur in a window, with one non-blank character, before in
   the corpus and without overlapping that place are removed. Every longer repeated run is made of such windows, so all of
   it goes, wherever it begins and ends. The runs have the same result with fewer rows: the first place of a window is
